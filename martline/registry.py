@@ -28,3 +28,136 @@ def q_ecommerce_daily(spark: SparkSession, d: str) -> DataFrame:
 @query("transactions")
 def q_transactions(spark: SparkSession, d: str) -> DataFrame:
     return wh.ecommerce_transactions(spark, d)
+
+
+# ------------------------------------------------------------------ facts
+from pyspark.sql import functions as F  # noqa: E402
+
+from martline.operators import drift as drift_ops  # noqa: E402
+from martline.operators.joins import bridge_join, drill_across, sized_join  # noqa: E402
+from martline.plans import dims  # noqa: E402
+from martline.sources import views  # noqa: E402
+
+
+@query("web_events_dedup")
+def q_web_events(spark, d):
+    return wh.web_events(spark, d)
+
+
+@query("web_daily")
+def q_web_daily(spark, d):
+    return wh.web_daily(spark, d)
+
+
+def _paid_out(df: DataFrame) -> DataFrame:
+    return df.withColumn("spend", F.col("spend").cast("double"))
+
+
+@query("paid_social_union")
+def q_paid_social(spark, d):
+    return _paid_out(wh.paid_social(spark, d))
+
+
+@query("drift_report")
+def q_drift_report(spark, d):
+    from martline.plans.profile import drift_report
+    return drift_report(views.paid_parts(spark, d), stream_of=lambda f: f.split("_")[0])
+
+
+@query("organic_daily")
+def q_organic(spark, d):
+    return wh.organic_daily(spark, d)
+
+
+@query("mentions_daily")
+def q_mentions(spark, d):
+    return wh.podcast_daily(spark, d)
+
+
+@query("ooh_daily")
+def q_ooh(spark, d):
+    return wh.ooh_daily(spark, d)
+
+
+# ------------------------------------------------------------------ dimensions
+@query("date_dim")
+def q_date_dim(spark, d):
+    return wh.date_spine(spark, d)
+
+
+@query("geography_dim")
+def q_geography(spark, d):
+    return wh.geography(spark, d)
+
+
+@query("show_dim")
+def q_show_dim(spark, d):
+    return dims.show_dim(views.v_mentions(spark, d))
+
+
+@query("channel_dim")
+def q_channel_dim(spark, d):
+    """D3 with the number of fact rows each channel carries (read from the facts)."""
+    paid = wh.paid_social(spark, d).groupBy(F.lower("channel").alias("channel_name")).agg(
+        F.count(F.lit(1)).alias("fact_rows"))
+    other = [("organic_tiktok", wh.organic_daily(spark, d)), ("web", wh.web_events(spark, d)),
+             ("podcast", wh.podcast_daily(spark, d)), ("ooh_airport", wh.ooh_daily(spark, d))]
+    counts = paid
+    for name, df in other:
+        counts = counts.unionByName(df.agg(F.count(F.lit(1)).alias("fact_rows"))
+                                    .select(F.lit(name).alias("channel_name"), "fact_rows"))
+    return dims.channel_dim(spark).join(counts, "channel_name", "left") \
+        .na.fill(0, subset=["fact_rows"])
+
+
+@query("initiative_dim")
+def q_initiative_dim(spark, d):
+    """D4 with paid spend and web page views attributed through the bridge."""
+    bridge = dims.initiative_dim(spark)
+    paid = bridge_join(wh.paid_social(spark, d), bridge, "campaign_name", "paid_social_campaign_pattern",
+                       ["initiative_key"])
+    web = bridge_join(wh.web_events(spark, d), bridge, "campaign", "web_analytics_campaign_value",
+                      ["initiative_key"], null_as="None")
+    ps = paid.groupBy("initiative_key").agg(F.sum("spend").cast("double").alias("paid_spend"))
+    wv = web.groupBy("initiative_key").agg(F.count(F.lit(1)).alias("web_pageviews"))
+    return (bridge.join(ps, "initiative_key", "left").join(wv, "initiative_key", "left")
+            .na.fill(0, subset=["paid_spend", "web_pageviews"]))
+
+
+@query("initiative_bridge")
+def q_initiative_bridge(spark, d):
+    """Normalised bridge — every campaign value seen in the data and its initiative."""
+    bridge = dims.initiative_dim(spark)
+    paid = wh.paid_social(spark, d).groupBy(F.col("campaign_name").alias("campaign_value")).agg(
+        F.count(F.lit(1)).alias("n_rows")).withColumn("stream", F.lit("paid_social"))
+    web = wh.web_events(spark, d).groupBy(F.col("campaign").alias("campaign_value")).agg(
+        F.count(F.lit(1)).alias("n_rows")).withColumn("stream", F.lit("web"))
+    p = bridge_join(paid, bridge, "campaign_value", "paid_social_campaign_pattern",
+                    ["initiative_key", "initiative_name"])
+    w = bridge_join(web, bridge, "campaign_value", "web_analytics_campaign_value",
+                    ["initiative_key", "initiative_name"], null_as="None")
+    return p.unionByName(w).select("stream", "campaign_value", "initiative_key", "initiative_name", "n_rows")
+
+
+@query("star_join")
+def q_star_join(spark, d):
+    """Paid fact joined to date, channel and geography dimensions."""
+    fact = wh.paid_social(spark, d)
+    dd = wh.date_spine(spark, d).select("date", "season_flag")
+    ch = dims.channel_dim(spark).select("channel_key", "channel_name", "channel_group")
+    geo = wh.geography(spark, d).where(F.col("geo_scope") == "local").select("geo_key", "dma_name", "state")
+    j = (sized_join(fact, dd, "date", "left")
+         .join(F.broadcast(ch), F.lower(fact.channel) == ch.channel_name, "left"))
+    j = sized_join(j, geo, ["dma_name", "state"], "left")
+    return j.select("date", "campaign_id", "channel_key", "geo_key", "season_flag", "channel_group",
+                    F.col("spend").cast("double").alias("spend"), "clicks")
+
+
+@query("drill_across")
+def q_drill_across(spark, d):
+    """Paid spend and ecommerce revenue at the shared (date, dma_name) grain."""
+    paid = wh.paid_social(spark, d).groupBy("date", "dma_name").agg(
+        F.sum("spend").cast("double").alias("paid_spend"))
+    rev = wh.transactions_clean(spark, d).groupBy("date", "dma_name").agg(
+        F.sum("line_revenue").cast("double").alias("revenue"))
+    return drill_across(paid, rev, ["date", "dma_name"])

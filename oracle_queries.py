@@ -175,7 +175,7 @@ V["ooh_daily"] = """ooh_daily AS (
          w.format, w.audience_segment,
          CAST(w.spend AS DOUBLE) / 7.0 AS spend, CAST(w.impressions AS DOUBLE) / 7.0 AS impressions, w.placements
   FROM v_ooh_weekly w LEFT JOIN airport_lookup lk ON w.airport_code = lk.iata_code
-  CROSS JOIN (SELECT unnest(range(7)) AS i) d)"""
+  CROSS JOIN (SELECT CAST(unnest(range(7)) AS INTEGER) AS i) d)"""
 
 V["ecommerce_daily"] = """ecommerce_daily AS (
   SELECT date, dma_name, state, product_category, size, promo_flag,
@@ -204,13 +204,49 @@ V["date_dim"] = """date_dim AS (
               ELSE 'regular' END AS season_flag
   FROM spine)"""
 
+V["local_geo"] = """local_geo AS (
+  SELECT DISTINCT dma_name, state FROM (
+    SELECT dma_name, state FROM paid_base UNION ALL SELECT dma_name, state FROM v_web
+    UNION ALL SELECT dma_name, state FROM v_txn) t
+  WHERE dma_name IS NOT NULL OR state IS NOT NULL)"""
+
+V["geo_local"] = """geo_local AS (
+  SELECT CAST(row_number() OVER (ORDER BY dma_name NULLS LAST, state NULLS LAST) AS INTEGER) AS geo_key, dma_name, state
+  FROM local_geo)"""
+
+V["ch"] = """ch AS (
+  SELECT CAST(channel_key AS INTEGER) AS channel_key, channel_name, channel_group, is_paid FROM (VALUES
+    (1, 'instagram', 'paid_social', true), (2, 'pinterest', 'paid_social', true), (3, 'tiktok', 'paid_social', true),
+    (4, 'organic_tiktok', 'organic_social', false), (5, 'web', 'web_analytics', false),
+    (6, 'podcast', 'earned_media', false), (7, 'ooh_airport', 'ooh', true)) t(channel_key, channel_name, channel_group, is_paid))"""
+
+V["bridge"] = """bridge AS (
+  SELECT CAST(initiative_key AS INTEGER) AS initiative_key, initiative_name, paid_social_campaign_pattern,
+         web_analytics_campaign_value, notes FROM (VALUES
+    (1, 'Always On', 'Instagram Always On, Pinterest Always On, TikTok Always On', 'Always On', 'Direct theme match across both streams'),
+    (2, 'BTS', 'Instagram BTS Moms, Pinterest BTS Moms, TikTok BTS Moms', 'BTS 2023, BTS 2024', 'Web uses year-suffixed variants'),
+    (3, 'Teen Trends', 'Instagram Teen Trends, Pinterest Teen Trends, TikTok Teen Trends', NULL, 'No web analytics counterpart found'),
+    (4, 'Black Friday', NULL, 'Black Friday 2023', 'Web/promo only — no paid social campaign'),
+    (5, 'Email Promo', NULL, 'Email Promo', 'Web/promo only — no paid social campaign'),
+    (6, 'Unattributed', NULL, 'None', 'Web traffic with explicit ''None'' campaign value'))
+    t(initiative_key, initiative_name, paid_social_campaign_pattern, web_analytics_campaign_value, notes))"""
+
+V["paid_x"] = """paid_x AS (
+  SELECT initiative_key, initiative_name, unnest(string_split(paid_social_campaign_pattern, ', ')) AS elem
+  FROM bridge WHERE paid_social_campaign_pattern IS NOT NULL)"""
+
+V["web_x"] = """web_x AS (
+  SELECT initiative_key, initiative_name, unnest(string_split(web_analytics_campaign_value, ', ')) AS elem
+  FROM bridge WHERE web_analytics_campaign_value IS NOT NULL)"""
+
 # dependencies between CTEs (a CTE must come after the ones it reads)
 DEPS = {
     "v_txn": ["geo"], "v_web": ["ev", "geo"], "v_web_parts": ["v_web"], "web_events": ["v_web_parts"],
     "web_daily": ["web_events"], "v_posts": ["ev"], "v_mentions": ["ev"], "organic_daily": ["v_posts"],
     "podcast_daily": ["v_mentions"], "paid_base": ["geo"], "paid_social": ["paid_base"],
     "ooh_daily": ["v_ooh_weekly", "airport_lookup"], "ecommerce_daily": ["v_txn"],
-    "date_dim": ["spine"],
+    "date_dim": ["spine"], "local_geo": ["paid_base", "v_web", "v_txn"], "geo_local": ["local_geo"],
+    "paid_x": ["bridge"], "web_x": ["bridge"],
 }
 
 
@@ -246,3 +282,104 @@ FROM v_txn"""
 
 def oracle_sql() -> dict[str, str]:
     return {k: with_views(v) for k, v in Q.items()}
+
+
+Q["web_events_dedup"] = "SELECT * FROM web_events"
+Q["web_daily"] = "SELECT * FROM web_daily"
+Q["paid_social_union"] = """SELECT date, channel, campaign_name, campaign_id, dma_name, state, CAST(spend AS DOUBLE) AS spend,
+  impressions, clicks, video_views, video_25pct, video_50pct, video_75pct, video_completes, optimization_goal,
+  age_target, audience_segment FROM paid_social"""
+
+Q["drift_report"] = """, files AS (
+  SELECT file, split_part(file, '_', 1) AS stream FROM (VALUES ('instagram_part1'), ('instagram_part2'), ('instagram_part3'),
+    ('pinterest_part1'), ('pinterest_part2'), ('pinterest_part3'), ('tiktok_part1'), ('tiktok_part2'), ('tiktok_part3')) t(file)),
+std AS (SELECT unnest(['date', 'channel', 'campaign_name', 'campaign_id', 'dma_name', 'state', 'optimization_goal', 'spend',
+  'impressions', 'clicks', 'video_views', 'video_25pct', 'video_50pct', 'video_75pct', 'video_completes', 'age_target',
+  'audience_segment']) AS column_name),
+file_cols AS (
+  SELECT f.file, f.stream, s.column_name FROM files f JOIN std s ON true
+  WHERE NOT ((f.file = 'instagram_part3' AND s.column_name = 'spend')
+          OR (f.file = 'pinterest_part1' AND s.column_name IN ('clicks', 'video_25pct', 'video_50pct'))
+          OR (f.file = 'tiktok_part2' AND s.column_name IN ('video_views', 'optimization_goal')))
+  UNION ALL SELECT 'instagram_part3', 'instagram', 'spend_usd'
+  UNION ALL SELECT 'instagram_part3', 'instagram', 'spend_currency'
+  UNION ALL SELECT 'pinterest_part1', 'pinterest', 'link_clicks'
+  UNION ALL SELECT 'tiktok_part2', 'tiktok', 'views'),
+file_rows AS (SELECT f.file, count(p._file) AS file_rows FROM files f LEFT JOIN paid_base p ON p._file = f.file GROUP BY f.file),
+grid AS (SELECT DISTINCT a.stream, a.column_name, f.file FROM file_cols a JOIN files f ON a.stream = f.stream)
+SELECT g.stream, g.column_name,
+  coalesce(string_agg(g.file, ',' ORDER BY g.file) FILTER (WHERE fc.file IS NOT NULL), '') AS present_in,
+  coalesce(string_agg(g.file, ',' ORDER BY g.file) FILTER (WHERE fc.file IS NULL), '') AS absent_from,
+  CASE WHEN count(*) FILTER (WHERE fc.file IS NULL) = 0 THEN 'common' ELSE 'differing' END AS status,
+  CAST(sum(CASE WHEN fc.file IS NOT NULL THEN fr.file_rows ELSE 0 END) AS BIGINT) AS rows_present
+FROM grid g LEFT JOIN file_cols fc ON fc.file = g.file AND fc.column_name = g.column_name
+JOIN file_rows fr ON fr.file = g.file
+GROUP BY g.stream, g.column_name"""
+
+Q["organic_daily"] = "SELECT * FROM organic_daily"
+Q["mentions_daily"] = "SELECT * FROM podcast_daily"
+Q["ooh_daily"] = "SELECT * FROM ooh_daily"
+Q["date_dim"] = "SELECT * FROM date_dim"
+
+Q["geography_dim"] = """, ap AS (
+  SELECT airport_code, arg_min(airport_name, week_start_date) AS airport_name, min(week_start_date) AS _first
+  FROM v_ooh_weekly GROUP BY airport_code),
+allg AS (
+  SELECT 1 AS _scope, dma_name, state, CAST(NULL AS VARCHAR) AS zip_code, CAST(NULL AS VARCHAR) AS airport_code,
+         CAST(NULL AS VARCHAR) AS airport_name, 'local' AS geo_scope, CAST(NULL AS DATE) AS _first,
+         dma_name AS _k1, state AS _k2 FROM local_geo
+  UNION ALL
+  SELECT 2, NULL, lk.state, NULL, ap.airport_code, ap.airport_name, 'national', ap._first, ap.airport_code, NULL
+  FROM ap LEFT JOIN airport_lookup lk ON ap.airport_code = lk.iata_code
+  UNION ALL
+  SELECT 3, NULL, CASE WHEN contains(podcast_name, 'GA') OR contains(podcast_name, 'ATL')
+                            OR contains(podcast_name, 'Peach State') THEN 'GA' END,
+         NULL, NULL, NULL, 'inferred', NULL, podcast_name, NULL
+  FROM (SELECT DISTINCT podcast_name FROM v_mentions WHERE podcast_name IS NOT NULL) s)
+SELECT CAST(row_number() OVER (ORDER BY _scope, _first NULLS FIRST, _k1 NULLS LAST, _k2 NULLS LAST) AS INTEGER) AS geo_key,
+  dma_name, state, zip_code, airport_code, airport_name, geo_scope
+FROM allg"""
+
+Q["show_dim"] = """SELECT CAST(row_number() OVER (ORDER BY podcast_name) AS INTEGER) AS podcast_key, podcast_name,
+  CASE WHEN hit THEN 'explicit' ELSE 'unknown' END AS geo_inferred, CASE WHEN hit THEN 'GA' END AS geo_state
+FROM (SELECT DISTINCT podcast_name,
+        (contains(podcast_name, 'GA') OR contains(podcast_name, 'ATL') OR contains(podcast_name, 'Peach State')) AS hit
+      FROM v_mentions WHERE podcast_name IS NOT NULL) s"""
+
+Q["channel_dim"] = """, counts AS (
+  SELECT lower(channel) AS channel_name, count(*) AS fact_rows FROM paid_social GROUP BY 1
+  UNION ALL SELECT 'organic_tiktok', count(*) FROM organic_daily
+  UNION ALL SELECT 'web', count(*) FROM web_events
+  UNION ALL SELECT 'podcast', count(*) FROM podcast_daily
+  UNION ALL SELECT 'ooh_airport', count(*) FROM ooh_daily)
+SELECT ch.channel_key, ch.channel_name, ch.channel_group, ch.is_paid, coalesce(c.fact_rows, 0) AS fact_rows
+FROM ch LEFT JOIN counts c ON ch.channel_name = c.channel_name"""
+
+Q["initiative_dim"] = """, ps AS (
+  SELECT x.initiative_key, CAST(sum(p.spend) AS DOUBLE) AS paid_spend
+  FROM paid_social p LEFT JOIN paid_x x ON p.campaign_name = x.elem GROUP BY 1),
+wv AS (
+  SELECT x.initiative_key, count(*) AS web_pageviews
+  FROM web_events w LEFT JOIN web_x x ON coalesce(w.campaign, 'None') = x.elem GROUP BY 1)
+SELECT b.initiative_key, b.initiative_name, b.paid_social_campaign_pattern, b.web_analytics_campaign_value, b.notes,
+  coalesce(ps.paid_spend, 0) AS paid_spend, coalesce(wv.web_pageviews, 0) AS web_pageviews
+FROM bridge b LEFT JOIN ps ON b.initiative_key = ps.initiative_key LEFT JOIN wv ON b.initiative_key = wv.initiative_key"""
+
+Q["initiative_bridge"] = """, pv AS (SELECT campaign_name AS campaign_value, count(*) AS n_rows FROM paid_social GROUP BY 1),
+wv AS (SELECT campaign AS campaign_value, count(*) AS n_rows FROM web_events GROUP BY 1)
+SELECT 'paid_social' AS stream, pv.campaign_value, x.initiative_key, x.initiative_name, pv.n_rows
+FROM pv LEFT JOIN paid_x x ON pv.campaign_value = x.elem
+UNION ALL
+SELECT 'web', wv.campaign_value, x.initiative_key, x.initiative_name, wv.n_rows
+FROM wv LEFT JOIN web_x x ON coalesce(wv.campaign_value, 'None') = x.elem"""
+
+Q["star_join"] = """SELECT p.date, p.campaign_id, ch.channel_key, g.geo_key, dd.season_flag, ch.channel_group,
+  CAST(p.spend AS DOUBLE) AS spend, p.clicks
+FROM paid_social p LEFT JOIN date_dim dd ON p.date = dd.date
+LEFT JOIN ch ON lower(p.channel) = ch.channel_name
+LEFT JOIN geo_local g ON p.dma_name = g.dma_name AND p.state = g.state"""
+
+Q["drill_across"] = """SELECT coalesce(a.date, b.date) AS date, coalesce(a.dma_name, b.dma_name) AS dma_name, a.paid_spend, b.revenue
+FROM (SELECT date, dma_name, CAST(sum(spend) AS DOUBLE) AS paid_spend FROM paid_social GROUP BY ALL) a
+FULL OUTER JOIN (SELECT date, dma_name, CAST(sum(line_revenue) AS DOUBLE) AS revenue FROM v_txn GROUP BY ALL) b
+ON a.date = b.date AND a.dma_name = b.dma_name"""
