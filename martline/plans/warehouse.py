@@ -64,3 +64,21 @@ def geography(spark: SparkSession, d: str) -> DataFrame:
     paid = views.paid_base(spark, d).select("dma_name", "state")
     return dims.geography_dim([paid, web, txn], views.v_ooh_weekly(spark, d),
                               airport_lookup(spark, d), views.v_mentions(spark, d))
+
+
+def ooh_totals(spark: SparkSession, d: str) -> DataFrame:
+    return facts.ooh_daily_totals(views.v_ooh_weekly(spark, d))
+
+
+def cross_channel(spark: SparkSession, d: str) -> DataFrame:
+    """N1 over the whole warehouse."""
+    from martline.plans import marts
+    return marts.cross_channel_daily(date_spine(spark, d), paid_social(spark, d), web_daily(spark, d),
+                                     ecommerce_daily(spark, d), organic_daily(spark, d),
+                                     podcast_daily(spark, d), ooh_totals(spark, d))
+
+
+def source_groups(spark: SparkSession) -> DataFrame:
+    from martline.plans import marts
+    rows = [(src, grp) for grp, srcs in marts.SOURCE_GROUPS for src in srcs]
+    return spark.createDataFrame(rows, "traffic_source string, channel_group string")

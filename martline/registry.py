@@ -161,3 +161,115 @@ def q_drill_across(spark, d):
     rev = wh.transactions_clean(spark, d).groupBy("date", "dma_name").agg(
         F.sum("line_revenue").cast("double").alias("revenue"))
     return drill_across(paid, rev, ["date", "dma_name"])
+
+
+# ------------------------------------------------------------------ marts
+from martline.plans import marts  # noqa: E402
+from martline.sources.views import PLATFORMS  # noqa: E402
+
+WEB_SOURCES = ("direct", "email", "google", "instagram", "partner")
+
+
+@query("cross_channel_daily")
+def q_cross_channel(spark, d):
+    return wh.cross_channel(spark, d)
+
+
+@query("residual_series")
+def q_residual_series(spark, d):
+    return marts.residual_series(wh.cross_channel(spark, d))
+
+
+@query("lag_corr_raw")
+def q_lag_raw(spark, d):
+    return marts.lag_correlations(wh.cross_channel(spark, d))
+
+
+@query("lag_corr_resid")
+def q_lag_resid(spark, d):
+    return marts.lag_correlations(wh.cross_channel(spark, d), residual=True)
+
+
+@query("lag_corr_calendar")
+def q_lag_calendar(spark, d):
+    """N3 in calendar mode (y taken k days later) on the raw series."""
+    return marts.lag_correlations(wh.cross_channel(spark, d), mode="calendar")
+
+
+@query("peak_lag")
+def q_peak_lag(spark, d):
+    from martline.operators.stats import peak_lag
+    daily = wh.cross_channel(spark, d)
+    raw = peak_lag(marts.lag_correlations(daily)).withColumn("series", F.lit("raw"))
+    res = peak_lag(marts.lag_correlations(daily, residual=True)).withColumn("series", F.lit("residual"))
+    return raw.unionByName(res)
+
+
+@query("seasonal_inflation")
+def q_seasonal_inflation(spark, d):
+    from martline.operators.stats import seasonal_inflation
+    daily = wh.cross_channel(spark, d)
+    return seasonal_inflation(marts.lag_correlations(daily), marts.lag_correlations(daily, residual=True))
+
+
+@query("semi_partial_corr")
+def q_semi_partial(spark, d):
+    return marts.partial_correlation(wh.cross_channel(spark, d))
+
+
+@query("partial_corr")
+def q_partial(spark, d):
+    return marts.partial_correlation(wh.cross_channel(spark, d), true_partial=True)
+
+
+@query("promo_impact")
+def q_promo(spark, d):
+    return marts.promo_impact(wh.transactions_clean(spark, d))
+
+
+@query("season_summary")
+def q_season_summary(spark, d):
+    return marts.season_summary(wh.cross_channel(spark, d))
+
+
+@query("kpi_table")
+def q_kpi(spark, d):
+    from martline.operators.stats import seasonal_inflation
+    daily = wh.cross_channel(spark, d)
+    infl = seasonal_inflation(marts.lag_correlations(daily), marts.lag_correlations(daily, residual=True))
+    return marts.kpi_table(daily, infl, marts.promo_impact(wh.transactions_clean(spark, d)))
+
+
+@query("revenue_smooth")
+def q_revenue_smooth(spark, d):
+    return marts.revenue_smooth(wh.cross_channel(spark, d))
+
+
+@query("season_bands")
+def q_season_bands(spark, d):
+    return marts.season_bands(wh.date_spine(spark, d))
+
+
+@query("spend_vs_revenue")
+def q_spend_vs_revenue(spark, d):
+    return marts.spend_vs_revenue(wh.cross_channel(spark, d))
+
+
+@query("platform_pivot")
+def q_platform_pivot(spark, d):
+    return marts.pivot_smooth(wh.paid_social(spark, d), "date", "channel", "spend", PLATFORMS, money=True)
+
+
+@query("source_pivot")
+def q_source_pivot(spark, d):
+    return marts.pivot_smooth(wh.web_daily(spark, d), "date", "traffic_source", "sessions", WEB_SOURCES)
+
+
+@query("channel_group_smooth")
+def q_channel_group(spark, d):
+    return marts.channel_group_smooth(wh.web_daily(spark, d), wh.source_groups(spark))
+
+
+@query("season_points")
+def q_season_points(spark, d):
+    return marts.season_points(wh.cross_channel(spark, d))

@@ -239,6 +239,92 @@ V["web_x"] = """web_x AS (
   SELECT initiative_key, initiative_name, unnest(string_split(web_analytics_campaign_value, ', ')) AS elem
   FROM bridge WHERE web_analytics_campaign_value IS NOT NULL)"""
 
+V["ooh_totals"] = """ooh_totals AS (
+  SELECT CAST(w.week_start_date + d.i AS DATE) AS date, CAST(w.spend AS DOUBLE) / 7.0 AS ooh_spend,
+         CAST(w.impressions AS DOUBLE) / 7.0 AS ooh_impressions
+  FROM (SELECT week_start_date, sum(spend) AS spend, sum(impressions) AS impressions FROM v_ooh_weekly GROUP BY 1) w
+  CROSS JOIN (SELECT CAST(unnest(range(7)) AS INTEGER) AS i) d)"""
+
+V["ccd"] = """ccd AS (
+  SELECT dd.date, dd.day_of_week, dd.season_flag, dd.is_weekend, dd.month, dd.quarter, dd.year,
+    coalesce(ps.paid_social_spend, 0) AS paid_social_spend, coalesce(ps.paid_social_impressions, 0) AS paid_social_impressions,
+    coalesce(ps.paid_social_clicks, 0) AS paid_social_clicks, coalesce(ps.paid_social_video_views, 0) AS paid_social_video_views,
+    coalesce(wa.web_pageviews, 0) AS web_pageviews, coalesce(wa.web_sessions, 0) AS web_sessions,
+    coalesce(wa.web_users, 0) AS web_users,
+    coalesce(ec.ecomm_revenue, 0) AS ecomm_revenue, coalesce(ec.ecomm_orders, 0) AS ecomm_orders,
+    coalesce(ec.ecomm_units, 0) AS ecomm_units, coalesce(ec.ecomm_discount, 0) AS ecomm_discount,
+    coalesce(org.followers_eod, 0) AS followers_eod, coalesce(org.organic_impressions, 0) AS organic_impressions,
+    coalesce(org.organic_likes, 0) AS organic_likes, coalesce(org.organic_shares, 0) AS organic_shares,
+    coalesce(org.organic_comments, 0) AS organic_comments,
+    coalesce(pod.podcast_mentions, 0) AS podcast_mentions, coalesce(pod.podcast_impressions, 0) AS podcast_impressions,
+    coalesce(oo.ooh_spend, 0) AS ooh_spend, coalesce(oo.ooh_impressions, 0) AS ooh_impressions
+  FROM date_dim dd
+  LEFT JOIN (SELECT date, CAST(sum(spend) AS DOUBLE) AS paid_social_spend, CAST(sum(impressions) AS BIGINT) AS paid_social_impressions,
+                    CAST(sum(clicks) AS BIGINT) AS paid_social_clicks, CAST(sum(video_views) AS BIGINT) AS paid_social_video_views
+             FROM paid_social GROUP BY date) ps ON dd.date = ps.date
+  LEFT JOIN (SELECT date, CAST(sum(pageviews) AS BIGINT) AS web_pageviews, CAST(sum(sessions) AS BIGINT) AS web_sessions,
+                    CAST(sum(users) AS BIGINT) AS web_users FROM web_daily GROUP BY date) wa ON dd.date = wa.date
+  LEFT JOIN (SELECT date, CAST(sum(CAST(gross_revenue AS DECIMAL(18,2))) AS DOUBLE) AS ecomm_revenue,
+                    CAST(sum(orders) AS BIGINT) AS ecomm_orders, CAST(sum(total_quantity) AS BIGINT) AS ecomm_units,
+                    CAST(sum(CAST(total_discount AS DECIMAL(18,2))) AS DOUBLE) AS ecomm_discount
+             FROM ecommerce_daily GROUP BY date) ec ON dd.date = ec.date
+  LEFT JOIN (SELECT date, max(followers_eod) AS followers_eod, CAST(sum(impressions) AS BIGINT) AS organic_impressions,
+                    CAST(sum(likes) AS BIGINT) AS organic_likes, CAST(sum(shares) AS BIGINT) AS organic_shares,
+                    CAST(sum(comments) AS BIGINT) AS organic_comments FROM organic_daily GROUP BY date) org ON dd.date = org.date
+  LEFT JOIN (SELECT date, CAST(sum(mentions) AS BIGINT) AS podcast_mentions,
+                    CAST(sum(estimated_impressions) AS BIGINT) AS podcast_impressions FROM podcast_daily GROUP BY date) pod
+            ON dd.date = pod.date
+  LEFT JOIN ooh_totals oo ON dd.date = oo.date)"""
+
+RESID_COLS = ["paid_social_spend", "web_sessions", "ecomm_revenue", "podcast_impressions", "organic_impressions"]
+PAIRS = [("paid_social_spend", "web_sessions"), ("paid_social_spend", "ecomm_revenue"), ("web_sessions", "ecomm_revenue"),
+         ("podcast_impressions", "web_sessions"), ("organic_impressions", "web_sessions")]
+
+
+def _resid_expr(c):
+    w = "OVER (ORDER BY date ROWS BETWEEN 7 PRECEDING AND 6 FOLLOWING)"
+    return f"{c} - CASE WHEN count({c}) {w} >= 14 THEN avg({c}) {w} END"
+
+
+V["rs"] = "rs AS (\n  SELECT date, " + ", ".join(RESID_COLS) + ", " + ", ".join(
+    f"{_resid_expr(c)} AS {c}__resid" for c in RESID_COLS) + " FROM ccd)"
+
+
+def lag_sql(src, suffix, mode="positional"):
+    parts = "\n  UNION ALL ".join(
+        f"SELECT '{x} -> {y}' AS signal_pair, date, CAST({x}{suffix} AS DOUBLE) AS x, CAST({y}{suffix} AS DOUBLE) AS y FROM {src}"
+        for x, y in PAIRS)
+    pos = ("row_number() OVER (PARTITION BY signal_pair ORDER BY date)" if mode == "positional"
+           else "date_diff('day', DATE '1970-01-01', date)")
+    return f"""SELECT a.signal_pair, CAST(l.lag_days AS INTEGER) AS lag_days,
+  round(covar_pop(a.x, b.y) / nullif(stddev_pop(a.x) * stddev_pop(b.y), 0), 6) AS pearson_r
+FROM (SELECT *, {pos} AS pos FROM ({parts}) t WHERE x IS NOT NULL AND y IS NOT NULL) a
+CROSS JOIN (SELECT unnest(range(15)) AS lag_days) l
+JOIN (SELECT *, {pos} AS pos FROM ({parts}) t WHERE x IS NOT NULL AND y IS NOT NULL) b
+  ON a.signal_pair = b.signal_pair AND b.pos = a.pos + l.lag_days
+GROUP BY a.signal_pair, l.lag_days"""
+
+
+V["lag_raw"] = "lag_raw AS (" + lag_sql("ccd", "") + ")"
+V["lag_resid"] = "lag_resid AS (" + lag_sql("rs", "__resid") + ")"
+
+V["inflation"] = """inflation AS (
+  SELECT r.signal_pair, r.pearson_r AS raw_r, s.pearson_r AS residual_r,
+         round(CASE WHEN r.pearson_r <> 0 THEN (r.pearson_r - s.pearson_r) / r.pearson_r END, 6) AS percent_reduction
+  FROM (SELECT * FROM lag_raw WHERE lag_days = 0) r JOIN (SELECT * FROM lag_resid WHERE lag_days = 0) s
+    ON r.signal_pair = s.signal_pair)"""
+
+V["promo"] = """promo AS (
+  SELECT promo_flag, count(*) AS line_items, count(DISTINCT order_id) AS distinct_orders,
+    CAST(sum(quantity) AS BIGINT) AS total_quantity,
+    round(CAST(sum(line_revenue) AS DOUBLE), 2) AS total_revenue,
+    round(coalesce(CAST(sum(line_revenue) AS DOUBLE) / nullif(count(DISTINCT order_id), 0), 0.0), 2) AS avg_order_value,
+    round(CAST(sum(unit_price) AS DOUBLE) / count(unit_price), 2) AS avg_unit_price,
+    round(CAST(sum(discount_per_unit) AS DOUBLE) / count(discount_per_unit), 2) AS avg_discount_per_unit,
+    count(*) FILTER (WHERE line_revenue < 0) AS negative_revenue_rows,
+    round(CAST(coalesce(sum(line_revenue) FILTER (WHERE line_revenue < 0), 0) AS DOUBLE), 2) AS negative_revenue_amount
+  FROM v_txn GROUP BY promo_flag)"""
+
 # dependencies between CTEs (a CTE must come after the ones it reads)
 DEPS = {
     "v_txn": ["geo"], "v_web": ["ev", "geo"], "v_web_parts": ["v_web"], "web_events": ["v_web_parts"],
@@ -247,6 +333,9 @@ DEPS = {
     "ooh_daily": ["v_ooh_weekly", "airport_lookup"], "ecommerce_daily": ["v_txn"],
     "date_dim": ["spine"], "local_geo": ["paid_base", "v_web", "v_txn"], "geo_local": ["local_geo"],
     "paid_x": ["bridge"], "web_x": ["bridge"],
+    "ooh_totals": ["v_ooh_weekly"],
+    "ccd": ["date_dim", "paid_social", "web_daily", "ecommerce_daily", "organic_daily", "podcast_daily", "ooh_totals"],
+    "rs": ["ccd"], "lag_raw": ["ccd"], "lag_resid": ["rs"], "inflation": ["lag_raw", "lag_resid"], "promo": ["v_txn"],
 }
 
 
@@ -383,3 +472,112 @@ Q["drill_across"] = """SELECT coalesce(a.date, b.date) AS date, coalesce(a.dma_n
 FROM (SELECT date, dma_name, CAST(sum(spend) AS DOUBLE) AS paid_spend FROM paid_social GROUP BY ALL) a
 FULL OUTER JOIN (SELECT date, dma_name, CAST(sum(line_revenue) AS DOUBLE) AS revenue FROM v_txn GROUP BY ALL) b
 ON a.date = b.date AND a.dma_name = b.dma_name"""
+
+
+Q["cross_channel_daily"] = "SELECT * FROM ccd"
+Q["residual_series"] = "SELECT date, " + ", ".join(RESID_COLS) + ", " + ", ".join(
+    f"round({c}__resid, 6) AS {c}__resid" for c in RESID_COLS) + " FROM rs"
+Q["lag_corr_raw"] = "SELECT * FROM lag_raw"
+Q["lag_corr_resid"] = "SELECT * FROM lag_resid"
+Q["lag_corr_calendar"] = lag_sql("ccd", "", "calendar")
+
+_PEAK = """SELECT signal_pair, peak_lag, peak_r, lag0_r, '{series}' AS series FROM (
+  SELECT signal_pair, lag_days AS peak_lag, pearson_r AS peak_r,
+         max(CASE WHEN lag_days = 0 THEN pearson_r END) OVER (PARTITION BY signal_pair) AS lag0_r,
+         row_number() OVER (PARTITION BY signal_pair ORDER BY abs(pearson_r) DESC, lag_days) AS rn
+  FROM {src} WHERE pearson_r IS NOT NULL) t WHERE rn = 1"""
+Q["peak_lag"] = _PEAK.format(series="raw", src="lag_raw") + "\nUNION ALL\n" + _PEAK.format(series="residual", src="lag_resid")
+Q["seasonal_inflation"] = "SELECT * FROM inflation"
+
+_LABEL = """'relationship is ' || CASE WHEN partial_corr >= 0 THEN 'positive' ELSE 'negative' END || ' and ' ||
+  CASE WHEN abs(simple_corr) - abs(partial_corr) > 0.15 THEN 'meaningfully weaker'
+       WHEN abs(simple_corr) - abs(partial_corr) > 0.05 THEN 'modestly weaker' ELSE 'similar' END ||
+  ' after conditioning' || CASE WHEN sign(simple_corr) * sign(partial_corr) < 0 THEN ' (sign flipped)' ELSE '' END"""
+
+Q["semi_partial_corr"] = """, sub AS (
+  SELECT paid_social_spend__resid AS s, ecomm_revenue__resid AS y, web_sessions__resid AS x FROM rs
+  WHERE paid_social_spend__resid IS NOT NULL AND ecomm_revenue__resid IS NOT NULL AND web_sessions__resid IS NOT NULL),
+fit AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM sub),
+e AS (SELECT s, y, y - (fit.b * x + fit.a) AS err FROM sub CROSS JOIN fit),
+r AS (SELECT round(covar_pop(s, y) / nullif(stddev_pop(s) * stddev_pop(y), 0), 6) AS simple_corr,
+             round(covar_pop(s, err) / nullif(stddev_pop(s) * stddev_pop(err), 0), 6) AS partial_corr FROM e)
+SELECT simple_corr, partial_corr, """ + _LABEL + """ AS interpretation FROM r"""
+
+Q["partial_corr"] = """, sub AS (
+  SELECT paid_social_spend__resid AS s, ecomm_revenue__resid AS y, web_sessions__resid AS x FROM rs
+  WHERE paid_social_spend__resid IS NOT NULL AND ecomm_revenue__resid IS NOT NULL AND web_sessions__resid IS NOT NULL),
+c AS (SELECT covar_pop(s, y) / nullif(stddev_pop(s) * stddev_pop(y), 0) AS r_sy,
+             covar_pop(s, x) / nullif(stddev_pop(s) * stddev_pop(x), 0) AS r_sx,
+             covar_pop(x, y) / nullif(stddev_pop(x) * stddev_pop(y), 0) AS r_xy FROM sub),
+r AS (SELECT round(r_sy, 6) AS simple_corr,
+             round((r_sy - r_sx * r_xy) / nullif(sqrt((1 - r_sx * r_sx) * (1 - r_xy * r_xy)), 0), 6) AS partial_corr FROM c)
+SELECT simple_corr, partial_corr, """ + _LABEL + """ AS interpretation FROM r"""
+
+Q["promo_impact"] = "SELECT * FROM promo"
+
+Q["season_summary"] = """SELECT season_flag, count(*) AS days,
+  round(CAST(sum(CAST(ecomm_revenue AS DECIMAL(18,2))) AS DOUBLE) / count(ecomm_revenue), 4) AS avg_daily_revenue,
+  round(CAST(sum(CAST(paid_social_spend AS DECIMAL(18,2))) AS DOUBLE) / count(paid_social_spend), 4) AS avg_daily_paid_spend,
+  round(avg(web_sessions), 4) AS avg_daily_sessions, round(avg(ecomm_orders), 4) AS avg_daily_orders,
+  round(coalesce((CAST(sum(CAST(ecomm_revenue AS DECIMAL(18,2))) AS DOUBLE) / count(ecomm_revenue))
+     / nullif(CAST(sum(CAST(paid_social_spend AS DECIMAL(18,2))) AS DOUBLE) / count(paid_social_spend), 0), 0.0), 4)
+     AS revenue_per_spend_dollar
+FROM ccd GROUP BY season_flag"""
+
+_W7 = "OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
+Q["revenue_smooth"] = f"SELECT date, ecomm_revenue, round(avg(ecomm_revenue) {_W7}, 4) AS revenue_7d FROM ccd"
+
+Q["season_bands"] = """, rng AS (SELECT min(date) AS s, max(date) AS e FROM date_dim),
+yrs AS (SELECT e, unnest(range(year(s), year(e) + 1)) AS year FROM rng),
+b AS (SELECT * FROM (VALUES ('back_to_school', 7, 15, 9, 15), ('black_friday_holiday', 11, 15, 12, 10)) t(season_flag, sm, sd, em, ed))
+SELECT b.season_flag, CAST(y.year AS INTEGER) AS year, make_date(y.year, b.sm, b.sd) AS band_start,
+  least(make_date(y.year, b.em, b.ed), y.e) AS band_end
+FROM yrs y CROSS JOIN b WHERE make_date(y.year, b.sm, b.sd) <= y.e"""
+
+Q["spend_vs_revenue"] = f"""SELECT date, round(paid_social_spend + ooh_spend, 4) AS total_spend,
+  round(avg(paid_social_spend + ooh_spend) {_W7}, 4) AS spend_7d, round(avg(ecomm_revenue) {_W7}, 4) AS revenue_7d FROM ccd"""
+
+Q["platform_pivot"] = f""", p AS (
+  SELECT date,
+    coalesce(CAST(sum(CAST(spend AS DECIMAL(18,2))) FILTER (WHERE channel = 'Instagram') AS DOUBLE), 0) AS instagram,
+    coalesce(CAST(sum(CAST(spend AS DECIMAL(18,2))) FILTER (WHERE channel = 'Pinterest') AS DOUBLE), 0) AS pinterest,
+    coalesce(CAST(sum(CAST(spend AS DECIMAL(18,2))) FILTER (WHERE channel = 'TikTok') AS DOUBLE), 0) AS tiktok
+  FROM paid_social GROUP BY date)
+SELECT date, instagram, pinterest, tiktok, round(avg(instagram) {_W7}, 4) AS instagram_7d,
+  round(avg(pinterest) {_W7}, 4) AS pinterest_7d, round(avg(tiktok) {_W7}, 4) AS tiktok_7d FROM p"""
+
+_SRC = ["direct", "email", "google", "instagram", "partner"]
+Q["source_pivot"] = ", p AS (SELECT date, " + ", ".join(
+    f"coalesce(CAST(sum(sessions) FILTER (WHERE traffic_source = '{v}') AS BIGINT), 0) AS {v}" for v in _SRC) + \
+    " FROM web_daily GROUP BY date)\nSELECT date, " + ", ".join(_SRC) + ", " + ", ".join(
+    f"round(avg({v}) {_W7}, 4) AS {v}_7d" for v in _SRC) + " FROM p"
+
+Q["channel_group_smooth"] = """, m AS (SELECT * FROM (VALUES ('instagram', 'Paid Social'), ('tiktok', 'Paid Social'),
+    ('facebook', 'Paid Social'), ('pinterest', 'Paid Social'), ('google', 'Search'), ('bing', 'Search'), ('yahoo', 'Search'),
+    ('direct', 'Non-Paid (Direct + Email)'), ('email', 'Non-Paid (Direct + Email)')) t(traffic_source, channel_group)),
+g AS (SELECT m.channel_group, w.date, CAST(sum(w.sessions) AS BIGINT) AS sessions
+      FROM web_daily w JOIN m ON w.traffic_source = m.traffic_source GROUP BY 1, 2)
+SELECT channel_group, date, sessions,
+  round(avg(sessions) OVER (PARTITION BY channel_group ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 4) AS sessions_7d
+FROM g"""
+
+Q["season_points"] = "SELECT date, season_flag, paid_social_spend, web_sessions FROM ccd"
+
+Q["kpi_table"] = """, t AS (
+  SELECT CAST(sum(CAST(paid_social_spend AS DECIMAL(18,2))) AS DOUBLE) AS paid, sum(ooh_spend) AS ooh,
+         CAST(sum(CAST(ecomm_revenue AS DECIMAL(18,2))) AS DOUBLE) AS rev, sum(ecomm_orders) AS orders,
+         sum(web_pageviews) AS pv, sum(podcast_mentions) AS pm FROM ccd),
+k AS (
+  SELECT 'totals' AS section, 'paid_social_spend' AS metric, paid AS value FROM t
+  UNION ALL SELECT 'totals', 'ooh_spend', ooh FROM t
+  UNION ALL SELECT 'totals', 'total_spend', paid + ooh FROM t
+  UNION ALL SELECT 'totals', 'ecomm_revenue', rev FROM t
+  UNION ALL SELECT 'totals', 'ecomm_orders', CAST(orders AS DOUBLE) FROM t
+  UNION ALL SELECT 'totals', 'web_pageviews', CAST(pv AS DOUBLE) FROM t
+  UNION ALL SELECT 'totals', 'podcast_mentions', CAST(pm AS DOUBLE) FROM t
+  UNION ALL SELECT 'totals', 'spend_to_revenue_ratio', (paid + ooh) / nullif(rev, 0) FROM t
+  UNION ALL SELECT 'correlation', signal_pair || ' reduction_pct',
+     CASE WHEN raw_r <> 0 THEN (1 - abs(residual_r) / abs(raw_r)) * 100 ELSE 0.0 END FROM inflation
+  UNION ALL SELECT 'promo', 'promo_revenue_share_pct',
+     total_revenue / nullif((SELECT sum(total_revenue) FROM promo), 0) * 100 FROM promo WHERE promo_flag = 1)
+SELECT section, metric, round(CAST(value AS DOUBLE), 2) AS value FROM k"""
