@@ -82,3 +82,32 @@ def source_groups(spark: SparkSession) -> DataFrame:
     from martline.plans import marts
     rows = [(src, grp) for grp, srcs in marts.SOURCE_GROUPS for src in srcs]
     return spark.createDataFrame(rows, "traffic_source string, channel_group string")
+
+
+# ------------------------------------------------------------------ quality suite inputs
+FACT_NAMES = {
+    "fact_paid_social_daily": paid_social, "fact_web_analytics_events": web_events,
+    "fact_web_analytics_daily": web_daily, "fact_ecommerce_transactions": ecommerce_transactions,
+    "fact_ecommerce_daily": ecommerce_daily, "fact_organic_social_daily": organic_daily,
+    "fact_podcast_daily": podcast_daily, "fact_ooh_daily": ooh_daily,
+}
+
+GRAINS = {
+    "fact_paid_social_daily": ("date", "channel", "campaign_id", "dma_name"),
+    "fact_web_analytics_daily": facts.WEB_DAILY_KEYS,
+    "fact_ecommerce_daily": facts.ECOM_KEYS,
+    "fact_organic_social_daily": ("date",),
+    "fact_podcast_daily": ("date", "podcast_name", "episode_title"),
+    "fact_ooh_daily": ("date", "airport_code", "format", "audience_segment"),
+    "dim_date": ("date",),
+    "dim_geography": ("geo_key",),
+}
+
+
+def table_by_name(spark: SparkSession, d: str, name: str) -> DataFrame:
+    if name in FACT_NAMES:
+        return FACT_NAMES[name](spark, d)
+    return {"dim_date": date_spine, "dim_geography": geography,
+            "dim_podcast": lambda s, x: dims.show_dim(views.v_mentions(s, x)),
+            "dim_channel": lambda s, x: dims.channel_dim(s),
+            "dim_campaign_initiative": lambda s, x: dims.initiative_dim(s)}[name](spark, d)

@@ -273,3 +273,115 @@ def q_channel_group(spark, d):
 @query("season_points")
 def q_season_points(spark, d):
     return marts.season_points(wh.cross_channel(spark, d))
+
+
+# ------------------------------------------------------------------ data quality
+from martline.operators.drift import first_present  # noqa: E402
+from martline.plans import quality as dq  # noqa: E402
+
+DQ_TABLES = ("fact_paid_social_daily", "fact_web_analytics_events", "fact_web_analytics_daily",
+             "fact_ecommerce_transactions", "fact_ecommerce_daily", "fact_organic_social_daily",
+             "fact_podcast_daily", "fact_ooh_daily", "dim_date", "dim_geography", "dim_podcast",
+             "dim_channel", "dim_campaign_initiative")
+DAILY_FACTS = ("fact_paid_social_daily", "fact_web_analytics_daily", "fact_ecommerce_daily",
+               "fact_organic_social_daily", "fact_podcast_daily", "fact_ooh_daily")
+
+
+@query("dq_exists")
+def q_dq_exists(spark, d):
+    return dq.check_exists({n: wh.table_by_name(spark, d, n) for n in DQ_TABLES})
+
+
+@query("dq_grain")
+def q_dq_grain(spark, d):
+    return dq.check_grain({n: (wh.table_by_name(spark, d, n), k) for n, k in wh.GRAINS.items()})
+
+
+@query("dq_date_range")
+def q_dq_date_range(spark, d):
+    bounds = wh.date_spine(spark, d).agg(F.min("date").alias("start"), F.max("date").alias("end"))
+    tables = {n: (wh.table_by_name(spark, d, n), "date") for n in wh.FACT_NAMES}
+    return dq.check_date_range(tables, bounds)
+
+
+@query("dq_empty_cols")
+def q_dq_empty_cols(spark, d):
+    tables = {n: (wh.table_by_name(spark, d, n), ()) for n in wh.FACT_NAMES}
+    tables["dim_geography"] = (wh.geography(spark, d), ("zip_code",))
+    return dq.check_empty_columns(tables)
+
+
+def _paid_raw(spark, d):
+    parts = views.paid_parts(spark, d)
+    out = None
+    for name in sorted(parts):
+        p = parts[name].select(first_present(parts[name], ["spend_usd", "spend"], "spend"))
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@query("dq_reconcile")
+def q_dq_reconcile(spark, d):
+    clean = wh.transactions_clean(spark, d)
+    return dq.check_totals({
+        "fact_paid_social_daily": (_paid_raw(spark, d), "spend", wh.paid_social(spark, d), "spend"),
+        "fact_ooh_daily": (views.v_ooh_weekly(spark, d), "spend", wh.ooh_daily(spark, d), "spend"),
+        "fact_ecommerce_daily": (clean, "line_revenue", wh.ecommerce_daily(spark, d), "gross_revenue"),
+    })
+
+
+@query("dq_expected")
+def q_dq_expected(spark, d):
+    weekly = views.v_ooh_weekly(spark, d).agg((F.count(F.lit(1)) * 7).alias("n"))
+    li = views.table(spark, d, "lineitem").agg(F.count(F.lit(1)).alias("n"))
+    ev = views.table(spark, d, "events").agg(F.count(F.lit(1)).alias("n"))
+    grain = views.paid_base(spark, d).select("date", "channel", "campaign_id", "dma_name").distinct() \
+        .agg(F.count(F.lit(1)).alias("n"))
+    return dq.check_expected_rows({
+        "fact_ooh_daily": (wh.ooh_daily(spark, d), weekly),
+        "fact_ecommerce_transactions": (wh.ecommerce_transactions(spark, d), li),
+        "fact_web_analytics_events": (wh.web_events(spark, d), ev),
+        "fact_paid_social_daily": (wh.paid_social(spark, d), grain),
+    })
+
+
+@query("dq_alignment")
+def q_dq_alignment(spark, d):
+    txn = wh.transactions_clean(spark, d)
+    ecom = dq.check_alignment("fact_ecommerce_daily", txn, wh.ecommerce_daily(spark, d), "date", [
+        ("revenue", F.sum("line_revenue"), F.sum("gross_revenue")),
+        ("quantity", F.sum("quantity"), F.sum("total_quantity")),
+        ("line_items", F.count(F.lit(1)), F.sum("line_items"))])
+    web = dq.check_alignment("fact_web_analytics_daily", wh.web_events(spark, d), wh.web_daily(spark, d), "date", [
+        ("pageviews", F.count(F.lit(1)), F.sum("pageviews"))])
+    return ecom.unionByName(web)
+
+
+@query("dq_overlap")
+def q_dq_overlap(spark, d):
+    raw = views.v_web_parts(spark, d)
+    start, end = wh.WEB_OVERLAP
+    dropped = (F.col("_source") == wh.WEB_DROP_SOURCE) & F.to_date("event_datetime").between(
+        F.lit(start).cast("date"), F.lit(end).cast("date"))
+    return dq.check_overlap("fact_web_analytics_events", raw, wh.web_events(spark, d), dropped)
+
+
+@query("dq_month_counts")
+def q_dq_month_counts(spark, d):
+    return dq.month_counts({n: (wh.table_by_name(spark, d, n), "date") for n in DAILY_FACTS})
+
+
+@query("dq_formula")
+def q_dq_formula(spark, d):
+    return dq.check_formula("fact_ecommerce_transactions", wh.transactions_clean(spark, d))
+
+
+@query("dq_summary")
+def q_dq_summary(spark, d):
+    parts = [q_dq_exists, q_dq_grain, q_dq_date_range, q_dq_empty_cols, q_dq_reconcile, q_dq_expected,
+             q_dq_alignment, q_dq_overlap, q_dq_formula]
+    allr = None
+    for fn in parts:
+        r = fn(spark, d)
+        allr = r if allr is None else allr.unionByName(r)
+    return dq.suite_summary(allr)

@@ -335,6 +335,7 @@ DEPS = {
     "paid_x": ["bridge"], "web_x": ["bridge"],
     "ooh_totals": ["v_ooh_weekly"],
     "ccd": ["date_dim", "paid_social", "web_daily", "ecommerce_daily", "organic_daily", "podcast_daily", "ooh_totals"],
+    "geography": ["local_geo", "v_ooh_weekly", "airport_lookup", "v_mentions"], "shows": ["v_mentions"],
     "rs": ["ccd"], "lag_raw": ["ccd"], "lag_resid": ["rs"], "inflation": ["lag_raw", "lag_resid"], "promo": ["v_txn"],
 }
 
@@ -410,7 +411,7 @@ Q["mentions_daily"] = "SELECT * FROM podcast_daily"
 Q["ooh_daily"] = "SELECT * FROM ooh_daily"
 Q["date_dim"] = "SELECT * FROM date_dim"
 
-Q["geography_dim"] = """, ap AS (
+V["geography"] = """geography AS (WITH ap AS (
   SELECT airport_code, arg_min(airport_name, week_start_date) AS airport_name, min(week_start_date) AS _first
   FROM v_ooh_weekly GROUP BY airport_code),
 allg AS (
@@ -427,13 +428,15 @@ allg AS (
   FROM (SELECT DISTINCT podcast_name FROM v_mentions WHERE podcast_name IS NOT NULL) s)
 SELECT CAST(row_number() OVER (ORDER BY _scope, _first NULLS FIRST, _k1 NULLS LAST, _k2 NULLS LAST) AS INTEGER) AS geo_key,
   dma_name, state, zip_code, airport_code, airport_name, geo_scope
-FROM allg"""
+FROM allg)"""
+Q["geography_dim"] = "SELECT * FROM geography"
 
-Q["show_dim"] = """SELECT CAST(row_number() OVER (ORDER BY podcast_name) AS INTEGER) AS podcast_key, podcast_name,
+V["shows"] = """shows AS (SELECT CAST(row_number() OVER (ORDER BY podcast_name) AS INTEGER) AS podcast_key, podcast_name,
   CASE WHEN hit THEN 'explicit' ELSE 'unknown' END AS geo_inferred, CASE WHEN hit THEN 'GA' END AS geo_state
 FROM (SELECT DISTINCT podcast_name,
         (contains(podcast_name, 'GA') OR contains(podcast_name, 'ATL') OR contains(podcast_name, 'Peach State')) AS hit
-      FROM v_mentions WHERE podcast_name IS NOT NULL) s"""
+      FROM v_mentions WHERE podcast_name IS NOT NULL) s)"""
+Q["show_dim"] = "SELECT * FROM shows"
 
 Q["channel_dim"] = """, counts AS (
   SELECT lower(channel) AS channel_name, count(*) AS fact_rows FROM paid_social GROUP BY 1
@@ -581,3 +584,144 @@ k AS (
   UNION ALL SELECT 'promo', 'promo_revenue_share_pct',
      total_revenue / nullif((SELECT sum(total_revenue) FROM promo), 0) * 100 FROM promo WHERE promo_flag = 1)
 SELECT section, metric, round(CAST(value AS DOUBLE), 2) AS value FROM k"""
+
+
+# ------------------------------------------------------------------ data quality
+DQ_CTE = {
+    "fact_paid_social_daily": "paid_social", "fact_web_analytics_events": "web_events",
+    "fact_web_analytics_daily": "web_daily", "fact_ecommerce_transactions": "v_txn",
+    "fact_ecommerce_daily": "ecommerce_daily", "fact_organic_social_daily": "organic_daily",
+    "fact_podcast_daily": "podcast_daily", "fact_ooh_daily": "ooh_daily", "dim_date": "date_dim",
+    "dim_geography": "geography", "dim_podcast": "shows", "dim_channel": "ch", "dim_campaign_initiative": "bridge",
+}
+FACTS = ["fact_paid_social_daily", "fact_web_analytics_events", "fact_web_analytics_daily",
+         "fact_ecommerce_transactions", "fact_ecommerce_daily", "fact_organic_social_daily",
+         "fact_podcast_daily", "fact_ooh_daily"]
+COLS = {
+    "fact_paid_social_daily": "date channel campaign_name campaign_id dma_name state spend impressions clicks video_views "
+                              "video_25pct video_50pct video_75pct video_completes optimization_goal age_target audience_segment",
+    "fact_web_analytics_events": "date event_datetime user_id session_id page_url traffic_source traffic_medium campaign "
+                                 "device_category dma_name state zip_code",
+    "fact_web_analytics_daily": "date traffic_source traffic_medium campaign device_category dma_name state pageviews sessions users",
+    "fact_ecommerce_transactions": "date order_id user_id dma_name state zip_code product_category size quantity unit_price "
+                                   "unit_cost discount_per_unit line_revenue promo_flag",
+    "fact_ecommerce_daily": "date dma_name state product_category size promo_flag orders line_items total_quantity "
+                            "gross_revenue total_discount total_cost avg_unit_price",
+    "fact_organic_social_daily": "date posts followers_eod impressions video_views video_completes likes comments shares clicks saves",
+    "fact_podcast_daily": "date podcast_name episode_title host_name mentions_brand mentions_founder sentiment "
+                          "estimated_impressions episode_rating mentions",
+    "fact_ooh_daily": "date airport_code airport_name state format audience_segment spend impressions placements",
+    "dim_geography": "geo_key dma_name state airport_code airport_name geo_scope",
+}
+GRAINS = {
+    "fact_paid_social_daily": "date, channel, campaign_id, dma_name",
+    "fact_web_analytics_daily": "date, traffic_source, traffic_medium, campaign, device_category, dma_name, state",
+    "fact_ecommerce_daily": "date, dma_name, state, product_category, size, promo_flag",
+    "fact_organic_social_daily": "date", "fact_podcast_daily": "date, podcast_name, episode_title",
+    "fact_ooh_daily": "date, airport_code, format, audience_segment", "dim_date": "date", "dim_geography": "geo_key",
+}
+
+
+def _st(ok):
+    return f"CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL' END"
+
+
+def _u(parts):
+    return "\nUNION ALL\n".join(parts)
+
+
+DQ = {}
+DQ["exists"] = _u(
+    f"""SELECT 'exists' AS "check", '{n}' AS table_name, {_st('n > 0')} AS status,
+  CASE WHEN n > 0 THEN 'non-empty' ELSE 'empty' END AS detail FROM (SELECT count(*) AS n FROM (SELECT 1 FROM {DQ_CTE[n]} LIMIT 1) t) x"""
+    for n in sorted(["fact_paid_social_daily", "fact_web_analytics_events", "fact_web_analytics_daily",
+                     "fact_ecommerce_transactions", "fact_ecommerce_daily", "fact_organic_social_daily",
+                     "fact_podcast_daily", "fact_ooh_daily", "dim_date", "dim_geography", "dim_podcast",
+                     "dim_channel", "dim_campaign_initiative"]))
+DQ["grain"] = _u(
+    f"""SELECT 'grain' AS "check", '{n}' AS table_name, {_st('dups = 0')} AS status, CAST(dups AS VARCHAR) AS detail
+FROM (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS dups FROM (SELECT count(*) AS n FROM {DQ_CTE[n]} GROUP BY {k} HAVING count(*) > 1) t) x"""
+    for n, k in sorted(GRAINS.items()))
+DQ["date_range"] = _u(
+    f"""SELECT 'date_range' AS "check", '{n}' AS table_name, {_st('coalesce(mn >= b.s AND mx <= b.e, false)')} AS status,
+  concat_ws('..', CAST(mn AS VARCHAR), CAST(mx AS VARCHAR)) AS detail
+FROM (SELECT min(CAST(date AS DATE)) AS mn, max(CAST(date AS DATE)) AS mx FROM {DQ_CTE[n]}) a
+CROSS JOIN (SELECT min(date) AS s, max(date) AS e FROM date_dim) b"""
+    for n in FACTS)
+
+
+def _empty(n):
+    cols = sorted(COLS[n].split())
+    lst = ", ".join(f"CASE WHEN count({c}) = 0 THEN '{c}' END" for c in cols)
+    return f"""SELECT 'empty_columns' AS "check", '{n}' AS table_name, {_st("e = ''")} AS status, e AS detail
+FROM (SELECT concat_ws(',', {lst}) AS e FROM {DQ_CTE[n]}) x"""
+
+
+DQ["empty_cols"] = _u(_empty(n) for n in FACTS + ["dim_geography"])
+
+
+def _recon(n, a, b):
+    return f"""SELECT 'reconcile' AS "check", '{n}' AS table_name, {_st('abs(a - b) < 0.01')} AS status,
+  CAST(CAST(round(abs(a - b), 2) AS DECIMAL(18,2)) AS VARCHAR) AS detail FROM (SELECT ({a}) AS a, ({b}) AS b) x"""
+
+
+DQ["reconcile"] = _u([
+    _recon("fact_ecommerce_daily", "SELECT sum(CAST(line_revenue AS DOUBLE)) FROM v_txn",
+           "SELECT sum(gross_revenue) FROM ecommerce_daily"),
+    _recon("fact_ooh_daily", "SELECT sum(CAST(spend AS DOUBLE)) FROM v_ooh_weekly", "SELECT sum(spend) FROM ooh_daily"),
+    _recon("fact_paid_social_daily", "SELECT sum(CAST(spend AS DOUBLE)) FROM paid_base",
+           "SELECT sum(CAST(spend AS DOUBLE)) FROM paid_social")])
+
+
+def _exp(n, o, x):
+    return f"""SELECT 'expected_rows' AS "check", '{n}' AS table_name, {_st('o = x')} AS status,
+  CAST(o AS VARCHAR) || '/' || CAST(x AS VARCHAR) AS detail FROM (SELECT ({o}) AS o, ({x}) AS x) t"""
+
+
+DQ["expected"] = _u([
+    _exp("fact_ecommerce_transactions", "SELECT count(*) FROM v_txn", "SELECT count(*) FROM lineitem"),
+    _exp("fact_ooh_daily", "SELECT count(*) FROM ooh_daily", "SELECT count(*) * 7 FROM v_ooh_weekly"),
+    _exp("fact_paid_social_daily", "SELECT count(*) FROM paid_social",
+         "SELECT count(*) FROM (SELECT DISTINCT date, channel, campaign_id, dma_name FROM paid_base) t"),
+    _exp("fact_web_analytics_events", "SELECT count(*) FROM web_events", "SELECT count(*) FROM events")])
+
+
+def _align(n, metric, src, s_expr, rollup, r_expr):
+    return f"""SELECT 'alignment_{metric}' AS "check", '{n}' AS table_name, {_st('bad = 0')} AS status, CAST(bad AS VARCHAR) AS detail
+FROM (SELECT count(*) FILTER (WHERE s IS NULL OR r IS NULL OR abs(s - r) > 0.01) AS bad
+      FROM (SELECT date, CAST({s_expr} AS DOUBLE) AS s FROM {src} GROUP BY date) a
+      FULL OUTER JOIN (SELECT date, CAST({r_expr} AS DOUBLE) AS r FROM {rollup} GROUP BY date) b ON a.date = b.date) x"""
+
+
+DQ["alignment"] = _u([
+    _align("fact_ecommerce_daily", "revenue", "v_txn", "sum(line_revenue)", "ecommerce_daily", "sum(gross_revenue)"),
+    _align("fact_ecommerce_daily", "quantity", "v_txn", "sum(quantity)", "ecommerce_daily", "sum(total_quantity)"),
+    _align("fact_ecommerce_daily", "line_items", "v_txn", "count(*)", "ecommerce_daily", "sum(line_items)"),
+    _align("fact_web_analytics_daily", "pageviews", "web_events", "count(*)", "web_daily", "sum(pageviews)")])
+
+DQ["overlap"] = """SELECT 'overlap_removal' AS "check", 'fact_web_analytics_events' AS table_name,
+  CASE WHEN raw - dr = kept THEN 'PASS' ELSE 'FAIL' END AS status,
+  CAST(raw AS VARCHAR) || '-' || CAST(dr AS VARCHAR) || '=' || CAST(kept AS VARCHAR) AS detail
+FROM (SELECT count(*) AS raw, count(*) FILTER (WHERE _source = 'web_b' AND CAST(event_datetime AS DATE)
+        BETWEEN DATE '1998-01-15' AND DATE '1998-01-20') AS dr FROM v_web_parts) a
+CROSS JOIN (SELECT count(*) AS kept FROM web_events) b"""
+
+DQ["formula"] = """SELECT 'revenue_formula' AS "check", 'fact_ecommerce_transactions' AS table_name,
+  CASE WHEN bad = 0 THEN 'PASS' ELSE 'FAIL' END AS status, CAST(bad AS VARCHAR) AS detail
+FROM (SELECT count(*) FILTER (WHERE abs(CAST(quantity AS DOUBLE) * CAST(unit_price AS DOUBLE)
+      - CAST(discount_per_unit AS DOUBLE) * CAST(quantity AS DOUBLE) - CAST(line_revenue AS DOUBLE)) >= 0.01) AS bad
+      FROM v_txn) x"""
+
+for _k in ["exists", "grain", "date_range", "empty_cols", "reconcile", "expected", "alignment", "overlap", "formula"]:
+    Q["dq_" + _k] = DQ[_k]
+
+Q["dq_month_counts"] = "SELECT table_name, month, count(*) AS n_rows FROM (" + _u(
+    f"SELECT '{n}' AS table_name, strftime(CAST(date AS DATE), '%Y-%m') AS month FROM {DQ_CTE[n]}"
+    for n in ["fact_paid_social_daily", "fact_web_analytics_daily", "fact_ecommerce_daily", "fact_organic_social_daily",
+              "fact_podcast_daily", "fact_ooh_daily"]) + ") t GROUP BY table_name, month"
+
+Q["dq_summary"] = """, allr AS (
+""" + _u("SELECT * FROM (" + DQ[k] + ") q" for k in
+         ["exists", "grain", "date_range", "empty_cols", "reconcile", "expected", "alignment", "overlap", "formula"]) + """)
+SELECT status, count(*) AS checks FROM allr GROUP BY status
+UNION ALL SELECT 'TOTAL', count(*) FROM allr"""
