@@ -133,7 +133,7 @@ def term_matches(texts: DataFrame, text_col: str, terms: DataFrame) -> DataFrame
     terms table is a constant list (broadcast).
     """
     t = texts.select(F.col(text_col).alias("text")).where(F.col("text").isNotNull()).distinct()
-    word = F.concat(F.lit(r"\b"), F.regexp_replace(F.col("term"), r"([^A-Za-z0-9 ])", r"\\\\$1"),
+    word = F.concat(F.lit(r"\b"), F.regexp_replace(F.col("term"), r"([^A-Za-z0-9 ])", r"\\$1"),
                     F.lit(r"\b"))
     cond = F.when(F.col("mode") == "word", F.regexp_like(F.col("text"), word)) \
         .otherwise(F.lower(F.col("text")).contains(F.lower(F.col("term"))))

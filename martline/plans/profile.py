@@ -121,7 +121,8 @@ def top_values(df: DataFrame, cols: Sequence[str], k: int = 5) -> DataFrame:
                                                   F.col(c).cast("string").alias("value")) for c in cols])
                                ).alias("_u")).select("_u.column_name", "_u.value").where(F.col("value").isNotNull())
     counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    return top_k(counts, ["column_name"], [F.col("n").desc(), F.col("value").asc()], k, salt_on=["value"])
+    return top_k(counts, ["column_name"], [F.col("n").desc(), F.col("value").asc()], k, salt_on=["value"],
+                 rank_col="value_rank")
 
 
 def date_profile(df: DataFrame, date_col: str, by: Sequence[str] = ()) -> DataFrame:

@@ -385,3 +385,217 @@ def q_dq_summary(spark, d):
         r = fn(spark, d)
         allr = r if allr is None else allr.unionByName(r)
     return dq.suite_summary(allr)
+
+
+# ------------------------------------------------------------------ profiling
+from martline.plans import explore, profile  # noqa: E402
+
+INVENTORY_COLUMNS = {"web_a": "event_datetime", "web_b": "event_datetime"}
+
+
+@query("profile_columns")
+def q_profile_columns(spark, d):
+    return profile.column_profile(wh.ecommerce_transactions(spark, d))
+
+
+@query("numeric_profile")
+def q_numeric_profile(spark, d):
+    return profile.numeric_profile(wh.ecommerce_transactions(spark, d))
+
+
+@query("top_values")
+def q_top_values(spark, d):
+    return profile.top_values(wh.web_events(spark, d),
+                              ["traffic_source", "traffic_medium", "campaign", "device_category", "dma_name"], 5)
+
+
+def _stream_timestamps(spark, d):
+    """(table_name, ts) for four raw streams of different cadence."""
+    web = wh.web_events(spark, d).select(F.lit("web_events").alias("table_name"), F.col("event_datetime").alias("ts"))
+    txn = views.v_txn(spark, d).select(F.lit("transactions").alias("table_name"), F.col("order_datetime").alias("ts"))
+    ooh = views.v_ooh_weekly(spark, d).select(F.lit("ooh_weekly").alias("table_name"),
+                                              F.col("week_start_date").cast("timestamp_ntz").alias("ts"))
+    orders = views.table(spark, d, "orders").select(F.lit("orders").alias("table_name"), F.col("o_orderdate").alias("ts"))
+    return web.unionByName(txn).unionByName(ooh).unionByName(orders)
+
+
+@query("granularity")
+def q_granularity(spark, d):
+    return profile.granularity(_stream_timestamps(spark, d), "ts", ["table_name"])
+
+
+@query("date_profile")
+def q_date_profile(spark, d):
+    return profile.date_profile(_stream_timestamps(spark, d), "ts", ["table_name"])
+
+
+@query("overlap_report")
+def q_overlap_report(spark, d):
+    return profile.overlap_report(views.v_web_parts(spark, d), "_source", "event_datetime")
+
+
+@query("inventory")
+def q_inventory(spark, d):
+    """One row per raw extract: stream, rows, columns, date range."""
+    srcs = {f"paid_{k}": (v, "date") for k, v in views.paid_parts(spark, d).items()}
+    parts = views.v_web_parts(spark, d)
+    for tag in ("web_a", "web_b"):
+        srcs[f"{tag}_web_traffic"] = (parts.where(F.col("_source") == tag).drop("_source"), "event_datetime")
+    srcs["transactions"] = (views.v_txn(spark, d), "order_datetime")
+    srcs["podcast_mentions"] = (views.v_mentions(spark, d), "mention_datetime")
+    srcs["tiktok_owned_posts"] = (views.v_posts(spark, d), "date")
+    srcs["ooh_weekly"] = (views.v_ooh_weekly(spark, d), "week_start_date")
+    out = None
+    for name in sorted(srcs):
+        df, dc = srcs[name]
+        r = df.agg(F.count(F.lit(1)).alias("n_rows"), F.min(F.to_date(dc)).alias("min_date"),
+                   F.max(F.to_date(dc)).alias("max_date")).select(
+            F.lit(name).alias("file"), profile.classify_stream(F.lit(name)).alias("stream"), "n_rows",
+            F.lit(len(df.columns)).alias("n_columns"), "min_date", "max_date")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+# ------------------------------------------------------------------ exploration
+TXN_KEYS = (("order_id",), ("order_id", "product_category"), ("order_id", "product_category", "size"),
+            ("order_id", "product_category", "size", "quantity", "unit_price", "date"), ("order_id", "line_number"))
+
+
+@query("key_battery")
+def q_key_battery(spark, d):
+    txn = explore.key_battery(wh.ecommerce_transactions(spark, d), TXN_KEYS, "fact_ecommerce_transactions")
+    ooh = explore.key_battery(views.v_ooh_weekly(spark, d),
+                              (("week_start_date", "airport_code"),
+                               ("week_start_date", "airport_code", "format", "audience_segment"),
+                               ("airport_code",)), "ooh_weekly")
+    return txn.unionByName(ooh)
+
+
+@query("overlap_keys")
+def q_overlap_keys(spark, d):
+    return explore.overlap_keys(views.v_web_parts(spark, d), "_source",
+                                ["event_datetime", "user_id", "page_url"], "event_datetime")
+
+
+@query("sessions_per_day")
+def q_sessions_per_day(spark, d):
+    return explore.distinct_per_day(wh.web_events(spark, d), "event_datetime",
+                                    {"sessions": "session_id", "users": "user_id"})
+
+
+@query("basket_distribution")
+def q_basket(spark, d):
+    return explore.basket_distribution(wh.transactions_clean(spark, d))
+
+
+@query("order_values")
+def q_order_values(spark, d):
+    return explore.order_values(wh.transactions_clean(spark, d))
+
+
+def _posts_split(spark, d):
+    p = views.v_posts(spark, d)
+    return p.withColumn("_file", F.when(F.col("date") < F.lit("1998-01-16").cast("date"), "posts_a")
+                        .otherwise("posts_b"))
+
+
+@query("recycled_ids")
+def q_recycled(spark, d):
+    return explore.recycled_ids(_posts_split(spark, d), "post_id", "_file", "date", "posts_a", "posts_b")
+
+
+@query("follower_drops")
+def q_follower_drops(spark, d):
+    return explore.follower_series(views.v_posts(spark, d))
+
+
+@query("release_vs_mention")
+def q_release(spark, d):
+    return explore.release_vs_mention(views.v_mentions(spark, d))
+
+
+@query("multi_mentions")
+def q_multi(spark, d):
+    return explore.multi_mentions(views.v_mentions(spark, d))
+
+
+@query("promo_crosstab")
+def q_promo_crosstab(spark, d):
+    return explore.promo_crosstab(wh.transactions_clean(spark, d))
+
+
+@query("spine_coverage")
+def q_spine_coverage(spark, d):
+    return explore.spine_coverage({n: wh.table_by_name(spark, d, n) for n in DAILY_FACTS})
+
+
+def _local_streams(spark, d):
+    return {"paid_social": views.paid_base(spark, d), "web": views.v_web(spark, d),
+            "ecommerce": views.v_txn(spark, d)}
+
+
+@query("presence_matrix")
+def q_presence(spark, d):
+    return explore.value_presence(_local_streams(spark, d), "dma_name")
+
+
+@query("near_match")
+def q_near_match(spark, d):
+    """Page hosts that differ only by case, spacing, a www./m./blog. prefix or the TLD."""
+    pages = views.table(spark, d, "pages").select(F.regexp_extract("url", r"://([^/]+)", 1).alias("host"))
+    norm = F.regexp_replace(F.regexp_replace(F.lower(F.trim(F.col("host"))), r"^(www|m|blog)\.", ""),
+                            r"\.(com|net|org)$", "")
+    return explore.near_match(pages, "host", norm)
+
+
+@query("state_format")
+def q_state_format(spark, d):
+    streams = _local_streams(spark, d)
+    streams["airport_lookup"] = wh.airport_lookup(spark, d)
+    return explore.state_format(streams, "state")
+
+
+@query("campaign_linkage")
+def q_campaign_linkage(spark, d):
+    """Web campaign values linked to paid campaign names by containment."""
+    from martline.functions.text import remainder_after_first_space
+    from martline.operators.joins import substring_pairs
+    pairs = substring_pairs(wh.web_events(spark, d), "campaign", views.paid_base(spark, d), "campaign_name")
+    theme = remainder_after_first_space(F.col("right_value"))
+    return pairs.select(F.col("left_value").alias("web_campaign"), F.col("right_value").alias("paid_campaign"),
+                        theme.alias("paid_theme"), (theme == F.col("left_value")).alias("exact_theme_match"))
+
+
+@query("campaign_crosstab")
+def q_campaign_crosstab(spark, d):
+    """Campaign x source x medium counts."""
+    return wh.web_events(spark, d).groupBy("campaign", "traffic_source", "traffic_medium").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+# Geographic terms searched in show names; short codes match
+# as whole words (case-sensitive), longer names as case-insensitive substrings.
+GEO_TERMS = (("state_code", "GA", "word"), ("city_code", "ATL", "word"),
+             ("nickname", "Peach State", "substring"), ("state_name", "Georgia", "substring"))
+
+
+@query("geo_terms")
+def q_geo_terms(spark, d):
+    terms = spark.createDataFrame(list(GEO_TERMS), "kind string, term string, mode string")
+    return explore.geo_signals(views.v_mentions(spark, d), terms)
+
+
+@query("metric_distribution")
+def q_metric_distribution(spark, d):
+    return explore.metric_distribution(views.v_mentions(spark, d), "podcast_name", "estimated_impressions")
+
+
+@query("sentiment_shares")
+def q_sentiment_shares(spark, d):
+    from martline.operators.sets import value_shares
+    return value_shares(views.v_mentions(spark, d), "sentiment")
+
+
+@query("stable_sample")
+def q_stable_sample(spark, d):
+    return explore.stable_sample(wh.ecommerce_transactions(spark, d), ["order_id", "product_category", "quantity"], 20)

@@ -357,7 +357,9 @@ def with_views(sql: str) -> str:
     """Prefix ``sql`` with the CTEs it references (found by name)."""
     used = [n for n in V if re.search(r"\b" + n + r"\b", sql)]
     ctes = [V[n] for n in _closure(used)]
-    return ("WITH " + ",\n".join(ctes) + "\n" + sql) if ctes else sql
+    if ctes:
+        return "WITH " + ",\n".join(ctes) + "\n" + sql
+    return "WITH " + sql.lstrip()[1:] if sql.lstrip().startswith(",") else sql
 
 
 Q = {}
@@ -725,3 +727,208 @@ Q["dq_summary"] = """, allr AS (
          ["exists", "grain", "date_range", "empty_cols", "reconcile", "expected", "alignment", "overlap", "formula"]) + """)
 SELECT status, count(*) AS checks FROM allr GROUP BY status
 UNION ALL SELECT 'TOTAL', count(*) FROM allr"""
+
+
+# ------------------------------------------------------------------ profiling
+V["txn_out"] = """txn_out AS (
+  SELECT date, order_id, user_id, dma_name, state, zip_code, product_category, size, quantity,
+    CAST(unit_price AS DOUBLE) AS unit_price, CAST(unit_cost AS DOUBLE) AS unit_cost,
+    CAST(discount_per_unit AS DOUBLE) AS discount_per_unit, CAST(line_revenue AS DOUBLE) AS line_revenue, promo_flag
+  FROM v_txn)"""
+DEPS["txn_out"] = ["v_txn"]
+TXN_COLS = COLS["fact_ecommerce_transactions"].split()
+TXN_NUM = ["quantity", "unit_price", "unit_cost", "discount_per_unit", "line_revenue", "promo_flag"]
+
+
+def _role(c):
+    return "date" if c == "date" else ("numeric" if c in TXN_NUM else "categorical")
+
+
+Q["profile_columns"] = _u(
+    f"""SELECT '{c}' AS column_name, '{_role(c)}' AS role, count(*) AS rows, count(*) - count({c}) AS nulls,
+  round(CAST(count(*) - count({c}) AS DOUBLE) * 100.0 / count(*), 2) AS null_pct, count(DISTINCT {c}) AS n_unique
+FROM txn_out""" for c in TXN_COLS)
+
+Q["numeric_profile"] = _u(
+    f"""SELECT '{c}' AS column_name, count(v) AS non_null, round(min(v), 2) AS min, round(max(v), 2) AS max,
+  round(avg(v), 2) AS mean, round(median(v), 2) AS median, round(stddev_samp(v), 2) AS stdev
+FROM (SELECT CAST({c} AS DOUBLE) AS v FROM txn_out) t""" for c in TXN_NUM)
+
+_TOPCOLS = ["traffic_source", "traffic_medium", "campaign", "device_category", "dma_name"]
+Q["top_values"] = """SELECT column_name, value, n, CAST(value_rank AS INTEGER) AS value_rank FROM (
+  SELECT column_name, value, n, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value ASC) AS value_rank
+  FROM (""" + _u(f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM web_events "
+               f"WHERE {c} IS NOT NULL GROUP BY 2" for c in _TOPCOLS) + """) c) r WHERE value_rank <= 5"""
+
+V["stream_ts"] = """stream_ts AS (
+  SELECT 'web_events' AS table_name, event_datetime AS ts FROM web_events
+  UNION ALL SELECT 'transactions', order_datetime FROM v_txn
+  UNION ALL SELECT 'ooh_weekly', CAST(week_start_date AS TIMESTAMP) FROM v_ooh_weekly
+  UNION ALL SELECT 'orders', o_orderdate FROM orders)"""
+DEPS["stream_ts"] = ["web_events", "v_txn", "v_ooh_weekly"]
+
+Q["granularity"] = """, ht AS (SELECT table_name, max(CASE WHEN hour(ts) <> 0 OR minute(ts) <> 0 THEN 1 ELSE 0 END) AS t
+            FROM stream_ts GROUP BY 1),
+dd AS (SELECT DISTINCT table_name, CAST(ts AS DATE) AS d FROM stream_ts WHERE ts IS NOT NULL),
+gp AS (SELECT table_name, date_diff('day', lag(d) OVER (PARTITION BY table_name ORDER BY d), d) AS gap FROM dd),
+md AS (SELECT table_name, median(CAST(gap AS DOUBLE)) AS median_gap FROM gp GROUP BY 1)
+SELECT ht.table_name, md.median_gap,
+  CASE WHEN t = 1 THEN 'event-level' WHEN median_gap <= 1 THEN 'daily' WHEN median_gap >= 5 AND median_gap <= 9 THEN 'weekly'
+       WHEN median_gap >= 25 AND median_gap <= 35 THEN 'monthly'
+       ELSE '~' || CAST(CAST(round(median_gap) AS BIGINT) AS VARCHAR) || '-day' END AS granularity
+FROM ht LEFT JOIN md ON ht.table_name = md.table_name"""
+
+Q["date_profile"] = """SELECT table_name, min(CAST(ts AS DATE)) AS min_date, max(CAST(ts AS DATE)) AS max_date,
+  count(DISTINCT CAST(ts AS DATE)) AS distinct_days,
+  date_diff('day', min(CAST(ts AS DATE)), max(CAST(ts AS DATE))) + 1 - count(DISTINCT CAST(ts AS DATE)) AS missing_days
+FROM stream_ts GROUP BY table_name"""
+
+Q["overlap_report"] = """, rng AS (SELECT _source AS f, min(CAST(event_datetime AS DATE)) AS s, max(CAST(event_datetime AS DATE)) AS e
+             FROM v_web_parts GROUP BY 1),
+pairs AS (SELECT a.f AS file_a, b.f AS file_b, greatest(a.s, b.s) AS overlap_start, least(a.e, b.e) AS overlap_end
+          FROM rng a JOIN rng b ON a.f < b.f AND a.s <= b.e AND b.s <= a.e),
+daily AS (SELECT _source AS f, CAST(event_datetime AS DATE) AS d, count(*) AS n FROM v_web_parts GROUP BY 1, 2)
+SELECT p.file_a, p.file_b, p.overlap_start, p.overlap_end,
+  CAST((SELECT coalesce(sum(n), 0) FROM daily WHERE f = p.file_a AND d BETWEEN p.overlap_start AND p.overlap_end) AS BIGINT) AS rows_a,
+  CAST((SELECT coalesce(sum(n), 0) FROM daily WHERE f = p.file_b AND d BETWEEN p.overlap_start AND p.overlap_end) AS BIGINT) AS rows_b
+FROM pairs p"""
+
+_PAIDCOLS = {"instagram_part3": 18, "pinterest_part1": 15, "tiktok_part2": 16}
+Q["inventory"] = """, paid_inv AS (
+  SELECT 'paid_' || _file AS file, count(*) AS n_rows, min(date) AS min_date, max(date) AS max_date,
+    CAST(CASE _file WHEN 'instagram_part3' THEN 18 WHEN 'pinterest_part1' THEN 15 WHEN 'tiktok_part2' THEN 16 ELSE 17 END AS INTEGER) AS n_columns
+  FROM paid_base GROUP BY _file),
+inv AS (
+  SELECT file, n_rows, n_columns, min_date, max_date FROM paid_inv
+  UNION ALL SELECT 'web_a_web_traffic', count(*), CAST(12 AS INTEGER), min(CAST(event_datetime AS DATE)), max(CAST(event_datetime AS DATE))
+    FROM v_web_parts WHERE _source = 'web_a'
+  UNION ALL SELECT 'web_b_web_traffic', count(*), CAST(12 AS INTEGER), min(CAST(event_datetime AS DATE)), max(CAST(event_datetime AS DATE))
+    FROM v_web_parts WHERE _source = 'web_b'
+  UNION ALL SELECT 'transactions', count(*), CAST(15 AS INTEGER), min(CAST(order_datetime AS DATE)), max(CAST(order_datetime AS DATE)) FROM v_txn
+  UNION ALL SELECT 'podcast_mentions', count(*), CAST(11 AS INTEGER), min(CAST(mention_datetime AS DATE)), max(CAST(mention_datetime AS DATE)) FROM v_mentions
+  UNION ALL SELECT 'tiktok_owned_posts', count(*), CAST(12 AS INTEGER), min(date), max(date) FROM v_posts
+  UNION ALL SELECT 'ooh_weekly', count(*), CAST(8 AS INTEGER), min(week_start_date), max(week_start_date) FROM v_ooh_weekly)
+SELECT file, CASE WHEN contains(lower(file), 'paid') THEN 'paid_social' WHEN contains(lower(file), 'instagram') THEN 'paid_social'
+  WHEN contains(lower(file), 'pinterest') THEN 'paid_social' WHEN contains(lower(file), 'tiktok_owned') THEN 'organic_social'
+  WHEN contains(lower(file), 'tiktok') THEN 'paid_social' WHEN contains(lower(file), 'web') THEN 'web_analytics'
+  WHEN contains(lower(file), 'transactions') THEN 'ecommerce' WHEN contains(lower(file), 'podcast') THEN 'podcast'
+  WHEN contains(lower(file), 'ooh') THEN 'ooh' ELSE 'unknown' END AS stream,
+  n_rows, n_columns, min_date, max_date FROM inv"""
+
+# ------------------------------------------------------------------ exploration
+_KEYSETS = [("fact_ecommerce_transactions", "txn_out", k) for k in
+            (["order_id"], ["order_id", "product_category"], ["order_id", "product_category", "size"],
+             ["order_id", "product_category", "size", "quantity", "unit_price", "date"])] + \
+           [("ooh_weekly", "v_ooh_weekly", k) for k in
+            (["week_start_date", "airport_code"], ["week_start_date", "airport_code", "format", "audience_segment"],
+             ["airport_code"])]
+Q["key_battery"] = _u(
+    f"""SELECT '{t}' AS table_name, '{",".join(k)}' AS key_columns, extra_rows,
+  CASE WHEN extra_rows = 0 THEN 'UNIQUE' ELSE 'DUPLICATES' END AS status
+FROM (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS extra_rows FROM (SELECT count(*) AS n FROM {src} GROUP BY {", ".join(k)}) g) x"""
+    for t, src, k in _KEYSETS) + """
+UNION ALL SELECT 'fact_ecommerce_transactions', 'order_id,line_number', CAST(NULL AS BIGINT), 'SKIPPED'"""
+
+_WCOLS = COLS["fact_web_analytics_events"].split()
+
+
+def _shared(cols, out):
+    on = " AND ".join(f"a.{c} IS NOT DISTINCT FROM b.{c}" for c in cols)
+    sel = ", ".join(cols)
+    return f"""(SELECT a.f AS file_a, b.f AS file_b, count(*) AS {out}
+  FROM (SELECT DISTINCT _source AS f, {sel} FROM v_web_parts) a
+  JOIN (SELECT DISTINCT _source AS f, {sel} FROM v_web_parts) b ON a.f < b.f AND {on} GROUP BY 1, 2)"""
+
+
+Q["overlap_keys"] = f""", sk AS {_shared(["event_datetime", "user_id", "page_url"], "shared_keys")},
+sr AS {_shared(_WCOLS, "identical_rows")},
+sd AS (SELECT a.f AS file_a, b.f AS file_b, count(*) AS shared_dates
+  FROM (SELECT DISTINCT _source AS f, CAST(event_datetime AS DATE) AS d FROM v_web_parts) a
+  JOIN (SELECT DISTINCT _source AS f, CAST(event_datetime AS DATE) AS d FROM v_web_parts) b ON a.f < b.f AND a.d = b.d GROUP BY 1, 2),
+j1 AS (SELECT coalesce(sk.file_a, sr.file_a) AS file_a, coalesce(sk.file_b, sr.file_b) AS file_b, sk.shared_keys, sr.identical_rows
+       FROM sk FULL OUTER JOIN sr ON sk.file_a = sr.file_a AND sk.file_b = sr.file_b)
+SELECT coalesce(j1.file_a, sd.file_a) AS file_a, coalesce(j1.file_b, sd.file_b) AS file_b,
+  coalesce(j1.shared_keys, 0) AS shared_keys, coalesce(j1.identical_rows, 0) AS identical_rows,
+  coalesce(sd.shared_dates, 0) AS shared_dates
+FROM j1 FULL OUTER JOIN sd ON j1.file_a = sd.file_a AND j1.file_b = sd.file_b"""
+
+Q["sessions_per_day"] = """SELECT CAST(event_datetime AS DATE) AS date, count(*) AS n_rows, count(DISTINCT session_id) AS sessions,
+  count(DISTINCT user_id) AS users FROM web_events GROUP BY 1"""
+Q["basket_distribution"] = """SELECT line_items, count(*) AS orders FROM (SELECT order_id, count(*) AS line_items FROM v_txn GROUP BY 1) t
+GROUP BY line_items"""
+Q["order_values"] = """SELECT count(*) AS orders, round(CAST(min(v) AS DOUBLE), 2) AS min_value, round(avg(CAST(v AS DOUBLE)), 2) AS avg_value,
+  round(CAST(max(v) AS DOUBLE), 2) AS max_value FROM (SELECT order_id, sum(line_revenue) AS v FROM v_txn GROUP BY 1) t"""
+
+Q["recycled_ids"] = """, ps AS (SELECT CASE WHEN date < DATE '1998-01-16' THEN 'posts_a' ELSE 'posts_b' END AS f, post_id, date FROM v_posts),
+fst AS (SELECT f, post_id, min(date) AS d FROM ps GROUP BY 1, 2)
+SELECT a.post_id, a.d AS first_date_a, b.d AS first_date_b
+FROM (SELECT * FROM fst WHERE f = 'posts_a') a JOIN (SELECT * FROM fst WHERE f = 'posts_b') b ON a.post_id = b.post_id"""
+
+Q["follower_drops"] = """, fp AS (SELECT date, min(post_id) AS pid FROM v_posts GROUP BY date),
+day AS (SELECT p.date, min(p.followers) FILTER (WHERE p.post_id = fp.pid) AS followers,
+               count(DISTINCT p.followers) AS distinct_values
+        FROM v_posts p JOIN fp ON p.date = fp.date GROUP BY p.date)
+SELECT date, followers, distinct_values, lag(followers) OVER (ORDER BY date) AS prev_followers,
+  coalesce(followers < lag(followers) OVER (ORDER BY date), false) AS decreased FROM day"""
+
+Q["release_vs_mention"] = """SELECT count(*) AS mentions,
+  count(*) FILTER (WHERE episode_release_date = CAST(mention_datetime AS DATE)) AS same_day,
+  count(*) FILTER (WHERE NOT (episode_release_date = CAST(mention_datetime AS DATE))) AS different_day FROM v_mentions"""
+
+Q["multi_mentions"] = """SELECT podcast_name, count(DISTINCT episode_title) AS episodes, count(*) FILTER (WHERE n > 1) AS multi_mention_groups,
+  max(n) AS max_mentions
+FROM (SELECT CAST(mention_datetime AS DATE) AS date, podcast_name, episode_title, count(*) AS n FROM v_mentions GROUP BY 1, 2, 3) g
+GROUP BY podcast_name"""
+
+Q["promo_crosstab"] = """SELECT promo_flag, discount_per_unit > 0 AS has_discount, count(*) AS n_rows,
+  count(*) FILTER (WHERE line_revenue < 0) AS negative_rows FROM v_txn GROUP BY 1, 2"""
+
+_DAILY = ["fact_paid_social_daily", "fact_web_analytics_daily", "fact_ecommerce_daily", "fact_organic_social_daily",
+          "fact_podcast_daily", "fact_ooh_daily"]
+Q["spine_coverage"] = "SELECT stream, min(d) AS min_date, max(d) AS max_date, count(*) AS days_present, " \
+    "date_diff('day', min(d), max(d)) + 1 - count(*) AS missing_days FROM (" + _u(
+        f"SELECT DISTINCT '{n}' AS stream, CAST(date AS DATE) AS d FROM {DQ_CTE[n]}" for n in _DAILY) + \
+    ") t GROUP BY stream"
+
+Q["presence_matrix"] = """SELECT dma_name, bool_or(stream = 'ecommerce') AS ecommerce, bool_or(stream = 'paid_social') AS paid_social,
+  bool_or(stream = 'web') AS web
+FROM (SELECT 'paid_social' AS stream, dma_name FROM paid_base UNION ALL SELECT 'web', dma_name FROM v_web
+      UNION ALL SELECT 'ecommerce', dma_name FROM v_txn) t GROUP BY dma_name"""
+
+Q["near_match"] = r""", d AS (SELECT host AS raw, regexp_replace(regexp_replace(lower(trim(host)), '^(www|m|blog)\.', ''), '\.(com|net|org)$', '') AS norm_key
+           FROM (SELECT regexp_extract(url, '://([^/]+)', 1) AS host FROM pages) h WHERE host IS NOT NULL),
+g AS (SELECT norm_key, raw, count(*) AS n FROM d GROUP BY 1, 2)
+SELECT norm_key, count(*) AS variants, string_agg(raw, '|' ORDER BY raw) AS raw_values, CAST(sum(n) AS BIGINT) AS n_rows
+FROM g GROUP BY norm_key HAVING count(*) > 1"""
+
+Q["state_format"] = """SELECT stream, state, count(*) AS n_rows, coalesce(regexp_matches(state, '^[A-Z]{2}$'), false) AS is_code
+FROM (SELECT 'paid_social' AS stream, state FROM paid_base UNION ALL SELECT 'web', state FROM v_web
+      UNION ALL SELECT 'ecommerce', state FROM v_txn UNION ALL SELECT 'airport_lookup', state FROM airport_lookup) t
+GROUP BY stream, state"""
+
+Q["campaign_linkage"] = r""", x AS (SELECT DISTINCT campaign AS left_value FROM web_events WHERE campaign IS NOT NULL),
+y AS (SELECT DISTINCT campaign_name AS right_value FROM paid_base WHERE campaign_name IS NOT NULL),
+p AS (SELECT x.left_value, y.right_value, nullif(regexp_extract(y.right_value, '^\S+ (.*)$', 1), '') AS theme
+      FROM x JOIN y ON lower(x.left_value) <> lower(y.right_value)
+        AND (contains(lower(x.left_value), lower(y.right_value)) OR contains(lower(y.right_value), lower(x.left_value))))
+SELECT left_value AS web_campaign, right_value AS paid_campaign, theme AS paid_theme, theme = left_value AS exact_theme_match FROM p"""
+
+Q["campaign_crosstab"] = """SELECT campaign, traffic_source, traffic_medium, count(*) AS n_rows FROM web_events GROUP BY ALL"""
+
+Q["geo_terms"] = r""", t AS (SELECT * FROM (VALUES ('state_code', 'GA', 'word'), ('city_code', 'ATL', 'word'),
+    ('nickname', 'Peach State', 'substring'), ('state_name', 'Georgia', 'substring')) t(kind, term, mode)),
+names AS (SELECT DISTINCT podcast_name AS text FROM v_mentions WHERE podcast_name IS NOT NULL),
+hits AS (SELECT n.text, string_agg(DISTINCT t.term, ',' ORDER BY t.term) AS geo_terms FROM names n JOIN t ON
+           CASE WHEN t.mode = 'word' THEN regexp_matches(n.text, '\b' || t.term || '\b')
+                ELSE contains(lower(n.text), lower(t.term)) END GROUP BY n.text),
+per AS (SELECT podcast_name, count(*) AS mentions, CAST(sum(mentions_founder) AS BIGINT) AS founder_mentions
+        FROM v_mentions GROUP BY 1)
+SELECT per.podcast_name, per.mentions, per.founder_mentions, hits.geo_terms, hits.geo_terms IS NOT NULL AS is_geo
+FROM per LEFT JOIN hits ON per.podcast_name = hits.text"""
+
+Q["metric_distribution"] = """SELECT podcast_name, count(v) AS n, round(min(v), 2) AS min, round(max(v), 2) AS max, round(avg(v), 2) AS mean,
+  round(median(v), 2) AS median, round(stddev_samp(v), 2) AS stdev
+FROM (SELECT podcast_name, CAST(estimated_impressions AS DOUBLE) AS v FROM v_mentions) t GROUP BY podcast_name"""
+
+Q["sentiment_shares"] = """SELECT sentiment, count(*) AS n, round(CAST(count(*) AS DOUBLE) * 100.0 / sum(count(*)) OVER (), 2) AS pct
+FROM v_mentions WHERE sentiment IS NOT NULL GROUP BY sentiment"""
