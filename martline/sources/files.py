@@ -64,6 +64,8 @@ def read_untyped(spark: SparkSession, paths: str | Sequence[str],
     df = (spark.read.option("header", True).option("inferSchema", False)
           .option("nullValue", "\u0000").option("emptyValue", "").csv(paths))
     df = _normalise_header(df)
+    # the CSV parser yields NULL for an unquoted empty field; untyped rows keep ''
+    df = df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in df.columns])
     if source_col:
         df = df.withColumn(source_col, F.col("_metadata.file_name"))
     return df
