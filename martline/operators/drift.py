@@ -85,6 +85,25 @@ def resolve_drift(dfs_by_source: Mapping[str, DataFrame], rules: Sequence[tuple]
     return out
 
 
+def resolve_drift_tagged(df: DataFrame, source_col: str, rules: Sequence[tuple],
+                         target: T.StructType) -> DataFrame:
+    """T1/U2 on a single tagged frame (the by-name union of all extracts).
+
+    When extracts are read in one scan (files grouped by header, tagged by
+    ``_metadata.file_name``), the rules become column expressions: a rename
+    rule fills its target column from the source column on the rows of the
+    matching extracts; drop rules and extra columns fall away in the final
+    projection.  One projection, no per-extract branches in the plan.
+    """
+    src = F.lower(F.col(source_col))
+    cols = {f.name: (F.col(f.name) if f.name in df.columns else F.lit(None)) for f in target.fields}
+    for pattern, action, frm, to in rules:
+        if action != "rename" or frm not in df.columns or to not in cols:
+            continue
+        cols[to] = F.when(src.contains(pattern.lower()), F.col(frm)).otherwise(cols[to])
+    return df.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in target.fields])
+
+
 def column_presence(dfs_by_source: Mapping[str, DataFrame]) -> list[tuple[str, str, int]]:
     """(source, column, position) rows from extract schemas (driver metadata only)."""
     return [(src, c, i) for src, df in sorted(dfs_by_source.items()) for i, c in enumerate(df.columns)]

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martline.operators.drift import PAID_DRIFT_RULES, PAID_TARGET, resolve_drift
+from martline.operators.drift import PAID_DRIFT_RULES, PAID_TARGET, resolve_drift, resolve_drift_tagged
 from martline.operators.joins import sized_join
 from martline.operators.overlap import drop_overlap, expand_period
 from martline.operators.rollup import rollup
@@ -21,9 +21,15 @@ from martline.operators.rollup import rollup
 PAID_GRAIN = ("date", "channel", "campaign_id", "dma_name")
 
 
-def paid_social_daily(parts: Mapping[str, DataFrame], rules=PAID_DRIFT_RULES,
-                      target=PAID_TARGET) -> DataFrame:
-    """Drift-resolving union of the paid-social extracts (no aggregation)."""
+def paid_social_daily(parts: Mapping[str, DataFrame] | DataFrame, rules=PAID_DRIFT_RULES,
+                      target=PAID_TARGET, source_col: str = "_file") -> DataFrame:
+    """Drift-resolving union of the paid-social extracts (no aggregation).
+
+    ``parts`` is either one DataFrame per extract (extracts read with their
+    own headers) or a single frame of all extracts tagged by ``source_col``.
+    """
+    if isinstance(parts, DataFrame):
+        return resolve_drift_tagged(parts, source_col, rules, target)
     return resolve_drift(parts, rules, target)
 
 

@@ -53,6 +53,21 @@ def drift_report(parts: Mapping[str, DataFrame], stream_of: Callable[[str], str]
             F.lit(stream_of(f)).alias("stream"), F.lit(f).alias("file"), "file_rows",
             F.explode(F.array(*[F.lit(c) for c in df.columns])).alias("column_name"))
         rows = r if rows is None else rows.unionByName(r)
+    return _drift_from_rows(rows)
+
+
+def drift_report_tagged(df: DataFrame, source_col: str, columns_by_source: Mapping[str, Sequence[str]],
+                        stream_of: Callable[[str], str]) -> DataFrame:
+    """R8 for extracts read in one tagged scan: row counts come from one
+    ``groupBy(source)``; each extract's header comes from schema metadata."""
+    counts = df.groupBy(F.col(source_col).alias("file")).agg(F.count(F.lit(1)).alias("file_rows"))
+    meta = [(f, stream_of(f), c) for f, cols in sorted(columns_by_source.items()) for c in cols]
+    meta_df = df.sparkSession.createDataFrame(meta, "file string, stream string, column_name string")
+    rows = meta_df.join(counts, "file", "left").na.fill(0, subset=["file_rows"])
+    return _drift_from_rows(rows)
+
+
+def _drift_from_rows(rows: DataFrame) -> DataFrame:
     per_stream = rows.groupBy("stream").agg(F.count_distinct("file").alias("n_files"),
                                             F.array_sort(F.collect_set("file")).alias("_all"))
     cols = rows.groupBy("stream", "column_name").agg(F.array_sort(F.collect_set("file")).alias("_present"),

@@ -33,7 +33,7 @@ def web_daily(spark: SparkSession, d: str) -> DataFrame:
 
 
 def paid_social(spark: SparkSession, d: str) -> DataFrame:
-    return facts.paid_social_daily(views.paid_parts(spark, d))
+    return facts.paid_social_daily(views.paid_raw(spark, d))
 
 
 def organic_daily(spark: SparkSession, d: str) -> DataFrame:

@@ -60,8 +60,9 @@ def q_paid_social(spark, d):
 
 @query("drift_report")
 def q_drift_report(spark, d):
-    from martline.plans.profile import drift_report
-    return drift_report(views.paid_parts(spark, d), stream_of=lambda f: f.split("_")[0])
+    from martline.plans.profile import drift_report_tagged
+    return drift_report_tagged(views.paid_raw(spark, d), "_file", views.paid_file_columns(),
+                               stream_of=lambda f: f.split("_")[0])
 
 
 @query("organic_daily")
@@ -276,7 +277,6 @@ def q_season_points(spark, d):
 
 
 # ------------------------------------------------------------------ data quality
-from martline.operators.drift import first_present  # noqa: E402
 from martline.plans import quality as dq  # noqa: E402
 
 DQ_TABLES = ("fact_paid_social_daily", "fact_web_analytics_events", "fact_web_analytics_daily",
@@ -312,12 +312,8 @@ def q_dq_empty_cols(spark, d):
 
 
 def _paid_raw(spark, d):
-    parts = views.paid_parts(spark, d)
-    out = None
-    for name in sorted(parts):
-        p = parts[name].select(first_present(parts[name], ["spend_usd", "spend"], "spend"))
-        out = p if out is None else out.unionByName(p)
-    return out
+    """Raw paid spend: each extract's own spend column (spend_usd where it has one, P14)."""
+    return views.paid_raw(spark, d).select(F.coalesce("spend_usd", "spend").alias("spend"))
 
 
 @query("dq_reconcile")
@@ -437,7 +433,18 @@ def q_overlap_report(spark, d):
 @query("inventory")
 def q_inventory(spark, d):
     """One row per raw extract: stream, rows, columns, date range."""
-    srcs = {f"paid_{k}": (v, "date") for k, v in views.paid_parts(spark, d).items()}
+    paid = views.paid_raw(spark, d)
+    pcols = views.paid_file_columns()
+    paid_inv = paid.groupBy("_file").agg(F.count(F.lit(1)).alias("n_rows"), F.min("date").alias("min_date"),
+                                         F.max("date").alias("max_date"))
+    ncols = None
+    for f in sorted(pcols):
+        ncols = (F.when(F.col("_file") == f, F.lit(len(pcols[f]))) if ncols is None
+                 else ncols.when(F.col("_file") == f, F.lit(len(pcols[f]))))
+    out = paid_inv.select(F.concat(F.lit("paid_"), F.col("_file")).alias("file"),
+                          profile.classify_stream(F.concat(F.lit("paid_"), F.col("_file"))).alias("stream"),
+                          "n_rows", ncols.alias("n_columns"), "min_date", "max_date")
+    srcs = {}
     parts = views.v_web_parts(spark, d)
     for tag in ("web_a", "web_b"):
         srcs[f"{tag}_web_traffic"] = (parts.where(F.col("_source") == tag).drop("_source"), "event_datetime")
@@ -445,14 +452,13 @@ def q_inventory(spark, d):
     srcs["podcast_mentions"] = (views.v_mentions(spark, d), "mention_datetime")
     srcs["tiktok_owned_posts"] = (views.v_posts(spark, d), "date")
     srcs["ooh_weekly"] = (views.v_ooh_weekly(spark, d), "week_start_date")
-    out = None
     for name in sorted(srcs):
         df, dc = srcs[name]
         r = df.agg(F.count(F.lit(1)).alias("n_rows"), F.min(F.to_date(dc)).alias("min_date"),
                    F.max(F.to_date(dc)).alias("max_date")).select(
             F.lit(name).alias("file"), profile.classify_stream(F.lit(name)).alias("stream"), "n_rows",
             F.lit(len(df.columns)).alias("n_columns"), "min_date", "max_date")
-        out = r if out is None else out.unionByName(r)
+        out = out.unionByName(r)
     return out
 
 

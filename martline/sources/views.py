@@ -123,13 +123,16 @@ def v_web(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_web_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two overlapping extracts of the web stream, tagged in ``_source``."""
+    """Two overlapping extracts of the web stream, tagged in ``_source``.
+
+    One scan: each event is emitted once per extract whose period covers it
+    (twice inside the overlap window).
+    """
     w = v_web(spark, sf_dir)
-    a = w.filter(F.col("event_datetime") < F.lit(WEB_A_END).cast("timestamp_ntz")) \
-         .withColumn("_source", F.lit("web_a"))
-    b = w.filter(F.col("event_datetime") >= F.lit(WEB_B_START).cast("timestamp_ntz")) \
-         .withColumn("_source", F.lit("web_b"))
-    return a.unionByName(b)
+    ts = F.col("event_datetime")
+    tags = F.array_compact(F.array(F.when(ts < F.lit(WEB_A_END).cast("timestamp_ntz"), F.lit("web_a")),
+                                   F.when(ts >= F.lit(WEB_B_START).cast("timestamp_ntz"), F.lit("web_b"))))
+    return w.withColumn("_source", F.explode(tags))
 
 
 def v_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,22 +228,50 @@ def paid_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PAID_FILES = tuple(f"{p.lower()}_part{i}" for p in PLATFORMS for i in (1, 2, 3))
+PAID_STANDARD = ("date", "channel", "campaign_name", "campaign_id", "dma_name", "state", "optimization_goal",
+                 "spend", "impressions", "clicks", "video_views", "video_25pct", "video_50pct", "video_75pct",
+                 "video_completes", "age_target", "audience_segment")
+# Fixed values of the synthetic mapping: the three drifted extracts
+# (renamed columns, added columns, omitted columns).
+PAID_DRIFT = {
+    "instagram_part3": ({"spend": "spend_usd"}, ("spend_currency",), ()),
+    "pinterest_part1": ({"clicks": "link_clicks"}, (), ("video_25pct", "video_50pct")),
+    "tiktok_part2": ({"video_views": "views"}, (), ("optimization_goal",)),
+}
+
+
+def paid_file_columns() -> dict[str, list[str]]:
+    """Header of each paid extract (schema metadata)."""
+    out = {}
+    for f in PAID_FILES:
+        ren, add, omit = PAID_DRIFT.get(f, ({}, (), ()))
+        out[f] = [ren.get(c, c) for c in PAID_STANDARD if c not in omit] + list(add)
+    return out
+
+
+def paid_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nine paid extracts as one frame tagged by ``_file`` with the union of
+    their headers: a column holds values only on rows of extracts that have it
+    (what a by-name union of the files gives).  Built in one scan."""
+    base = paid_base(spark, sf_dir)
+    f = F.col("_file")
+    cols = {c: F.col(c) for c in PAID_STANDARD}
+    for name, (ren, add, omit) in PAID_DRIFT.items():
+        for old, new in ren.items():
+            cols[new] = F.when(f == name, cols[old])
+            cols[old] = F.when(f != name, cols[old])
+        for c in omit:
+            cols[c] = F.when(f != name, cols[c])
+        for c in add:
+            cols[c] = F.when(f == name, F.lit("USD") if c == "spend_currency" else F.lit(None))
+    return base.select("_file", *[e.alias(c) for c, e in cols.items()])
 
 
 def paid_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The nine paid-social extracts, three of them with the drifted schemas."""
-    base = paid_base(spark, sf_dir)
-    parts = {}
-    for name in PAID_FILES:
-        df = base.filter(F.col("_file") == name).drop("_file")
-        if name == "instagram_part3":
-            df = df.withColumnRenamed("spend", "spend_usd").withColumn("spend_currency", F.lit("USD"))
-        elif name == "pinterest_part1":
-            df = df.withColumnRenamed("clicks", "link_clicks").drop("video_25pct", "video_50pct")
-        elif name == "tiktok_part2":
-            df = df.withColumnRenamed("video_views", "views").drop("optimization_goal")
-        parts[name] = df
-    return parts
+    """The nine paid-social extracts as separate frames, each with its own header."""
+    raw = paid_raw(spark, sf_dir)
+    return {name: raw.where(F.col("_file") == name).select(*cols)
+            for name, cols in paid_file_columns().items()}
 
 
 # --------------------------------------------------------------------- OOH
