@@ -193,3 +193,25 @@ def stable_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) ->
     h = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
     return df.withColumn("_h", h).orderBy("_h", *keys).limit(n).drop("_h")
 
+
+
+def distinct_values(tables: Mapping[str, DataFrame], col: str) -> DataFrame:
+    """Sorted-unique inventory of a column per table, as rows (no collected arrays)."""
+    u = tagged_union(tables, [col], "table_name")
+    return u.where(F.col(col).isNotNull()).groupBy("table_name", col).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def missing_dates(spine: DataFrame, streams: Mapping[str, DataFrame], date_col: str = "date") -> DataFrame:
+    """For each stream, spine dates inside the stream's own range that it lacks
+    (anti join of the spine against the stream's distinct dates)."""
+    u = tagged_union(streams, [date_col], "stream").select("stream", F.to_date(date_col).alias("date")).distinct()
+    rng = u.groupBy("stream").agg(F.min("date").alias("_s"), F.max("date").alias("_e"))
+    grid = spine.select(F.col(date_col).alias("date")).join(
+        F.broadcast(rng), F.col("date").between(F.col("_s"), F.col("_e")))
+    return grid.join(u, ["stream", "date"], "left_anti").select("stream", "date")
+
+
+def airport_inventory(weekly: DataFrame) -> DataFrame:
+    """Each airport code with its most recent name and its number of weeks."""
+    return weekly.groupBy("airport_code").agg(F.max_by("airport_name", "week_start_date").alias("airport_name"),
+                                              F.count(F.lit(1)).alias("weeks"))

@@ -181,3 +181,22 @@ def overlap_report(df: DataFrame, file_col: str, date_col: str) -> DataFrame:
     b = pairs.join(daily, (F.col("_f") == F.col("file_b")) & F.col("_d").between(F.col("overlap_start"), F.col("overlap_end")), "left") \
         .groupBy("file_a", "file_b").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_b"))
     return a.join(b, ["file_a", "file_b"])
+
+
+def detect_date_columns(df: DataFrame, sample: int = 50, cols: Sequence[str] | None = None) -> DataFrame:
+    """String columns whose first ``sample`` non-null values all parse as timestamps.
+
+    Each column contributes one limited sub-plan (``where not null`` +
+    ``limit``), so only ``sample`` rows per column are read past the filter;
+    all sub-plans run as one job through a union.
+    """
+    cols = list(cols or [c for c, t in df.dtypes if t == "string"])
+    out = None
+    for c in cols:
+        s = df.select(F.col(c).alias("v")).where(F.col("v").isNotNull()).limit(sample)
+        r = s.agg(F.count(F.lit(1)).alias("sampled"),
+                  F.count_if(F.try_to_timestamp(F.col("v")).isNull()).alias("unparsed")).select(
+            F.lit(c).alias("column_name"), "sampled",
+            ((F.col("sampled") > 0) & (F.col("unparsed") == 0)).alias("is_date"))
+        out = r if out is None else out.unionByName(r)
+    return out

@@ -168,3 +168,11 @@ def suite_summary(results: DataFrame) -> DataFrame:
     by = results.groupBy("status").agg(F.count(F.lit(1)).alias("checks"))
     total = results.agg(F.count(F.lit(1)).alias("checks")).select(F.lit("TOTAL").alias("status"), "checks")
     return by.unionByName(total)
+
+
+def assert_date_range(df: DataFrame, date_col: str, start: str, end: str) -> tuple:
+    """Q3, raising variant: one aggregate job; raises ValueError when out of bounds."""
+    r = df.agg(F.min(F.to_date(date_col)).alias("mn"), F.max(F.to_date(date_col)).alias("mx")).collect()[0]
+    if r.mn is None or str(r.mn) < start or str(r.mx) > end:
+        raise ValueError(f"Date range violation: {r.mn} to {r.mx} (expected {start} to {end})")
+    return r.mn, r.mx

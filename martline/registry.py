@@ -605,3 +605,36 @@ def q_sentiment_shares(spark, d):
 @query("stable_sample")
 def q_stable_sample(spark, d):
     return explore.stable_sample(wh.ecommerce_transactions(spark, d), ["order_id", "product_category", "quantity"], 20)
+
+
+@query("distinct_values")
+def q_distinct_values(spark, d):
+    """Product categories seen in the transactions and in the daily fact."""
+    return explore.distinct_values({"fact_ecommerce_transactions": wh.transactions_clean(spark, d),
+                                    "fact_ecommerce_daily": wh.ecommerce_daily(spark, d)}, "product_category")
+
+
+@query("missing_dates")
+def q_missing_dates(spark, d):
+    spine = wh.date_spine(spark, d)
+    return explore.missing_dates(spine, {n: wh.table_by_name(spark, d, n) for n in DAILY_FACTS})
+
+
+@query("duplicate_rows")
+def q_duplicate_rows(spark, d):
+    """Full-row duplicates across the two raw web extracts (the overlap window)."""
+    from martline.operators.sets import duplicate_rows
+    return duplicate_rows(views.v_web_parts(spark, d).drop("_source"))
+
+
+@query("date_columns")
+def q_date_columns(spark, d):
+    """Which columns of the raw transactions (read untyped, as strings) hold dates."""
+    raw = views.v_txn(spark, d).select("order_datetime", "order_id", "dma_name", "product_category", "size")
+    untyped = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+    return profile.detect_date_columns(untyped)
+
+
+@query("airport_inventory")
+def q_airport_inventory(spark, d):
+    return explore.airport_inventory(views.v_ooh_weekly(spark, d))

@@ -932,3 +932,25 @@ FROM (SELECT podcast_name, CAST(estimated_impressions AS DOUBLE) AS v FROM v_men
 
 Q["sentiment_shares"] = """SELECT sentiment, count(*) AS n, round(CAST(count(*) AS DOUBLE) * 100.0 / sum(count(*)) OVER (), 2) AS pct
 FROM v_mentions WHERE sentiment IS NOT NULL GROUP BY sentiment"""
+
+
+Q["distinct_values"] = """SELECT 'fact_ecommerce_transactions' AS table_name, product_category, count(*) AS n_rows FROM v_txn
+  WHERE product_category IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'fact_ecommerce_daily', product_category, count(*) FROM ecommerce_daily
+  WHERE product_category IS NOT NULL GROUP BY 2"""
+
+Q["missing_dates"] = """, u AS (""" + _u(
+    f"SELECT DISTINCT '{n}' AS stream, CAST(date AS DATE) AS date FROM {DQ_CTE[n]}" for n in _DAILY) + """),
+rng AS (SELECT stream, min(date) AS s, max(date) AS e FROM u GROUP BY stream)
+SELECT r.stream, d.date FROM date_dim d JOIN rng r ON d.date BETWEEN r.s AND r.e
+WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.stream = r.stream AND u.date = d.date)"""
+
+Q["duplicate_rows"] = "SELECT " + ", ".join(_WCOLS) + ", count(*) AS count FROM v_web_parts GROUP BY ALL HAVING count(*) > 1"
+
+Q["date_columns"] = _u(
+    f"""SELECT '{c}' AS column_name, count(*) AS sampled, count(*) > 0 AND count(*) FILTER (WHERE TRY_CAST(v AS TIMESTAMP) IS NULL) = 0 AS is_date
+FROM (SELECT CAST({c} AS VARCHAR) AS v FROM v_txn WHERE {c} IS NOT NULL LIMIT 50) t"""
+    for c in ["order_datetime", "order_id", "dma_name", "product_category", "size"])
+
+Q["airport_inventory"] = """SELECT airport_code, arg_max(airport_name, week_start_date) AS airport_name, count(*) AS weeks
+FROM v_ooh_weekly GROUP BY airport_code"""
