@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martline.session import per_session
+
 from martline.plans import dims, facts
 from martline.sources import files, views
 
@@ -12,52 +14,64 @@ WEB_DROP_SOURCE = "web_b"
 WEB_OVERLAP = (views.WEB_B_START, "1998-01-20")  # inclusive dates of web_b to drop
 
 
+@per_session
 def transactions_clean(spark: SparkSession, d: str) -> DataFrame:
     return facts.ecommerce_clean(views.v_txn(spark, d))
 
 
+@per_session
 def ecommerce_transactions(spark: SparkSession, d: str) -> DataFrame:
     return facts.ecommerce_transactions(transactions_clean(spark, d))
 
 
+@per_session
 def ecommerce_daily(spark: SparkSession, d: str) -> DataFrame:
     return facts.ecommerce_daily(transactions_clean(spark, d))
 
 
+@per_session
 def web_events(spark: SparkSession, d: str) -> DataFrame:
     return facts.web_events(views.v_web_parts(spark, d), "_source", WEB_DROP_SOURCE, *WEB_OVERLAP)
 
 
+@per_session
 def web_daily(spark: SparkSession, d: str) -> DataFrame:
     return facts.web_daily(web_events(spark, d))
 
 
+@per_session
 def paid_social(spark: SparkSession, d: str) -> DataFrame:
     return facts.paid_social_daily(views.paid_raw(spark, d))
 
 
+@per_session
 def organic_daily(spark: SparkSession, d: str) -> DataFrame:
     return facts.organic_daily(views.v_posts(spark, d))
 
 
+@per_session
 def podcast_daily(spark: SparkSession, d: str) -> DataFrame:
     return facts.podcast_daily(views.v_mentions(spark, d))
 
 
+@per_session
 def airport_lookup(spark: SparkSession, d: str) -> DataFrame:
     return files.airport_lookup(views.airports_raw(spark, d), views.wanted_airports(spark, d))
 
 
+@per_session
 def ooh_daily(spark: SparkSession, d: str) -> DataFrame:
     return facts.ooh_daily(views.v_ooh_weekly(spark, d), airport_lookup(spark, d))
 
 
+@per_session
 def date_spine(spark: SparkSession, d: str) -> DataFrame:
     """dim_date over the span of the transaction stream."""
     li = views.table(spark, d, "lineitem").select(F.to_date("l_shipdate").alias("date"))
     return dims.date_dim_for(li, "date")
 
 
+@per_session
 def geography(spark: SparkSession, d: str) -> DataFrame:
     txn = views.v_txn(spark, d).select("dma_name", "state")
     web = views.v_web(spark, d).select("dma_name", "state")
@@ -66,10 +80,12 @@ def geography(spark: SparkSession, d: str) -> DataFrame:
                               airport_lookup(spark, d), views.v_mentions(spark, d))
 
 
+@per_session
 def ooh_totals(spark: SparkSession, d: str) -> DataFrame:
     return facts.ooh_daily_totals(views.v_ooh_weekly(spark, d))
 
 
+@per_session
 def cross_channel(spark: SparkSession, d: str) -> DataFrame:
     """N1 over the whole warehouse."""
     from martline.plans import marts

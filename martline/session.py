@@ -40,6 +40,27 @@ def build_session(master: str = "local[8]", app: str = "martline",
     return spark
 
 
+def per_session(fn):
+    """Memoise a plan builder ``fn(spark, *args)`` per session.
+
+    DataFrames are immutable plan descriptions, so reusing the object a view
+    or fact builder returned is safe; nothing is cached as data (every action
+    still runs the whole plan).  It only saves rebuilding the same plan
+    through the Python<->JVM bridge when several queries share it.
+    """
+    memo: dict = {}
+
+    def wrapper(spark: SparkSession, *args):
+        key = (id(spark), spark.sparkContext.applicationId, args)
+        if key not in memo:
+            memo[key] = fn(spark, *args)
+        return memo[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    wrapper.__wrapped__ = fn
+    return wrapper
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the cluster's checkpoint folder (``spark.checkpoint.dir``).
 

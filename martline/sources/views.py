@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martline.session import per_session
+
 from martline.functions.numeric import MONEY
 
 # Fixed values of the synthetic mapping (not reference data):
@@ -35,8 +37,18 @@ WEB_A_END = "1998-01-21"
 WEB_B_START = "1998-01-15"
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The driver's parquet table; the resolved reader is reused per session so
+    footers and schemas are read once, not once per query branch."""
+    key = (id(spark), spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    df = _TABLES.get(key)
+    if df is None:
+        df = spark.read.parquet(key[2])
+        _TABLES[key] = df
+    return df
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +61,7 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------- ecommerce
+@per_session
 def v_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ecommerce transaction lines (raw stream of T4/T5), money as DECIMAL(18,2)."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -85,6 +98,7 @@ def v_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------- events
+@per_session
 def events_shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(
@@ -95,6 +109,7 @@ def events_shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
 def v_web(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All page views once (the clean event stream)."""
     e = events_shifted(spark, sf_dir)
@@ -122,6 +137,7 @@ def v_web(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
 def v_web_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two overlapping extracts of the web stream, tagged in ``_source``.
 
@@ -135,6 +151,7 @@ def v_web_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.withColumn("_source", F.explode(tags))
 
 
+@per_session
 def v_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Organic social posts."""
     e = events_shifted(spark, sf_dir)
@@ -165,6 +182,7 @@ SHOW_BY_EVENT = (
 )
 
 
+@per_session
 def v_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Podcast mentions."""
     e = events_shifted(spark, sf_dir)
@@ -194,6 +212,7 @@ THEMES = ("Always On", "BTS Moms", "Teen Trends")
 GOALS = ("awareness", "conversions", "traffic")
 
 
+@per_session
 def paid_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Undrifted paid-social table at its grain (date, channel, campaign_id, dma_name)."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -249,6 +268,7 @@ def paid_file_columns() -> dict[str, list[str]]:
     return out
 
 
+@per_session
 def paid_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nine paid extracts as one frame tagged by ``_file`` with the union of
     their headers: a column holds values only on rows of extracts that have it
@@ -275,6 +295,7 @@ def paid_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 # --------------------------------------------------------------------- OOH
+@per_session
 def v_ooh_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly airport placements at (week_start_date, airport_code, format, audience_segment)."""
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
@@ -294,6 +315,7 @@ def v_ooh_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
         "spend", "impressions", "placements")
 
 
+@per_session
 def airports_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Open airport list: padded codes, ISO region 'US-<n>' or a bare region."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
@@ -308,6 +330,7 @@ def airports_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("US").alias("iso_country"))
 
 
+@per_session
 def wanted_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes the lookup is restricted to: every supplier code except keys divisible by 5."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey")
