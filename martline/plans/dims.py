@@ -12,7 +12,7 @@ from martline.functions import dates as fd
 from martline.functions.text import contains_any
 from martline.operators.joins import lookup_first
 from martline.operators.sets import distinct_pairs
-from martline.operators.windows import surrogate_key
+from martline.operators.quantiles import surrogate_key
 
 # Keywords that mark a show name as Georgia-based (case-sensitive
 # substrings), and the state they imply.
@@ -107,8 +107,8 @@ def geography_dim(local_sources: Sequence[DataFrame], airports: DataFrame, looku
     * national: distinct airports of the OOH stream, state by first lookup
       match (J3), in order of first appearance (earliest week, then code).
     * inferred: one row per show name, state from the keyword rule.
-    ``geo_key`` numbers the union in that order (W7).  The union holds one
-    row per distinct geography, so the final numbering window is small.
+    ``geo_key`` numbers the union in that order (W7), in parallel over
+    ordered ranges (the airport list grows with the data).
     """
     s = T.StringType()
     local = distinct_pairs(local_sources, ["dma_name", "state"]).where(

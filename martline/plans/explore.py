@@ -140,15 +140,13 @@ def spine_coverage(streams: Mapping[str, DataFrame], date_col: str = "date") ->
 
 
 def near_match(values: DataFrame, value_col: str, norm: Column | None = None) -> DataFrame:
-    """Normalised keys shared by more than one distinct raw value."""
+    """Raw values whose normalised key is shared by more than one distinct raw value."""
     key = norm if norm is not None else normalise_key(F.col(value_col))
     d = values.select(F.col(value_col).alias("raw"), key.alias("norm_key")).where(F.col("raw").isNotNull())
     g = d.groupBy("norm_key", "raw").agg(F.count(F.lit(1)).alias("_n"))
-    out = g.groupBy("norm_key").agg(F.count(F.lit(1)).alias("variants"),
-                                    F.array_sort(F.collect_list("raw")).alias("_v"),
-                                    F.sum("_n").alias("n_rows"))
-    return out.where(F.col("variants") > 1).select("norm_key", "variants", F.concat_ws("|", "_v").alias("raw_values"),
-                                                   "n_rows")
+    # one row per raw variant (no per-key list: a key may gather many variants)
+    variants = g.groupBy("norm_key").agg(F.count(F.lit(1)).alias("variants")).where(F.col("variants") > 1)
+    return g.join(variants, "norm_key").select("norm_key", "raw", "variants", F.col("_n").alias("n_rows"))
 
 
 def value_presence(streams: Mapping[str, DataFrame], value_col: str) -> DataFrame:
@@ -177,11 +175,14 @@ def geo_signals(mentions: DataFrame, terms: DataFrame) -> DataFrame:
 
 def metric_distribution(df: DataFrame, group: str, metric: str, digits: int = 2) -> DataFrame:
     """Count, min, max, mean, median and sample stdev per group."""
+    from martline.operators.quantiles import exact_median
     v = F.col(metric).cast("double")
-    return df.groupBy(group).agg(
+    stats = df.groupBy(group).agg(
         F.count(v).alias("n"), F.round(F.min(v), digits).alias("min"), F.round(F.max(v), digits).alias("max"),
-        F.round(F.avg(v), digits).alias("mean"), F.round(F.median(v), digits).alias("median"),
-        F.round(F.stddev_samp(v), digits).alias("stdev"))
+        F.round(F.avg(v), digits).alias("mean"), F.round(F.stddev_samp(v), digits).alias("stdev"))
+    med = exact_median(df, [group], metric, "_med")
+    return stats.join(med, group, "left").select(group, "n", "min", "max", "mean",
+                                                 F.round("_med", digits).alias("median"), "stdev")
 
 
 def stable_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:

@@ -95,12 +95,20 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None, digits: in
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),
                                                   F.col(c).cast("double").alias("v")) for c in cols])).alias("_u")
                      ).select("_u.column_name", "_u.v")
-    med = F.median("v") if exact_median else F.percentile_approx("v", 0.5, 10000)
-    return long.groupBy("column_name").agg(
+    stats = long.groupBy("column_name").agg(
         F.count("v").alias("non_null"),
         F.round(F.min("v"), digits).alias("min"), F.round(F.max("v"), digits).alias("max"),
-        F.round(F.avg("v"), digits).alias("mean"), F.round(med, digits).alias("median"),
+        F.round(F.avg("v"), digits).alias("mean"),
         F.round(F.stddev_samp("v"), digits).alias("stdev"))
+    if exact_median:
+        from martline.operators.quantiles import exact_median as _em
+        med = _em(long, ["column_name"], "v", "_med")
+        out = stats.join(med, "column_name", "left")
+    else:
+        out = stats.join(long.groupBy("column_name").agg(F.percentile_approx("v", 0.5, 10000).alias("_med")),
+                         "column_name", "left")
+    return out.select("column_name", "non_null", "min", "max", "mean", F.round("_med", digits).alias("median"),
+                      "stdev")
 
 
 def column_profile(df: DataFrame, digits: int = 2) -> DataFrame:

@@ -211,7 +211,7 @@ V["local_geo"] = """local_geo AS (
   WHERE dma_name IS NOT NULL OR state IS NOT NULL)"""
 
 V["geo_local"] = """geo_local AS (
-  SELECT CAST(row_number() OVER (ORDER BY dma_name NULLS LAST, state NULLS LAST) AS INTEGER) AS geo_key, dma_name, state
+  SELECT row_number() OVER (ORDER BY dma_name NULLS LAST, state NULLS LAST) AS geo_key, dma_name, state
   FROM local_geo)"""
 
 V["ch"] = """ch AS (
@@ -428,12 +428,12 @@ allg AS (
                             OR contains(podcast_name, 'Peach State') THEN 'GA' END,
          NULL, NULL, NULL, 'inferred', NULL, podcast_name, NULL
   FROM (SELECT DISTINCT podcast_name FROM v_mentions WHERE podcast_name IS NOT NULL) s)
-SELECT CAST(row_number() OVER (ORDER BY _scope, _first NULLS FIRST, _k1 NULLS LAST, _k2 NULLS LAST) AS INTEGER) AS geo_key,
+SELECT row_number() OVER (ORDER BY _scope, _first NULLS FIRST, _k1 NULLS LAST, _k2 NULLS LAST) AS geo_key,
   dma_name, state, zip_code, airport_code, airport_name, geo_scope
 FROM allg)"""
 Q["geography_dim"] = "SELECT * FROM geography"
 
-V["shows"] = """shows AS (SELECT CAST(row_number() OVER (ORDER BY podcast_name) AS INTEGER) AS podcast_key, podcast_name,
+V["shows"] = """shows AS (SELECT row_number() OVER (ORDER BY podcast_name) AS podcast_key, podcast_name,
   CASE WHEN hit THEN 'explicit' ELSE 'unknown' END AS geo_inferred, CASE WHEN hit THEN 'GA' END AS geo_state
 FROM (SELECT DISTINCT podcast_name,
         (contains(podcast_name, 'GA') OR contains(podcast_name, 'ATL') OR contains(podcast_name, 'Peach State')) AS hit
@@ -897,9 +897,9 @@ FROM (SELECT 'paid_social' AS stream, dma_name FROM paid_base UNION ALL SELECT '
 
 Q["near_match"] = r""", d AS (SELECT host AS raw, regexp_replace(regexp_replace(lower(trim(host)), '^(www|m|blog)\.', ''), '\.(com|net|org)$', '') AS norm_key
            FROM (SELECT regexp_extract(url, '://([^/]+)', 1) AS host FROM pages) h WHERE host IS NOT NULL),
-g AS (SELECT norm_key, raw, count(*) AS n FROM d GROUP BY 1, 2)
-SELECT norm_key, count(*) AS variants, string_agg(raw, '|' ORDER BY raw) AS raw_values, CAST(sum(n) AS BIGINT) AS n_rows
-FROM g GROUP BY norm_key HAVING count(*) > 1"""
+g AS (SELECT norm_key, raw, count(*) AS n FROM d GROUP BY 1, 2),
+v AS (SELECT norm_key, count(*) AS variants FROM g GROUP BY norm_key HAVING count(*) > 1)
+SELECT g.norm_key, g.raw, v.variants, g.n AS n_rows FROM g JOIN v ON g.norm_key = v.norm_key"""
 
 Q["state_format"] = """SELECT stream, state, count(*) AS n_rows, coalesce(regexp_matches(state, '^[A-Z]{2}$'), false) AS is_code
 FROM (SELECT 'paid_social' AS stream, state FROM paid_base UNION ALL SELECT 'web', state FROM v_web

@@ -192,3 +192,31 @@ def test_sized_join_broadcasts_small_side_only(spark):
     assert "broadcast" in plan.lower()
     plan2 = joins.sized_join(big, small, "k", limit_bytes=1)._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" not in plan2.lower()
+
+
+def test_exact_median_matches_numpy_with_skew(spark):
+    import numpy as np
+    from martline.operators.quantiles import exact_median
+    rng = random.Random(11)
+    rows = [("hot", float(rng.randint(0, 40))) for _ in range(3000)]          # one dominant group, many ties
+    rows += [("odd", float(v)) for v in (5, 1, 9)] + [("even", float(v)) for v in (4, 1, 3, 10)]
+    rows += [("nulls", None), ("nulls", 2.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.median for r in exact_median(df, ["g"], "v", partitions=7).collect()}
+    for g in ("hot", "odd", "even", "nulls"):
+        vals = [v for k, v in rows if k == g and v is not None]
+        assert math.isclose(got[g], float(np.median(vals))), g
+    whole = exact_median(df.where("g = 'hot'"), [], "v", partitions=5).collect()[0].median
+    assert math.isclose(whole, float(np.median([v for k, v in rows if k == "hot"])))
+
+
+def test_distributed_surrogate_key_equals_row_number(spark):
+    from pyspark.sql import Window
+    from martline.operators.quantiles import surrogate_key
+    rng = random.Random(5)
+    rows = [(rng.randint(0, 3), f"n{rng.randint(0, 10**6):07d}", i) for i in range(500)]
+    df = spark.createDataFrame(rows, "scope int, name string, id int")
+    order = [F.col("scope"), F.col("name").asc_nulls_last(), F.col("id")]
+    got = {r.id: r.key for r in surrogate_key(df, order, "key", partitions=6).collect()}
+    ref = {r.id: r.k for r in df.withColumn("k", F.row_number().over(Window.orderBy(*order))).collect()}
+    assert got == ref
