@@ -53,10 +53,15 @@ def spine_join(spine: DataFrame, rollups: Sequence[DataFrame], key: str = "date"
 
 def lookup_first(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str,
                  order_cols: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
-    """Left join to the first lookup row per key (null when none)."""
+    """Left join to the first lookup row per key (null when none).
+
+    The value columns are appended to the ordering so ties resolve the same
+    way on every run (and on recomputation after a lost executor).
+    """
+    order = F.struct(*[F.col(o) for o in order_cols], *[F.col(v) for v in value_cols])
     first = (lookup.groupBy(right_key)
-             .agg(*[F.min_by(F.col(v), F.struct(*[F.col(o) for o in order_cols])).alias(v)
-                    for v in value_cols]))
+             .agg(F.min_by(F.struct(*[F.col(v) for v in value_cols]), order).alias("_first"))
+             .select(right_key, *[F.col("_first." + v).alias(v) for v in value_cols]))
     first = first.withColumnRenamed(right_key, "_lk")
     out = sized_join(df, first, F.col(left_key) == F.col("_lk"), "left")
     return out.drop("_lk")

@@ -45,8 +45,9 @@ def _metric(kind: str, col: str | None, order_by: Sequence[str] | None, dtype: s
     if kind == "first":
         if not order_by:
             raise ValueError("'first' needs order_by (row order is not defined in Spark)")
-        key = F.struct(*[F.col(o) for o in order_by])
-        # first non-null in order: rows with a null value are skipped
+        # first non-null in order (rows with a null value are skipped); the
+        # value itself breaks ties so the choice is the same on every run
+        key = F.struct(*[F.col(o) for o in order_by], c.alias("_tie"))
         return F.min_by(c, F.when(c.isNotNull(), key))
     raise ValueError(f"unknown metric kind {kind!r}")
 

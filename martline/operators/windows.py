@@ -1,4 +1,4 @@
-"""Ordered/window operators.
+"""Ordered/window operators (W1-W6; surrogate keys W7 are in ``quantiles``).
 
 These run on daily series (one row per day, or per entity-day).  Without a
 ``partition`` the window sorts the whole input in one task, so callers apply
@@ -65,9 +65,3 @@ def day_gaps(dates: DataFrame, date_col: str = "date", partition: Sequence[str]
     d = dates.select(*partition, F.col(date_col)).where(F.col(date_col).isNotNull()).distinct()
     w = (Window.partitionBy(*partition) if partition else Window).orderBy(F.col(date_col))
     return d.withColumn("gap", F.datediff(F.col(date_col), F.lag(F.col(date_col)).over(w)))
-
-
-def surrogate_key(df: DataFrame, order_cols: Sequence, out: str = "key") -> DataFrame:
-    """1..n over an explicit order (for small dimension tables only)."""
-    w = Window.orderBy(*order_cols)
-    return df.withColumn(out, F.row_number().over(w))

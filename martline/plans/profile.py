@@ -111,18 +111,33 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None, digits: in
                       "stdev")
 
 
-def column_profile(df: DataFrame, digits: int = 2) -> DataFrame:
+def column_profile(df: DataFrame, digits: int = 2, exact: bool = True) -> DataFrame:
     """Per column role, null count and percent, distinct count.
 
     Every column is cast to string and unpivoted into ``(column_name,
-    value)``; one grouped aggregate gives counts for all columns.  Roles
-    follow the column type (date/timestamp -> date, numeric -> numeric, else
-    categorical).
+    value)``; one grouped aggregate gives counts for all columns (the
+    distinct count shuffles by (column, value), so a hot column is spread by
+    its values).  ``exact=False`` instead computes one ``approx_count_distinct``
+    (HyperLogLog, ~1% error) per column in a single pass with no value shuffle,
+    for very wide or very large tables.  Roles follow the column type
+    (date/timestamp -> date, numeric -> numeric, else categorical).
     """
     roles = {}
     for c, t in df.dtypes:
         roles[c] = "date" if t in ("date", "timestamp", "timestamp_ntz") else (
             "numeric" if t in NUMERIC or t.startswith("decimal") else "categorical")
+    if not exact:
+        aggs = []
+        for c in df.columns:
+            aggs += [F.count_if(F.col(c).isNull()).alias(c + "__nulls"),
+                     F.approx_count_distinct(F.col(c)).alias(c + "__nd")]
+        wide = df.agg(F.count(F.lit(1)).alias("_rows"), *aggs)
+        arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(roles[c]).alias("role"),
+                                 F.col(c + "__nulls").alias("nulls"), F.col(c + "__nd").alias("n_unique"))
+                        for c in df.columns])
+        long = wide.select("_rows", F.explode(arr).alias("_u")).select("_rows", "_u.*")
+        return long.select("column_name", "role", F.col("_rows").alias("rows"), "nulls",
+                           F.round(F.col("nulls") * 100.0 / F.col("_rows"), digits).alias("null_pct"), "n_unique")
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),
                                                   F.col(c).cast("string").alias("v")) for c in df.columns])
                                ).alias("_u")).select("_u.column_name", "_u.v")

@@ -220,3 +220,12 @@ def test_distributed_surrogate_key_equals_row_number(spark):
     got = {r.id: r.key for r in surrogate_key(df, order, "key", partitions=6).collect()}
     ref = {r.id: r.k for r in df.withColumn("k", F.row_number().over(Window.orderBy(*order))).collect()}
     assert got == ref
+
+
+def test_column_profile_exact_and_approx_agree_on_small_data(spark):
+    from martline.plans.profile import column_profile
+    df = spark.createDataFrame([(1, "a", None), (2, "a", dt.date(2024, 1, 1)), (2, None, dt.date(2024, 1, 2))],
+                               "n int, s string, d date")
+    ex = {r.column_name: (r.role, r.rows, r.nulls, r.n_unique) for r in column_profile(df).collect()}
+    ap = {r.column_name: (r.role, r.rows, r.nulls, r.n_unique) for r in column_profile(df, exact=False).collect()}
+    assert ex == ap == {"n": ("numeric", 3, 0, 2), "s": ("categorical", 3, 1, 1), "d": ("date", 3, 1, 2)}
