@@ -216,3 +216,9 @@ def airport_inventory(weekly: DataFrame) -> DataFrame:
     """Each airport code with its most recent name and its number of weeks."""
     return weekly.groupBy("airport_code").agg(F.max_by("airport_name", "week_start_date").alias("airport_name"),
                                               F.count(F.lit(1)).alias("weeks"))
+
+
+def id_name_map(df: DataFrame, id_col: str, name_col: str) -> DataFrame:
+    """Each id with its name (latest by name order) and how many distinct names it carries."""
+    return df.groupBy(id_col).agg(F.max(name_col).alias(name_col), F.count_distinct(name_col).alias("names"),
+                                  F.count(F.lit(1)).alias("n_rows"))

@@ -638,3 +638,9 @@ def q_date_columns(spark, d):
 @query("airport_inventory")
 def q_airport_inventory(spark, d):
     return explore.airport_inventory(views.v_ooh_weekly(spark, d))
+
+
+@query("campaign_ids")
+def q_campaign_ids(spark, d):
+    """Paid campaign id -> name mapping (is it one-to-one?)."""
+    return explore.id_name_map(wh.paid_social(spark, d), "campaign_id", "campaign_name")

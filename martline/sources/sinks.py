@@ -68,3 +68,12 @@ def observe_step(df: DataFrame, name: str, date_col: str | None = None) -> tuple
     if date_col:
         exprs += [F.min(date_col).alias("min_date"), F.max(date_col).alias("max_date")]
     return df.observe(obs, *exprs), obs
+
+
+def export_sorted(df: DataFrame, path: str, sort_cols: Sequence[str], descending: Sequence[str] = (),
+                  fmt: str = "csv") -> None:
+    """O1/O2: export with the reference's row order (ascending, nulls last;
+    listed columns descending).  The global sort is a range-partitioned
+    shuffle and is paid only on export; warehouse tables are written unsorted."""
+    order = [F.col(c).desc_nulls_last() if c in set(descending) else F.col(c).asc_nulls_last() for c in sort_cols]
+    write_table(df.orderBy(*order), path, fmt=fmt)

@@ -954,3 +954,6 @@ FROM (SELECT CAST({c} AS VARCHAR) AS v FROM v_txn WHERE {c} IS NOT NULL LIMIT 50
 
 Q["airport_inventory"] = """SELECT airport_code, arg_max(airport_name, week_start_date) AS airport_name, count(*) AS weeks
 FROM v_ooh_weekly GROUP BY airport_code"""
+
+Q["campaign_ids"] = """SELECT campaign_id, max(campaign_name) AS campaign_name, count(DISTINCT campaign_name) AS names,
+  count(*) AS n_rows FROM paid_social GROUP BY campaign_id"""

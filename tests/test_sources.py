@@ -48,3 +48,16 @@ def test_write_outputs_and_observe(spark, tmp_path):
     assert obs.get["rows"] == 2
     sinks.write_table(clean, str(tmp_path / "by_month"), by_month="date")
     assert sorted(os.listdir(tmp_path / "by_month" / "year=2024")) == ["month=1", "month=2"]
+
+
+def test_publish_and_sorted_export(spark, tmp_path):
+    src = str(tmp_path / "src")
+    spark.createDataFrame([(2, "b"), (None, "c"), (1, "a")], "k int, v string").write.parquet(src)
+    sinks.publish(spark, [(src, str(tmp_path / "dest"))])
+    assert spark.read.parquet(str(tmp_path / "dest")).count() == 3
+    sinks.export_sorted(spark.read.parquet(src), str(tmp_path / "csv"), ["k"])
+    lines = []
+    for f in sorted(os.listdir(tmp_path / "csv")):
+        if f.endswith(".csv"):
+            lines += (tmp_path / "csv" / f).read_text().splitlines()[1:]
+    assert [ln.split(",")[0] for ln in lines] == ["1", "2", '""'] or [ln.split(",")[0] for ln in lines] == ["1", "2", ""]
