@@ -146,11 +146,16 @@ def term_matches(texts: DataFrame, text_col: str, terms: DataFrame) -> DataFrame
 
 
 def interval_pairs(ranges: DataFrame, id_col: str, start_col: str, end_col: str) -> DataFrame:
-    """Pairs i<j of per-file date ranges that overlap, with the overlap window."""
+    """Pairs i<j of per-file date ranges that overlap, with the overlap window.
+
+    ``ranges`` holds one row per file (an aggregate of the data), so its size
+    is bounded by the number of input files, not by the rows: it is
+    broadcast and the non-equi predicate runs as a nested loop over files.
+    """
     a = ranges.select(F.col(id_col).alias("file_a"), F.col(start_col).alias("sa"), F.col(end_col).alias("ea"))
     b = ranges.select(F.col(id_col).alias("file_b"), F.col(start_col).alias("sb"), F.col(end_col).alias("eb"))
     cond = (F.col("file_a") < F.col("file_b")) & (F.col("sa") <= F.col("eb")) & (F.col("sb") <= F.col("ea"))
-    j = sized_join(a, b, cond, "inner")
+    j = a.join(F.broadcast(b), cond, "inner")
     return j.select("file_a", "file_b", F.greatest("sa", "sb").alias("overlap_start"),
                     F.least("ea", "eb").alias("overlap_end"))
 

@@ -25,8 +25,21 @@ def _row(df: DataFrame, check: str, table: str, ok: Column, detail: Column) -> D
                      F.when(ok, "PASS").otherwise("FAIL").alias("status"), detail.cast("string").alias("detail"))
 
 
-def _one(df: DataFrame) -> DataFrame:
-    return df.withColumn("_one", F.lit(1))
+def _combine(parts: Mapping[str, DataFrame]) -> DataFrame:
+    """One row holding several one-row aggregates side by side.
+
+    Each part is a one-row aggregate; every part is widened to all columns
+    (NULL where it has none), the parts are unioned and folded with ``max``.
+    A union and a global aggregate, instead of joins between aggregates.
+    """
+    cols = [(tag, c, t) for tag in sorted(parts) for c, t in parts[tag].dtypes]
+    if len({c for _, c, _ in cols}) != len(cols):
+        raise ValueError("column names must be unique across parts")
+    u = None
+    for tag in sorted(parts):
+        row = parts[tag].select(*[(F.col(c) if t == tag else F.lit(None).cast(dt)).alias(c) for t, c, dt in cols])
+        u = row if u is None else u.unionByName(row)
+    return u.agg(*[F.max(c).alias(c) for _, c, _ in cols])
 
 
 def check_exists(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -59,11 +72,11 @@ def check_grain(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFr
 def check_date_range(tables: Mapping[str, tuple[DataFrame, str]], bounds: DataFrame) -> DataFrame:
     """Q3: min date >= start and max date <= end; ``bounds`` is one row (start, end)."""
     out = None
-    b = _one(bounds.select(F.col(bounds.columns[0]).alias("_s"), F.col(bounds.columns[1]).alias("_e")))
+    b = bounds.select(F.col(bounds.columns[0]).alias("_s"), F.col(bounds.columns[1]).alias("_e"))
     for name in sorted(tables):
         df, col = tables[name]
-        mm = _one(df.agg(F.min(F.to_date(col)).alias("mn"), F.max(F.to_date(col)).alias("mx")))
-        j = mm.join(F.broadcast(b), "_one")
+        mm = df.agg(F.min(F.to_date(col)).alias("mn"), F.max(F.to_date(col)).alias("mx"))
+        j = _combine({"a": mm, "b": b})
         ok = (F.col("mn") >= F.col("_s")) & (F.col("mx") <= F.col("_e"))
         r = _row(j, "date_range", name, F.coalesce(ok, F.lit(False)),
                  F.concat_ws("..", F.col("mn").cast("string"), F.col("mx").cast("string")))
@@ -90,9 +103,8 @@ def check_totals(pairs: Mapping[str, tuple[DataFrame, str, DataFrame, str]], tol
     out = None
     for name in sorted(pairs):
         a, ac, b, bc = pairs[name]
-        sa = _one(a.agg(F.sum(F.col(ac).cast("double")).alias("_a")))
-        sb = _one(b.agg(F.sum(F.col(bc).cast("double")).alias("_b")))
-        j = sa.join(sb, "_one")
+        j = _combine({"a": a.agg(F.sum(F.col(ac).cast("double")).alias("_a")),
+                      "b": b.agg(F.sum(F.col(bc).cast("double")).alias("_b"))})
         diff = F.abs(F.col("_a") - F.col("_b"))
         r = _row(j, "reconcile", name, diff < F.lit(tol), F.round(diff, 2).cast(MONEY))
         out = r if out is None else out.unionByName(r)
@@ -104,9 +116,8 @@ def check_expected_rows(pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> Dat
     out = None
     for name in sorted(pairs):
         df, exp = pairs[name]
-        o = _one(df.agg(F.count(F.lit(1)).alias("_o")))
-        e = _one(exp.select(F.col(exp.columns[0]).cast("bigint").alias("_x")))
-        j = o.join(e, "_one")
+        j = _combine({"o": df.agg(F.count(F.lit(1)).alias("_o")),
+                      "x": exp.select(F.col(exp.columns[0]).cast("bigint").alias("_x"))})
         r = _row(j, "expected_rows", name, F.col("_o") == F.col("_x"),
                  F.concat_ws("/", F.col("_o").cast("string"), F.col("_x").cast("string")))
         out = r if out is None else out.unionByName(r)
@@ -138,9 +149,8 @@ def check_alignment(name: str, source: DataFrame, rollup: DataFrame, key: str,
 
 def check_overlap(name: str, raw: DataFrame, kept: DataFrame, dropped_filter: Column) -> DataFrame:
     """Q9: rows of all extracts minus rows removed as overlap equals rows kept."""
-    a = _one(raw.agg(F.count(F.lit(1)).alias("_raw"), F.count_if(dropped_filter).alias("_drop")))
-    b = _one(kept.agg(F.count(F.lit(1)).alias("_kept")))
-    j = a.join(b, "_one")
+    j = _combine({"a": raw.agg(F.count(F.lit(1)).alias("_raw"), F.count_if(dropped_filter).alias("_drop")),
+                  "b": kept.agg(F.count(F.lit(1)).alias("_kept"))})
     return _row(j, "overlap_removal", name, F.col("_raw") - F.col("_drop") == F.col("_kept"),
                 F.concat(F.col("_raw").cast("string"), F.lit("-"), F.col("_drop").cast("string"), F.lit("="),
                          F.col("_kept").cast("string")))
