@@ -84,7 +84,7 @@ def _drift_from_rows(rows: DataFrame) -> DataFrame:
 
 def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 2,
                     exact_median: bool = True) -> DataFrame:
-    """Min, max, mean, median, sample stdev per numeric column.
+    """Min, max, mean, median (mean/median/stdev rounded), sample stdev per numeric column.
 
     Columns are unpivoted into ``(column_name, value)`` so one grouped
     aggregate profiles them all.  ``exact_median`` uses ``median`` (a
@@ -97,7 +97,7 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None, digits: in
                      ).select("_u.column_name", "_u.v")
     stats = long.groupBy("column_name").agg(
         F.count("v").alias("non_null"),
-        F.round(F.min("v"), digits).alias("min"), F.round(F.max("v"), digits).alias("max"),
+        F.min("v").alias("min"), F.max("v").alias("max"),
         F.round(F.avg("v"), digits).alias("mean"),
         F.round(F.stddev_samp("v"), digits).alias("stdev"))
     if exact_median:
@@ -174,7 +174,8 @@ def date_profile(df: DataFrame, date_col: str, by: Sequence[str] = ()) -> DataFr
 def granularity(df: DataFrame, ts_col: str, by: Sequence[str] = ()) -> DataFrame:
     """R2: event-level when any timestamp has a non-midnight hour or minute;
     else the median gap between successive distinct dates decides
-    (<=1 daily, 5-9 weekly, 25-35 monthly, otherwise '~N-day')."""
+    (<=1 daily, 5-9 weekly, 25-35 monthly, otherwise '~N-day' with N
+    truncated; 'unknown' when there is no gap to measure)."""
     from martline.operators.windows import day_gaps
     ts = F.col(ts_col)
     has_time = df.groupBy(*by).agg(F.max(((F.hour(ts) != 0) | (F.minute(ts) != 0)).cast("int")).alias("_t"))
@@ -186,9 +187,10 @@ def granularity(df: DataFrame, ts_col: str, by: Sequence[str] = ()) -> DataFrame
         j = has_time.withColumn("_one", F.lit(1)).join(med.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
     m = F.col("median_gap")
     label = (F.when(F.col("_t") == 1, "event-level")
+             .when(m.isNull(), "unknown")
              .when(m <= 1, "daily").when((m >= 5) & (m <= 9), "weekly")
              .when((m >= 25) & (m <= 35), "monthly")
-             .otherwise(F.concat(F.lit("~"), F.round(m).cast("bigint").cast("string"), F.lit("-day"))))
+             .otherwise(F.concat(F.lit("~"), F.floor(m).cast("bigint").cast("string"), F.lit("-day"))))
     return j.select(*by, F.col("median_gap"), label.alias("granularity"))
 
 
@@ -206,8 +208,20 @@ def overlap_report(df: DataFrame, file_col: str, date_col: str) -> DataFrame:
     return a.join(b, ["file_a", "file_b"])
 
 
-def detect_date_columns(df: DataFrame, sample: int = 50, cols: Sequence[str] | None = None) -> DataFrame:
-    """String columns whose first ``sample`` non-null values all parse as timestamps.
+# The date / datetime layouts a string column may use to count
+# as a date column (a bare number is not a date).
+DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd",
+                "MM/dd/yyyy")
+
+
+def parse_any(v, formats=DATE_FORMATS):
+    """first successful parse among explicit layouts, NULL when none fits."""
+    return F.coalesce(*[F.try_to_timestamp(v, F.lit(f)) for f in formats])
+
+
+def detect_date_columns(df: DataFrame, sample: int = 50, cols: Sequence[str] | None = None,
+                        formats=DATE_FORMATS) -> DataFrame:
+    """String columns whose first ``sample`` non-null values all parse as dates/timestamps.
 
     Each column contributes one limited sub-plan (``where not null`` +
     ``limit``), so only ``sample`` rows per column are read past the filter;
@@ -218,7 +232,7 @@ def detect_date_columns(df: DataFrame, sample: int = 50, cols: Sequence[str] | N
     for c in cols:
         s = df.select(F.col(c).alias("v")).where(F.col("v").isNotNull()).limit(sample)
         r = s.agg(F.count(F.lit(1)).alias("sampled"),
-                  F.count_if(F.try_to_timestamp(F.col("v")).isNull()).alias("unparsed")).select(
+                  F.count_if(parse_any(F.col("v"), formats).isNull()).alias("unparsed")).select(
             F.lit(c).alias("column_name"), "sampled",
             ((F.col("sampled") > 0) & (F.col("unparsed") == 0)).alias("is_date"))
         out = r if out is None else out.unionByName(r)

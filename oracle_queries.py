@@ -750,7 +750,7 @@ Q["profile_columns"] = _u(
 FROM txn_out""" for c in TXN_COLS)
 
 Q["numeric_profile"] = _u(
-    f"""SELECT '{c}' AS column_name, count(v) AS non_null, round(min(v), 2) AS min, round(max(v), 2) AS max,
+    f"""SELECT '{c}' AS column_name, count(v) AS non_null, min(v) AS min, max(v) AS max,
   round(avg(v), 2) AS mean, round(median(v), 2) AS median, round(stddev_samp(v), 2) AS stdev
 FROM (SELECT CAST({c} AS DOUBLE) AS v FROM txn_out) t""" for c in TXN_NUM)
 
@@ -773,9 +773,9 @@ dd AS (SELECT DISTINCT table_name, CAST(ts AS DATE) AS d FROM stream_ts WHERE ts
 gp AS (SELECT table_name, date_diff('day', lag(d) OVER (PARTITION BY table_name ORDER BY d), d) AS gap FROM dd),
 md AS (SELECT table_name, median(CAST(gap AS DOUBLE)) AS median_gap FROM gp GROUP BY 1)
 SELECT ht.table_name, md.median_gap,
-  CASE WHEN t = 1 THEN 'event-level' WHEN median_gap <= 1 THEN 'daily' WHEN median_gap >= 5 AND median_gap <= 9 THEN 'weekly'
+  CASE WHEN t = 1 THEN 'event-level' WHEN median_gap IS NULL THEN 'unknown' WHEN median_gap <= 1 THEN 'daily' WHEN median_gap >= 5 AND median_gap <= 9 THEN 'weekly'
        WHEN median_gap >= 25 AND median_gap <= 35 THEN 'monthly'
-       ELSE '~' || CAST(CAST(round(median_gap) AS BIGINT) AS VARCHAR) || '-day' END AS granularity
+       ELSE '~' || CAST(CAST(floor(median_gap) AS BIGINT) AS VARCHAR) || '-day' END AS granularity
 FROM ht LEFT JOIN md ON ht.table_name = md.table_name"""
 
 Q["date_profile"] = """SELECT table_name, min(CAST(ts AS DATE)) AS min_date, max(CAST(ts AS DATE)) AS max_date,
@@ -948,7 +948,7 @@ WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.stream = r.stream AND u.date = d.date)
 Q["duplicate_rows"] = "SELECT " + ", ".join(_WCOLS) + ", count(*) AS count FROM v_web_parts GROUP BY ALL HAVING count(*) > 1"
 
 Q["date_columns"] = _u(
-    f"""SELECT '{c}' AS column_name, count(*) AS sampled, count(*) > 0 AND count(*) FILTER (WHERE TRY_CAST(v AS TIMESTAMP) IS NULL) = 0 AS is_date
+    f"""SELECT '{c}' AS column_name, count(*) AS sampled, count(*) > 0 AND count(*) FILTER (WHERE try_strptime(v, ['%Y-%m-%d %H:%M:%S', '%Y-%m-%d %H:%M:%S.%f', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%d', '%m/%d/%Y']) IS NULL) = 0 AS is_date
 FROM (SELECT CAST({c} AS VARCHAR) AS v FROM v_txn WHERE {c} IS NOT NULL LIMIT 50) t"""
     for c in ["order_datetime", "order_id", "dma_name", "product_category", "size"])
 
