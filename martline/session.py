@@ -40,6 +40,13 @@ def build_session(master: str = "local[8]", app: str = "martline",
     return spark
 
 
+def _session_key(spark: SparkSession):
+    try:
+        return id(spark), spark.sparkContext.applicationId
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return id(spark), getattr(spark, "session_id", None)
+
+
 def per_session(fn):
     """Memoise a plan builder ``fn(spark, *args)`` per session.
 
@@ -51,7 +58,7 @@ def per_session(fn):
     memo: dict = {}
 
     def wrapper(spark: SparkSession, *args):
-        key = (id(spark), spark.sparkContext.applicationId, args)
+        key = (_session_key(spark), args)
         if key not in memo:
             memo[key] = fn(spark, *args)
         return memo[key]
@@ -69,12 +76,16 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     created and registered.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = fallback or tempfile.mkdtemp(prefix="martline-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    path = current or fallback or tempfile.mkdtemp(prefix="martline-ckpt-")
+    if not current:
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # static conf on some deployments; the context setting below is what counts
+            pass
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # Spark Connect: the server side reads spark.checkpoint.dir itself
+        pass
     return path
 
 

@@ -43,10 +43,11 @@ _TABLES: dict = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver's parquet table; the resolved reader is reused per session so
     footers and schemas are read once, not once per query branch."""
-    key = (id(spark), spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    from martline.session import _session_key
+    key = (_session_key(spark), f"{sf_dir}/{name}.parquet")
     df = _TABLES.get(key)
     if df is None:
-        df = spark.read.parquet(key[2])
+        df = spark.read.parquet(key[1])
         _TABLES[key] = df
     return df
 
