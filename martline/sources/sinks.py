@@ -77,3 +77,13 @@ def export_sorted(df: DataFrame, path: str, sort_cols: Sequence[str], descending
     shuffle and is paid only on export; warehouse tables are written unsorted."""
     order = [F.col(c).desc_nulls_last() if c in set(descending) else F.col(c).asc_nulls_last() for c in sort_cols]
     write_table(df.orderBy(*order), path, fmt=fmt)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, keys: Sequence[str],
+                   mode: str = "overwrite") -> None:
+    """Write a table bucketed (and sorted) on ``keys`` so later joins and
+    aggregations on those keys between tables with the same bucket count
+    need no shuffle.  The files live at ``path`` (shared storage); the table
+    is registered in the session catalog."""
+    (df.write.mode(mode).format("parquet").option("path", path)
+       .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
