@@ -36,12 +36,12 @@ def test_text_functions(spark):
 
 
 def test_map_by_first_match(spark):
-    df = spark.createDataFrame([("sBelles_paid_tiktok_part1.csv",), ("sBelles_tiktok_owned_2024.csv",), ("x.csv",)],
+    df = spark.createDataFrame([("ads_paid_tiktok_part1.csv",), ("brand_tiktok_owned_2024.csv",), ("x.csv",)],
                                "f string")
     mapping = spark.createDataFrame([("tiktok_owned", "organic_social", 1), ("tiktok", "paid_social", 2)],
                                     "key string, group string, priority int")
     got = {r.f: r.group for r in ft.map_by_first_match(df, "f", mapping, default="unknown").collect()}
-    assert got == {"sBelles_paid_tiktok_part1.csv": "paid_social", "sBelles_tiktok_owned_2024.csv": "organic_social",
+    assert got == {"ads_paid_tiktok_part1.csv": "paid_social", "brand_tiktok_owned_2024.csv": "organic_social",
                    "x.csv": "unknown"}
 
 
