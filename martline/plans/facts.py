@@ -2,7 +2,7 @@
 
 Each job is a pure DataFrame -> DataFrame function.  Source-grain tables and
 daily rollups are built from the same cleaned frame (K2); writing both from
-one plan is done by :func:`martline.sources.sinks.write_tables`.
+one cleaned frame is done by :func:`martline.sources.sinks.write_outputs`.
 """
 
 from __future__ import annotations

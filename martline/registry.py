@@ -7,8 +7,14 @@ from the whole input tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from martline.operators.joins import bridge_join, drill_across, sized_join
+from martline.plans import dims, explore, marts, profile
+from martline.plans import quality as dq
 from martline.plans import warehouse as wh
+from martline.sources import views
+from martline.sources.views import PLATFORMS
 
 QUERIES = {}
 
@@ -31,12 +37,6 @@ def q_transactions(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ facts
-from pyspark.sql import functions as F  # noqa: E402
-
-from martline.operators import drift as drift_ops  # noqa: E402
-from martline.operators.joins import bridge_join, drill_across, sized_join  # noqa: E402
-from martline.plans import dims  # noqa: E402
-from martline.sources import views  # noqa: E402
 
 
 @query("web_events_dedup")
@@ -165,8 +165,6 @@ def q_drill_across(spark, d):
 
 
 # ------------------------------------------------------------------ marts
-from martline.plans import marts  # noqa: E402
-from martline.sources.views import PLATFORMS  # noqa: E402
 
 WEB_SOURCES = ("direct", "email", "google", "instagram", "partner")
 
@@ -277,7 +275,6 @@ def q_season_points(spark, d):
 
 
 # ------------------------------------------------------------------ data quality
-from martline.plans import quality as dq  # noqa: E402
 
 DQ_TABLES = ("fact_paid_social_daily", "fact_web_analytics_events", "fact_web_analytics_daily",
              "fact_ecommerce_transactions", "fact_ecommerce_daily", "fact_organic_social_daily",
@@ -384,7 +381,6 @@ def q_dq_summary(spark, d):
 
 
 # ------------------------------------------------------------------ profiling
-from martline.plans import explore, profile  # noqa: E402
 
 INVENTORY_COLUMNS = {"web_a": "event_datetime", "web_b": "event_datetime"}
 
