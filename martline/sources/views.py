@@ -333,7 +333,8 @@ def airports_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @per_session
 def wanted_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Codes the lookup is restricted to: every supplier code except keys divisible by 5."""
-    s = table(spark, sf_dir, "supplier").select("s_suppkey")
-    return s.filter(F.col("s_suppkey") % 5 != 0).select(
+    """Codes the lookup is restricted to: airports of active suppliers (account
+    balance not negative).  Placements at other airports keep a NULL state."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
+    return s.filter(F.col("s_acctbal") >= 0).select(
         F.concat(F.lit("AP"), F.col("s_suppkey").cast("string")).alias("code"))

@@ -168,7 +168,7 @@ V["airport_lookup"] = """airport_lookup AS (
          'US' AS iso_country
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
   WHERE trim(' AP' || CAST(s.s_suppkey AS VARCHAR) || ' ') IN
-        (SELECT 'AP' || CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_suppkey % 5 <> 0))"""
+        (SELECT 'AP' || CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_acctbal >= 0))"""
 
 V["ooh_daily"] = """ooh_daily AS (
   SELECT CAST(w.week_start_date + d.i AS DATE) AS date, w.airport_code, w.airport_name, lk.state,
