@@ -229,3 +229,60 @@ def test_column_profile_exact_and_approx_agree_on_small_data(spark):
     ex = {r.column_name: (r.role, r.rows, r.nulls, r.n_unique) for r in column_profile(df).collect()}
     ap = {r.column_name: (r.role, r.rows, r.nulls, r.n_unique) for r in column_profile(df, exact=False).collect()}
     assert ex == ap == {"n": ("numeric", 3, 0, 2), "s": ("categorical", 3, 1, 1), "d": ("date", 3, 1, 2)}
+
+
+def test_spine_join_fills_numeric_only(spark):
+    spine = spark.createDataFrame([(d("2024-01-01"), "Mon"), (d("2024-01-02"), "Tue")], "date date, dow string")
+    r1 = spark.createDataFrame([(d("2024-01-01"), 5, "x", True)], "date date, n bigint, s string, b boolean")
+    out = {r.date: r for r in joins.spine_join(spine, [r1]).collect()}
+    gap = out[d("2024-01-02")]
+    assert gap.n == 0 and gap.s is None and gap.b is None and gap.dow == "Tue"
+
+
+def test_aligned_compare_and_lookup_first(spark):
+    a = spark.createDataFrame([("k1", 1.0), ("k2", 2.0)], "k string, v double")
+    b = spark.createDataFrame([("k1", 1.0), ("k3", 3.0)], "k string, v double")
+    got = {r.k: r.mismatch for r in joins.aligned_compare(a, b, ["k"], "v", "v").collect()}
+    assert got == {"k1": False, "k2": True, "k3": True}
+    facts = spark.createDataFrame([("ATL",), ("XXX",)], "code string")
+    lk = spark.createDataFrame([("ATL", "b", "GA"), ("ATL", "a", "FL")], "iata string, name string, state string")
+    got = {r.code: r.state for r in joins.lookup_first(facts, lk, "code", "iata", ["name"], ["state"]).collect()}
+    assert got == {"ATL": "FL", "XXX": None}
+
+
+def test_first_per_key_is_an_aggregate(spark):
+    df = spark.createDataFrame([("a", 3, "x"), ("a", 1, "y"), ("b", 2, "z")], "k string, t int, v string")
+    out = joins.first_per_key(df, ["k"], ["t"])
+    assert {r.k: (r.t, r.v) for r in out.collect()} == {"a": (1, "y"), "b": (2, "z")}
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_present_and_sets(spark):
+    from martline.operators import sets
+    df = spark.createDataFrame([(1.5, 2.0)], "spend_usd double, spend double")
+    assert df.select(drift.first_present(df, ["spend_usd", "spend"], "v")).collect()[0].v == 1.5
+    assert df.select(drift.first_present(df, ["missing"], "v")).collect()[0].v is None
+    t1 = spark.createDataFrame([("A",), ("B",), ("B",)], "v string")
+    t2 = spark.createDataFrame([("B",), ("C",)], "v string")
+    pm = {r.v: (r.one, r.two) for r in sets.presence_matrix(sets.tagged_union({"one": t1, "two": t2}, ["v"], "src"),
+                                                            "v", "src", ["one", "two"]).collect()}
+    assert pm == {"A": (True, False), "B": (True, True), "C": (False, True)}
+    assert {r.v: r["count"] for r in sets.duplicate_rows(t1).collect()} == {"B": 2}
+    assert {r.size: r.groups for r in sets.size_histogram(t1, "v").collect()} == {1: 1, 2: 1}
+    shares = {r.v: (r.n, r.pct) for r in sets.value_shares(t1, "v").collect()}
+    assert shares == {"A": (1, 33.33), "B": (2, 66.67)}
+    assert sorted(r.v for r in sets.distinct_pairs([t1, t2], ["v"]).collect()) == ["A", "B", "C"]
+
+
+def test_true_partial_correlation(spark):
+    import numpy as np
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=300)
+    s = 0.5 * x + rng.normal(size=300)
+    y = 0.7 * x + 0.2 * s + rng.normal(size=300)
+    df = spark.createDataFrame([(float(a), float(b), float(c)) for a, b, c in zip(s, y, x)], "s double, y double, x double")
+    got = stats.partial(df, "s", "y", "x", digits=12).collect()[0].partial_corr
+    # residualise both s and y on x, then correlate
+    rs = s - np.polyval(np.polyfit(x, s, 1), x)
+    ry = y - np.polyval(np.polyfit(x, y, 1), x)
+    assert math.isclose(got, np.corrcoef(rs, ry)[0, 1], abs_tol=1e-9)
