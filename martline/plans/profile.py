@@ -237,3 +237,55 @@ def detect_date_columns(df: DataFrame, sample: int = 50, cols: Sequence[str] | N
             ((F.col("sampled") > 0) & (F.col("unparsed") == 0)).alias("is_date"))
         out = r if out is None else out.unionByName(r)
     return out
+
+
+def stream_of_name(name: str, keys=STREAM_KEYS) -> str:
+    """R7 on the driver for file names (metadata): first key contained, else 'unknown'."""
+    low = name.lower()
+    return next((s for k, s in keys if k in low), "unknown")
+
+
+def profile_files(spark, paths: Sequence[str], sample: int = 50) -> dict[str, DataFrame]:
+    """R1-R10 over raw CSV extracts: inventory, drift and overlap reports.
+
+    One tagged scan per header group (``read_tagged``).  Date columns are
+    detected per header group (R1); each file's first date column feeds one
+    ``groupBy(file)`` for row counts and date ranges, the granularity rule
+    (R2) and the pairwise overlap report within each stream (R9, dates
+    compared as dates).
+    """
+    from martline.sources.files import read_tagged
+    tagged, headers = read_tagged(spark, paths)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for f, h in headers.items():
+        by_header.setdefault(h, []).append(f)
+    ts = None
+    for h, files in sorted(by_header.items()):
+        part = tagged.where(F.col("_source_file").isin(files)).select(*h)
+        found = [r.column_name for r in detect_date_columns(part, sample, list(h)).collect() if r.is_date]
+        if not found:
+            continue
+        first = [c for c in h if c in found][0]
+        expr = F.when(F.col("_source_file").isin(files), parse_any(F.col(first)))
+        ts = expr if ts is None else F.coalesce(ts, expr)
+    stream_map = F.create_map(*[x for f in sorted(headers) for x in (F.lit(f), F.lit(stream_of_name(f)))])
+    base = tagged.select(F.col("_source_file").alias("file"), stream_map[F.col("_source_file")].alias("stream"),
+                         (ts if ts is not None else F.lit(None).cast("timestamp")).alias("_ts"))
+    ncols = F.create_map(*[x for f in sorted(headers) for x in (F.lit(f), F.lit(len(headers[f])))])
+    dates = base.groupBy("file", "stream").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min(F.to_date("_ts")).alias("date_min"),
+        F.max(F.to_date("_ts")).alias("date_max"), F.count_distinct(F.to_date("_ts")).alias("distinct_dates"))
+    dates = dates.withColumn("missing_date_count",
+                             F.datediff("date_max", "date_min") + 1 - F.col("distinct_dates"))
+    gran = granularity(base.where(F.col("_ts").isNotNull()), "_ts", ["file"]).select("file", "granularity")
+    inventory = (dates.join(gran, "file", "left")
+                 .withColumn("n_columns", ncols[F.col("file")])
+                 .na.fill("unknown", subset=["granularity"]))
+    drift = drift_report_tagged(tagged, "_source_file", headers, stream_of_name)
+    keyed = base.where(F.col("_ts").isNotNull()).withColumn("_key", F.concat_ws("/", "stream", "file"))
+    overlap = (overlap_report(keyed, "_key", "_ts")
+               .where(F.split("file_a", "/")[0] == F.split("file_b", "/")[0])
+               .select(F.split("file_a", "/")[0].alias("stream"),
+                       F.split("file_a", "/")[1].alias("file_a"), F.split("file_b", "/")[1].alias("file_b"),
+                       "overlap_start", "overlap_end", "rows_a", "rows_b"))
+    return {"inventory": inventory, "drift": drift, "overlap": overlap}

@@ -91,3 +91,31 @@ def airport_lookup(raw: DataFrame, codes: DataFrame, code_col: str = "iata_code"
                       F.col("municipality"),
                       remainder_after_first_dash(F.col(region_col)).alias("state"),
                       F.col("iso_country")))
+
+
+def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
+    """Normalised header of each CSV file (one small header read per file;
+    bounded by the number of files, not their size)."""
+    return {p: tuple(c.strip().lower() for c in spark.read.option("header", True).csv(p).columns)
+            for p in paths}
+
+
+def read_tagged(spark: SparkSession, paths: Sequence[str], null_tokens: Iterable[str] = DEFAULT_NULL_TOKENS,
+                source_col: str = "_source_file") -> tuple[DataFrame, dict[str, tuple[str, ...]]]:
+    """Extracts with differing headers as ONE frame tagged by file name.
+
+    Files are grouped by header; each group is one scan (no per-file jobs),
+    and the groups are unioned by name, so a column holds values only on
+    rows of files that have it.  Returns the frame and each file's header
+    (by file name) for drift reports.
+    """
+    import os
+    headers = file_headers(spark, paths)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for p, h in headers.items():
+        groups.setdefault(h, []).append(p)
+    out = None
+    for h in sorted(groups):
+        df = read_source(spark, sorted(groups[h]), None, null_tokens, source_col=source_col)
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out, {os.path.basename(p): h for p, h in headers.items()}
