@@ -192,7 +192,8 @@ def stable_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) ->
     so no partition is sorted whole and only ``n`` rows per task move.
     """
     h = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
-    return df.withColumn("_h", h).orderBy("_h", *keys).limit(n).drop("_h")
+    rest = [c for c in df.columns if c not in keys]  # full tie-break: the same rows on every run
+    return df.withColumn("_h", h).orderBy("_h", *keys, *rest).limit(n).drop("_h")
 
 
 

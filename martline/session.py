@@ -93,3 +93,30 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     """A location under the checkpoint folder for a written intermediate table."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized to the input, for large clusters (a starting point, not a tuning oracle).
+
+    * shuffle partitions: enough that each holds about ``target_partition_bytes``
+      of input and there are at least 3 waves of tasks over all cores, so a
+      partition fits in executor memory without spilling everything;
+    * AQE coalesces small partitions back to the same advisory size and splits
+      skewed ones (a key holding a large share of rows) at 5x the median;
+    * scans split files at 256 MiB;
+    * broadcast joins stay below the bound ``operators.joins.BROADCAST_LIMIT_BYTES``.
+    """
+    from martline.operators.joins import BROADCAST_LIMIT_BYTES
+    parts = max(3 * total_cores, int(input_bytes // target_partition_bytes) + 1, 200)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_LIMIT_BYTES),
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -286,3 +286,24 @@ def test_true_partial_correlation(spark):
     rs = s - np.polyval(np.polyfit(x, s, 1), x)
     ry = y - np.polyval(np.polyfit(x, y, 1), x)
     assert math.isclose(got, np.corrcoef(rs, ry)[0, 1], abs_tol=1e-9)
+
+
+def test_stable_sample_against_brute_force(spark):
+    from martline.plans.explore import stable_sample
+    rows = [(f"o{i % 37}", f"c{i % 5}", i % 11, i) for i in range(400)]
+    df = spark.createDataFrame(rows, "order_id string, cat string, q int, id int")
+    keys = ["order_id", "cat", "q"]
+    got = [r.id for r in stable_sample(df, keys, 20).collect()]
+    hashed = df.select("id", *keys, F.xxhash64(*[F.col(k) for k in keys], F.lit(42)).alias("h")).collect()
+    ref = [r.id for r in sorted(hashed, key=lambda r: (r.h, r.order_id, r.cat, r.q))[:20]]
+    # rows with identical keys tie completely; compare as multisets of their keys
+    by_id = {r[3]: r[:3] for r in rows}
+    assert sorted(by_id[i] for i in got) == sorted(by_id[i] for i in ref)
+    assert sorted(by_id[i] for i in got) == sorted(by_id[i] for i in [r.id for r in stable_sample(df, keys, 20).collect()])
+
+
+def test_scale_conf_sizes_partitions():
+    from martline.session import scale_conf
+    c = scale_conf(100 * 2**40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) >= 100 * 2**40 // (256 << 20)
+    assert int(c["spark.sql.autoBroadcastJoinThreshold"]) == 64 * 1024 * 1024
