@@ -223,3 +223,13 @@ def id_name_map(df: DataFrame, id_col: str, name_col: str) -> DataFrame:
     """Each id with its name (latest by name order) and how many distinct names it carries."""
     return df.groupBy(id_col).agg(F.max(name_col).alias(name_col), F.count_distinct(name_col).alias("names"),
                                   F.count(F.lit(1)).alias("n_rows"))
+
+
+# Words that mark a column name as geographic.
+GEO_WORDS = ("dma", "state", "zip", "city", "region", "country", "airport", "geo", "lat", "lon")
+
+
+def geo_columns(tables: Mapping[str, DataFrame], words: Sequence[str] = GEO_WORDS) -> list[tuple[str, str]]:
+    """(table, column) pairs whose column name contains a geographic word (schema only)."""
+    return [(t, c) for t in sorted(tables) for c in tables[t].columns
+            if any(w in c.lower() for w in words)]

@@ -186,3 +186,50 @@ def assert_date_range(df: DataFrame, date_col: str, start: str, end: str) -> tup
     if r.mn is None or str(r.mn) < start or str(r.mx) > end:
         raise ValueError(f"Date range violation: {r.mn} to {r.mx} (expected {start} to {end})")
     return r.mn, r.mx
+
+
+def check_paths_exist(spark, paths: Mapping[str, str], fmt: str = "parquet") -> DataFrame:
+    """Q1 (existence): each stored table can be opened and has at least one row.
+
+    Opening a path is a metadata step on the driver (file listing); the
+    non-empty test reads at most one row per file split.
+    """
+    rows = []
+    frames = {}
+    for name in sorted(paths):
+        try:
+            frames[name] = spark.read.format(fmt).load(paths[name])
+        except Exception:  # missing or unreadable path
+            rows.append((name,))
+    out = check_exists(frames) if frames else None
+    if rows:
+        missing = spark.createDataFrame(rows, "table_name string").select(
+            F.lit("exists").alias("check"), "table_name", F.lit("FAIL").alias("status"),
+            F.lit("missing").alias("detail"))
+        out = missing if out is None else out.unionByName(missing)
+    return out
+
+
+def check_expected_totals(expected: Mapping[str, tuple[DataFrame, str, float]], tol: float = 0.01) -> DataFrame:
+    """Q6: a column total equals a published constant within ``tol``."""
+    out = None
+    for name in sorted(expected):
+        df, col, value = expected[name]
+        t = df.agg(F.sum(F.col(col).cast(MONEY)).cast("double").alias("_t"))
+        diff = F.abs(F.col("_t") - F.lit(float(value)))
+        r = _row(t, "expected_total", name, F.coalesce(diff <= F.lit(tol), F.lit(False)),
+                 F.round(F.col("_t"), 2).cast(MONEY))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def check_expected_counts(expected: Mapping[str, tuple[DataFrame, int]]) -> DataFrame:
+    """Q7 with literal expectations: observed row count equals a published number."""
+    out = None
+    for name in sorted(expected):
+        df, n = expected[name]
+        c = df.agg(F.count(F.lit(1)).alias("_o"))
+        r = _row(c, "expected_rows", name, F.col("_o") == F.lit(int(n)),
+                 F.concat_ws("/", F.col("_o").cast("string"), F.lit(str(int(n)))))
+        out = r if out is None else out.unionByName(r)
+    return out

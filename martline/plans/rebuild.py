@@ -79,7 +79,7 @@ def rebuild(spark: SparkSession, sf_dir: str, out: str) -> dict[str, str]:
     # quality rows over the written tables
     grains = {n: (read(n), k) for n, k in wh.GRAINS.items()}
     bounds = read("dim_date").agg(F.min("date").alias("start"), F.max("date").alias("end"))
-    checks = (dq.check_exists({n: read(n) for n in paths if n.startswith(("fact_", "dim_"))})
+    checks = (dq.check_paths_exist(spark, {n: p for n, p in paths.items() if n.startswith(("fact_", "dim_"))})
               .unionByName(dq.check_grain(grains))
               .unionByName(dq.check_date_range({n: (read(n), "date") for n in DAILY_FACTS}, bounds))
               .unionByName(dq.check_formula("fact_ecommerce_transactions", read("fact_ecommerce_transactions"))))

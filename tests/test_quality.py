@@ -87,3 +87,21 @@ def test_month_counts(spark):
     t = spark.createDataFrame([(d("2024-01-01"),), (d("2024-01-31"),), (d("2024-02-01"),)], "date date")
     got = {(r.table_name, r.month): r.n_rows for r in dq.month_counts({"t": (t, "date")}).collect()}
     assert got == {("t", "2024-01"): 2, ("t", "2024-02"): 1}
+
+
+def test_paths_totals_and_counts(spark, tmp_path):
+    p = str(tmp_path / "t")
+    spark.createDataFrame([(1.25,), (2.50,)], "v double").write.parquet(p)
+    got = status(dq.check_paths_exist(spark, {"t": p, "gone": str(tmp_path / "none")}))
+    assert got[("exists", "t")][0] == "PASS" and got[("exists", "gone")] == ("FAIL", "missing")
+    t = spark.read.parquet(p)
+    tot = status(dq.check_expected_totals({"ok": (t, "v", 3.75), "bad": (t, "v", 3.80)}))
+    assert tot[("expected_total", "ok")] == ("PASS", "3.75") and tot[("expected_total", "bad")][0] == "FAIL"
+    cnt = status(dq.check_expected_counts({"t": (t, 2), "u": (t, 3)}))
+    assert cnt[("expected_rows", "t")] == ("PASS", "2/2") and cnt[("expected_rows", "u")] == ("FAIL", "2/3")
+
+
+def test_geo_columns(spark):
+    from martline.plans.explore import geo_columns
+    a = spark.createDataFrame([(1, "x", "y")], "id int, dma_name string, airport_code string")
+    assert geo_columns({"a": a}) == [("a", "dma_name"), ("a", "airport_code")]
