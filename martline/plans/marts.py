@@ -98,8 +98,14 @@ def partial_correlation(daily: DataFrame, true_partial: bool = False) -> DataFra
 
 
 def promo_impact(txn: DataFrame) -> DataFrame:
-    """Per promo flag, volume, revenue and price metrics in one grouped pass."""
-    rev = F.sum("line_revenue").cast("double")
+    """Per promo flag, volume, revenue and price metrics in one grouped pass.
+
+    Money is summed as DECIMAL whether the input holds DECIMAL (raw stream)
+    or 2-decimal DOUBLE (the stored fact), so totals do not depend on the
+    order rows are added in.
+    """
+    m = {c: F.col(c).cast(MONEY) for c in ("line_revenue", "unit_price", "discount_per_unit")}
+    rev = F.sum(m["line_revenue"]).cast("double")
     neg = F.col("line_revenue") < 0
     g = txn.groupBy("promo_flag").agg(
         F.count(F.lit(1)).alias("line_items"),
@@ -107,11 +113,11 @@ def promo_impact(txn: DataFrame) -> DataFrame:
         F.sum("quantity").alias("total_quantity"),
         F.round(rev, 2).alias("total_revenue"),
         F.round(F.coalesce(F.try_divide(rev, F.count_distinct("order_id")), F.lit(0.0)), 2).alias("avg_order_value"),
-        F.round(F.try_divide(F.sum("unit_price").cast("double"), F.count("unit_price")), 2).alias("avg_unit_price"),
-        F.round(F.try_divide(F.sum("discount_per_unit").cast("double"), F.count("discount_per_unit")), 2)
+        F.round(F.try_divide(F.sum(m["unit_price"]).cast("double"), F.count("unit_price")), 2).alias("avg_unit_price"),
+        F.round(F.try_divide(F.sum(m["discount_per_unit"]).cast("double"), F.count("discount_per_unit")), 2)
          .alias("avg_discount_per_unit"),
         F.count_if(neg).alias("negative_revenue_rows"),
-        F.round(F.coalesce(F.sum(F.when(neg, F.col("line_revenue"))), F.lit(0).cast(MONEY)).cast("double"), 2)
+        F.round(F.coalesce(F.sum(F.when(neg, m["line_revenue"])), F.lit(0).cast(MONEY)).cast("double"), 2)
          .alias("negative_revenue_amount"))
     return g
 
