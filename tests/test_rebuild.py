@@ -36,3 +36,15 @@ def test_rebuild_matches_direct_queries(spark, tmp_path):
     assert any(p.startswith("year=") for p in os.listdir(paths["fact_paid_social_daily"]))
     summary = {r.status: r.checks for r in spark.read.parquet(paths["quality_summary"]).collect()}
     assert summary.get("FAIL", 0) == 0 and summary["TOTAL"] > 20
+
+
+def test_month_partitions_are_pruned(spark, tmp_path):
+    from martline.plans import warehouse as wh
+    from martline.sources.sinks import write_table
+    path = str(tmp_path / "fact_ecommerce_daily")
+    write_table(wh.ecommerce_daily(spark, SF_SMALL), path, by_month="date")
+    df = spark.read.parquet(path).where("year = 1998 AND month = 1")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year" in plan
+    assert df.count() == wh.ecommerce_daily(spark, SF_SMALL).where(
+        F.year("date") == 1998).where(F.month("date") == 1).count()
