@@ -33,19 +33,29 @@ def lag_correlation(df: DataFrame, pairs: Sequence[tuple[str, str, str]], max_la
     """Pearson r of x(t) with y(t+k) for k = 0..max_lag, per pair.
 
     ``positional`` (reference parity): rows with a null x or y are dropped per
-    pair (listwise), then rows are numbered and ``y`` is shifted by position.
-    ``calendar``: ``y`` is taken ``k`` days later.  The lag is a self equi-join
-    on ``(signal_pair, pos + k)`` after exploding each x row into its lags,
-    so the work parallelises by pair and lag.
+    pair (listwise) and ``y`` is shifted by position: ``lead(y, k)`` over the
+    pair's rows in date order, then all lags are aggregated in one pass (one
+    shuffle on the pair; a pair holds one row per day).
+    ``calendar``: ``y`` is taken ``k`` days later: each x row is exploded into
+    its lags and equi-joined on ``(signal_pair, day + k)``, which also handles
+    gaps in the calendar.
     """
     lp = long_pairs(df, pairs, order).na.drop(subset=["x", "y"])
+    lags = range(max_lag + 1)
     if mode == "positional":
         w = Window.partitionBy("signal_pair").orderBy(F.col(order))
-        lp = lp.withColumn("pos", F.row_number().over(w).cast("bigint"))
-    elif mode == "calendar":
-        lp = lp.withColumn("pos", F.unix_date(F.col(order)).cast("bigint"))
-    else:
+        wide = lp.select("signal_pair", "x", *[F.lead("y", k).over(w).alias(f"_y{k}") for k in lags])
+        rs = []
+        for k in lags:
+            yk = F.col(f"_y{k}")
+            r = pearson(F.when(yk.isNotNull(), F.col("x")), yk)
+            rs.append((F.round(r, digits) if digits is not None else r).alias(f"_r{k}"))
+        g = wide.groupBy("signal_pair").agg(*rs)
+        arr = F.array(*[F.struct(F.lit(k).alias("lag_days"), F.col(f"_r{k}").alias("pearson_r")) for k in lags])
+        return g.select("signal_pair", F.explode(arr).alias("_l")).select("signal_pair", "_l.lag_days", "_l.pearson_r")
+    if mode != "calendar":
         raise ValueError(mode)
+    lp = lp.withColumn("pos", F.unix_date(F.col(order)).cast("bigint"))
     xs = lp.select("signal_pair", "pos", "x",
                    F.explode(F.sequence(F.lit(0), F.lit(max_lag))).alias("lag_days"))
     ys = lp.select("signal_pair", F.col("pos").alias("ypos"), "y")
