@@ -543,11 +543,13 @@ def q_presence(spark, d):
 
 @query("near_match")
 def q_near_match(spark, d):
-    """Page hosts that differ only by case, spacing, a www./m./blog. prefix or the TLD."""
-    pages = views.table(spark, d, "pages").select(F.regexp_extract("url", r"://([^/]+)", 1).alias("host"))
-    norm = F.regexp_replace(F.regexp_replace(F.lower(F.trim(F.col("host"))), r"^(www|m|blog)\.", ""),
-                            r"\.(com|net|org)$", "")
-    return explore.near_match(pages, "host", norm)
+    """Market names that differ only by case or spacing across the local streams
+    and the airport list's municipalities (normalised key F8)."""
+    names = (views.v_txn(spark, d).select(F.col("dma_name").alias("name"))
+             .unionByName(views.v_web(spark, d).select(F.col("dma_name").alias("name")))
+             .unionByName(views.paid_base(spark, d).select(F.col("dma_name").alias("name")))
+             .unionByName(wh.airport_lookup(spark, d).select(F.col("municipality").alias("name"))))
+    return explore.near_match(names, "name")
 
 
 @query("state_format")

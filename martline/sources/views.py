@@ -325,7 +325,7 @@ def airports_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(
         F.concat(F.lit(" AP"), F.col("s_suppkey").cast("string"), F.lit(" ")).alias("iata_code"),
         F.concat(F.lit("Airport "), F.col("s_name")).alias("name"),
-        F.col("n_name").alias("municipality"),
+        F.lower(F.col("n_name")).alias("municipality"),  # an outside list spells names its own way
         F.when(F.col("s_suppkey") % 4 == 0, F.col("n_name"))
          .otherwise(F.concat(F.lit("US-"), F.col("n_name"))).alias("iso_region"),
         F.lit("US").alias("iso_country"))

@@ -163,7 +163,7 @@ V["v_ooh_weekly"] = """v_ooh_weekly AS (
 
 V["airport_lookup"] = """airport_lookup AS (
   SELECT trim(' AP' || CAST(s.s_suppkey AS VARCHAR) || ' ') AS iata_code,
-         'Airport ' || s.s_name AS name, n.n_name AS municipality,
+         'Airport ' || s.s_name AS name, lower(n.n_name) AS municipality,
          regexp_replace(CASE WHEN s.s_suppkey % 4 = 0 THEN n.n_name ELSE 'US-' || n.n_name END, '^[^-]*-', '') AS state,
          'US' AS iso_country
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
@@ -895,8 +895,10 @@ Q["presence_matrix"] = """SELECT dma_name, bool_or(stream = 'ecommerce') AS ecom
 FROM (SELECT 'paid_social' AS stream, dma_name FROM paid_base UNION ALL SELECT 'web', dma_name FROM v_web
       UNION ALL SELECT 'ecommerce', dma_name FROM v_txn) t GROUP BY dma_name"""
 
-Q["near_match"] = r""", d AS (SELECT host AS raw, regexp_replace(regexp_replace(lower(trim(host)), '^(www|m|blog)\.', ''), '\.(com|net|org)$', '') AS norm_key
-           FROM (SELECT regexp_extract(url, '://([^/]+)', 1) AS host FROM pages) h WHERE host IS NOT NULL),
+Q["near_match"] = r""", d AS (SELECT raw, lower(trim(replace(raw, '  ', ' '))) AS norm_key FROM (
+             SELECT dma_name AS raw FROM v_txn UNION ALL SELECT dma_name FROM v_web
+             UNION ALL SELECT dma_name FROM paid_base UNION ALL SELECT municipality FROM airport_lookup) u
+           WHERE raw IS NOT NULL),
 g AS (SELECT norm_key, raw, count(*) AS n FROM d GROUP BY 1, 2),
 v AS (SELECT norm_key, count(*) AS variants FROM g GROUP BY norm_key HAVING count(*) > 1)
 SELECT g.norm_key, g.raw, v.variants, g.n AS n_rows FROM g JOIN v ON g.norm_key = v.norm_key"""
