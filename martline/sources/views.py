@@ -17,6 +17,10 @@ Mapping (see SURVEY §7.3):
 * paid_parts     nine paid-social extracts with schema drift <- lineitem x nation x region
 * v_ooh_weekly   weekly airport OOH    <- lineitem x supplier
 * airports_raw   open airport list     <- supplier x nation
+
+Key arithmetic (``x % n``) in these views only derives attributes (a
+channel, a market, a campaign) from keys; no view drops rows by key
+arithmetic, so every query reads the whole tables.
 """
 
 from __future__ import annotations
