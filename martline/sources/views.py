@@ -79,10 +79,12 @@ def v_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("p_retailprice").cast(MONEY)
     disc = F.when(promo, (F.col("l_discount") * 10000).cast(MONEY)).otherwise(F.lit(0).cast(MONEY))
     qty = F.col("l_quantity").cast("bigint")
-    df = (li.join(o, li.l_orderkey == o.o_orderkey)
-          .join(c, o.o_custkey == c.c_custkey)
+    # Enrich orders with customer and market first (orders-sized join), so the
+    # lineitem-sized data is shuffled only for the order and the part joins.
+    oc = (o.join(c, o.o_custkey == c.c_custkey)
           .join(geo, c.c_nationkey == geo.n_nationkey)
-          .join(p, li.l_partkey == p.p_partkey))
+          .select("o_orderkey", "o_custkey", "c_custkey", "dma_name", "state"))
+    df = li.join(oc, li.l_orderkey == oc.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     return df.select(
         F.to_date("l_shipdate").alias("date"),
         F.col("l_shipdate").alias("order_datetime"),
