@@ -219,3 +219,27 @@ def kpi_table(daily: DataFrame, inflation: DataFrame, promo: DataFrame, digits:
         (F.try_divide(F.col("total_revenue"), F.col("_all")) * 100).alias("value"))
     out = totals.unionByName(corr).unionByName(share)
     return out.withColumn("value", F.round("value", digits))
+
+
+def daily_distincts(txn: DataFrame, web_events: DataFrame, ecom_daily: DataFrame, web_daily: DataFrame) -> DataFrame:
+    """Trap Z4: exact distinct orders, sessions and users per day from the
+    source grain, next to the reference's sums of per-group distinct counts
+    (which over-count when an order or session spans several groups)."""
+    o = txn.groupBy("date").agg(F.count_distinct("order_id").alias("orders_exact"))
+    w = web_events.groupBy("date").agg(F.count_distinct("session_id").alias("sessions_exact"),
+                                       F.count_distinct("user_id").alias("users_exact"))
+    eo = ecom_daily.groupBy("date").agg(F.sum("orders").alias("orders_summed"))
+    ws = web_daily.groupBy("date").agg(F.sum("sessions").alias("sessions_summed"),
+                                       F.sum("users").alias("users_summed"))
+    return o.join(eo, "date", "full_outer").join(w.join(ws, "date", "full_outer"), "date", "full_outer")
+
+
+def distinct_sketches(df: DataFrame, keys: Sequence[str], col: str, lg_k: int = 12) -> DataFrame:
+    """Mergeable HyperLogLog sketches of ``col`` per key (e.g. per day)."""
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(F.col(col), lg_k).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Roll sketches up to coarser keys (e.g. day -> month) without re-reading the source."""
+    return (sketches.groupBy(*keys).agg(F.hll_union_agg("sketch").alias("sketch"))
+            .withColumn("estimate", F.hll_sketch_estimate("sketch")))

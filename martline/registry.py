@@ -642,3 +642,10 @@ def q_airport_inventory(spark, d):
 def q_campaign_ids(spark, d):
     """Paid campaign id -> name mapping (is it one-to-one?)."""
     return explore.id_name_map(wh.paid_social(spark, d), "campaign_id", "campaign_name")
+
+
+@query("daily_distincts")
+def q_daily_distincts(spark, d):
+    """Exact per-day distinct orders/sessions/users vs the summed per-group counts."""
+    return marts.daily_distincts(wh.transactions_clean(spark, d), wh.web_events(spark, d),
+                                 wh.ecommerce_daily(spark, d), wh.web_daily(spark, d))

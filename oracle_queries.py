@@ -959,3 +959,15 @@ FROM v_ooh_weekly GROUP BY airport_code"""
 
 Q["campaign_ids"] = """SELECT campaign_id, max(campaign_name) AS campaign_name, count(DISTINCT campaign_name) AS names,
   count(*) AS n_rows FROM paid_social GROUP BY campaign_id"""
+
+Q["daily_distincts"] = """, o AS (SELECT date, count(DISTINCT order_id) AS orders_exact FROM v_txn GROUP BY date),
+eo AS (SELECT date, CAST(sum(orders) AS BIGINT) AS orders_summed FROM ecommerce_daily GROUP BY date),
+w AS (SELECT date, count(DISTINCT session_id) AS sessions_exact, count(DISTINCT user_id) AS users_exact
+      FROM web_events GROUP BY date),
+ws AS (SELECT date, CAST(sum(sessions) AS BIGINT) AS sessions_summed, CAST(sum(users) AS BIGINT) AS users_summed
+       FROM web_daily GROUP BY date),
+a AS (SELECT coalesce(o.date, eo.date) AS date, orders_exact, orders_summed FROM o FULL OUTER JOIN eo ON o.date = eo.date),
+b AS (SELECT coalesce(w.date, ws.date) AS date, sessions_exact, users_exact, sessions_summed, users_summed
+      FROM w FULL OUTER JOIN ws ON w.date = ws.date)
+SELECT coalesce(a.date, b.date) AS date, orders_exact, orders_summed, sessions_exact, users_exact, sessions_summed,
+  users_summed FROM a FULL OUTER JOIN b ON a.date = b.date"""

@@ -307,3 +307,13 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(100 * 2**40, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) >= 100 * 2**40 // (256 << 20)
     assert int(c["spark.sql.autoBroadcastJoinThreshold"]) == 64 * 1024 * 1024
+
+
+def test_hll_sketches_merge_to_month(spark):
+    from martline.plans.marts import distinct_sketches, merge_sketches
+    rows = [(d("2024-01-01") + dt.timedelta(days=i % 31), f"u{(i * 7919) % 5000}") for i in range(20000)]
+    df = spark.createDataFrame(rows, "date date, user string").withColumn("month", F.date_format("date", "yyyy-MM"))
+    daily = distinct_sketches(df, ["month", "date"], "user")
+    est = merge_sketches(daily, ["month"]).collect()[0].estimate
+    exact = df.select("user").distinct().count()
+    assert abs(est - exact) / exact < 0.05
