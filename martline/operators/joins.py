@@ -83,16 +83,31 @@ def bridge_join(fact: DataFrame, bridge: DataFrame, fact_col: str, list_col: str
     return f.join(F.broadcast(ex), f["_bkey"] == ex["_elem"], "left").drop("_bkey", "_elem")
 
 
-def drill_across(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+def null_safe_full_join(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Full outer join on ``keys`` where NULL keys match each other (pandas merge
+    semantics, trap Z20); the key columns are coalesced from both sides."""
+    ak = a.select(*[F.col(k).alias("_a_" + k) for k in keys], *[c for c in a.columns if c not in keys])
+    bk = b.select(*[F.col(k).alias("_b_" + k) for k in keys], *[c for c in b.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = F.col("_a_" + k).eqNullSafe(F.col("_b_" + k))
+        cond = c if cond is None else cond & c
+    j = ak.join(bk, cond, "full_outer")
+    rest = [c for c in j.columns if not c.startswith(("_a_", "_b_"))]
+    return j.select(*[F.coalesce(F.col("_a_" + k), F.col("_b_" + k)).alias(k) for k in keys], *rest)
+
+
+def drill_across(a: DataFrame, b: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
     """Two facts already aggregated to a shared grain, full outer join on it."""
-    return a.join(b, list(keys), "full_outer")
+    return null_safe_full_join(a, b, keys) if null_safe else a.join(b, list(keys), "full_outer")
 
 
 def aligned_compare(a: DataFrame, b: DataFrame, keys: Sequence[str], value_a: str,
                     value_b: str, tol: float = 0.0) -> DataFrame:
-    """Full outer join of two per-key aggregates, flag missing keys and differences."""
-    j = a.select(*keys, F.col(value_a).alias("_a")).join(
-        b.select(*keys, F.col(value_b).alias("_b")), list(keys), "full_outer")
+    """Full outer join of two per-key aggregates (NULL keys match), flag
+    missing keys and differences."""
+    j = null_safe_full_join(a.select(*keys, F.col(value_a).alias("_a")),
+                            b.select(*keys, F.col(value_b).alias("_b")), keys)
     diff = F.abs(F.col("_a").cast("double") - F.col("_b").cast("double"))
     return j.withColumn("mismatch", F.col("_a").isNull() | F.col("_b").isNull() | (diff > F.lit(tol)))
 

@@ -317,3 +317,12 @@ def test_hll_sketches_merge_to_month(spark):
     est = merge_sketches(daily, ["month"]).collect()[0].estimate
     exact = df.select("user").distinct().count()
     assert abs(est - exact) / exact < 0.05
+
+
+def test_null_keys_match_in_compare_and_drill_across(spark):
+    a = spark.createDataFrame([(None, 1.0), ("k", 2.0)], "k string, v double")
+    b = spark.createDataFrame([(None, 1.0), ("k", 2.5)], "k string, w double")
+    got = {r.k: r.mismatch for r in joins.aligned_compare(a, b, ["k"], "v", "w").collect()}
+    assert got == {None: False, "k": True}
+    da = joins.drill_across(a, b, ["k"]).collect()
+    assert len(da) == 2 and {r.k: (r.v, r.w) for r in da} == {None: (1.0, 1.0), "k": (2.0, 2.5)}
