@@ -119,3 +119,40 @@ def test_seasonal_inflation_and_semi_partial_from_committed_correlations(spark):
     semi = (r_sy - r_sx * r_xy) / math.sqrt(1 - r_xy ** 2)
     gold_p = read_golden(csvs_with_header("simple_corr", "partial_corr")[0])[0]
     assert round(semi, 6) == float(gold_p["partial_corr"])
+
+
+def _rows(path):
+    return read_golden(path)
+
+
+@needs
+def test_constant_dimensions_equal_published_tables(spark):
+    from martline.plans.dims import channel_dim, initiative_dim
+    gold_ch = _rows(csvs_with_header("channel_key", "channel_name", "channel_group", "is_paid")[0])
+    got_ch = channel_dim(spark).orderBy("channel_key").collect()
+    assert [(str(r.channel_key), r.channel_name, r.channel_group, str(r.is_paid)) for r in got_ch] == \
+        [(g["channel_key"], g["channel_name"], g["channel_group"], g["is_paid"]) for g in gold_ch]
+    gold_in = _rows(csvs_with_header("initiative_key", "initiative_name")[0])
+    got_in = initiative_dim(spark).orderBy("initiative_key").collect()
+    assert [(str(r.initiative_key), r.initiative_name, r.paid_social_campaign_pattern or "",
+             r.web_analytics_campaign_value or "", r.notes) for r in got_in] == \
+        [(g["initiative_key"], g["initiative_name"], g["paid_social_campaign_pattern"],
+          g["web_analytics_campaign_value"], g["notes"]) for g in gold_in]
+
+
+@needs
+def test_show_and_inferred_geography_from_raw_mentions(spark):
+    from martline.plans.dims import geography_dim, show_dim
+    raw = read_source(spark, csvs_with_header("podcast_name", "episode_title", "episode_release_date"), PODCAST_SCHEMA)
+    gold = _rows(csvs_with_header("podcast_key", "podcast_name", "geo_inferred", "geo_state")[0])
+    got = show_dim(raw).orderBy("podcast_key").collect()
+    assert [(str(r.podcast_key), r.podcast_name, r.geo_inferred, r.geo_state or "") for r in got] == \
+        [(g["podcast_key"], g["podcast_name"], g["geo_inferred"], g["geo_state"]) for g in gold]
+    # the inferred scope of the geography dimension: one row per show, GA or unknown, in name order
+    empty_local = spark.createDataFrame([], "dma_name string, state string")
+    empty_ooh = spark.createDataFrame([], "week_start_date date, airport_code string, airport_name string")
+    empty_lookup = spark.createDataFrame([], "iata_code string, name string, state string")
+    geo = geography_dim([empty_local], empty_ooh, empty_lookup, raw).orderBy("geo_key").collect()
+    gold_geo = [g for g in _rows(csvs_with_header("geo_key", "dma_name", "state", "zip_code")[0])
+                if g["geo_scope"] == "inferred"]
+    assert [(r.state or "", r.geo_scope) for r in geo] == [(g["state"], g["geo_scope"]) for g in gold_geo]
