@@ -1,6 +1,6 @@
 """Command line: ``python -m martline <command>``.
 
-  rebuild --sf DIR --out DIR     write facts, dimensions, marts and quality rows (full rebuild)
+  rebuild --sf DIR --out DIR [--csv DIR]   write facts, dimensions, marts and quality rows (full rebuild)
   query NAME [--sf DIR] [--out DIR]   run one registered query; show it or write it as parquet
   check [--sf DIR]               run the data-quality suite and print the summary
   list                           list the registered queries
@@ -18,6 +18,7 @@ def main(argv=None) -> int:
     r = sub.add_parser("rebuild")
     r.add_argument("--sf", default="/root/testdata/sf0.01")
     r.add_argument("--out", required=True)
+    r.add_argument("--csv", help="also export the published tables as sorted CSV under this folder")
     q = sub.add_parser("query")
     q.add_argument("name")
     q.add_argument("--sf", default="/root/testdata/sf0.01")
@@ -36,7 +37,7 @@ def main(argv=None) -> int:
     try:
         if args.cmd == "rebuild":
             from martline.plans.rebuild import rebuild
-            for name, path in sorted(rebuild(spark, args.sf, args.out).items()):
+            for name, path in sorted(rebuild(spark, args.sf, args.out, args.csv).items()):
                 print(f"{name}\t{path}")
         elif args.cmd == "query":
             df = registry.QUERIES[args.name](spark, args.sf)

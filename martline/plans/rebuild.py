@@ -19,6 +19,23 @@ from martline.plans import warehouse as wh
 from martline.sources import views
 from martline.sources.sinks import write_outputs, write_table
 
+# Export row order per table (ascending, nulls last), as the
+# reference's CSV outputs are sorted.
+EXPORT_ORDER = {
+    "fact_paid_social_daily": ("date", "channel", "campaign_id", "dma_name"),
+    "fact_web_analytics_daily": ("date", "traffic_source", "dma_name"),
+    "fact_web_analytics_events": ("date", "event_datetime"),
+    "fact_ecommerce_daily": ("date", "dma_name", "product_category", "size"),
+    "fact_ecommerce_transactions": ("date", "order_id"),
+    "fact_organic_social_daily": ("date",),
+    "fact_podcast_daily": ("date", "podcast_name"),
+    "fact_ooh_daily": ("date", "airport_code", "format", "audience_segment"),
+    "dim_date": ("date",), "dim_geography": ("geo_key",), "dim_channel": ("channel_key",),
+    "dim_campaign_initiative": ("initiative_key",), "dim_podcast": ("podcast_key",),
+    "cross_channel_daily": ("date",), "lag_correlations": ("signal_pair", "lag_days"),
+    "lag_correlations_resid": ("signal_pair", "lag_days"), "promo_impact_summary": ("promo_flag",),
+}
+
 DAILY_FACTS = ("fact_paid_social_daily", "fact_web_analytics_daily", "fact_ecommerce_daily",
                "fact_organic_social_daily", "fact_podcast_daily", "fact_ooh_daily")
 
@@ -31,8 +48,22 @@ def _reader(spark: SparkSession, out: str):
     return read
 
 
-def rebuild(spark: SparkSession, sf_dir: str, out: str) -> dict[str, str]:
-    """Build every table under ``out``; returns table name -> path."""
+def export_csv(spark: SparkSession, paths: dict[str, str], csv_dir: str) -> dict[str, str]:
+    """K1/O1: header CSV copies of the published tables in the reference's row order."""
+    from martline.sources.sinks import export_sorted
+    out = {}
+    for name, order in EXPORT_ORDER.items():
+        if name in paths:
+            df = spark.read.parquet(paths[name])
+            df = df.drop("year", "month") if name.startswith("fact_") else df
+            export_sorted(df, f"{csv_dir.rstrip('/')}/{name}", list(order))
+            out[name] = f"{csv_dir.rstrip('/')}/{name}"
+    return out
+
+
+def rebuild(spark: SparkSession, sf_dir: str, out: str, csv_dir: str | None = None) -> dict[str, str]:
+    """Build every table under ``out``; returns table name -> path.  With
+    ``csv_dir``, the published tables are also exported as sorted CSV."""
     out = out.rstrip("/")
     paths: dict[str, str] = {}
 
@@ -85,4 +116,6 @@ def rebuild(spark: SparkSession, sf_dir: str, out: str) -> dict[str, str]:
               .unionByName(dq.check_formula("fact_ecommerce_transactions", read("fact_ecommerce_transactions"))))
     save("quality_checks", checks)
     save("quality_summary", dq.suite_summary(read("quality_checks")))
+    if csv_dir:
+        export_csv(spark, paths, csv_dir)
     return paths

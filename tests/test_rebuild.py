@@ -48,3 +48,20 @@ def test_month_partitions_are_pruned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in plan and "(year" in plan
     assert df.count() == wh.ecommerce_daily(spark, SF_SMALL).where(
         F.year("date") == 1998).where(F.month("date") == 1).count()
+
+
+def test_csv_export_is_sorted(spark, tmp_path):
+    from martline.plans import warehouse as wh
+    from martline.plans.rebuild import export_csv
+    from martline.sources.sinks import write_table
+    p = str(tmp_path / "fact_organic_social_daily")
+    write_table(wh.organic_daily(spark, SF_SMALL), p, by_month="date")
+    out = export_csv(spark, {"fact_organic_social_daily": p}, str(tmp_path / "csv"))
+    df = spark.read.option("header", True).csv(out["fact_organic_social_daily"])
+    assert "year" not in df.columns and df.count() == wh.organic_daily(spark, SF_SMALL).count()
+    files = sorted(f for f in os.listdir(out["fact_organic_social_daily"]) if f.endswith(".csv"))
+    dates = []
+    for f in files:
+        with open(os.path.join(out["fact_organic_social_daily"], f)) as fh:
+            dates += [ln.split(",")[0] for ln in fh.read().splitlines()[1:]]
+    assert dates == sorted(dates)
