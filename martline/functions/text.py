@@ -35,10 +35,6 @@ def contains_any(s, terms) -> Column:
     return expr
 
 
-def escape_regex(term: str) -> str:
-    return "".join("\\" + ch if not ch.isalnum() and ch != " " else ch for ch in term)
-
-
 def word_match(s, term_col) -> Column:
     """whole-word, case-sensitive regex match of a term held in a column."""
     pattern = F.concat(F.lit(r"\b"), F.regexp_replace(_c(term_col), r"([^A-Za-z0-9 ])", r"\\$1"),

@@ -104,11 +104,6 @@ def resolve_drift_tagged(df: DataFrame, source_col: str, rules: Sequence[tuple],
     return df.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in target.fields])
 
 
-def column_presence(dfs_by_source: Mapping[str, DataFrame]) -> list[tuple[str, str, int]]:
-    """(source, column, position) rows from extract schemas (driver metadata only)."""
-    return [(src, c, i) for src, df in sorted(dfs_by_source.items()) for i, c in enumerate(df.columns)]
-
-
 def first_present(df: DataFrame, candidates: Sequence[str], alias: str):
     """The first of ``candidates`` that exists in ``df`` (schema check on the driver)."""
     for c in candidates:

@@ -55,3 +55,10 @@ def test_numeric_functions(spark):
     assert rows[0].l == "relationship is positive and meaningfully weaker after conditioning"
     assert rows[1].l == "relationship is positive and meaningfully weaker after conditioning"
     assert [r.bad for r in rows] == [False, False] and rows[0].nz is None
+
+
+def test_parse_and_null_helpers(spark):
+    df = spark.createDataFrame([("2024-01-05 10:30:00", None), ("not a date", 1)], "s string, n int")
+    rows = df.select(fd.tolerant_timestamp("s").alias("t"), fd.to_day(fd.tolerant_timestamp("s")).alias("d")).collect()
+    assert rows[0].d == dt.date(2024, 1, 5) and rows[1].t is None
+    assert df.agg(fn.null_count("n").alias("nulls")).collect()[0].nulls == 1
