@@ -284,79 +284,132 @@ DAILY_FACTS = ("fact_paid_social_daily", "fact_web_analytics_daily", "fact_ecomm
                "fact_organic_social_daily", "fact_podcast_daily", "fact_ooh_daily")
 
 
-@query("dq_exists")
-def q_dq_exists(spark, d):
-    return dq.check_exists({n: wh.table_by_name(spark, d, n) for n in DQ_TABLES})
+def _dq_inputs(spark, d, materialize: bool = False):
+    """Table provider for the quality checks.
 
+    ``materialize=True`` (the whole suite) checkpoints each fact, dimension
+    and derived raw input once under ``spark.checkpoint.dir``, so the many
+    checks that read the same table share one computation instead of
+    re-deriving it from raw each time; raw row counts still read the inputs.
+    """
+    derived = {
+        "raw_paid": lambda: views.paid_raw(spark, d),
+        "raw_ooh_weekly": lambda: views.v_ooh_weekly(spark, d),
+        "raw_txn": lambda: wh.transactions_clean(spark, d),
+        "raw_web_parts": lambda: views.v_web_parts(spark, d),
+    }
+    memo = {}
 
-@query("dq_grain")
-def q_dq_grain(spark, d):
-    return dq.check_grain({n: (wh.table_by_name(spark, d, n), k) for n, k in wh.GRAINS.items()})
+    def get(name: str) -> DataFrame:
+        if name not in memo:
+            df = derived[name]() if name in derived else wh.table_by_name(spark, d, name)
+            memo[name] = df.checkpoint(eager=True) if materialize else df
+        return memo[name]
+    return get
 
 
-@query("dq_date_range")
-def q_dq_date_range(spark, d):
-    bounds = wh.date_spine(spark, d).agg(F.min("date").alias("start"), F.max("date").alias("end"))
-    tables = {n: (wh.table_by_name(spark, d, n), "date") for n in wh.FACT_NAMES}
-    return dq.check_date_range(tables, bounds)
+def _dq_exists(t):
+    return dq.check_exists({n: t(n) for n in DQ_TABLES})
 
 
-@query("dq_empty_cols")
-def q_dq_empty_cols(spark, d):
-    tables = {n: (wh.table_by_name(spark, d, n), ()) for n in wh.FACT_NAMES}
-    tables["dim_geography"] = (wh.geography(spark, d), ("zip_code",))
-    return dq.check_empty_columns(tables)
+def _dq_grain(t):
+    return dq.check_grain({n: (t(n), k) for n, k in wh.GRAINS.items()})
 
 
-def _paid_raw(spark, d):
-    """Raw paid spend: each extract's own spend column (spend_usd where it has one, P14)."""
-    return views.paid_raw(spark, d).select(F.coalesce("spend_usd", "spend").alias("spend"))
+def _dq_date_range(t):
+    bounds = t("dim_date").agg(F.min("date").alias("start"), F.max("date").alias("end"))
+    return dq.check_date_range({n: (t(n), "date") for n in wh.FACT_NAMES}, bounds)
 
 
-@query("dq_reconcile")
-def q_dq_reconcile(spark, d):
-    clean = wh.transactions_clean(spark, d)
+def _dq_empty_cols(t):
+    tables = {n: (t(n), ()) for n in wh.FACT_NAMES}
+    tables["dim_geography"] = (t("dim_geography"), ("zip_code",))
+    return dq.check_empty_columns(tables)
+
+
+def _dq_reconcile(t):
+    # raw paid spend: each extract's own spend column (spend_usd where it has one, P14)
+    paid_raw = t("raw_paid").select(F.coalesce("spend_usd", "spend").alias("spend"))
     return dq.check_totals({
-        "fact_paid_social_daily": (_paid_raw(spark, d), "spend", wh.paid_social(spark, d), "spend"),
-        "fact_ooh_daily": (views.v_ooh_weekly(spark, d), "spend", wh.ooh_daily(spark, d), "spend"),
-        "fact_ecommerce_daily": (clean, "line_revenue", wh.ecommerce_daily(spark, d), "gross_revenue"),
+        "fact_paid_social_daily": (paid_raw, "spend", t("fact_paid_social_daily"), "spend"),
+        "fact_ooh_daily": (t("raw_ooh_weekly"), "spend", t("fact_ooh_daily"), "spend"),
+        "fact_ecommerce_daily": (t("raw_txn"), "line_revenue", t("fact_ecommerce_daily"), "gross_revenue"),
     })
 
 
-@query("dq_expected")
-def q_dq_expected(spark, d):
-    weekly = views.v_ooh_weekly(spark, d).agg((F.count(F.lit(1)) * 7).alias("n"))
+def _dq_expected(t, spark, d):
+    weekly = t("raw_ooh_weekly").agg((F.count(F.lit(1)) * 7).alias("n"))
     li = views.table(spark, d, "lineitem").agg(F.count(F.lit(1)).alias("n"))
     ev = views.table(spark, d, "events").agg(F.count(F.lit(1)).alias("n"))
-    grain = views.paid_base(spark, d).select("date", "channel", "campaign_id", "dma_name").distinct() \
+    grain = t("raw_paid").select("date", "channel", "campaign_id", "dma_name").distinct() \
         .agg(F.count(F.lit(1)).alias("n"))
     return dq.check_expected_rows({
-        "fact_ooh_daily": (wh.ooh_daily(spark, d), weekly),
-        "fact_ecommerce_transactions": (wh.ecommerce_transactions(spark, d), li),
-        "fact_web_analytics_events": (wh.web_events(spark, d), ev),
-        "fact_paid_social_daily": (wh.paid_social(spark, d), grain),
+        "fact_ooh_daily": (t("fact_ooh_daily"), weekly),
+        "fact_ecommerce_transactions": (t("fact_ecommerce_transactions"), li),
+        "fact_web_analytics_events": (t("fact_web_analytics_events"), ev),
+        "fact_paid_social_daily": (t("fact_paid_social_daily"), grain),
     })
 
 
-@query("dq_alignment")
-def q_dq_alignment(spark, d):
-    txn = wh.transactions_clean(spark, d)
-    ecom = dq.check_alignment("fact_ecommerce_daily", txn, wh.ecommerce_daily(spark, d), "date", [
+def _dq_alignment(t):
+    ecom = dq.check_alignment("fact_ecommerce_daily", t("raw_txn"), t("fact_ecommerce_daily"), "date", [
         ("revenue", F.sum("line_revenue"), F.sum("gross_revenue")),
         ("quantity", F.sum("quantity"), F.sum("total_quantity")),
         ("line_items", F.count(F.lit(1)), F.sum("line_items"))])
-    web = dq.check_alignment("fact_web_analytics_daily", wh.web_events(spark, d), wh.web_daily(spark, d), "date", [
-        ("pageviews", F.count(F.lit(1)), F.sum("pageviews"))])
+    web = dq.check_alignment("fact_web_analytics_daily", t("fact_web_analytics_events"),
+                             t("fact_web_analytics_daily"), "date", [("pageviews", F.count(F.lit(1)), F.sum("pageviews"))])
     return ecom.unionByName(web)
 
 
-@query("dq_overlap")
-def q_dq_overlap(spark, d):
-    raw = views.v_web_parts(spark, d)
+def _dq_overlap(t):
     start, end = wh.WEB_OVERLAP
     dropped = (F.col("_source") == wh.WEB_DROP_SOURCE) & F.to_date("event_datetime").between(
         F.lit(start).cast("date"), F.lit(end).cast("date"))
-    return dq.check_overlap("fact_web_analytics_events", raw, wh.web_events(spark, d), dropped)
+    return dq.check_overlap("fact_web_analytics_events", t("raw_web_parts"), t("fact_web_analytics_events"), dropped)
+
+
+def _dq_formula(t):
+    return dq.check_formula("fact_ecommerce_transactions", t("raw_txn"))
+
+
+@query("dq_exists")
+def q_dq_exists(spark, d):
+    return _dq_exists(_dq_inputs(spark, d))
+
+
+@query("dq_grain")
+def q_dq_grain(spark, d):
+    return _dq_grain(_dq_inputs(spark, d))
+
+
+@query("dq_date_range")
+def q_dq_date_range(spark, d):
+    return _dq_date_range(_dq_inputs(spark, d))
+
+
+@query("dq_empty_cols")
+def q_dq_empty_cols(spark, d):
+    return _dq_empty_cols(_dq_inputs(spark, d))
+
+
+@query("dq_reconcile")
+def q_dq_reconcile(spark, d):
+    return _dq_reconcile(_dq_inputs(spark, d))
+
+
+@query("dq_expected")
+def q_dq_expected(spark, d):
+    return _dq_expected(_dq_inputs(spark, d), spark, d)
+
+
+@query("dq_alignment")
+def q_dq_alignment(spark, d):
+    return _dq_alignment(_dq_inputs(spark, d))
+
+
+@query("dq_overlap")
+def q_dq_overlap(spark, d):
+    return _dq_overlap(_dq_inputs(spark, d))
 
 
 @query("dq_month_counts")
@@ -366,18 +419,27 @@ def q_dq_month_counts(spark, d):
 
 @query("dq_formula")
 def q_dq_formula(spark, d):
-    return dq.check_formula("fact_ecommerce_transactions", wh.transactions_clean(spark, d))
+    return _dq_formula(_dq_inputs(spark, d))
+
+
+def run_suite(spark, d, materialize: bool = False) -> DataFrame:
+    """All check rows of the suite.  ``materialize=True`` checkpoints each input
+    once and shares it across the checks: worth it when inputs are large and
+    expensive to derive (at small scale recomputing is cheaper; for stored
+    warehouses see ``plans.rebuild``, which checks the written tables)."""
+    t = _dq_inputs(spark, d, materialize)
+    parts = [_dq_exists(t), _dq_grain(t), _dq_date_range(t), _dq_empty_cols(t), _dq_reconcile(t),
+             _dq_expected(t, spark, d), _dq_alignment(t), _dq_overlap(t), _dq_formula(t)]
+    allr = parts[0]
+    for r in parts[1:]:
+        allr = allr.unionByName(r)
+    return allr
 
 
 @query("dq_summary")
 def q_dq_summary(spark, d):
-    parts = [q_dq_exists, q_dq_grain, q_dq_date_range, q_dq_empty_cols, q_dq_reconcile, q_dq_expected,
-             q_dq_alignment, q_dq_overlap, q_dq_formula]
-    allr = None
-    for fn in parts:
-        r = fn(spark, d)
-        allr = r if allr is None else allr.unionByName(r)
-    return dq.suite_summary(allr)
+    """Q11: counts of the suite's check rows per status."""
+    return dq.suite_summary(run_suite(spark, d))
 
 
 # ------------------------------------------------------------------ profiling

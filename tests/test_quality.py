@@ -105,3 +105,14 @@ def test_geo_columns(spark):
     from martline.plans.explore import geo_columns
     a = spark.createDataFrame([(1, "x", "y")], "id int, dma_name string, airport_code string")
     assert geo_columns({"a": a}) == [("a", "dma_name"), ("a", "airport_code")]
+
+
+def test_suite_with_materialised_inputs_matches(spark):
+    import os
+    from conftest import SF_SMALL
+    if not os.path.exists(f"{SF_SMALL}/lineitem.parquet"):
+        return
+    from martline.registry import run_suite
+    a = run_suite(spark, SF_SMALL)
+    b = run_suite(spark, SF_SMALL, materialize=True)
+    assert sorted(a.collect()) == sorted(b.collect())
