@@ -3,6 +3,7 @@
   rebuild --sf DIR --out DIR [--csv DIR]   write facts, dimensions, marts and quality rows (full rebuild)
   query NAME [--sf DIR] [--out DIR]   run one registered query; show it or write it as parquet
   check [--sf DIR]               run the data-quality suite and print the summary
+  profile PATH [PATH ...]        inventory, drift and overlap reports of raw CSV extracts
   list                           list the registered queries
 """
 
@@ -25,6 +26,8 @@ def main(argv=None) -> int:
     q.add_argument("--out")
     c = sub.add_parser("check")
     c.add_argument("--sf", default="/root/testdata/sf0.01")
+    pr = sub.add_parser("profile")
+    pr.add_argument("paths", nargs="+", help="CSV files or folders of CSV files")
     sub.add_parser("list")
     args = ap.parse_args(argv)
 
@@ -45,6 +48,16 @@ def main(argv=None) -> int:
                 df.write.mode("overwrite").parquet(args.out)
             else:
                 df.show(50, truncate=False)
+        elif args.cmd == "profile":
+            import glob
+            import os
+            from martline.plans.profile import profile_files
+            files = []
+            for p in args.paths:
+                files += sorted(glob.glob(os.path.join(p, "*.csv"))) if os.path.isdir(p) else [p]
+            for name, df in profile_files(spark, files).items():
+                print(f"== {name}")
+                df.show(200, truncate=False)
         elif args.cmd == "check":
             registry.QUERIES["dq_summary"](spark, args.sf).show(truncate=False)
     finally:
