@@ -180,6 +180,7 @@ def granularity(df: DataFrame, ts_col: str, by: Sequence[str] = ()) -> DataFrame
     ts = F.col(ts_col)
     has_time = df.groupBy(*by).agg(F.max(((F.hour(ts) != 0) | (F.minute(ts) != 0)).cast("int")).alias("_t"))
     gaps = day_gaps(df.select(*by, F.to_date(ts).alias("_d")), "_d", by)
+    # one gap per distinct date: bounded by the calendar, so an exact median is cheap
     med = gaps.groupBy(*by).agg(F.median("gap").alias("median_gap"))
     if by:
         j = has_time.join(med, list(by), "left")
