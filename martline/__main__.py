@@ -35,7 +35,10 @@ def main(argv=None) -> int:
     if args.cmd == "list":
         print("\n".join(sorted(registry.QUERIES)))
         return 0
+    from pyspark.sql import SparkSession
+
     from martline.session import build_session
+    owned = SparkSession.getActiveSession() is None  # stop only a session started here
     spark = build_session(app=f"martline-{args.cmd}")
     try:
         if args.cmd == "rebuild":
@@ -61,7 +64,8 @@ def main(argv=None) -> int:
         elif args.cmd == "check":
             registry.QUERIES["dq_summary"](spark, args.sf).show(truncate=False)
     finally:
-        spark.stop()
+        if owned:
+            spark.stop()
     return 0
 
 

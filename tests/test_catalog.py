@@ -41,3 +41,17 @@ def test_cli_list(capsys):
     from martline.__main__ import main
     assert main(["list"]) == 0
     assert "ecommerce_daily" in capsys.readouterr().out
+
+
+def test_cli_query_and_profile(tmp_path, capsys):
+    from martline.__main__ import main
+    out = str(tmp_path / "q")
+    assert main(["query", "promo_impact", "--sf", SF_SMALL, "--out", out]) == 0
+    assert any(f.endswith(".parquet") for f in os.listdir(out))
+    d = tmp_path / "raw"
+    d.mkdir()
+    (d / "paid_a_part1.csv").write_text("date,channel,spend\n2024-01-01,A,1.5\n")
+    (d / "paid_a_part2.csv").write_text("date,channel,spend_usd\n2024-01-02,A,2.0\n")
+    assert main(["profile", str(d)]) == 0
+    printed = capsys.readouterr().out
+    assert "== inventory" in printed and "spend_usd" in printed
