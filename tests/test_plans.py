@@ -28,6 +28,9 @@ def plan_of(spark, name):
 def test_no_cartesian_and_bounded_nested_loops(spark, name):
     plan = plan_of(spark, name)
     assert "CartesianProduct" not in plan
+    # everything stays in the JVM: no Python UDF or pandas operator in any plan
+    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
+        assert node not in plan, (name, node)
     if "BroadcastNestedLoopJoin" in plan:
         assert name in BOUNDED_NESTED_LOOP, name
 
