@@ -20,6 +20,7 @@ def main(argv=None) -> int:
     r.add_argument("--sf", default="/root/testdata/sf0.01")
     r.add_argument("--out", required=True)
     r.add_argument("--csv", help="also export the published tables as sorted CSV under this folder")
+    r.add_argument("--strict", action="store_true", help="fail when a quality check fails")
     q = sub.add_parser("query")
     q.add_argument("name")
     q.add_argument("--sf", default="/root/testdata/sf0.01")
@@ -43,7 +44,7 @@ def main(argv=None) -> int:
     try:
         if args.cmd == "rebuild":
             from martline.plans.rebuild import rebuild
-            for name, path in sorted(rebuild(spark, args.sf, args.out, args.csv).items()):
+            for name, path in sorted(rebuild(spark, args.sf, args.out, args.csv, args.strict).items()):
                 print(f"{name}\t{path}")
         elif args.cmd == "query":
             df = registry.QUERIES[args.name](spark, args.sf)

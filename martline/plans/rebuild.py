@@ -61,9 +61,12 @@ def export_csv(spark: SparkSession, paths: dict[str, str], csv_dir: str) -> dict
     return out
 
 
-def rebuild(spark: SparkSession, sf_dir: str, out: str, csv_dir: str | None = None) -> dict[str, str]:
+def rebuild(spark: SparkSession, sf_dir: str, out: str, csv_dir: str | None = None,
+            strict: bool = False) -> dict[str, str]:
     """Build every table under ``out``; returns table name -> path.  With
-    ``csv_dir``, the published tables are also exported as sorted CSV."""
+    ``csv_dir``, the published tables are also exported as sorted CSV.  With
+    ``strict``, a failed quality check raises (after the check rows are
+    written), like the reference's raising date-range assertion."""
     out = out.rstrip("/")
     paths: dict[str, str] = {}
 
@@ -116,6 +119,12 @@ def rebuild(spark: SparkSession, sf_dir: str, out: str, csv_dir: str | None = No
               .unionByName(dq.check_formula("fact_ecommerce_transactions", read("fact_ecommerce_transactions"))))
     save("quality_checks", checks)
     save("quality_summary", dq.suite_summary(read("quality_checks")))
+    if strict:
+        # at most one row per check reaches the driver
+        failed = read("quality_checks").where(F.col("status") == "FAIL").collect()
+        if failed:
+            raise ValueError("quality checks failed: " + "; ".join(
+                f"{r.check}/{r.table_name}: {r.detail}" for r in failed))
     if csv_dir:
         export_csv(spark, paths, csv_dir)
     return paths

@@ -14,7 +14,7 @@ def test_rebuild_matches_direct_queries(spark, tmp_path):
     import __spark_entry__ as entry
     from martline.plans.rebuild import rebuild
     out = str(tmp_path / "wh")
-    paths = rebuild(spark, SF_SMALL, out)
+    paths = rebuild(spark, SF_SMALL, out, strict=True)  # raises if any quality check fails
     q = entry.queries()
 
     def same(table, query, drop=()):
