@@ -33,3 +33,23 @@ def test_incremental_ingest_and_rollup(spark, tmp_path):
     # days before the watermark (max ts - 1 day) are final; 2024-01-06 is still open
     assert got[("2024-01-01", "a")] == (1, 1.0) and got[("2024-01-02", "a")] == (1, 4.0)
     assert ("2024-01-06", "a") not in got
+
+
+def test_overlapping_extracts_deduplicated_in_stream(spark, tmp_path):
+    src = tmp_path / "web"
+    schema = "ts timestamp_ntz, user string, page string"
+    early = [(dt.datetime(2024, 1, 14, 9), "u1", "/a"), (dt.datetime(2024, 1, 15, 9, 30), "u2", "/b"),
+             (dt.datetime(2024, 1, 15, 23, 59), "u3", "/c")]
+    late = [(dt.datetime(2024, 1, 15, 9, 30), "u2", "/b"), (dt.datetime(2024, 1, 15, 23, 59), "u3", "/c"),
+            (dt.datetime(2024, 1, 20, 10), "u4", "/d")]
+    spark.createDataFrame(early, schema).write.parquet(str(src / "extract1"))
+    spark.createDataFrame(late, schema).write.parquet(str(src / "extract2"))
+    stream = incremental.read_stream(spark, str(src / "*"), spark.createDataFrame([], schema).schema,
+                                     max_files_per_trigger=1)
+    q = incremental.ingest_source_grain(
+        stream, lambda d: incremental.dedupe_overlapping(d, ["ts", "user", "page"], "ts", "3 days"),
+        str(tmp_path / "events"), str(tmp_path / "ck"))
+    q.awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "events"))
+    assert out.count() == 4
+    assert sorted(r.user for r in out.collect()) == ["u1", "u2", "u3", "u4"]
