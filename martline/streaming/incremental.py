@@ -6,6 +6,8 @@ new extracts keep landing in a folder:
 * :func:`ingest_source_grain` appends the cleaned source-grain rows (T2/T4
   style) with the exactly-once file sink: the checkpoint records which input
   files were committed, so a restarted query neither loses nor duplicates rows.
+* :func:`dedupe_overlapping` keeps each event once when extracts overlap,
+  with state bounded by a watermark;
 * :func:`daily_additive_rollup` keeps a per-day rollup of additive metrics
   (counts, sums) with an event-time watermark; a day is emitted once the
   watermark has passed it (late rows within the delay are still counted).
