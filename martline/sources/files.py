@@ -24,9 +24,15 @@ def read_source(spark: SparkSession, paths: str | Sequence[str], schema: T.Struc
                 source_col: str = "_source_file") -> DataFrame:
     """Read one or many files as one DataFrame.
 
-    * CSV: header row, explicit schema (no inference: inference drops ZIP
-      leading zeros and costs a full extra pass), header names stripped and
-      lower-cased, every token in ``null_tokens`` becomes NULL.
+    * CSV: header row, no type inference (inference drops ZIP leading zeros
+      and costs a full extra pass), header names stripped and lower-cased,
+      every token in ``null_tokens`` becomes NULL.
+    * With a ``schema``, columns are matched to it by (normalised) header
+      name, not by position: files are grouped by header (one small header
+      read per file) and each group is read with the schema's types in its
+      own column order, so an extract that lists the same columns in another
+      order still loads correctly.  Schema columns a file lacks are NULL;
+      extra columns are dropped.
     * Each row is tagged with the file it came from (``_metadata.file_name``)
       so per-file rules (drift, overlap) can target one file after a single
       scan instead of one scan per file.
@@ -34,26 +40,39 @@ def read_source(spark: SparkSession, paths: str | Sequence[str], schema: T.Struc
     paths = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "parquet":
         df = spark.read.parquet(*paths)
+        return df.withColumn(source_col, F.col("_metadata.file_name")) if source_col else df
+    tokens = list(null_tokens)
+    base = (spark.read.option("header", True).option("mode", "PERMISSIVE")
+            .option("nullValue", tokens[0] if tokens else None))
+    if schema is None:
+        raw = base.option("inferSchema", False).csv(paths)
+        cols = [F.col(c).alias(c.strip().lower()) for c in raw.columns]
+        if source_col:
+            cols.append(F.col("_metadata.file_name").alias(source_col))
+        df = raw.select(*cols)
+        targets = [c.strip().lower() for c in raw.columns]
+        str_cols = set(targets)
     else:
-        tokens = list(null_tokens)
-        reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-        reader = reader.option("nullValue", tokens[0] if tokens else None)
-        if schema is not None:
-            # The header of a CSV is matched by position; normalise names on
-            # the schema side so the declared schema is the lower-case one.
-            reader = reader.schema(schema).option("enforceSchema", True)
-        else:
-            reader = reader.option("inferSchema", False)
-        df = reader.csv(paths)
-        df = _normalise_header(df)
-        extra = [t for t in tokens[1:]]
-        if extra:
-            str_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-            df = df.select(*[
-                (F.when(F.col(c).isin(extra), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
-                 if c in str_cols else F.col(c)) for c in df.columns])
-    if source_col:
-        df = df.withColumn(source_col, F.col("_metadata.file_name"))
+        by_name = {f.name.lower(): f for f in schema.fields}
+        groups: dict[tuple[str, ...], list[str]] = {}
+        for p, h in file_headers(spark, paths).items():
+            groups.setdefault(h, []).append(p)
+        df = None
+        for header, group in sorted(groups.items()):
+            file_schema = T.StructType([T.StructField(c, by_name[c].dataType if c in by_name else T.StringType())
+                                        for c in header])
+            g = base.schema(file_schema).option("enforceSchema", True).csv(sorted(group))
+            cols = [(F.col(f.name.lower()) if f.name.lower() in header else F.lit(None).cast(f.dataType)).alias(f.name)
+                    for f in schema.fields]
+            if source_col:
+                cols.append(F.col("_metadata.file_name").alias(source_col))
+            g = g.select(*cols)
+            df = g if df is None else df.unionByName(g)
+        str_cols = {f.name for f in schema.fields if isinstance(f.dataType, T.StringType)}
+    extra = tokens[1:]
+    if extra:
+        df = df.select(*[(F.when(F.col(c).isin(extra), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
+                          if c in str_cols and c != source_col else F.col(c)) for c in df.columns])
     return df
 
 

@@ -61,3 +61,15 @@ def test_publish_and_sorted_export(spark, tmp_path):
         if f.endswith(".csv"):
             lines += (tmp_path / "csv" / f).read_text().splitlines()[1:]
     assert [ln.split(",")[0] for ln in lines] == ["1", "2", '""'] or [ln.split(",")[0] for ln in lines] == ["1", "2", ""]
+
+
+def test_schema_columns_matched_by_name_not_position(spark, tmp_path):
+    a = tmp_path / "part1.csv"
+    b = tmp_path / "part2.csv"
+    a.write_text("Date,Spend,Clicks\n2024-01-01,1.50,3\n")
+    b.write_text("clicks,date,extra,spend\n4,2024-01-02,x,2.25\n")
+    schema = T.StructType([T.StructField("date", T.DateType()), T.StructField("spend", T.DoubleType()),
+                           T.StructField("clicks", T.LongType()), T.StructField("goal", T.StringType())])
+    rows = sorted(files.read_source(spark, [str(a), str(b)], schema).collect())
+    assert [(str(r.date), r.spend, r.clicks, r.goal, r._source_file) for r in rows] == [
+        ("2024-01-01", 1.5, 3, None, "part1.csv"), ("2024-01-02", 2.25, 4, None, "part2.csv")]
