@@ -17,25 +17,29 @@ from martline.operators.sets import presence_matrix, size_histogram, tagged_unio
 from martline.operators.windows import previous_value
 
 
-def key_battery(df: DataFrame, candidates: Sequence[Sequence[str]], table: str) -> DataFrame:
+def key_battery(df: DataFrame, candidates: Sequence[Sequence[str]], table: str,
+                file_col: str | None = None) -> DataFrame:
     """For each candidate key, the rows beyond the first per key value.
 
     One ``groupBy(key).count()`` per candidate, each reading only its key
     columns; a candidate naming a missing column is reported as SKIPPED
     (decided on the schema, no job).  Nulls compare equal, like pandas.
+    With ``file_col`` the battery runs per file (the key is tested inside
+    each file), one row per (file, candidate).
     """
+    by = [file_col] if file_col else []
     out = None
     for keys in candidates:
         label = ",".join(keys)
         if not set(keys) <= set(df.columns):
-            r = df.sparkSession.range(1).select(
-                F.lit(table).alias("table_name"), F.lit(label).alias("key_columns"),
-                F.lit(None).cast("bigint").alias("extra_rows"), F.lit("SKIPPED").alias("status"))
+            base = df.select(*by).distinct() if by else df.sparkSession.range(1)
+            r = base.select(*by, F.lit(table).alias("table_name"), F.lit(label).alias("key_columns"),
+                            F.lit(None).cast("bigint").alias("extra_rows"), F.lit("SKIPPED").alias("status"))
         else:
-            g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            r = g.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("extra_rows")).select(
-                F.lit(table).alias("table_name"), F.lit(label).alias("key_columns"), "extra_rows",
-                F.when(F.col("extra_rows") == 0, "UNIQUE").otherwise("DUPLICATES").alias("status"))
+            g = df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("_n"))
+            r = g.groupBy(*by).agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("extra_rows")) \
+                .select(*by, F.lit(table).alias("table_name"), F.lit(label).alias("key_columns"), "extra_rows",
+                        F.when(F.col("extra_rows") == 0, "UNIQUE").otherwise("DUPLICATES").alias("status"))
         out = r if out is None else out.unionByName(r)
     return out
 

@@ -326,3 +326,13 @@ def test_null_keys_match_in_compare_and_drill_across(spark):
     assert got == {None: False, "k": True}
     da = joins.drill_across(a, b, ["k"]).collect()
     assert len(da) == 2 and {r.k: (r.v, r.w) for r in da} == {None: (1.0, 1.0), "k": (2.0, 2.5)}
+
+
+def test_key_battery_per_file(spark):
+    from martline.plans.explore import key_battery
+    df = spark.createDataFrame([("f1", "p1", 1), ("f1", "p1", 2), ("f2", "p1", 1), ("f2", "p2", 1)],
+                               "file string, post_id string, day int")
+    got = {(r.file, r.key_columns): (r.extra_rows, r.status)
+           for r in key_battery(df, [["post_id"], ["post_id", "day"], ["missing"]], "posts", "file").collect()}
+    assert got[("f1", "post_id")] == (1, "DUPLICATES") and got[("f2", "post_id")] == (0, "UNIQUE")
+    assert got[("f1", "post_id,day")] == (0, "UNIQUE") and got[("f2", "missing")] == (None, "SKIPPED")
