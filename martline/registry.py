@@ -711,3 +711,9 @@ def q_daily_distincts(spark, d):
     """Exact per-day distinct orders/sessions/users vs the summed per-group counts."""
     return marts.daily_distincts(wh.transactions_clean(spark, d), wh.web_events(spark, d),
                                  wh.ecommerce_daily(spark, d), wh.web_daily(spark, d))
+
+
+@query("discount_by_promo")
+def q_discount_by_promo(spark, d):
+    """Distribution of the per-unit discount for each promo flag."""
+    return explore.metric_distribution(wh.ecommerce_transactions(spark, d), "promo_flag", "discount_per_unit")

@@ -971,3 +971,7 @@ b AS (SELECT coalesce(w.date, ws.date) AS date, sessions_exact, users_exact, ses
       FROM w FULL OUTER JOIN ws ON w.date = ws.date)
 SELECT coalesce(a.date, b.date) AS date, orders_exact, orders_summed, sessions_exact, users_exact, sessions_summed,
   users_summed FROM a FULL OUTER JOIN b ON a.date = b.date"""
+
+Q["discount_by_promo"] = """SELECT promo_flag, count(v) AS n, round(min(v), 2) AS min, round(max(v), 2) AS max, round(avg(v), 2) AS mean,
+  round(median(v), 2) AS median, round(stddev_samp(v), 2) AS stdev
+FROM (SELECT promo_flag, CAST(discount_per_unit AS DOUBLE) AS v FROM v_txn) t GROUP BY promo_flag"""
