@@ -717,3 +717,10 @@ def q_daily_distincts(spark, d):
 def q_discount_by_promo(spark, d):
     """Distribution of the per-unit discount for each promo flag."""
     return explore.metric_distribution(wh.ecommerce_transactions(spark, d), "promo_flag", "discount_per_unit")
+
+
+@query("post_id_reuse")
+def q_post_id_reuse(spark, d):
+    """How many post ids occur on 1, 2, ... rows (id recycling)."""
+    from martline.operators.sets import size_histogram
+    return size_histogram(views.v_posts(spark, d), "post_id", "uses").withColumnRenamed("groups", "post_ids")

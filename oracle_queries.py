@@ -975,3 +975,6 @@ SELECT coalesce(a.date, b.date) AS date, orders_exact, orders_summed, sessions_e
 Q["discount_by_promo"] = """SELECT promo_flag, count(v) AS n, round(min(v), 2) AS min, round(max(v), 2) AS max, round(avg(v), 2) AS mean,
   round(median(v), 2) AS median, round(stddev_samp(v), 2) AS stdev
 FROM (SELECT promo_flag, CAST(discount_per_unit AS DOUBLE) AS v FROM v_txn) t GROUP BY promo_flag"""
+
+Q["post_id_reuse"] = """SELECT uses, count(*) AS post_ids FROM (SELECT post_id, count(*) AS uses FROM v_posts GROUP BY post_id) t
+GROUP BY uses"""
