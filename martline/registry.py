@@ -724,3 +724,10 @@ def q_post_id_reuse(spark, d):
     """How many post ids occur on 1, 2, ... rows (id recycling)."""
     from martline.operators.sets import size_histogram
     return size_histogram(views.v_posts(spark, d), "post_id", "uses").withColumnRenamed("groups", "post_ids")
+
+
+@query("follower_first_decreases")
+def q_follower_first_decreases(spark, d):
+    """The first ten days on which the follower count fell (a top-k report)."""
+    s = explore.follower_series(views.v_posts(spark, d))
+    return s.where("decreased").orderBy("date").limit(10).select("date", "followers", "prev_followers")

@@ -978,3 +978,9 @@ FROM (SELECT promo_flag, CAST(discount_per_unit AS DOUBLE) AS v FROM v_txn) t GR
 
 Q["post_id_reuse"] = """SELECT uses, count(*) AS post_ids FROM (SELECT post_id, count(*) AS uses FROM v_posts GROUP BY post_id) t
 GROUP BY uses"""
+
+Q["follower_first_decreases"] = """, fp AS (SELECT date, min(post_id) AS pid FROM v_posts GROUP BY date),
+day AS (SELECT p.date, min(p.followers) FILTER (WHERE p.post_id = fp.pid) AS followers
+        FROM v_posts p JOIN fp ON p.date = fp.date GROUP BY p.date),
+s AS (SELECT date, followers, lag(followers) OVER (ORDER BY date) AS prev_followers FROM day)
+SELECT date, followers, prev_followers FROM s WHERE followers < prev_followers ORDER BY date LIMIT 10"""
