@@ -731,3 +731,22 @@ def q_follower_first_decreases(spark, d):
     """The first ten days on which the follower count fell (a top-k report)."""
     s = explore.follower_series(views.v_posts(spark, d))
     return s.where("decreased").orderBy("date").limit(10).select("date", "followers", "prev_followers")
+
+
+@query("negative_revenue_lines")
+def q_negative_revenue_lines(spark, d):
+    """The first five line items with negative revenue (by date, order, then all columns)."""
+    txn = wh.ecommerce_transactions(spark, d).where(F.col("line_revenue") < 0)
+    order = ["date", "order_id", "product_category", "size", "quantity", "unit_price", "line_revenue",
+             "discount_per_unit", "promo_flag"]  # every output column: ties are identical rows
+    return txn.orderBy(*order).limit(5).select(*order)
+
+
+@query("sessions_edge_days")
+def q_sessions_edge_days(spark, d):
+    """Sessions and users on the first three and the last three days."""
+    per_day = explore.distinct_per_day(wh.web_events(spark, d), "event_datetime",
+                                       {"sessions": "session_id", "users": "user_id"})
+    first = per_day.orderBy(F.col("date").asc()).limit(3).withColumn("edge", F.lit("first"))
+    last = per_day.orderBy(F.col("date").desc()).limit(3).withColumn("edge", F.lit("last"))
+    return first.unionByName(last)

@@ -984,3 +984,12 @@ day AS (SELECT p.date, min(p.followers) FILTER (WHERE p.post_id = fp.pid) AS fol
         FROM v_posts p JOIN fp ON p.date = fp.date GROUP BY p.date),
 s AS (SELECT date, followers, lag(followers) OVER (ORDER BY date) AS prev_followers FROM day)
 SELECT date, followers, prev_followers FROM s WHERE followers < prev_followers ORDER BY date LIMIT 10"""
+
+Q["negative_revenue_lines"] = """SELECT date, order_id, product_category, size, quantity, unit_price, line_revenue,
+  discount_per_unit, promo_flag FROM txn_out WHERE line_revenue < 0
+ORDER BY date, order_id, product_category, size, quantity, unit_price, line_revenue, discount_per_unit, promo_flag LIMIT 5"""
+
+Q["sessions_edge_days"] = """, p AS (SELECT CAST(event_datetime AS DATE) AS date, count(*) AS n_rows, count(DISTINCT session_id) AS sessions,
+  count(DISTINCT user_id) AS users FROM web_events GROUP BY 1)
+SELECT * FROM (SELECT *, 'first' AS edge FROM p ORDER BY date LIMIT 3)
+UNION ALL SELECT * FROM (SELECT *, 'last' AS edge FROM p ORDER BY date DESC LIMIT 3)"""
