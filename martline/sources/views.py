@@ -221,32 +221,40 @@ GOALS = ("awareness", "conversions", "traffic")
 
 @per_session
 def paid_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Undrifted paid-social table at its grain (date, channel, campaign_id, dma_name)."""
+    """Undrifted paid-social table at its grain (date, channel, campaign_id, dma_name).
+
+    Rows are grouped by the small integer codes the labels derive from
+    (channel, theme, market); the label strings and the 25-row market table
+    are attached after aggregation, so the per-row work and the shuffle keys
+    stay narrow.
+    """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
     geo = _geo(spark, sf_dir)
-    ch_idx = (F.col("l_suppkey") % 3).cast("int")
-    th_idx = (F.col("l_partkey") % 3).cast("int")
-    channel = F.when(ch_idx == 0, PLATFORMS[0]).when(ch_idx == 1, PLATFORMS[1]).otherwise(PLATFORMS[2])
-    theme = F.when(th_idx == 0, THEMES[0]).when(th_idx == 1, THEMES[1]).otherwise(THEMES[2])
-    goal = F.when(th_idx == 0, GOALS[0]).when(th_idx == 1, GOALS[1]).otherwise(GOALS[2])
-    df = li.join(geo, (li.l_orderkey % 25) == geo.n_nationkey)
-    g = df.select(
-        F.to_date("l_shipdate").alias("date"), channel.alias("channel"),
+    g = li.select(F.to_date("l_shipdate").alias("date"), (F.col("l_suppkey") % 3).cast("int").alias("_ch"),
+                  (F.col("l_partkey") % 3).cast("int").alias("_th"), (F.col("l_orderkey") % 25).alias("_nk"),
+                  F.col("l_extendedprice").cast(MONEY).alias("_spend"), "l_quantity", "l_linenumber")
+    agg = (g.groupBy("date", "_ch", "_th", "_nk")
+           .agg(F.sum("_spend").alias("spend"),
+                (F.sum("l_quantity").cast("bigint") * 100).alias("impressions"),
+                F.count(F.lit(1)).alias("clicks"),
+                F.sum("l_linenumber").cast("bigint").alias("video_views"),
+                F.count_if(F.col("l_linenumber") >= 2).alias("video_25pct"),
+                F.count_if(F.col("l_linenumber") >= 3).alias("video_50pct"),
+                F.count_if(F.col("l_linenumber") >= 4).alias("video_75pct"),
+                F.count_if(F.col("l_linenumber") >= 5).alias("video_completes")))
+    ch, th = F.col("_ch"), F.col("_th")
+    channel = F.when(ch == 0, PLATFORMS[0]).when(ch == 1, PLATFORMS[1]).otherwise(PLATFORMS[2])
+    theme = F.when(th == 0, THEMES[0]).when(th == 1, THEMES[1]).otherwise(THEMES[2])
+    goal = F.when(th == 0, GOALS[0]).when(th == 1, GOALS[1]).otherwise(GOALS[2])
+    out = agg.join(geo, agg._nk == geo.n_nationkey).select(
+        "date", channel.alias("channel"),
         F.concat(channel, F.lit(" "), theme).alias("campaign_name"),
-        F.concat(F.upper(F.substring(channel, 1, 2)), F.lit("_"), (th_idx + 1001).cast("string")).alias("campaign_id"),
+        F.concat(F.upper(F.substring(channel, 1, 2)), F.lit("_"), (th + 1001).cast("string")).alias("campaign_id"),
         "dma_name", "state", goal.alias("optimization_goal"),
-        F.col("l_extendedprice").cast(MONEY).alias("_spend"), "l_quantity", "l_linenumber")
-    return (g.groupBy("date", "channel", "campaign_name", "campaign_id", "dma_name", "state", "optimization_goal")
-            .agg(F.sum("_spend").alias("spend"),
-                 (F.sum("l_quantity").cast("bigint") * 100).alias("impressions"),
-                 F.count(F.lit(1)).alias("clicks"),
-                 F.sum("l_linenumber").cast("bigint").alias("video_views"),
-                 F.count_if(F.col("l_linenumber") >= 2).alias("video_25pct"),
-                 F.count_if(F.col("l_linenumber") >= 3).alias("video_50pct"),
-                 F.count_if(F.col("l_linenumber") >= 4).alias("video_75pct"),
-                 F.count_if(F.col("l_linenumber") >= 5).alias("video_completes"))
-            .withColumn("age_target", F.lit("25-44"))
+        "spend", "impressions", "clicks", "video_views", "video_25pct", "video_50pct", "video_75pct",
+        "video_completes")
+    return (out.withColumn("age_target", F.lit("25-44"))
             .withColumn("audience_segment",
                         F.when(F.col("campaign_name").contains("Teen"), "teens").otherwise("parents"))
             .withColumn("_file", F.concat(F.lower("channel"), F.lit("_part"),
