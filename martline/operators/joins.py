@@ -83,6 +83,21 @@ def bridge_join(fact: DataFrame, bridge: DataFrame, fact_col: str, list_col: str
     return f.join(F.broadcast(ex), f["_bkey"] == ex["_elem"], "left").drop("_bkey", "_elem")
 
 
+def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, object]]) -> DataFrame:
+    """Left-join a fact to each dimension in turn.
+
+    ``dims`` holds ``(dimension, on)`` pairs; ``on`` is a list of shared key
+    columns or a function ``(fact_so_far, dimension) -> Column`` for keys that
+    need an expression (for example a case-insensitive channel name).  Each
+    join goes through :func:`sized_join`, so a dimension is broadcast only
+    under the size bound.
+    """
+    out = fact
+    for dim, on in dims:
+        out = sized_join(out, dim, on(out, dim) if callable(on) else on, "left")
+    return out
+
+
 def null_safe_full_join(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join on ``keys`` where NULL keys match each other (pandas merge
     semantics, trap Z20); the key columns are coalesced from both sides."""

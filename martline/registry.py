@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martline.operators.joins import bridge_join, drill_across, sized_join
+from martline.operators.joins import bridge_join, drill_across, star_join
 from martline.plans import dims, explore, marts, profile
 from martline.plans import quality as dq
 from martline.plans import warehouse as wh
@@ -147,9 +147,9 @@ def q_star_join(spark, d):
     dd = wh.date_spine(spark, d).select("date", "season_flag")
     ch = dims.channel_dim(spark).select("channel_key", "channel_name", "channel_group")
     geo = wh.geography(spark, d).where(F.col("geo_scope") == "local").select("geo_key", "dma_name", "state")
-    j = (sized_join(fact, dd, "date", "left")
-         .join(F.broadcast(ch), F.lower(fact.channel) == ch.channel_name, "left"))
-    j = sized_join(j, geo, ["dma_name", "state"], "left")
+    j = star_join(fact, [(dd, ["date"]),
+                         (ch, lambda f, d: F.lower(f["channel"]) == d["channel_name"]),
+                         (geo, ["dma_name", "state"])])
     return j.select("date", "campaign_id", "channel_key", "geo_key", "season_flag", "channel_group",
                     F.col("spend").cast("double").alias("spend"), "clicks")
 

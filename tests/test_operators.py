@@ -336,3 +336,13 @@ def test_key_battery_per_file(spark):
            for r in key_battery(df, [["post_id"], ["post_id", "day"], ["missing"]], "posts", "file").collect()}
     assert got[("f1", "post_id")] == (1, "DUPLICATES") and got[("f2", "post_id")] == (0, "UNIQUE")
     assert got[("f1", "post_id,day")] == (0, "UNIQUE") and got[("f2", "missing")] == (None, "SKIPPED")
+
+
+def test_star_join_with_keys_and_expressions(spark):
+    fact = spark.createDataFrame([(d("2024-01-01"), "Instagram", 5.0), (d("2024-01-02"), "Other", 1.0)],
+                                 "date date, channel string, spend double")
+    dates = spark.createDataFrame([(d("2024-01-01"), "regular")], "date date, season_flag string")
+    ch = spark.createDataFrame([(1, "instagram")], "channel_key int, channel_name string")
+    out = joins.star_join(fact, [(dates, ["date"]), (ch, lambda f, dm: F.lower(f["channel"]) == dm["channel_name"])])
+    got = {r.channel: (r.season_flag, r.channel_key) for r in out.collect()}
+    assert got == {"Instagram": ("regular", 1), "Other": (None, None)}
