@@ -346,3 +346,12 @@ def test_star_join_with_keys_and_expressions(spark):
     out = joins.star_join(fact, [(dates, ["date"]), (ch, lambda f, dm: F.lower(f["channel"]) == dm["channel_name"])])
     got = {r.channel: (r.season_flag, r.channel_key) for r in out.collect()}
     assert got == {"Instagram": ("regular", 1), "Other": (None, None)}
+
+
+def test_segment_summary_ratios_with_zero_guard(spark):
+    df = spark.createDataFrame([(0, "o1", 10.0), (0, "o1", 5.0), (0, "o2", 5.0), (1, "o3", 0.0)],
+                               "promo int, order_id string, revenue double")
+    out = rollup.segment_summary(df, ["promo"], [("revenue", "sum", "revenue"), ("orders", "nunique", "order_id")],
+                                 [("aov", "revenue", "orders"), ("rev_per_zero", "orders", "revenue")], digits=2)
+    got = {r.promo: (r.revenue, r.orders, r.aov, r.rev_per_zero) for r in out.collect()}
+    assert got == {0: (20.0, 2, 10.0, 0.1), 1: (0.0, 1, 0.0, 0.0)}
