@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martline.llm import bpe, langid, linededup, mixing, quality, secret_scan, simhash, spotsigs, toxicity
+from martline.llm import bpe, katz, langid, linededup, mixing, quality, secret_scan, simhash, spotsigs, toxicity
 from martline.llm.blocks import remainder
 
 #: Vocabulary of the BPE operator.
@@ -38,6 +38,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remainder(F.col("doc_id"), 7)
+    return katz.katz_scores(documents(spark, sf_dir), train_on=left != 2, held_out=left == 2)
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     found = secret_scan.scan(docs, secret_scan.fit(docs))
@@ -76,7 +81,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("part")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_spotsigs, op3_line_dedup, op5_secrets, op6_bpe, op7_simhash, op8_toxicity,
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_spotsigs, op3_line_dedup, op4_katz, op5_secrets, op6_bpe, op7_simhash, op8_toxicity,
                                    op9_quality, op10_mixing)}
 
 
