@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from martline.llm.blocks import LOWER, U64, blocks, bounded_sample, replace_columns, row_sums, text_arrays
 
-SIZES = (3, 4, 5)
+SIZES = (4, 5, 6)
 BUCKET_BITS = 18
 #: Bound of the training sample: about this many documents with each label, none longer than MAX_TRAIN_CHARS.
 DOCS_PER_LABEL = {0: 3000, 1: 1200}
@@ -96,15 +96,16 @@ class SubwordModel:
         return self.bias + total / np.maximum(count, 1)
 
 
-def train(samples: list[tuple[int, str]], dim: int = 8, sizes: tuple[int, ...] = SIZES, bits: int = BUCKET_BITS, epochs: int = 5,
+def train(samples: list[tuple[int, str]], dim: int = 8, sizes: tuple[int, ...] = SIZES, bits: int = BUCKET_BITS, epochs: int | None = None,
           batch: int = 32, rate: float = 0.5, label_weights: tuple[float, float] = (1.0, 1.0), seed: int = 11) -> SubwordModel:
-    """Fit on (label, text) pairs; deterministic."""
+    """Fit on (label, text) pairs; deterministic.  By default few samples are passed over more often: 40,000 texts in all, at least 8 epochs."""
     y = np.array([int(label) for label, _ in samples], dtype=np.int64)
     empty = np.zeros(1 << bits, np.float32)
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
         return SubwordModel(empty, float(np.clip(np.log(share / (1 - share)) if 0 < share < 1 else (np.inf if share else -np.inf), -700, 700)), sizes, bits)
     bags = [_bag(text, sizes, bits) for _, text in samples]
+    epochs = epochs or max(8, -(-40_000 // len(y)))
     rng = np.random.default_rng(seed)
     e = rng.uniform(-1 / dim, 1 / dim, (1 << bits, dim)).astype(np.float32)
     w, b = rng.normal(0, 0.5, (dim, 2)).astype(np.float32), np.zeros(2, np.float32)
@@ -143,7 +144,7 @@ def _bag(text: str, sizes: tuple[int, ...], bits: int) -> tuple[np.ndarray, np.n
     data, off = text_arrays(pa.array([text or ""]))
     ids = np.concatenate([np.zeros(0, np.int64), *[bucket[valid[:len(bucket)]] for bucket, valid in subwords(data, off, sizes, bits)]])
     seen, count = np.unique(ids, return_counts=True)
-    return seen, (count / max(1, count.sum())).astype(np.float32)
+    return seen.astype(np.int32), (count / max(1, count.sum())).astype(np.float32)
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", train_on: Column | None = None,
