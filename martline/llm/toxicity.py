@@ -98,14 +98,14 @@ class SubwordModel:
 
 def train(samples: list[tuple[int, str]], dim: int = 8, sizes: tuple[int, ...] = SIZES, bits: int = BUCKET_BITS, epochs: int | None = None,
           batch: int = 32, rate: float = 0.5, label_weights: tuple[float, float] = (1.0, 1.0), seed: int = 11) -> SubwordModel:
-    """Fit on (label, text) pairs; deterministic.  By default few samples are passed over more often: 40,000 texts in all, at least 8 epochs."""
+    """Fit on (label, text) pairs; deterministic.  By default few samples are passed over more often: 40,000 texts in all, 8 to 60 epochs."""
     y = np.array([int(label) for label, _ in samples], dtype=np.int64)
     empty = np.zeros(1 << bits, np.float32)
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
         return SubwordModel(empty, float(np.clip(np.log(share / (1 - share)) if 0 < share < 1 else (np.inf if share else -np.inf), -700, 700)), sizes, bits)
     bags = [_bag(text, sizes, bits) for _, text in samples]
-    epochs = epochs or max(8, -(-40_000 // len(y)))
+    epochs = epochs or min(60, max(8, -(-40_000 // len(y))))
     rng = np.random.default_rng(seed)
     e = rng.uniform(-1 / dim, 1 / dim, (1 << bits, dim)).astype(np.float32)
     w, b = rng.normal(0, 0.5, (dim, 2)).astype(np.float32), np.zeros(2, np.float32)
