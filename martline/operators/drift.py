@@ -92,7 +92,8 @@ def resolve_drift_tagged(df: DataFrame, source_col: str, rules: Sequence[tuple],
     When extracts are read in one scan (files grouped by header, tagged by
     ``_metadata.file_name``), the rules become column expressions: a rename
     rule fills its target column from the source column on the rows of the
-    matching extracts; drop rules and extra columns fall away in the final
+    matching extracts (a matching extract that already has the target name
+    keeps its value); drop rules and extra columns fall away in the final
     projection.  One projection, no per-extract branches in the plan.
     """
     src = F.lower(F.col(source_col))
@@ -100,7 +101,7 @@ def resolve_drift_tagged(df: DataFrame, source_col: str, rules: Sequence[tuple],
     for pattern, action, frm, to in rules:
         if action != "rename" or frm not in df.columns or to not in cols:
             continue
-        cols[to] = F.when(src.contains(pattern.lower()), F.col(frm)).otherwise(cols[to])
+        cols[to] = F.when(src.contains(pattern.lower()), F.coalesce(F.col(frm), cols[to])).otherwise(cols[to])
     return df.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in target.fields])
 
 

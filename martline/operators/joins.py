@@ -127,36 +127,31 @@ def aligned_compare(a: DataFrame, b: DataFrame, keys: Sequence[str], value_a: st
     return j.withColumn("mismatch", F.col("_a").isNull() | F.col("_b").isNull() | (diff > F.lit(tol)))
 
 
-def _substrings(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Every (lower-cased) substring of each distinct value, as (value, sub) rows."""
-    v = F.lower(F.col(col))
-    return (df.select(F.col(col), F.explode(F.sequence(F.lit(1), F.length(v))).alias("_i"))
-            .select(F.col(col), "_i",
-                    F.explode(F.sequence(F.lit(1), F.length(F.col(col)) - F.col("_i") + 1)).alias("_l"))
-            .select(F.col(col), F.substring(F.lower(F.col(col)), F.col("_i"), F.col("_l")).alias(out))
-            .distinct())
+def _contained(long: DataFrame, long_col: str, short: DataFrame, short_col: str) -> DataFrame:
+    """Value pairs where ``short_col`` occurs in ``long_col`` (both hold distinct values; compared in lower case).
+
+    Only substrings as long as some value of the other side are made: those
+    lengths are one row, known before anything is exploded.
+    """
+    lengths = short.agg(F.collect_set(F.length(short_col)).alias("_lens")).withColumn("_one", F.lit(1))
+    v = long.select(long_col, F.lower(F.col(long_col)).alias("_v"), F.lit(1).alias("_one")).join(F.broadcast(lengths), "_one")
+    at = v.select(long_col, "_v", F.explode(F.expr("filter(_lens, l -> l <= length(_v))")).alias("_l"))
+    at = at.select(long_col, "_v", "_l", F.explode(F.expr("sequence(1, length(_v) - _l + 1)")).alias("_i"))
+    parts = at.select(long_col, F.substring("_v", F.col("_i"), F.col("_l")).alias("_sub")).distinct()
+    return parts.join(short.withColumn("_sub", F.lower(F.col(short_col))), "_sub").select(long_col, short_col)
 
 
 def substring_pairs(a: DataFrame, a_col: str, b: DataFrame, b_col: str) -> DataFrame:
     """Distinct value pairs where one contains the other (case-insensitive), not equal.
 
-    Written as two equi-joins instead of a nested loop: each value is
-    exploded into its substrings and joined to the other side's lower-cased
-    values, so the work is linear in the total substring count and every
-    join is a hash/sort-merge join on a key.  Meant for short labels
-    (campaign or show names).
+    Written as two equi-joins instead of a nested loop, on the substrings
+    whose lengths occur on the other side.  Meant for short labels (campaign
+    or show names).
     """
-    x = a.select(F.col(a_col).alias("left_value")).where(F.col("left_value").isNotNull()).distinct()
-    y = b.select(F.col(b_col).alias("right_value")).where(F.col("right_value").isNotNull()).distinct()
-    xl = x.withColumn("_lx", F.lower("left_value"))
-    yl = y.withColumn("_ly", F.lower("right_value"))
-    # right contained in left
-    r_in_l = (_substrings(x, "left_value", "_sub").join(yl, F.col("_sub") == F.col("_ly"))
-              .select("left_value", "right_value"))
-    # left contained in right
-    l_in_r = (_substrings(y, "right_value", "_sub").join(xl, F.col("_sub") == F.col("_lx"))
-              .select("left_value", "right_value"))
-    pairs = r_in_l.unionByName(l_in_r).distinct()
+    x = a.select(F.col(a_col).alias("left_value")).where(F.length(a_col) > 0).distinct()
+    y = b.select(F.col(b_col).alias("right_value")).where(F.length(b_col) > 0).distinct()
+    pairs = (_contained(x, "left_value", y, "right_value")
+             .unionByName(_contained(y, "right_value", x, "left_value"))).distinct()
     return pairs.filter(F.lower("left_value") != F.lower("right_value"))
 
 
@@ -175,19 +170,21 @@ def term_matches(texts: DataFrame, text_col: str, terms: DataFrame) -> DataFrame
     return t.join(F.broadcast(terms), cond, "inner").select("text", "kind", "term")
 
 
-def interval_pairs(ranges: DataFrame, id_col: str, start_col: str, end_col: str) -> DataFrame:
-    """Pairs i<j of per-file date ranges that overlap, with the overlap window.
+def interval_pairs(ranges: DataFrame, id_col: str, start_col: str, end_col: str, within: Sequence[str] = ()) -> DataFrame:
+    """Pairs i<j of date ranges that overlap (inside the same ``within`` group), with the overlap window.
 
-    ``ranges`` holds one row per file (an aggregate of the data), so its size
-    is bounded by the number of input files, not by the rows: it is
-    broadcast and the non-equi predicate runs as a nested loop over files.
+    Ranges are laid out over their days; those that share a day are gathered
+    by day and paired there, so ranges that never meet are never compared.
     """
-    a = ranges.select(F.col(id_col).alias("file_a"), F.col(start_col).alias("sa"), F.col(end_col).alias("ea"))
-    b = ranges.select(F.col(id_col).alias("file_b"), F.col(start_col).alias("sb"), F.col(end_col).alias("eb"))
-    cond = (F.col("file_a") < F.col("file_b")) & (F.col("sa") <= F.col("eb")) & (F.col("sb") <= F.col("ea"))
-    j = a.join(F.broadcast(b), cond, "inner")
-    return j.select("file_a", "file_b", F.greatest("sa", "sb").alias("overlap_start"),
-                    F.least("ea", "eb").alias("overlap_end"))
+    r = ranges.where(F.col(start_col).isNotNull() & F.col(end_col).isNotNull())
+    one = F.struct(F.col(id_col).alias("id"), F.col(start_col).alias("s"), F.col(end_col).alias("e"))
+    days = r.select(*within, one.alias("_r"), F.explode(F.sequence(F.col(start_col), F.col(end_col))).alias("_day"))
+    met = days.groupBy(*within, "_day").agg(F.array_sort(F.collect_set("_r")).alias("_rs")).where(F.size("_rs") > 1)
+    later = "transform(slice(_rs, i + 2, size(_rs)), b -> struct(a, b))"
+    pairs = met.select(*within, "_rs").distinct().select(
+        *within, F.explode(F.flatten(F.expr(f"transform(_rs, (a, i) -> {later})"))).alias("_p")).distinct()
+    return pairs.select(*within, F.col("_p.a.id").alias("file_a"), F.col("_p.b.id").alias("file_b"),
+                        F.greatest("_p.a.s", "_p.b.s").alias("overlap_start"), F.least("_p.a.e", "_p.b.e").alias("overlap_end"))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:

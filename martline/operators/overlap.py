@@ -14,11 +14,12 @@ def drop_overlap(df: DataFrame, source_col: str, source: str, date_col: str,
 
     The rule targets a single source so the other extract keeps its copy of
     the overlap window.  A pure filter: it fuses into the scan stage and the
-    date predicate is pushed to the reader when ``date_col`` is stored.
+    date predicate is pushed to the reader when ``date_col`` is stored.  Rows
+    without a date are outside every window and stay.
     """
     d = F.to_date(F.col(date_col))
     in_window = d.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    return df.filter(~((F.col(source_col) == F.lit(source)) & in_window))
+    return df.filter(~F.coalesce((F.col(source_col) == F.lit(source)) & in_window, F.lit(False)))
 
 
 def expand_period(df: DataFrame, start_col: str, days: int, flow_cols: Sequence[str],
@@ -27,10 +28,12 @@ def expand_period(df: DataFrame, start_col: str, days: int, flow_cols: Sequence[
 
     Flow metrics are spread uniformly (``/days``, as DOUBLE), stock metrics
     are carried unchanged.  ``explode(sequence)`` is a narrow operator: no
-    shuffle, the ×days growth happens inside the scan stage.
+    shuffle, the ×days growth happens inside the scan stage.  A row without
+    a start keeps its whole flow on one row with a null date.
     """
     seq = F.sequence(F.col(start_col), F.date_add(F.col(start_col), days - 1))
-    out = df.withColumn(out_col, F.explode(seq))
+    out = df.select("*", F.explode_outer(seq).alias(out_col))
+    share = F.when(F.col(out_col).isNull(), F.lit(1.0)).otherwise(F.lit(float(days)))
     for c in flow_cols:
-        out = out.withColumn(c, F.col(c).cast("double") / F.lit(float(days)))
+        out = out.withColumn(c, F.col(c).cast("double") / share)
     return out

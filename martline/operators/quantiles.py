@@ -4,56 +4,65 @@ Spark's ``median``/``percentile`` keep a value->count map per group and merge
 it in one task, and ``row_number()`` over an unpartitioned window sorts
 everything in one task.  Both are fine for bounded inputs (a calendar of
 days, a handful of shows) but not for a group that holds a large share of a
-100 TB table.  The functions here do the same work with range partitioning:
-values are spread over ``partitions`` contiguous, ordered ranges; only
-per-range counts (a small table) are combined globally; the final ranking
-happens inside one range at a time.
-
-The range-partitioned intermediate is checkpointed (written under
-``spark.checkpoint.dir``) so the partition a row lands in is fixed even if a
-stage is recomputed after an executor loss.
+100 TB table.  The functions here split the order into ordered buckets that
+are an expression of the row (no sampling, no intermediate write, no job
+while the plan is built, and the same buckets if a stage is recomputed): only
+per-bucket counts (a small table) are combined per group, and ranking happens
+inside one bucket at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+#: Buckets per factor of two; a double has at most 2,100 factors of two, so a group has a bounded number of buckets.
+BUCKETS_PER_OCTAVE = 1024
 
 
-def exact_median(df: DataFrame, group: Sequence[str], value: str, out: str = "median",
-                 partitions: int | None = None) -> DataFrame:
-    """Exact median of ``value`` per ``group`` (nulls ignored; mean of the two
-    middle values for an even count), computed without putting a group's
-    values into one task."""
+def ordered_bucket(v: Column) -> Column:
+    """A coarse key that never decreases as a DOUBLE grows (null for null)."""
+    size = F.abs(v)
+    # log2 of any finite double lies in [-1074, 1024]
+    finite = F.floor(F.log2(size) * BUCKETS_PER_OCTAVE).cast("bigint") + F.lit(1100 * BUCKETS_PER_OCTAVE)
+    infinite = F.isnan(v) | (size == F.lit(float("inf")))
+    step = F.when(infinite, F.lit(3000 * BUCKETS_PER_OCTAVE).cast("bigint")).when(size > 0, finite).otherwise(F.lit(0).cast("bigint"))
+    return F.when(F.isnan(v) | (v > 0), step).when(v < 0, -step).when(v == 0, F.lit(0).cast("bigint"))
+
+
+def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
+    """Null-safe equality of ``names`` with the ``_r_`` columns of ``right``."""
+    cond = F.lit(True)
+    for n in names:
+        cond = cond & left[n].eqNullSafe(right["_r_" + n])
+    return cond
+
+
+def exact_median(df: DataFrame, group: Sequence[str], value: str, out: str = "median") -> DataFrame:
+    """Exact median of ``value`` per ``group`` (null values ignored, null groups
+    kept; mean of the two middle values for an even count), computed without
+    putting a group's values into one task."""
     g = list(group)
     vc = (df.select(*g, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-          .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    ranged = (vc.repartitionByRange(_partitions(df, partitions), *[F.col(c) for c in g], F.col("_v"))
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
-    # per (range, group) counts: at most (#ranges + #groups) rows
-    pc = ranged.groupBy("_pid", *g).agg(F.sum("_c").alias("_cnt"))
+          .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", ordered_bucket(F.col("_v"))))
+    # per (group, bucket) counts
+    pc = vc.groupBy(*g, "_b").agg(F.sum("_c").alias("_cnt"))
     wg = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(1))
     pc = (pc.withColumn("_before", F.coalesce(F.sum("_cnt").over(
-            wg.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+            wg.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
           .withColumn("_n", F.sum("_cnt").over(wg)))
     # 0-based ranks of the middle value(s)
     pc = (pc.withColumn("_r1", F.floor((F.col("_n") - 1) / 2))
           .withColumn("_r2", F.ceil((F.col("_n") - 1) / 2)))
     hit = ((F.col("_r1") >= F.col("_before")) & (F.col("_r1") < F.col("_before") + F.col("_cnt"))) | \
           ((F.col("_r2") >= F.col("_before")) & (F.col("_r2") < F.col("_before") + F.col("_cnt")))
-    targets = pc.where(hit).select("_pid", *g, "_before", "_r1", "_r2")
-    # rank inside the (at most two) ranges that hold the middle of each group
-    inside = ranged.join(targets, ["_pid", *g])
-    wr = Window.partitionBy("_pid", *g).orderBy("_v")
+    targets = pc.where(hit).select(*[F.col(c).alias("_r_" + c) for c in [*g, "_b"]], "_before", "_r1", "_r2")
+    # rank inside the (at most two) buckets that hold the middle of each group
+    inside = vc.join(targets, _same(vc, targets, [*g, "_b"])).drop(*["_r_" + c for c in [*g, "_b"]])
+    wr = Window.partitionBy(*g, "_b").orderBy("_v")
     inside = inside.withColumn("_upto", F.col("_before") + F.sum("_c").over(
         wr.rowsBetween(Window.unboundedPreceding, 0)))
     inside = inside.withColumn("_from", F.col("_upto") - F.col("_c"))
@@ -63,22 +72,31 @@ def exact_median(df: DataFrame, group: Sequence[str], value: str, out: str = "me
     return res.select(*g, ((F.col("_m1") + F.col("_m2")) / 2).alias(out))
 
 
-def surrogate_key(df: DataFrame, order_cols: Sequence, out: str = "key",
-                  partitions: int | None = None) -> DataFrame:
+def join_median(stats: DataFrame, median: DataFrame, group: str) -> DataFrame:
+    """``stats`` with its median column; the null group finds its own."""
+    m = median.withColumnRenamed(group, "_r_" + group)
+    return stats.join(m, stats[group].eqNullSafe(m["_r_" + group]), "left").drop("_r_" + group)
+
+
+def surrogate_key(df: DataFrame, order_cols: Sequence, out: str = "key", buckets: Sequence[Column] | None = None) -> DataFrame:
     """Consecutive keys 1..n in ``order_cols`` order, numbered in parallel.
 
-    Rows are range-partitioned on the order, numbered inside each range, and
-    each range is offset by the row count of the ranges before it (a table of
-    one row per range).  ``order_cols`` must be a total order for the keys to
-    be deterministic.
+    ``buckets`` are coarse columns in order, such that sorting by them first
+    does not change the order (for example the leading order column, then a
+    prefix of the next one).  Rows are numbered inside each bucket, and each
+    bucket is offset by the row count of the buckets before it (a table of one
+    row per bucket).  The default is the first order column itself, fit for a
+    column with many values.  ``order_cols`` must be a total order for the keys
+    to be deterministic.
     """
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    ranged = (df.repartitionByRange(_partitions(df, partitions), *cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(
-        Window.partitionBy(F.lit(1)).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    local = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_pid").orderBy(*cols)))
-    keyed = local.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
-    return keyed.withColumn(out, (F.col("_off") + F.col("_r")).cast("bigint")).drop("_pid", "_r", "_off")
+    coarse = list(buckets) if buckets is not None else [F.col(order_cols[0]) if isinstance(order_cols[0], str) else order_cols[0]]
+    names = [f"_b{i}" for i in range(len(coarse))]
+    keyed = df.select("*", *[c.alias(n) for c, n in zip(coarse, names)])
+    counts = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(F.lit(1)).orderBy(*[F.col(n).asc_nulls_first() for n in names])
+    offsets = counts.select(*[F.col(n).alias("_r_" + n) for n in names], F.coalesce(F.sum("_cnt").over(
+        before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    local = keyed.withColumn("_r", F.row_number().over(Window.partitionBy(*names).orderBy(*cols)))
+    joined = local.join(offsets, _same(local, offsets, names))
+    return joined.withColumn(out, (F.col("_off") + F.col("_r")).cast("bigint")).drop("_r", "_off", *names, *["_r_" + n for n in names])

@@ -95,7 +95,7 @@ def show_dim(mentions: DataFrame, name_col: str = "podcast_name", keywords=GEO_K
     out = names.select("podcast_name",
                        F.when(hit, "explicit").otherwise("unknown").alias("geo_inferred"),
                        F.when(hit, GEO_STATE).alias("geo_state"))
-    return surrogate_key(out, [F.col("podcast_name")], "podcast_key").select(
+    return surrogate_key(out, [F.col("podcast_name")], "podcast_key", [F.substring("podcast_name", 1, 8)]).select(
         "podcast_key", "podcast_name", "geo_inferred", "geo_state")
 
 
@@ -108,7 +108,8 @@ def geography_dim(local_sources: Sequence[DataFrame], airports: DataFrame, looku
       match (J3), in order of first appearance (earliest week, then code).
     * inferred: one row per show name, state from the keyword rule.
     ``geo_key`` numbers the union in that order (W7), in parallel over
-    ordered ranges (the airport list grows with the data).
+    ordered buckets: scope, first week, and the head of the name or code
+    (the airport list grows with the data).
     """
     s = T.StringType()
     local = distinct_pairs(local_sources, ["dma_name", "state"]).where(
@@ -119,7 +120,7 @@ def geography_dim(local_sources: Sequence[DataFrame], airports: DataFrame, looku
         F.lit("local").alias("geo_scope"),
         F.lit(None).cast("date").alias("_first"), F.col("dma_name").alias("_k1"), F.col("state").alias("_k2"))
     ap = (airports.groupBy("airport_code")
-          .agg(F.min_by("airport_name", "week_start_date").alias("airport_name"),
+          .agg(F.min_by("airport_name", F.struct("week_start_date", "airport_name")).alias("airport_name"),
                F.min("week_start_date").alias("_first")))
     ap = lookup_first(ap, lookup, "airport_code", "iata_code", ["iata_code", "name"], ["state"])
     national = ap.select(
@@ -137,5 +138,6 @@ def geography_dim(local_sources: Sequence[DataFrame], airports: DataFrame, looku
         F.lit(None).cast(s).alias("_k2"))
     allg = local.unionByName(national).unionByName(inferred)
     keyed = surrogate_key(allg, [F.col("_scope"), F.col("_first").asc_nulls_first(),
-                                 F.col("_k1").asc_nulls_last(), F.col("_k2").asc_nulls_last()], "geo_key")
+                                 F.col("_k1").asc_nulls_last(), F.col("_k2").asc_nulls_last()], "geo_key",
+                          [F.col("_scope"), F.col("_first"), F.col("_k1").isNull(), F.substring("_k1", 1, 6)])
     return keyed.select("geo_key", "dma_name", "state", "zip_code", "airport_code", "airport_name", "geo_scope")

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martline.functions.text import normalise_key
+from martline.functions.text import is_two_letter_code, normalise_key
 from martline.operators.sets import presence_matrix, size_histogram, tagged_union
 from martline.operators.windows import previous_value
 
@@ -47,30 +47,30 @@ def key_battery(df: DataFrame, candidates: Sequence[Sequence[str]], table: str,
 def overlap_keys(df: DataFrame, file_col: str, keys: Sequence[str], date_col: str) -> DataFrame:
     """Per pair of files, shared key values, byte-identical rows and shared dates.
 
-    Distinct keys are tagged by file and self-joined on the key with
-    ``file_a < file_b`` — an equi-join, so it scales with the key count.
+    One ``groupBy`` per kind of key gathers the files that hold a key value
+    (at most one entry per file, combined before the shuffle); pairs of files
+    come from that list, so nothing is joined with itself.  Whole rows are
+    grouped by the MD5 of their columns.
     """
     data_cols = [c for c in df.columns if c != file_col]
+    row_text = F.to_json(F.struct(*[F.col(c) for c in data_cols]), {"ignoreNullFields": "false"})
 
-    def shared(cols, out):
-        k = df.select(F.col(file_col).alias("_f"), *[F.col(c) for c in cols]).distinct()
-        a = k.select(F.col("_f").alias("file_a"), *[F.col(c).alias("a_" + c) for c in cols])
-        b = k.select(F.col("_f").alias("file_b"), *[F.col(c).alias("b_" + c) for c in cols])
-        cond = F.col("file_a") < F.col("file_b")
-        for c in cols:
-            cond = cond & F.col("a_" + c).eqNullSafe(F.col("b_" + c))
-        return a.join(b, cond).groupBy("file_a", "file_b").agg(F.count(F.lit(1)).alias(out))
+    def shared(cols, out, source=df):
+        files = (source.groupBy(*cols).agg(F.array_sort(F.collect_set(file_col)).alias("_f"))
+                 .where(F.size("_f") > 1).groupBy("_f").agg(F.count(F.lit(1)).alias("_n")))
+        later = "transform(slice(_f, i + 2, size(_f)), b -> struct(a AS file_a, b AS file_b))"
+        pairs = files.select("_n", F.explode(F.flatten(F.expr(f"transform(_f, (a, i) -> {later})"))).alias("_p"))
+        return pairs.groupBy("_p.file_a", "_p.file_b").agg(F.sum("_n").alias(out))
 
     keys_shared = shared(list(keys), "shared_keys")
-    rows_shared = shared(data_cols, "identical_rows")
-    days = df.select(F.col(file_col), F.to_date(date_col).alias("_d")).distinct()
-    a = days.select(F.col(file_col).alias("file_a"), F.col("_d").alias("_da"))
-    b = days.select(F.col(file_col).alias("file_b"), F.col("_d").alias("_db"))
-    dates_shared = (a.join(b, (F.col("file_a") < F.col("file_b")) & (F.col("_da") == F.col("_db")))
-                    .groupBy("file_a", "file_b").agg(F.count(F.lit(1)).alias("shared_dates")))
-    return (keys_shared.join(rows_shared, ["file_a", "file_b"], "full_outer")
-            .join(dates_shared, ["file_a", "file_b"], "full_outer")
-            .na.fill(0, subset=["shared_keys", "identical_rows", "shared_dates"]))
+    rows_shared = shared([F.md5(row_text).alias("_row")], "identical_rows")
+    dates_shared = shared([F.to_date(date_col).alias("_d")], "shared_dates", df.where(F.col(date_col).isNotNull()))
+    out = None
+    for part, name in ((keys_shared, "shared_keys"), (rows_shared, "identical_rows"), (dates_shared, "shared_dates")):
+        wide = part.select("file_a", "file_b", *[(F.col(name) if name == n else F.lit(0).cast("bigint")).alias(n)
+                                                 for n in ("shared_keys", "identical_rows", "shared_dates")])
+        out = wide if out is None else out.unionByName(wide)
+    return out.groupBy("file_a", "file_b").agg(*[F.sum(n).alias(n) for n in ("shared_keys", "identical_rows", "shared_dates")])
 
 
 def distinct_per_day(df: DataFrame, date_col: str, counts: Mapping[str, str]) -> DataFrame:
@@ -93,12 +93,18 @@ def order_values(txn: DataFrame, order_col: str = "order_id", value_col: str = "
                    F.round(F.max("_v").cast("double"), digits).alias("max_value"))
 
 
-def recycled_ids(df: DataFrame, id_col: str, file_col: str, date_col: str, file_a: str, file_b: str) -> DataFrame:
-    """Ids present in two files, with their first date in each."""
-    first = df.groupBy(file_col, id_col).agg(F.min(date_col).alias("_d"))
-    a = first.where(F.col(file_col) == file_a).select(id_col, F.col("_d").alias("first_date_a"))
-    b = first.where(F.col(file_col) == file_b).select(id_col, F.col("_d").alias("first_date_b"))
-    return a.join(b, id_col, "inner")
+def recycled_ids(df: DataFrame, id_col: str, file_col: str, date_col: str, value_col: str, file_a: str, file_b: str) -> DataFrame:
+    """Ids present in two files, with the first row's date and value in each.
+
+    The first row is the one with the smallest date (then value): a table has
+    no row order of its own.
+    """
+    first = df.groupBy(file_col, id_col).agg(F.min(F.struct(F.col(date_col).alias("d"), F.col(value_col).alias("v"))).alias("_r"))
+
+    def side(name, tag):
+        return first.where(F.col(file_col) == name).select(id_col, F.col("_r.d").alias(f"first_date_{tag}"),
+                                                           F.col("_r.v").alias(f"{value_col}_{tag}"))
+    return side(file_a, "a").join(side(file_b, "b"), id_col, "inner")
 
 
 def follower_series(posts: DataFrame) -> DataFrame:
@@ -119,9 +125,8 @@ def release_vs_mention(mentions: DataFrame) -> DataFrame:
 
 
 def multi_mentions(mentions: DataFrame) -> DataFrame:
-    """Episodes per show and (date, show, episode) groups with more than one mention."""
-    g = mentions.groupBy(F.to_date("mention_datetime").alias("date"), "podcast_name", "episode_title") \
-        .agg(F.count(F.lit(1)).alias("_n"))
+    """Per show its episodes, and the (show, episode) groups with more than one mention."""
+    g = mentions.groupBy("podcast_name", "episode_title").agg(F.count(F.lit(1)).alias("_n"))
     per_show = g.groupBy("podcast_name").agg(F.count_distinct("episode_title").alias("episodes"),
                                              F.count_if(F.col("_n") > 1).alias("multi_mention_groups"),
                                              F.max("_n").alias("max_mentions"))
@@ -160,42 +165,82 @@ def value_presence(streams: Mapping[str, DataFrame], value_col: str) -> DataFram
 
 
 def state_format(streams: Mapping[str, DataFrame], col: str = "state") -> DataFrame:
-    """Distinct values per stream, flagged when they look like a 2-letter code."""
+    """Distinct values per stream: two capital letters are a code, longer values a full name."""
     u = tagged_union(streams, [col], "stream")
-    return u.groupBy("stream", col).agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
-        "is_code", F.coalesce(F.col(col).rlike("^[A-Z]{2}$"), F.lit(False)))
+    code = F.coalesce(is_two_letter_code(F.col(col)), F.lit(False))
+    return u.groupBy("stream", col).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("is_code", code).withColumn(
+        "is_full_name", F.coalesce(F.length(col) > 2, F.lit(False)))
+
+
+# Geographic terms searched in show names.
+US_STATES = (
+    "Alabama", "Alaska", "Arizona", "Arkansas", "California", "Colorado", "Connecticut", "Delaware", "Florida", "Georgia", "Hawaii",
+    "Idaho", "Illinois", "Indiana", "Iowa", "Kansas", "Kentucky", "Louisiana", "Maine", "Maryland", "Massachusetts", "Michigan",
+    "Minnesota", "Mississippi", "Missouri", "Montana", "Nebraska", "Nevada", "New Hampshire", "New Jersey", "New Mexico", "New York",
+    "North Carolina", "North Dakota", "Ohio", "Oklahoma", "Oregon", "Pennsylvania", "Rhode Island", "South Carolina", "South Dakota",
+    "Tennessee", "Texas", "Utah", "Vermont", "Virginia", "Washington", "West Virginia", "Wisconsin", "Wyoming",
+)
+CITIES = (
+    "Atlanta", "ATL", "Nashville", "Charlotte", "Dallas", "Houston", "Miami", "Tampa", "Raleigh", "Savannah", "Charleston", "Memphis",
+    "Birmingham", "Jacksonville", "New Orleans", "Austin", "San Antonio", "Richmond", "Louisville", "Knoxville", "Chattanooga",
+    "Greenville", "Columbia", "Macon", "Augusta", "Athens",
+)
+REGIONAL = (
+    "Southern", "Peach State", "Dixie", "Deep South", "Magnolia", "Gulf Coast", "Low Country", "Lowcountry", "Bible Belt", "Sun Belt",
+    "Sunbelt",
+)
+STATE_ABBREVS = (
+    "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA", "HI", "ID", "IL", "IN", "IA", "KS", "KY", "LA", "ME", "MD", "MA", "MI",
+    "MN", "MS", "MO", "MT", "NE", "NV", "NH", "NJ", "NM", "NY", "NC", "ND", "OH", "OK", "OR", "PA", "RI", "SC", "SD", "TN", "TX", "UT",
+    "VT", "VA", "WA", "WV", "WI", "WY",
+)
+# abbreviations and city names of up to three letters are whole words in
+# their own case; all other terms match anywhere in any case
+GEO_TERMS = (
+    *(("state", t, "substring") for t in US_STATES),
+    *(("city", t, "word" if len(t) <= 3 else "substring") for t in CITIES),
+    *(("regional", t, "substring") for t in REGIONAL),
+    *(("abbrev", t, "word") for t in STATE_ABBREVS),
+)
 
 
 def geo_signals(mentions: DataFrame, terms: DataFrame) -> DataFrame:
-    """Per show, the geographic terms its name matches and its mention counts."""
+    """Per show, the geographic terms its name matches (as kind:term), its
+    mentions and the distinct episodes that mention the founder."""
     from martline.operators.joins import term_matches
     hits = term_matches(mentions, "podcast_name", terms).groupBy("text").agg(
-        F.concat_ws(",", F.array_sort(F.collect_set("term"))).alias("geo_terms"))
-    per_show = mentions.groupBy("podcast_name").agg(
-        F.count(F.lit(1)).alias("mentions"), F.sum("mentions_founder").cast("bigint").alias("founder_mentions"))
+        F.concat_ws(",", F.array_sort(F.collect_set(F.concat_ws(":", "kind", "term")))).alias("geo_terms"))
+    episode = F.when(F.col("mentions_founder") == 1, F.coalesce("episode_title", F.lit("")))
+    per_show = mentions.where(F.col("podcast_name").isNotNull()).groupBy("podcast_name").agg(
+        F.count(F.lit(1)).alias("mentions"), F.count_distinct(episode).alias("founder_episodes"))
     j = per_show.join(hits, per_show.podcast_name == hits.text, "left").drop("text")
-    return j.withColumn("is_geo", F.col("geo_terms").isNotNull())
+    return j.withColumn("is_geo", F.col("geo_terms").isNotNull()).withColumn("has_founder", F.col("founder_episodes") > 0)
+
+
+def geo_summary(signals: DataFrame) -> DataFrame:
+    """Number of shows by geographic reference and founder mention."""
+    return signals.groupBy("is_geo", "has_founder").agg(F.count(F.lit(1)).alias("shows"))
 
 
 def metric_distribution(df: DataFrame, group: str, metric: str, digits: int = 2) -> DataFrame:
     """Count, min, max, mean, median and sample stdev per group."""
-    from martline.operators.quantiles import exact_median
+    from martline.operators.quantiles import exact_median, join_median
     v = F.col(metric).cast("double")
     stats = df.groupBy(group).agg(
         F.count(v).alias("n"), F.round(F.min(v), digits).alias("min"), F.round(F.max(v), digits).alias("max"),
         F.round(F.avg(v), digits).alias("mean"), F.round(F.stddev_samp(v), digits).alias("stdev"))
     med = exact_median(df, [group], metric, "_med")
-    return stats.join(med, group, "left").select(group, "n", "min", "max", "mean",
+    return join_median(stats, med, group).select(group, "n", "min", "max", "mean",
                                                  F.round("_med", digits).alias("median"), "stdev")
 
 
 def stable_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """A deterministic sample of ``n`` rows (hash of the keys with a seed).
+    """A deterministic sample of ``n`` rows (MD5 of seed and keys, so any engine finds the same rows).
 
     ``orderBy(...).limit(n)`` plans as a per-partition top-n plus a merge,
     so no partition is sorted whole and only ``n`` rows per task move.
     """
-    h = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]))
     rest = [c for c in df.columns if c not in keys]  # full tie-break: the same rows on every run
     return df.withColumn("_h", h).orderBy("_h", *keys, *rest).limit(n).drop("_h")
 
@@ -207,19 +252,30 @@ def distinct_values(tables: Mapping[str, DataFrame], col: str) -> DataFrame:
     return u.where(F.col(col).isNotNull()).groupBy("table_name", col).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def missing_dates(spine: DataFrame, streams: Mapping[str, DataFrame], date_col: str = "date") -> DataFrame:
-    """For each stream, spine dates inside the stream's own range that it lacks
-    (anti join of the spine against the stream's distinct dates)."""
-    u = tagged_union(streams, [date_col], "stream").select("stream", F.to_date(date_col).alias("date")).distinct()
-    rng = u.groupBy("stream").agg(F.min("date").alias("_s"), F.max("date").alias("_e"))
-    grid = spine.select(F.col(date_col).alias("date")).join(
-        F.broadcast(rng), F.col("date").between(F.col("_s"), F.col("_e")))
-    return grid.join(u, ["stream", "date"], "left_anti").select("stream", "date")
+def missing_dates(streams: Mapping[str, DataFrame], date_col: str = "date") -> DataFrame:
+    """For each stream, the days inside its own range that it lacks.
+
+    The gaps between successive distinct dates are laid out as days, so no
+    calendar is joined with the streams.
+    """
+    u = tagged_union(streams, [date_col], "stream").select("stream", F.to_date(date_col).alias("d")).where(F.col("d").isNotNull()).distinct()
+    later = F.lead("d").over(Window.partitionBy("stream").orderBy("d"))
+    gaps = u.withColumn("_next", later).where(F.datediff("_next", "d") > 1)
+    return gaps.select("stream", F.explode(F.sequence(F.date_add("d", 1), F.date_sub("_next", 1))).alias("date"))
+
+
+def union_coverage(streams: Mapping[str, DataFrame], date_col: str = "date") -> DataFrame:
+    """First and last day of all streams, days in that range, with data and without any."""
+    u = tagged_union(streams, [date_col], "stream").select(F.to_date(date_col).alias("d"))
+    g = u.agg(F.min("d").alias("min_date"), F.max("d").alias("max_date"), F.count_distinct("d").alias("days_with_data"))
+    days = F.datediff("max_date", "min_date") + 1
+    return g.select("min_date", "max_date", days.cast("bigint").alias("days_in_range"), "days_with_data",
+                    (days - F.col("days_with_data")).cast("bigint").alias("days_without_data"))
 
 
 def airport_inventory(weekly: DataFrame) -> DataFrame:
     """Each airport code with its most recent name and its number of weeks."""
-    return weekly.groupBy("airport_code").agg(F.max_by("airport_name", "week_start_date").alias("airport_name"),
+    return weekly.groupBy("airport_code").agg(F.max_by("airport_name", F.struct("week_start_date", "airport_name")).alias("airport_name"),
                                               F.count(F.lit(1)).alias("weeks"))
 
 
@@ -230,7 +286,7 @@ def id_name_map(df: DataFrame, id_col: str, name_col: str) -> DataFrame:
 
 
 # Words that mark a column name as geographic.
-GEO_WORDS = ("dma", "state", "zip", "city", "region", "country", "airport", "geo", "lat", "lon")
+GEO_WORDS = ("state", "dma", "city", "region", "geo", "zip", "location")
 
 
 def geo_columns(tables: Mapping[str, DataFrame], words: Sequence[str] = GEO_WORDS) -> list[tuple[str, str]]:

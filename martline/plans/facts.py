@@ -1,8 +1,8 @@
 """Fact jobs (T1-T8): raw extracts -> source-grain and daily fact tables.
 
 Each job is a pure DataFrame -> DataFrame function.  Source-grain tables and
-daily rollups are built from the same cleaned frame (K2); writing both from
-one cleaned frame is done by :func:`martline.sources.sinks.write_outputs`.
+daily rollups are built from the same cleaned frame (K2): it is written once
+and both read it (:func:`martline.sources.sinks.write_outputs`).
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from martline.operators.overlap import drop_overlap, expand_period
 from martline.operators.rollup import rollup
 
 # ------------------------------------------------------------------ T1 paid social
+# The declared grain.
 PAID_GRAIN = ("date", "channel", "campaign_id", "dma_name")
 
 
@@ -34,6 +35,7 @@ def paid_social_daily(parts: Mapping[str, DataFrame] | DataFrame, rules=PAID_DRI
 
 
 # ------------------------------------------------------------------ T2/T3 web
+# Columns and keys of the web tables.
 WEB_EVENT_COLS = ("date", "event_datetime", "user_id", "session_id", "page_url", "traffic_source",
                   "traffic_medium", "campaign", "device_category", "dma_name", "state", "zip_code")
 WEB_DAILY_KEYS = ("date", "traffic_source", "traffic_medium", "campaign", "device_category",
@@ -56,6 +58,7 @@ def web_daily(events: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ T4/T5 ecommerce
+# Columns and keys of the ecommerce tables.
 TXN_COLS = ("date", "order_id", "user_id", "dma_name", "state", "zip_code", "product_category",
             "size", "quantity", "unit_price", "unit_cost", "discount_per_unit", "line_revenue",
             "promo_flag")
@@ -89,6 +92,7 @@ def ecommerce_daily(clean: DataFrame, keys: Sequence[str] = ECOM_KEYS) -> DataFr
 
 
 # ------------------------------------------------------------------ T6 organic
+# The summed metrics.
 ORGANIC_SUMS = ("impressions", "video_views", "video_completes", "likes", "comments", "shares",
                 "clicks", "saves")
 
@@ -116,6 +120,7 @@ def podcast_daily(mentions: DataFrame, order_by: Sequence[str] = ("mention_datet
 
 
 # ------------------------------------------------------------------ T8 OOH
+# The table's columns.
 OOH_COLS = ("date", "airport_code", "airport_name", "state", "format", "audience_segment",
             "spend", "impressions", "placements")
 

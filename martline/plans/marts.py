@@ -24,11 +24,11 @@ SPINE_COLS = ("date", "day_of_week", "season_flag", "is_weekend", "month", "quar
 # The signal pairs of the lag analysis (x leads y) and the
 # columns that get a detrended residual.
 SIGNAL_PAIRS = (
-    ("paid_social_spend", "web_sessions", "paid_social_spend -> web_sessions"),
-    ("paid_social_spend", "ecomm_revenue", "paid_social_spend -> ecomm_revenue"),
-    ("web_sessions", "ecomm_revenue", "web_sessions -> ecomm_revenue"),
-    ("podcast_impressions", "web_sessions", "podcast_impressions -> web_sessions"),
-    ("organic_impressions", "web_sessions", "organic_impressions -> web_sessions"),
+    ("paid_social_spend", "web_sessions", "Paid Social Spend → Web Sessions"),
+    ("paid_social_spend", "ecomm_revenue", "Paid Social Spend → Ecomm Revenue"),
+    ("web_sessions", "ecomm_revenue", "Web Sessions → Ecomm Revenue"),
+    ("podcast_impressions", "web_sessions", "Podcast Impressions → Web Sessions"),
+    ("organic_impressions", "web_sessions", "Organic Impressions → Web Sessions"),
 )
 RESID_COLS = ("paid_social_spend", "web_sessions", "ecomm_revenue", "podcast_impressions", "organic_impressions")
 RESID_PAIRS = tuple((x + "__resid", y + "__resid", label) for x, y, label in SIGNAL_PAIRS)
@@ -196,29 +196,42 @@ def season_points(daily: DataFrame) -> DataFrame:
     return daily.select("date", "season_flag", "paid_social_spend", "web_sessions")
 
 
-def kpi_table(daily: DataFrame, inflation: DataFrame, promo: DataFrame, digits: int = 2) -> DataFrame:
-    """Long (section, metric, value) table of headline numbers."""
-    t = daily.agg(_money_sum("paid_social_spend").alias("paid"), F.sum("ooh_spend").alias("ooh"),
-                  _money_sum("ecomm_revenue").alias("rev"), F.sum("ecomm_orders").alias("orders"),
-                  F.sum("web_pageviews").alias("pv"), F.sum("podcast_mentions").alias("pm"))
-    items = [("paid_social_spend", F.col("paid")), ("ooh_spend", F.col("ooh")),
-             ("total_spend", F.col("paid") + F.col("ooh")), ("ecomm_revenue", F.col("rev")),
-             ("ecomm_orders", F.col("orders").cast("double")), ("web_pageviews", F.col("pv").cast("double")),
-             ("podcast_mentions", F.col("pm").cast("double")),
-             ("spend_to_revenue_ratio", F.try_divide(F.col("paid") + F.col("ooh"), F.col("rev")))]
-    totals = t.select(F.explode(F.array(*[F.struct(F.lit("totals").alias("section"), F.lit(m).alias("metric"),
-                                                   v.cast("double").alias("value")) for m, v in items])).alias("k")
-                      ).select("k.*")
+def _unpivot(df: DataFrame, section: str, label, columns: Sequence[str]) -> DataFrame:
+    """(section, metric, value) rows of several columns; ``label`` makes the metric's name from a column's."""
+    one = [F.struct(F.lit(section).alias("section"), label(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns]
+    return df.select(F.explode(F.array(*one)).alias("k")).select("k.*")
+
+
+def kpi_table(daily: DataFrame, inflation: DataFrame, promo: DataFrame, seasons: DataFrame, partial: DataFrame,
+              digits: int = 2, r_digits: int = 3) -> DataFrame:
+    """Long (section, metric, value) table of headline numbers: totals, season
+    averages, raw and residual correlations, partial correlation, promotion metrics.
+
+    The promotion share divides by the daily mart's revenue.
+    """
+    t = daily.agg(_money_sum("paid_social_spend").alias("paid_social_spend"), F.sum("ooh_spend").alias("ooh_spend"),
+                  _money_sum("ecomm_revenue").alias("ecomm_revenue"), F.sum("ecomm_orders").alias("ecomm_orders"),
+                  F.sum("web_pageviews").alias("web_pageviews"), F.sum("podcast_mentions").alias("podcast_mentions"))
+    t = t.withColumn("total_spend", F.col("paid_social_spend") + F.col("ooh_spend"))
+    t = t.withColumn("spend_to_revenue_ratio", F.try_divide(F.col("total_spend"), F.col("ecomm_revenue")))
+    out = _unpivot(t, "totals", F.lit, t.columns)
+    out = out.unionByName(_unpivot(seasons, "season", lambda c: F.concat_ws(" ", F.col("season_flag"), F.lit(c)), (
+        "days", "avg_daily_revenue", "avg_daily_paid_spend", "avg_daily_sessions", "avg_daily_orders")))
+    flags = _unpivot(promo, "promo", lambda c: F.concat_ws(" ", F.concat(F.lit("flag="), F.col("promo_flag")), F.lit(c)), (
+        "line_items", "distinct_orders", "total_quantity", "total_revenue", "avg_order_value", "avg_unit_price",
+        "avg_discount_per_unit", "negative_revenue_rows", "negative_revenue_amount"))
+    share = promo.where(F.col("promo_flag") == 1).select("total_revenue", F.lit(1).alias("_one")).join(
+        t.select("ecomm_revenue", F.lit(1).alias("_one")), "_one")
+    share = share.select(F.lit("promo").alias("section"), F.lit("promo_revenue_share_pct").alias("metric"),
+                         (F.try_divide(F.col("total_revenue"), F.col("ecomm_revenue")) * 100).alias("value"))
     red = F.when(F.col("raw_r") != 0, (1 - F.abs(F.col("residual_r")) / F.abs(F.col("raw_r"))) * 100).otherwise(0.0)
-    corr = inflation.select(F.lit("correlation").alias("section"),
-                            F.concat(F.col("signal_pair"), F.lit(" reduction_pct")).alias("metric"),
-                            red.cast("double").alias("value"))
-    p = with_total(promo.select("promo_flag", "total_revenue"), "total_revenue", "_all")
-    share = p.where(F.col("promo_flag") == 1).select(
-        F.lit("promo").alias("section"), F.lit("promo_revenue_share_pct").alias("metric"),
-        (F.try_divide(F.col("total_revenue"), F.col("_all")) * 100).alias("value"))
-    out = totals.unionByName(corr).unionByName(share)
-    return out.withColumn("value", F.round("value", digits))
+    corr = inflation.withColumn("reduction_pct", red)
+    pair = lambda c: F.concat_ws(" ", F.col("signal_pair"), F.lit(c))
+    out = out.unionByName(flags).unionByName(share).unionByName(_unpivot(corr, "correlation", pair, ("reduction_pct",)))
+    rs = _unpivot(corr, "correlation", pair, ("raw_r", "residual_r")).unionByName(
+        _unpivot(partial, "partial", F.lit, ("simple_corr", "partial_corr")))
+    return (out.withColumn("value", F.round("value", digits))
+            .unionByName(rs.withColumn("value", F.round("value", r_digits))))
 
 
 def daily_distincts(txn: DataFrame, web_events: DataFrame, ecom_daily: DataFrame, web_daily: DataFrame) -> DataFrame:

@@ -16,27 +16,35 @@ from martline.operators.joins import interval_pairs
 
 NUMERIC = {"int", "bigint", "double", "float", "smallint", "tinyint"}
 
-# Stream classification by substring of the file name, first
-# match in this order.
+# Stream classification (R7).  A file belongs to the first
+# datastream whose key its name contains, and with it to a stream group.
 STREAM_KEYS = (
-    ("paid", "paid_social"),
-    ("instagram", "paid_social"),
-    ("pinterest", "paid_social"),
-    ("tiktok_owned", "organic_social"),
-    ("tiktok", "paid_social"),
-    ("web", "web_analytics"),
+    ("paid_instagram", "paid_social"),
+    ("paid_pinterest", "paid_social"),
+    ("paid_tiktok", "paid_social"),
+    ("web_traffic", "web_analytics"),
     ("transactions", "ecommerce"),
-    ("podcast", "podcast"),
-    ("ooh", "ooh"),
+    ("tiktok_owned", "organic_social"),
+    ("podcast_mentions", "podcast"),
+    ("ooh_airport", "ooh"),
 )
 
 
 def classify_stream(name_col, keys=STREAM_KEYS):
-    """First key contained in the lower-cased file name, else 'unknown'."""
+    """The datastream (first key contained in the lower-cased file name), else 'unknown'."""
     low = F.lower(name_col if not isinstance(name_col, str) else F.col(name_col))
     expr = None
-    for key, stream in keys:
-        expr = F.when(low.contains(key), stream) if expr is None else expr.when(low.contains(key), stream)
+    for key, _ in keys:
+        expr = F.when(low.contains(key), key) if expr is None else expr.when(low.contains(key), key)
+    return expr.otherwise("unknown")
+
+
+def stream_group(stream_col, keys=STREAM_KEYS):
+    """The group a datastream belongs to, else 'unknown'."""
+    col = F.col(stream_col) if isinstance(stream_col, str) else stream_col
+    expr = None
+    for key, group in keys:
+        expr = F.when(col == key, group) if expr is None else expr.when(col == key, group)
     return expr.otherwise("unknown")
 
 
@@ -195,18 +203,26 @@ def granularity(df: DataFrame, ts_col: str, by: Sequence[str] = ()) -> DataFrame
     return j.select(*by, F.col("median_gap"), label.alias("granularity"))
 
 
-def overlap_report(df: DataFrame, file_col: str, date_col: str) -> DataFrame:
+def overlap_report(df: DataFrame, file_col: str, date_col: str, within: Sequence[str] = ()) -> DataFrame:
     """Pairs of files whose date ranges overlap, with each file's rows in
-    the overlap window (compared as dates, so late events on the last day count)."""
-    d = F.to_date(F.col(date_col))
-    ranges = df.groupBy(file_col).agg(F.min(d).alias("start"), F.max(d).alias("end"))
-    pairs = interval_pairs(ranges, file_col, "start", "end")
-    daily = df.groupBy(F.col(file_col).alias("_f"), d.alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
-    a = pairs.join(daily, (F.col("_f") == F.col("file_a")) & F.col("_d").between(F.col("overlap_start"), F.col("overlap_end")), "left") \
-        .groupBy("file_a", "file_b", "overlap_start", "overlap_end").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_a"))
-    b = pairs.join(daily, (F.col("_f") == F.col("file_b")) & F.col("_d").between(F.col("overlap_start"), F.col("overlap_end")), "left") \
-        .groupBy("file_a", "file_b").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_b"))
-    return a.join(b, ["file_a", "file_b"])
+    the overlap window (compared as dates, so late events on the last day count).
+
+    Everything after the count per file and day works on that small table.
+    ``within`` names columns (a stream) inside which files are compared.
+    """
+    by = [F.col(c) for c in within]
+    daily = (df.groupBy(*by, F.col(file_col).alias("_f"), F.to_date(F.col(date_col)).alias("_d"))
+             .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_d").isNotNull()))
+    ranges = daily.groupBy(*by, "_f").agg(F.min("_d").alias("_s"), F.max("_d").alias("_e"))
+    pairs = interval_pairs(ranges, "_f", "_s", "_e", within)
+    each = pairs.select("*", F.explode(F.array(F.struct(F.lit(True).alias("is_a"), F.col("file_a").alias("_f")),
+                                               F.struct(F.lit(False).alias("is_a"), F.col("file_b").alias("_f")))).alias("_x"))
+    each = each.select(*pairs.columns, "_x.is_a", "_x._f")
+    rows = each.join(daily, [*within, "_f"]).where(F.col("_d").between(F.col("overlap_start"), F.col("overlap_end")))
+    n = lambda a: F.coalesce(F.sum(F.when(F.col("is_a") == a, F.col("_n"))), F.lit(0)).cast("bigint")
+    found = rows.groupBy(*pairs.columns).agg(n(True).alias("rows_a"), n(False).alias("rows_b"))
+    # a window may hold no row of either file
+    return pairs.join(found, pairs.columns, "left").na.fill(0, subset=["rows_a", "rows_b"])
 
 
 # The date / datetime layouts a string column may use to count
@@ -220,73 +236,107 @@ def parse_any(v, formats=DATE_FORMATS):
     return F.coalesce(*[F.try_to_timestamp(v, F.lit(f)) for f in formats])
 
 
-def detect_date_columns(df: DataFrame, sample: int = 50, cols: Sequence[str] | None = None,
-                        formats=DATE_FORMATS) -> DataFrame:
-    """String columns whose first ``sample`` non-null values all parse as dates/timestamps.
+def detect_date_columns(df: DataFrame, cols: Sequence[str] | None = None, formats=DATE_FORMATS) -> DataFrame:
+    """String columns all of whose non-null values parse as dates/timestamps.
 
-    Each column contributes one limited sub-plan (``where not null`` +
-    ``limit``), so only ``sample`` rows per column are read past the filter;
-    all sub-plans run as one job through a union.
+    One aggregate over the whole table for all columns, so a single value
+    that is no date decides wherever it stands; a column without values is
+    not a date column.
     """
     cols = list(cols or [c for c, t in df.dtypes if t == "string"])
-    out = None
-    for c in cols:
-        s = df.select(F.col(c).alias("v")).where(F.col("v").isNotNull()).limit(sample)
-        r = s.agg(F.count(F.lit(1)).alias("sampled"),
-                  F.count_if(parse_any(F.col("v"), formats).isNull()).alias("unparsed")).select(
-            F.lit(c).alias("column_name"), "sampled",
-            ((F.col("sampled") > 0) & (F.col("unparsed") == 0)).alias("is_date"))
-        out = r if out is None else out.unionByName(r)
-    return out
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, non_null bigint, is_date boolean")
+    aggs = []
+    for i, c in enumerate(cols):
+        v = F.col(c)
+        aggs += [F.count(v).alias(f"n{i}"), F.count_if(v.isNotNull() & parse_any(v, formats).isNull()).alias(f"bad{i}")]
+    found = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("non_null"),
+                               ((F.col(f"n{i}") > 0) & (F.col(f"bad{i}") == 0)).alias("is_date")) for i, c in enumerate(cols)])
+    return df.agg(*aggs).select(F.explode(found).alias("_u")).select("_u.*")
+
+
+def inventory_row(df: DataFrame, file: str, date_columns: Sequence[str]) -> DataFrame:
+    """R10 for one table: its size, columns, nulls, dates, granularity and stream, in one row.
+
+    Dates and granularity are those of the first date column.
+    """
+    d0 = date_columns[0] if date_columns else None
+    nulls = None
+    for c in df.columns:
+        n = F.count_if(F.col(c).isNull())
+        nulls = n if nulls is None else nulls + n
+    totals = df.agg(F.count(F.lit(1)).alias("rows"), nulls.alias("total_nulls"))
+    out = totals.select(F.lit(file).alias("filename"), "rows", F.lit(len(df.columns)).alias("cols"),
+                        F.lit("; ".join(df.columns)).alias("columns"), F.lit("; ".join(date_columns)).alias("date_columns"), "total_nulls")
+    if d0 is None:
+        day, n, label = F.lit(None).cast("date"), F.lit(None).cast("bigint"), F.lit("unknown")
+        out = out.withColumns({"date_min": day, "date_max": day, "distinct_dates": n, "missing_date_count": n, "granularity": label})
+    else:
+        ts = df.select(F.lit(file).alias("filename"), F.col(d0).cast("timestamp_ntz").alias("_ts")).where(F.col("_ts").isNotNull())
+        dates = date_profile(ts, "_ts", ["filename"])
+        gran = granularity(ts, "_ts", ["filename"]).select("filename", "granularity")
+        out = out.join(dates, "filename", "left").join(gran, "filename", "left").na.fill("unknown", subset=["granularity"])
+        out = out.withColumnsRenamed({"min_date": "date_min", "max_date": "date_max", "distinct_days": "distinct_dates",
+                                      "missing_days": "missing_date_count"})
+    out = out.withColumn("datastream", classify_stream("filename"))
+    return out.withColumn("stream_group", stream_group("datastream")).select(
+        "filename", "rows", "cols", "columns", "date_columns", "date_min", "date_max", "distinct_dates", "missing_date_count",
+        "granularity", "total_nulls", "datastream", "stream_group")
 
 
 def stream_of_name(name: str, keys=STREAM_KEYS) -> str:
     """R7 on the driver for file names (metadata): first key contained, else 'unknown'."""
     low = name.lower()
-    return next((s for k, s in keys if k in low), "unknown")
+    return next((k for k, _ in keys if k in low), "unknown")
 
 
-def profile_files(spark, paths: Sequence[str], sample: int = 50) -> dict[str, DataFrame]:
+def profile_files(spark, paths: Sequence[str]) -> dict[str, DataFrame]:
     """R1-R10 over raw CSV extracts: inventory, drift and overlap reports.
 
-    One tagged scan per header group (``read_tagged``).  Date columns are
-    detected per header group (R1); each file's first date column feeds one
-    ``groupBy(file)`` for row counts and date ranges, the granularity rule
-    (R2) and the pairwise overlap report within each stream (R9, dates
-    compared as dates).
+    ``paths`` may hold files, folders and globs.  One tagged scan per header
+    group (``read_tagged``).  Date columns are detected per header group (R1);
+    each file's first date column feeds one ``groupBy(file)`` for row counts,
+    nulls and date ranges, the granularity rule (R2) and the pairwise overlap
+    report within each datastream (R9, dates compared as dates).
     """
-    from martline.sources.files import read_tagged
+    from martline.sources.files import list_files, read_tagged
     tagged, headers = read_tagged(spark, paths)
+    files = {f.name: f for f in list_files(spark, paths)}
     by_header: dict[tuple[str, ...], list[str]] = {}
     for f, h in headers.items():
         by_header.setdefault(h, []).append(f)
-    ts = None
-    for h, files in sorted(by_header.items()):
-        part = tagged.where(F.col("_source_file").isin(files)).select(*h)
-        found = [r.column_name for r in detect_date_columns(part, sample, list(h)).collect() if r.is_date]
-        if not found:
+    ts, found = None, {}
+    for h, group in sorted(by_header.items()):
+        part = tagged.where(F.col("_source_file").isin(group)).select(*h)
+        dates = {r.column_name for r in detect_date_columns(part, list(h)).collect() if r.is_date}
+        found.update({f: [c for c in h if c in dates] for f in group})
+        if not dates:
             continue
-        first = [c for c in h if c in found][0]
-        expr = F.when(F.col("_source_file").isin(files), parse_any(F.col(first)))
+        first = [c for c in h if c in dates][0]
+        expr = F.when(F.col("_source_file").isin(group), parse_any(F.col(first)))
         ts = expr if ts is None else F.coalesce(ts, expr)
-    stream_map = F.create_map(*[x for f in sorted(headers) for x in (F.lit(f), F.lit(stream_of_name(f)))])
-    base = tagged.select(F.col("_source_file").alias("file"), stream_map[F.col("_source_file")].alias("stream"),
+    rows = [(f, files[f].path, "." + f.rsplit(".", 1)[-1] if "." in f else "", files[f].size, len(h), "; ".join(h), "; ".join(found[f]),
+             stream_of_name(f), dict(STREAM_KEYS).get(stream_of_name(f), "unknown")) for f, h in sorted(headers.items())]
+    meta = spark.createDataFrame(rows, "file string, path string, format string, size_bytes bigint, n_columns int, columns string, "
+                                       "date_columns string, stream string, stream_group string")
+    # a column a file does not have is no null of it
+    nulls = None
+    for h, group in sorted(by_header.items()):
+        n = F.lit(0)
+        for c in h:
+            n = n + F.col(c).isNull().cast("bigint")
+        part = F.when(F.col("_source_file").isin(group), n)
+        nulls = part if nulls is None else F.coalesce(nulls, part)
+    base = tagged.select(F.col("_source_file").alias("file"), nulls.alias("_nulls"),
                          (ts if ts is not None else F.lit(None).cast("timestamp")).alias("_ts"))
-    ncols = F.create_map(*[x for f in sorted(headers) for x in (F.lit(f), F.lit(len(headers[f])))])
-    dates = base.groupBy("file", "stream").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min(F.to_date("_ts")).alias("date_min"),
+    dates = base.groupBy("file").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("_nulls").alias("total_nulls"), F.min(F.to_date("_ts")).alias("date_min"),
         F.max(F.to_date("_ts")).alias("date_max"), F.count_distinct(F.to_date("_ts")).alias("distinct_dates"))
     dates = dates.withColumn("missing_date_count",
                              F.datediff("date_max", "date_min") + 1 - F.col("distinct_dates"))
     gran = granularity(base.where(F.col("_ts").isNotNull()), "_ts", ["file"]).select("file", "granularity")
-    inventory = (dates.join(gran, "file", "left")
-                 .withColumn("n_columns", ncols[F.col("file")])
-                 .na.fill("unknown", subset=["granularity"]))
+    inventory = (meta.join(dates, "file", "left").join(gran, "file", "left")
+                 .na.fill("unknown", subset=["granularity"]).na.fill(0, subset=["n_rows", "total_nulls"]))
     drift = drift_report_tagged(tagged, "_source_file", headers, stream_of_name)
-    keyed = base.where(F.col("_ts").isNotNull()).withColumn("_key", F.concat_ws("/", "stream", "file"))
-    overlap = (overlap_report(keyed, "_key", "_ts")
-               .where(F.split("file_a", "/")[0] == F.split("file_b", "/")[0])
-               .select(F.split("file_a", "/")[0].alias("stream"),
-                       F.split("file_a", "/")[1].alias("file_a"), F.split("file_b", "/")[1].alias("file_b"),
-                       "overlap_start", "overlap_end", "rows_a", "rows_b"))
-    return {"inventory": inventory, "drift": drift, "overlap": overlap}
+    keyed = base.where(F.col("_ts").isNotNull()).join(F.broadcast(meta.select("file", "stream")), "file")
+    return {"inventory": inventory, "drift": drift, "overlap": overlap_report(keyed, "file", "_ts", ["stream"])}

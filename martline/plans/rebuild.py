@@ -9,15 +9,19 @@ by ``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martline.functions.numeric import MONEY
 from martline.operators.stats import seasonal_inflation
 from martline.plans import dims, facts, marts
 from martline.plans import quality as dq
 from martline.plans import warehouse as wh
 from martline.sources import views
-from martline.sources.sinks import write_outputs, write_table
+from martline.sources.files import list_files, read_tagged
+from martline.sources.sinks import observe_step, publish, read_table, write_outputs, write_table
 
 # Export row order per table (ascending, nulls last), as the
 # reference's CSV outputs are sorted.
@@ -41,11 +45,7 @@ DAILY_FACTS = ("fact_paid_social_daily", "fact_web_analytics_daily", "fact_ecomm
 
 
 def _reader(spark: SparkSession, out: str):
-    def read(name: str) -> DataFrame:
-        df = spark.read.parquet(f"{out}/{name}")
-        # month partition columns are storage layout, not part of the table
-        return df.drop("year", "month") if name.startswith("fact_") else df
-    return read
+    return lambda name: read_table(spark, f"{out}/{name}")
 
 
 def export_csv(spark: SparkSession, paths: dict[str, str], csv_dir: str) -> dict[str, str]:
@@ -54,48 +54,112 @@ def export_csv(spark: SparkSession, paths: dict[str, str], csv_dir: str) -> dict
     out = {}
     for name, order in EXPORT_ORDER.items():
         if name in paths:
-            df = spark.read.parquet(paths[name])
-            df = df.drop("year", "month") if name.startswith("fact_") else df
-            export_sorted(df, f"{csv_dir.rstrip('/')}/{name}", list(order))
+            export_sorted(read_table(spark, paths[name]), f"{csv_dir.rstrip('/')}/{name}", list(order))
             out[name] = f"{csv_dir.rstrip('/')}/{name}"
     return out
 
 
+class Streams(NamedTuple):
+    """The raw streams a rebuild starts from: ``web`` is tagged by ``_source``, ``paid`` by ``_file``."""
+    paid: DataFrame
+    web: DataFrame
+    web_drop: tuple[str, str, str]
+    transactions: DataFrame
+    posts: DataFrame
+    mentions: DataFrame
+    ooh_weekly: DataFrame
+    airports: DataFrame
+
+
+def view_streams(spark: SparkSession, sf_dir: str) -> Streams:
+    """The streams derived from the driver tables."""
+    return Streams(views.paid_raw(spark, sf_dir), views.v_web_parts(spark, sf_dir), (wh.WEB_DROP_SOURCE, *wh.WEB_OVERLAP),
+                   views.v_txn(spark, sf_dir), views.v_posts(spark, sf_dir), views.v_mentions(spark, sf_dir),
+                   views.v_ooh_weekly(spark, sf_dir), wh.airport_lookup(spark, sf_dir))
+
+
+# Types of the raw extracts' columns that are no strings.
+RAW_TYPES = {
+    "spend": MONEY, "spend_usd": MONEY, "unit_price": MONEY, "unit_cost": MONEY, "discount_per_unit": MONEY, "line_revenue": MONEY,
+    "date": "date", "week_start_date": "date", "episode_release_date": "date", "event_datetime": "timestamp_ntz",
+    "order_datetime": "timestamp_ntz", "mention_datetime": "timestamp_ntz", "quantity": "bigint", "promo_flag": "int",
+    "mentions_brand": "int", "mentions_founder": "int", "episode_rating": "double",
+    **{c: "bigint" for c in ("impressions", "clicks", "link_clicks", "video_views", "views", "video_25pct", "video_50pct", "video_75pct",
+                             "video_completes", "followers", "likes", "comments", "shares", "saves", "estimated_impressions", "placements")},
+}
+
+
+def csv_streams(spark: SparkSession, folder: str, airports: DataFrame, web_drop: tuple[str, str, str]) -> Streams:
+    """The streams of a folder of raw CSV extracts, told apart by their file names.
+
+    ``web_drop`` is (file, first day, last day) of the overlap to remove from
+    one web extract.
+    """
+    from martline.plans.profile import stream_of_name
+    by_stream: dict[str, list[str]] = {}
+    for f in list_files(spark, folder):
+        stream = stream_of_name(f.name)
+        by_stream.setdefault("paid" if stream.startswith("paid_") else stream, []).append(f.path)
+
+    def typed(stream: str, tag: str | None = None) -> DataFrame:
+        df, _ = read_tagged(spark, by_stream[stream], source_col="_tag")
+        cols = [F.col(c).cast(RAW_TYPES[c]).alias(c) if c in RAW_TYPES else F.col(c) for c in df.columns if c != "_tag"]
+        return df.select(*cols, *([F.col("_tag").alias(tag)] if tag else []))
+
+    return Streams(typed("paid", "_file"), typed("web_traffic", "_source"), web_drop, typed("transactions"), typed("tiktok_owned"),
+                   typed("podcast_mentions"), typed("ooh_airport"), airports)
+
+
 def rebuild(spark: SparkSession, sf_dir: str, out: str, csv_dir: str | None = None,
-            strict: bool = False) -> dict[str, str]:
+            strict: bool = False, publish_dir: str | None = None) -> dict[str, str]:
+    """Build every table from the driver tables; see :func:`rebuild_streams`."""
+    return rebuild_streams(spark, view_streams(spark, sf_dir), out, csv_dir, strict, publish_dir)
+
+
+def rebuild_from_csv(spark: SparkSession, folder: str, airports: DataFrame, web_drop: tuple[str, str, str], out: str,
+                     csv_dir: str | None = None, strict: bool = False, publish_dir: str | None = None) -> dict[str, str]:
+    """Build every table from a folder of raw CSV extracts."""
+    return rebuild_streams(spark, csv_streams(spark, folder, airports, web_drop), out, csv_dir, strict, publish_dir)
+
+
+def rebuild_streams(spark: SparkSession, raw: Streams, out: str, csv_dir: str | None = None,
+                    strict: bool = False, publish_dir: str | None = None) -> dict[str, str]:
     """Build every table under ``out``; returns table name -> path.  With
-    ``csv_dir``, the published tables are also exported as sorted CSV.  With
-    ``strict``, a failed quality check raises (after the check rows are
-    written), like the reference's raising date-range assertion."""
+    ``csv_dir``, the published tables are also exported as sorted CSV; with
+    ``publish_dir``, facts and dimensions are copied there (K3).  Row counts
+    of all steps are kept in ``step_metrics`` (K4).  With ``strict``, a failed
+    quality check raises (after the check rows are written), like the
+    reference's raising date-range assertion."""
     out = out.rstrip("/")
     paths: dict[str, str] = {}
+    steps: list[tuple[str, object]] = []
 
     def save(name: str, df: DataFrame, by_month: str | None = None) -> None:
+        df, seen = observe_step(df, name)
         write_table(df, f"{out}/{name}", by_month=by_month)
+        steps.append((name, seen))
         paths[name] = f"{out}/{name}"
 
     # lookup + dimensions
-    save("airport_lookup", wh.airport_lookup(spark, sf_dir))
-    save("dim_date", wh.date_spine(spark, sf_dir))
-    save("dim_geography", wh.geography(spark, sf_dir))
-    save("dim_channel", dims.channel_dim(spark))
-    save("dim_campaign_initiative", dims.initiative_dim(spark))
-    save("dim_podcast", dims.show_dim(views.v_mentions(spark, sf_dir)))
+    save("airport_lookup", raw.airports)
     read = _reader(spark, out)
-
-    # facts: one cleaned transaction frame feeds two tables (K2)
-    written = write_outputs(wh.transactions_clean(spark, sf_dir),
-                            {"fact_ecommerce_transactions": facts.ecommerce_transactions,
-                             "fact_ecommerce_daily": facts.ecommerce_daily}, out)
-    paths.update(written)
-    save("fact_web_analytics_events", wh.web_events(spark, sf_dir), by_month="date")
+    clean = facts.ecommerce_clean(raw.transactions)
+    # facts: one cleaned transaction frame feeds two tables (K2); the daily one is built from the written line items
+    paths.update(write_outputs(clean, "transactions_clean", {"fact_ecommerce_transactions": facts.ecommerce_transactions,
+                                                             "fact_ecommerce_daily": facts.ecommerce_daily}, out, by_month="date"))
+    save("fact_web_analytics_events", facts.web_events(raw.web, "_source", *raw.web_drop), by_month="date")
     save("fact_web_analytics_daily", facts.web_daily(read("fact_web_analytics_events")), by_month="date")
-    save("fact_paid_social_daily", wh.paid_social(spark, sf_dir), by_month="date")
-    save("fact_organic_social_daily", wh.organic_daily(spark, sf_dir), by_month="date")
-    save("fact_podcast_daily", wh.podcast_daily(spark, sf_dir), by_month="date")
-    save("fact_ooh_daily", facts.ooh_daily(views.v_ooh_weekly(spark, sf_dir), read("airport_lookup")),
-         by_month="date")
-    save("ooh_daily_totals", wh.ooh_totals(spark, sf_dir))
+    save("fact_paid_social_daily", facts.paid_social_daily(raw.paid), by_month="date")
+    save("fact_organic_social_daily", facts.organic_daily(raw.posts), by_month="date")
+    save("fact_podcast_daily", facts.podcast_daily(raw.mentions), by_month="date")
+    save("fact_ooh_daily", facts.ooh_daily(raw.ooh_weekly, read("airport_lookup")), by_month="date")
+    save("ooh_daily_totals", facts.ooh_daily_totals(raw.ooh_weekly))
+    save("dim_date", dims.date_dim_for(read("transactions_clean"), "date"))
+    save("dim_geography", dims.geography_dim([read(n).select("dma_name", "state") for n in (
+        "fact_paid_social_daily", "fact_web_analytics_events", "transactions_clean")], raw.ooh_weekly, read("airport_lookup"), raw.mentions))
+    save("dim_channel", dims.channel_dim(spark))
+    save("dim_campaign_initiative", dims.initiative_dim(spark))
+    save("dim_podcast", dims.show_dim(raw.mentions))
 
     # marts from the written tables
     save("cross_channel_daily", marts.cross_channel_daily(
@@ -127,4 +191,10 @@ def rebuild(spark: SparkSession, sf_dir: str, out: str, csv_dir: str | None = No
                 f"{r.check}/{r.table_name}: {r.detail}" for r in failed))
     if csv_dir:
         export_csv(spark, paths, csv_dir)
+    if publish_dir:
+        publish(spark, [(p, f"{publish_dir.rstrip('/')}/{n}") for n, p in paths.items() if n.startswith(("fact_", "dim_"))])
+    # one row per step
+    counts = [(name, int(seen.get["rows"])) for name, seen in steps]
+    write_table(spark.createDataFrame(counts, "step string, rows bigint").coalesce(1), f"{out}/step_metrics")
+    paths["step_metrics"] = f"{out}/step_metrics"
     return paths

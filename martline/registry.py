@@ -6,6 +6,9 @@ from the whole input tables.
 
 from __future__ import annotations
 
+import functools
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from martline.operators.joins import bridge_join, drill_across, star_join
 from martline.plans import dims, explore, marts, profile
 from martline.plans import quality as dq
 from martline.plans import warehouse as wh
+from martline.session import ensure_checkpoint_dir, forget_plans
 from martline.sources import views
 from martline.sources.views import PLATFORMS
 
@@ -21,7 +25,11 @@ QUERIES = {}
 
 def query(name: str):
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, d: str) -> DataFrame:
+            forget_plans()  # plans hold file listings; a table may have been rewritten since the last query
+            return fn(spark, d)
+        QUERIES[name] = run
         return fn
     return deco
 
@@ -236,7 +244,8 @@ def q_kpi(spark, d):
     from martline.operators.stats import seasonal_inflation
     daily = wh.cross_channel(spark, d)
     infl = seasonal_inflation(marts.lag_correlations(daily), marts.lag_correlations(daily, residual=True))
-    return marts.kpi_table(daily, infl, marts.promo_impact(wh.transactions_clean(spark, d)))
+    return marts.kpi_table(daily, infl, marts.promo_impact(wh.transactions_clean(spark, d)), marts.season_summary(daily),
+                           marts.partial_correlation(daily))
 
 
 @query("revenue_smooth")
@@ -287,11 +296,12 @@ DAILY_FACTS = ("fact_paid_social_daily", "fact_web_analytics_daily", "fact_ecomm
 def _dq_inputs(spark, d, materialize: bool = False):
     """Table provider for the quality checks.
 
-    ``materialize=True`` (the whole suite) checkpoints each fact, dimension
-    and derived raw input once under ``spark.checkpoint.dir``, so the many
-    checks that read the same table share one computation instead of
-    re-deriving it from raw each time; raw row counts still read the inputs.
+    ``materialize=True`` (the whole suite) writes each fact, dimension and
+    derived raw input once as a table under the shared checkpoint folder, so
+    the many checks that read it share one computation and read only the
+    columns they need; raw row counts still read the inputs.
     """
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/suite-{uuid.uuid4().hex}" if materialize else ""
     derived = {
         "raw_paid": lambda: views.paid_raw(spark, d),
         "raw_ooh_weekly": lambda: views.v_ooh_weekly(spark, d),
@@ -303,7 +313,10 @@ def _dq_inputs(spark, d, materialize: bool = False):
     def get(name: str) -> DataFrame:
         if name not in memo:
             df = derived[name]() if name in derived else wh.table_by_name(spark, d, name)
-            memo[name] = df.checkpoint(eager=True) if materialize else df
+            if materialize:
+                df.write.parquet(f"{base}/{name}")
+                df = spark.read.parquet(f"{base}/{name}")
+            memo[name] = df
         return memo[name]
     return get
 
@@ -423,10 +436,8 @@ def q_dq_formula(spark, d):
 
 
 def run_suite(spark, d, materialize: bool = False) -> DataFrame:
-    """All check rows of the suite.  ``materialize=True`` checkpoints each input
-    once and shares it across the checks: worth it when inputs are large and
-    expensive to derive (at small scale recomputing is cheaper; for stored
-    warehouses see ``plans.rebuild``, which checks the written tables)."""
+    """All check rows of the suite.  ``materialize=True`` writes each input once
+    and checks the written tables (for stored warehouses see ``plans.rebuild``)."""
     t = _dq_inputs(spark, d, materialize)
     parts = [_dq_exists(t), _dq_grain(t), _dq_date_range(t), _dq_empty_cols(t), _dq_reconcile(t),
              _dq_expected(t, spark, d), _dq_alignment(t), _dq_overlap(t), _dq_formula(t)]
@@ -439,14 +450,11 @@ def run_suite(spark, d, materialize: bool = False) -> DataFrame:
 @query("dq_summary")
 def q_dq_summary(spark, d):
     """Q11: counts of the suite's check rows per status."""
-    return dq.suite_summary(run_suite(spark, d))
+    return dq.suite_summary(run_suite(spark, d, materialize=True))
 
 
 # ------------------------------------------------------------------ profiling
 
-INVENTORY_COLUMNS = {"web_a": "event_datetime", "web_b": "event_datetime"}
-
-
 @query("profile_columns")
 def q_profile_columns(spark, d):
     return profile.column_profile(wh.ecommerce_transactions(spark, d))
@@ -490,49 +498,56 @@ def q_overlap_report(spark, d):
 
 @query("inventory")
 def q_inventory(spark, d):
-    """One row per raw extract: stream, rows, columns, date range."""
-    paid = views.paid_raw(spark, d)
-    pcols = views.paid_file_columns()
-    paid_inv = paid.groupBy("_file").agg(F.count(F.lit(1)).alias("n_rows"), F.min("date").alias("min_date"),
-                                         F.max("date").alias("max_date"))
-    ncols = None
-    for f in sorted(pcols):
-        ncols = (F.when(F.col("_file") == f, F.lit(len(pcols[f]))) if ncols is None
-                 else ncols.when(F.col("_file") == f, F.lit(len(pcols[f]))))
-    out = paid_inv.select(F.concat(F.lit("paid_"), F.col("_file")).alias("file"),
-                          profile.classify_stream(F.concat(F.lit("paid_"), F.col("_file"))).alias("stream"),
-                          "n_rows", ncols.alias("n_columns"), "min_date", "max_date")
-    srcs = {}
+    """One row per raw extract."""
+    tables = {f"paid_{f}": (df, ["date"]) for f, df in views.paid_parts(spark, d).items()}
     parts = views.v_web_parts(spark, d)
     for tag in ("web_a", "web_b"):
-        srcs[f"{tag}_web_traffic"] = (parts.where(F.col("_source") == tag).drop("_source"), "event_datetime")
-    srcs["transactions"] = (views.v_txn(spark, d), "order_datetime")
-    srcs["podcast_mentions"] = (views.v_mentions(spark, d), "mention_datetime")
-    srcs["tiktok_owned_posts"] = (views.v_posts(spark, d), "date")
-    srcs["ooh_weekly"] = (views.v_ooh_weekly(spark, d), "week_start_date")
-    for name in sorted(srcs):
-        df, dc = srcs[name]
-        r = df.agg(F.count(F.lit(1)).alias("n_rows"), F.min(F.to_date(dc)).alias("min_date"),
-                   F.max(F.to_date(dc)).alias("max_date")).select(
-            F.lit(name).alias("file"), profile.classify_stream(F.lit(name)).alias("stream"), "n_rows",
-            F.lit(len(df.columns)).alias("n_columns"), "min_date", "max_date")
-        out = out.unionByName(r)
+        tables[f"{tag}_web_traffic"] = (parts.where(F.col("_source") == tag).drop("_source"), ["event_datetime", "date"])
+    tables["transactions"] = (views.v_txn(spark, d), ["order_datetime", "date"])
+    tables["podcast_mentions"] = (views.v_mentions(spark, d), ["mention_datetime", "episode_release_date"])
+    tables["tiktok_owned_posts"] = (views.v_posts(spark, d), ["date"])
+    tables["ooh_airport_weekly"] = (views.v_ooh_weekly(spark, d), ["week_start_date"])
+    out = None
+    for name in sorted(tables):
+        r = profile.inventory_row(tables[name][0], name, tables[name][1])
+        out = r if out is None else out.unionByName(r)
     return out
 
 
 # ------------------------------------------------------------------ exploration
+# The candidate keys tested for each stream.
 TXN_KEYS = (("order_id",), ("order_id", "product_category"), ("order_id", "product_category", "size"),
             ("order_id", "product_category", "size", "quantity", "unit_price", "date"), ("order_id", "line_number"))
+PAID_KEYS = (("date", "channel", "campaign_id", "dma_name"),
+             ("date", "channel", "campaign_id", "dma_name", "optimization_goal"),
+             ("date", "channel", "campaign_id", "dma_name", "age_target"),
+             ("date", "channel", "campaign_id", "dma_name", "audience_segment"),
+             ("date", "channel", "campaign_id", "dma_name", "age_target", "audience_segment"),
+             ("date", "channel", "campaign_id", "dma_name", "optimization_goal", "age_target", "audience_segment"))
+WEB_KEYS = (("event_datetime", "user_id", "session_id", "page_url"),)
+ORGANIC_KEYS = (("date", "post_id"),)
+PODCAST_KEYS = (("podcast_name", "episode_title", "mention_datetime"),)
+OOH_KEYS = (("week_start_date", "airport_code"), ("week_start_date", "airport_code", "format"),
+            ("week_start_date", "airport_code", "audience_segment"),
+            ("week_start_date", "airport_code", "format", "audience_segment"), ("airport_code",))
 
 
 @query("key_battery")
 def q_key_battery(spark, d):
-    txn = explore.key_battery(wh.ecommerce_transactions(spark, d), TXN_KEYS, "fact_ecommerce_transactions")
-    ooh = explore.key_battery(views.v_ooh_weekly(spark, d),
-                              (("week_start_date", "airport_code"),
-                               ("week_start_date", "airport_code", "format", "audience_segment"),
-                               ("airport_code",)), "ooh_weekly")
-    return txn.unionByName(ooh)
+    parts = [(wh.ecommerce_transactions(spark, d), TXN_KEYS, "fact_ecommerce_transactions"),
+             (views.v_ooh_weekly(spark, d), OOH_KEYS, "ooh_weekly"), (views.v_web_parts(spark, d), WEB_KEYS, "web_events"),
+             (views.v_posts(spark, d), ORGANIC_KEYS, "organic_posts"), (views.v_mentions(spark, d), PODCAST_KEYS, "podcast_mentions")]
+    out = None
+    for df, keys, name in parts:
+        r = explore.key_battery(df, keys, name)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("paid_key_battery")
+def q_paid_key_battery(spark, d):
+    """E2 per file: the paid keys tested inside each extract."""
+    return explore.key_battery(views.paid_base(spark, d), PAID_KEYS, "paid_social", file_col="_file")
 
 
 @query("overlap_keys")
@@ -565,7 +580,7 @@ def _posts_split(spark, d):
 
 @query("recycled_ids")
 def q_recycled(spark, d):
-    return explore.recycled_ids(_posts_split(spark, d), "post_id", "_file", "date", "posts_a", "posts_b")
+    return explore.recycled_ids(_posts_split(spark, d), "post_id", "_file", "date", "followers", "posts_a", "posts_b")
 
 
 @query("follower_drops")
@@ -588,9 +603,25 @@ def q_promo_crosstab(spark, d):
     return explore.promo_crosstab(wh.transactions_clean(spark, d))
 
 
+def _raw_dates(spark, d):
+    """The date column of each raw stream: podcasts by release, airports by week."""
+    return {"paid_social": views.paid_base(spark, d).select("date"),
+            "web_analytics": views.v_web(spark, d).select(F.to_date("event_datetime").alias("date")),
+            "ecommerce": views.v_txn(spark, d).select(F.to_date("order_datetime").alias("date")),
+            "organic_social": views.v_posts(spark, d).select("date"),
+            "podcast": views.v_mentions(spark, d).select(F.col("episode_release_date").alias("date")),
+            "ooh": views.v_ooh_weekly(spark, d).select(F.col("week_start_date").alias("date"))}
+
+
 @query("spine_coverage")
 def q_spine_coverage(spark, d):
-    return explore.spine_coverage({n: wh.table_by_name(spark, d, n) for n in DAILY_FACTS})
+    return explore.spine_coverage(_raw_dates(spark, d))
+
+
+@query("uncovered_days")
+def q_uncovered_days(spark, d):
+    """Days between the first and the last of any stream that have, or lack, data in some stream."""
+    return explore.union_coverage(_raw_dates(spark, d))
 
 
 def _local_streams(spark, d):
@@ -610,14 +641,14 @@ def q_near_match(spark, d):
     names = (views.v_txn(spark, d).select(F.col("dma_name").alias("name"))
              .unionByName(views.v_web(spark, d).select(F.col("dma_name").alias("name")))
              .unionByName(views.paid_base(spark, d).select(F.col("dma_name").alias("name")))
-             .unionByName(wh.airport_lookup(spark, d).select(F.col("municipality").alias("name"))))
+             .unionByName(views.airports_raw(spark, d).select(F.col("municipality").alias("name"))))
     return explore.near_match(names, "name")
 
 
 @query("state_format")
 def q_state_format(spark, d):
     streams = _local_streams(spark, d)
-    streams["airport_lookup"] = wh.airport_lookup(spark, d)
+    streams["airport_lookup"] = views.all_airports(spark, d)
     return explore.state_format(streams, "state")
 
 
@@ -639,23 +670,68 @@ def q_campaign_crosstab(spark, d):
         F.count(F.lit(1)).alias("n_rows"))
 
 
-# Geographic terms searched in show names; short codes match
-# as whole words (case-sensitive), longer names as case-insensitive substrings.
-GEO_TERMS = (("state_code", "GA", "word"), ("city_code", "ATL", "word"),
-             ("nickname", "Peach State", "substring"), ("state_name", "Georgia", "substring"))
-
-
 @query("geo_terms")
 def q_geo_terms(spark, d):
-    terms = spark.createDataFrame(list(GEO_TERMS), "kind string, term string, mode string")
+    """Per show the geographic terms in its name and its founder mentions."""
+    terms = spark.createDataFrame(list(explore.GEO_TERMS), "kind string, term string, mode string")
     return explore.geo_signals(views.v_mentions(spark, d), terms)
 
 
+@query("geo_summary")
+def q_geo_summary(spark, d):
+    """Shows with and without geographic terms, with and without founder mentions."""
+    terms = spark.createDataFrame(list(explore.GEO_TERMS), "kind string, term string, mode string")
+    return explore.geo_summary(explore.geo_signals(views.v_mentions(spark, d), terms))
+
+
 @query("metric_distribution")
 def q_metric_distribution(spark, d):
     return explore.metric_distribution(views.v_mentions(spark, d), "podcast_name", "estimated_impressions")
 
 
+@query("podcast_metrics")
+def q_podcast_metrics(spark, d):
+    """Impressions and ratings over the whole stream."""
+    m = views.v_mentions(spark, d)
+    long = m.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v"))
+                                        for c in ("estimated_impressions", "episode_rating")])).alias("_u")).select("_u.*")
+    return explore.metric_distribution(long, "metric", "v")
+
+
+@query("campaign_exact")
+def q_campaign_exact(spark, d):
+    """Which campaign values occur in the web events, among paid names and among paid themes."""
+    from martline.functions.text import remainder_after_first_space
+    paid = views.paid_base(spark, d).select("campaign_name").distinct()
+    return explore.value_presence({
+        "web": wh.web_events(spark, d).select("campaign").where(F.length("campaign") > 0),
+        "paid_name": paid.select(F.col("campaign_name").alias("campaign")),
+        "paid_theme": paid.select(remainder_after_first_space(F.col("campaign_name")).alias("campaign")).where("campaign IS NOT NULL")},
+        "campaign")
+
+
+@query("ols_line")
+def q_ols(spark, d):
+    """Least-squares line of daily revenue on paid spend."""
+    from martline.operators.stats import ols_line
+    line = ols_line(wh.cross_channel(spark, d), "paid_social_spend", "ecomm_revenue")
+    return line.select(F.round("slope", 6).alias("slope"), F.round("intercept", 2).alias("intercept"))
+
+
+@query("dq_expected_total")
+def q_dq_expected_total(spark, d):
+    """Q6: expected totals (here the source table's) against the facts."""
+    total = views.table(spark, d, "lineitem").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("v"))
+    return dq.check_expected_totals({"fact_paid_social_daily": (wh.paid_social(spark, d), "spend", total),
+                                     "raw_ooh_weekly": (views.v_ooh_weekly(spark, d), "spend", total)})
+
+
+@query("airport_lookup")
+def q_airport_lookup(spark, d):
+    """The airport list restricted to the wanted codes."""
+    return wh.airport_lookup(spark, d)
+
+
 @query("sentiment_shares")
 def q_sentiment_shares(spark, d):
     from martline.operators.sets import value_shares
@@ -676,8 +752,8 @@ def q_distinct_values(spark, d):
 
 @query("missing_dates")
 def q_missing_dates(spark, d):
-    spine = wh.date_spine(spark, d)
-    return explore.missing_dates(spine, {n: wh.table_by_name(spark, d, n) for n in DAILY_FACTS})
+    """Days each raw stream lacks inside its own range (the weekly one lacks six of seven)."""
+    return explore.missing_dates(_raw_dates(spark, d))
 
 
 @query("duplicate_rows")

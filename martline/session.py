@@ -50,10 +50,11 @@ def _session_key(spark: SparkSession):
 def per_session(fn):
     """Memoise a plan builder ``fn(spark, *args)`` per session.
 
-    DataFrames are immutable plan descriptions, so reusing the object a view
-    or fact builder returned is safe; nothing is cached as data (every action
-    still runs the whole plan).  It only saves rebuilding the same plan
-    through the Python<->JVM bridge when several queries share it.
+    DataFrames are plan descriptions, so reusing the object a view or fact
+    builder returned is safe: memoised builders neither cache nor checkpoint.
+    It only saves rebuilding the same plan through the Python<->JVM bridge
+    when several parts of a query share it; ``forget_plans`` runs before each
+    registered query, so a rewritten table is listed anew.
     """
     memo: dict = {}
 
@@ -65,30 +66,43 @@ def per_session(fn):
     wrapper.__name__ = fn.__name__
     wrapper.__doc__ = fn.__doc__
     wrapper.__wrapped__ = fn
+    _MEMOS.append(memo)
     return wrapper
 
 
+_MEMOS: list[dict] = []
+
+
+def forget_plans() -> None:
+    """Drop all memoised plans (after tables were rewritten)."""
+    for memo in _MEMOS:
+        memo.clear()
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the cluster's checkpoint folder (``spark.checkpoint.dir``).
+    """The shared checkpoint folder of the session.
 
-    On a cluster this is a shared folder set by the deployment and is only
-    read here.  Only when it is unset (local tests) is a scratch folder
-    created and registered.
+    On a cluster the folder named by ``spark.checkpoint.dir`` (or one already
+    set on the context) is used.  Only a ``local`` master without either gets
+    a scratch folder; any other master raises, since executors could not read
+    each other's files in a local one.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    path = current or fallback or tempfile.mkdtemp(prefix="martline-ckpt-")
-    if not current:
-        try:
-            spark.conf.set("spark.checkpoint.dir", path)
-        except Exception:  # static conf on some deployments; the context setting below is what counts
-            pass
-    try:
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # Spark Connect: the server side reads spark.checkpoint.dir itself
-        pass
+    context = spark.sparkContext
+    held = context.getCheckpointDir()
+    # the context keeps its own folder below the one it was given
+    known = spark.conf.get("spark.checkpoint.dir", None) or _given.get(held) or held
+    if known is None and fallback is None and not context.master.startswith("local") or (known is None and context.master.startswith("local-cluster")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    path = known or fallback or tempfile.mkdtemp(prefix="martline-ckpt-")
+    if held is None:
+        context.setCheckpointDir(path)
+        _given[context.getCheckpointDir()] = path
     return path
 
 
+_given: dict[str, str] = {}
+
+
 def checkpoint_path(spark: SparkSession, name: str) -> str:
     """A location under the checkpoint folder for a written intermediate table."""
     base = ensure_checkpoint_dir(spark)

@@ -5,25 +5,32 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+#: The partition column of tables laid out by month; dates of the table itself stay a column.
+MONTH = "part_month"
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
                 partition_by: Sequence[str] = (), by_month: str | None = None) -> None:
     """K1: full rewrite of one table.
 
-    ``by_month`` derives ``year``/``month`` partition columns from a date
-    column so later date filters prune whole directories.  Rows are not
-    globally sorted (a sort would be a full shuffle); CSV export is
-    ``fmt='csv'`` with a header.
+    ``by_month`` lays the table out by month of a date column
+    (``part_month=yyyy-MM``); :func:`read_table` turns a date range into a
+    filter on it.  Rows are gathered by partition before the write, so a
+    partition is a few files rather than one per task; Spark splits a month
+    that holds much of the table.  Rows are not globally sorted (a sort would
+    be a full shuffle); CSV export is ``fmt='csv'`` with a header.
     """
     out = df
     parts = list(partition_by)
     if by_month:
-        out = out.withColumn("year", F.year(by_month)).withColumn("month", F.month(by_month))
-        parts = ["year", "month"] + parts
+        out = out.withColumn(MONTH, F.date_format(by_month, "yyyy-MM"))
+        parts = [MONTH] + parts
+    if parts:
+        out = out.hint("rebalance", *parts)
     w = out.write.mode(mode).format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
@@ -32,29 +39,48 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
     w.save(path)
 
 
-def write_outputs(clean: DataFrame, outputs: Mapping[str, Callable[[DataFrame], DataFrame]], base: str,
-                  fmt: str = "parquet", storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> dict[str, str]:
+def read_table(spark: SparkSession, path: str, date_col: str = "date", start: str | None = None, end: str | None = None,
+               fmt: str = "parquet") -> DataFrame:
+    """A written table without its partition column, between two dates (inclusive) if given.
+
+    The date range becomes a filter on the month folders, so other months are
+    not listed or read, and a filter on the dates themselves.
+    """
+    df = spark.read.option("recursiveFileLookup", "false").format(fmt).load(path)
+    month = F.col(MONTH).cast("string") if MONTH in df.columns else None
+    if start is not None:
+        df = df.where(F.col(date_col) >= F.lit(start).cast("date"))
+        if month is not None:
+            df = df.where(month >= F.lit(start[:7]))
+    if end is not None:
+        df = df.where(F.col(date_col) <= F.lit(end).cast("date"))
+        if month is not None:
+            df = df.where(month <= F.lit(end[:7]))
+    return df.drop(MONTH)
+
+
+def write_outputs(clean: DataFrame, source_name: str, outputs: Mapping[str, Callable[[DataFrame], DataFrame]], base: str,
+                  fmt: str = "parquet", by_month: str | None = None) -> dict[str, str]:
     """K2: several tables from one cleaned frame with a single scan of the source.
 
-    The cleaned frame is persisted for the duration of the writes; a lost
-    executor's blocks are recomputed from lineage, so results stay whole.
+    The cleaned frame itself is written first, as table ``source_name``, and
+    the other tables are built from what was written: nothing is held on the
+    executors, and a lost one costs only its part of one write.
     """
-    paths = {}
-    clean.persist(storage)
-    try:
-        for name, build in outputs.items():
-            path = f"{base.rstrip('/')}/{name}"
-            write_table(build(clean), path, fmt=fmt)
-            paths[name] = path
-    finally:
-        clean.unpersist()
+    spark = clean.sparkSession
+    paths = {source_name: f"{base.rstrip('/')}/{source_name}"}
+    write_table(clean, paths[source_name], fmt=fmt, by_month=by_month)
+    written = read_table(spark, paths[source_name], fmt=fmt)
+    for name, build in outputs.items():
+        paths[name] = f"{base.rstrip('/')}/{name}"
+        write_table(build(written), paths[name], fmt=fmt, by_month=by_month)
     return paths
 
 
 def publish(spark: SparkSession, manifest: Sequence[tuple[str, str]], fmt: str = "parquet") -> None:
     """K3: re-lay out curated tables: read each source path, write it to its destination."""
     for src, dest in manifest:
-        write_table(spark.read.format(fmt).load(src), dest, fmt=fmt)
+        write_table(read_table(spark, src, fmt=fmt), dest, fmt=fmt)
 
 
 def observe_step(df: DataFrame, name: str, date_col: str | None = None) -> tuple[DataFrame, Observation]:
@@ -77,13 +103,3 @@ def export_sorted(df: DataFrame, path: str, sort_cols: Sequence[str], descending
     shuffle and is paid only on export; warehouse tables are written unsorted."""
     order = [F.col(c).desc_nulls_last() if c in set(descending) else F.col(c).asc_nulls_last() for c in sort_cols]
     write_table(df.orderBy(*order), path, fmt=fmt)
-
-
-def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, keys: Sequence[str],
-                   mode: str = "overwrite") -> None:
-    """Write a table bucketed (and sorted) on ``keys`` so later joins and
-    aggregations on those keys between tables with the same bucket count
-    need no shuffle.  The files live at ``path`` (shared storage); the table
-    is registered in the session catalog."""
-    (df.write.mode(mode).format("parquet").option("path", path)
-       .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))

@@ -41,19 +41,9 @@ WEB_A_END = "1998-01-21"
 WEB_B_START = "1998-01-15"
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver's parquet table; the resolved reader is reused per session so
-    footers and schemas are read once, not once per query branch."""
-    from martline.session import _session_key
-    key = (_session_key(spark), f"{sf_dir}/{name}.parquet")
-    df = _TABLES.get(key)
-    if df is None:
-        df = spark.read.parquet(key[1])
-        _TABLES[key] = df
-    return df
+    """The driver's parquet table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -345,6 +335,14 @@ def airports_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("US").alias("iso_country"))
 
 
+@per_session
+def all_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole airport list, trimmed and with its state (no restriction to wanted codes)."""
+    from martline.sources.files import airport_lookup
+    raw = airports_raw(spark, sf_dir)
+    return airport_lookup(raw, raw.select("iata_code"))
+
+
 @per_session
 def wanted_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes the lookup is restricted to: airports of active suppliers (account

@@ -1,18 +1,15 @@
 """Incremental ingestion with Structured Streaming.
 
 The reference processes bounded files; the same jobs run incrementally when
-new extracts keep landing in a folder:
+new extracts keep landing in a folder.  No row is ever late: a daily table is
+kept by rebuilding, from the stored source-grain table, exactly the days that
+a batch touches, so a row that arrives a year after its day reopens that day.
 
 * :func:`ingest_source_grain` appends the cleaned source-grain rows (T2/T4
   style) with the exactly-once file sink: the checkpoint records which input
   files were committed, so a restarted query neither loses nor duplicates rows.
-* :func:`dedupe_overlapping` keeps each event once when extracts overlap,
-  with state bounded by a watermark;
-* :func:`daily_additive_rollup` keeps a per-day rollup of additive metrics
-  (counts, sums) with an event-time watermark; a day is emitted once the
-  watermark has passed it (late rows within the delay are still counted).
-  Distinct counts are not additive, so they are recomputed from the
-  source-grain table by the batch rollups instead.
+* :func:`maintain_daily` does so batch by batch and rebuilds the touched days
+  of a daily table (distinct counts included, since whole days are rebuilt).
 """
 
 from __future__ import annotations
@@ -47,31 +44,28 @@ def ingest_source_grain(stream: DataFrame, transform: Callable[[DataFrame], Data
     return w.start()
 
 
-def daily_additive_rollup(stream: DataFrame, ts_col: str, keys: Sequence[str],
-                          sums: Sequence[str] = (), watermark: str = "2 days") -> DataFrame:
-    """Per (day, keys): row count and sums, finalised when the watermark passes the day."""
-    # watermarks need TIMESTAMP (with zone); sessions run in UTC, so the
-    # cast keeps wall-clock values and day boundaries unchanged
-    ev = stream.withColumn("_event_ts", F.col(ts_col).cast("timestamp"))
-    day = F.window(F.col("_event_ts"), "1 day")
-    aggs = [F.count(F.lit(1)).alias("rows")] + [F.sum(c).alias(c) for c in sums]
-    g = ev.withWatermark("_event_ts", watermark).groupBy(day.alias("w"), *keys).agg(*aggs)
-    return g.select(F.to_date(F.col("w.start")).alias("date"), *keys, "rows", *sums)
+def maintain_daily(stream: DataFrame, date_col: str, build: Callable[[DataFrame], DataFrame], source_path: str,
+                   daily_path: str, checkpoint: str, keys: Sequence[str] = (), once: bool = True) -> StreamingQuery:
+    """Keep a source-grain table and a daily table built from it up to date.
 
+    Each batch is written as ``batch=<id>`` of the source table (a repeated
+    batch overwrites itself), and the days it touches are built anew by
+    ``build`` and replace those days of the daily table, which is partitioned
+    by ``date_col``.  With ``keys``, overlapping extracts are reduced to one
+    row per key before ``build``, however late the copy comes.
+    """
+    def batch(rows: DataFrame, number: int) -> None:
+        spark = rows.sparkSession
+        rows.write.mode("overwrite").parquet(f"{source_path}/batch={number}")
+        landed = spark.read.parquet(f"{source_path}/batch={number}").select(F.col(date_col).alias("_day")).distinct()
+        stored = spark.read.option("basePath", source_path).parquet(f"{source_path}/batch=*").drop("batch")
+        # a null date is a day of its own
+        days = stored.join(landed, stored[date_col].eqNullSafe(landed["_day"]), "left_semi")
+        if keys:
+            days = days.dropDuplicates(list(keys))
+        (build(days).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(date_col).parquet(daily_path))
 
-def write_rollup(rollup: DataFrame, sink_path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    w = (rollup.writeStream.format("parquet").outputMode("append")
-         .option("path", sink_path).option("checkpointLocation", checkpoint))
+    w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime="1 minute")
     return w.start()
-
-
-def dedupe_overlapping(stream: DataFrame, keys: Sequence[str], ts_col: str, watermark: str = "7 days") -> DataFrame:
-    """T2 for extracts that keep arriving with overlapping periods: keep each
-    event (identified by ``keys``) once.  The state holds the keys seen within
-    the watermark delay, so it stays bounded however long the stream runs;
-    a copy arriving later than the delay would be kept again, so the delay
-    must cover the longest overlap between extracts."""
-    ev = stream.withColumn("_event_ts", F.col(ts_col).cast("timestamp"))
-    return (ev.withWatermark("_event_ts", watermark)
-            .dropDuplicatesWithinWatermark(list(keys)).drop("_event_ts"))

@@ -170,6 +170,9 @@ V["airport_lookup"] = """airport_lookup AS (
   WHERE trim(' AP' || CAST(s.s_suppkey AS VARCHAR) || ' ') IN
         (SELECT 'AP' || CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_acctbal >= 0))"""
 
+V["airports_raw"] = V["airport_lookup"].replace("airport_lookup AS", "airports_raw AS").split("\n  WHERE")[0] + ")"
+V["all_airports"] = V["airports_raw"].replace("airports_raw AS", "all_airports AS")
+
 V["ooh_daily"] = """ooh_daily AS (
   SELECT CAST(w.week_start_date + d.i AS DATE) AS date, w.airport_code, w.airport_name, lk.state,
          w.format, w.audience_segment,
@@ -281,6 +284,10 @@ PAIRS = [("paid_social_spend", "web_sessions"), ("paid_social_spend", "ecomm_rev
          ("podcast_impressions", "web_sessions"), ("organic_impressions", "web_sessions")]
 
 
+LABELS = {"paid_social_spend": "Paid Social Spend", "web_sessions": "Web Sessions", "ecomm_revenue": "Ecomm Revenue",
+          "podcast_impressions": "Podcast Impressions", "organic_impressions": "Organic Impressions"}
+
+
 def _resid_expr(c):
     w = "OVER (ORDER BY date ROWS BETWEEN 7 PRECEDING AND 6 FOLLOWING)"
     return f"{c} - CASE WHEN count({c}) {w} >= 14 THEN avg({c}) {w} END"
@@ -292,7 +299,7 @@ V["rs"] = "rs AS (\n  SELECT date, " + ", ".join(RESID_COLS) + ", " + ", ".join(
 
 def lag_sql(src, suffix, mode="positional"):
     parts = "\n  UNION ALL ".join(
-        f"SELECT '{x} -> {y}' AS signal_pair, date, CAST({x}{suffix} AS DOUBLE) AS x, CAST({y}{suffix} AS DOUBLE) AS y FROM {src}"
+        f"SELECT '{LABELS[x]} → {LABELS[y]}' AS signal_pair, date, CAST({x}{suffix} AS DOUBLE) AS x, CAST({y}{suffix} AS DOUBLE) AS y FROM {src}"
         for x, y in PAIRS)
     pos = ("row_number() OVER (PARTITION BY signal_pair ORDER BY date)" if mode == "positional"
            else "date_diff('day', DATE '1970-01-01', date)")
@@ -568,24 +575,41 @@ FROM g"""
 
 Q["season_points"] = "SELECT date, season_flag, paid_social_spend, web_sessions FROM ccd"
 
+_PROMO_COLS = ["line_items", "distinct_orders", "total_quantity", "total_revenue", "avg_order_value", "avg_unit_price",
+               "avg_discount_per_unit", "negative_revenue_rows", "negative_revenue_amount"]
+_SEASON_COLS = ["days", "avg_daily_revenue", "avg_daily_paid_spend", "avg_daily_sessions", "avg_daily_orders"]
 Q["kpi_table"] = """, t AS (
   SELECT CAST(sum(CAST(paid_social_spend AS DECIMAL(18,2))) AS DOUBLE) AS paid, sum(ooh_spend) AS ooh,
          CAST(sum(CAST(ecomm_revenue AS DECIMAL(18,2))) AS DOUBLE) AS rev, sum(ecomm_orders) AS orders,
          sum(web_pageviews) AS pv, sum(podcast_mentions) AS pm FROM ccd),
+seasons AS (""" + Q["season_summary"] + """),
+part AS (WITH """ + Q["semi_partial_corr"].lstrip()[1:] + """),
 k AS (
-  SELECT 'totals' AS section, 'paid_social_spend' AS metric, paid AS value FROM t
-  UNION ALL SELECT 'totals', 'ooh_spend', ooh FROM t
-  UNION ALL SELECT 'totals', 'total_spend', paid + ooh FROM t
-  UNION ALL SELECT 'totals', 'ecomm_revenue', rev FROM t
-  UNION ALL SELECT 'totals', 'ecomm_orders', CAST(orders AS DOUBLE) FROM t
-  UNION ALL SELECT 'totals', 'web_pageviews', CAST(pv AS DOUBLE) FROM t
-  UNION ALL SELECT 'totals', 'podcast_mentions', CAST(pm AS DOUBLE) FROM t
-  UNION ALL SELECT 'totals', 'spend_to_revenue_ratio', (paid + ooh) / nullif(rev, 0) FROM t
+  SELECT 'totals' AS section, 'paid_social_spend' AS metric, CAST(paid AS DOUBLE) AS value, 2 AS digits FROM t
+  UNION ALL SELECT 'totals', 'ooh_spend', ooh, 2 FROM t
+  UNION ALL SELECT 'totals', 'total_spend', paid + ooh, 2 FROM t
+  UNION ALL SELECT 'totals', 'ecomm_revenue', rev, 2 FROM t
+  UNION ALL SELECT 'totals', 'ecomm_orders', CAST(orders AS DOUBLE), 2 FROM t
+  UNION ALL SELECT 'totals', 'web_pageviews', CAST(pv AS DOUBLE), 2 FROM t
+  UNION ALL SELECT 'totals', 'podcast_mentions', CAST(pm AS DOUBLE), 2 FROM t
+  UNION ALL SELECT 'totals', 'spend_to_revenue_ratio', (paid + ooh) / nullif(rev, 0), 2 FROM t
   UNION ALL SELECT 'correlation', signal_pair || ' reduction_pct',
-     CASE WHEN raw_r <> 0 THEN (1 - abs(residual_r) / abs(raw_r)) * 100 ELSE 0.0 END FROM inflation
+     CASE WHEN raw_r <> 0 THEN (1 - abs(residual_r) / abs(raw_r)) * 100 ELSE 0.0 END, 2 FROM inflation
+  UNION ALL SELECT 'correlation', signal_pair || ' raw_r', raw_r, 3 FROM inflation
+  UNION ALL SELECT 'correlation', signal_pair || ' residual_r', residual_r, 3 FROM inflation
+  UNION ALL SELECT 'partial', 'simple_corr', simple_corr, 3 FROM part
+  UNION ALL SELECT 'partial', 'partial_corr', partial_corr, 3 FROM part
+  """ + "\n  ".join(f"UNION ALL SELECT 'season', season_flag || ' {c}', CAST({c} AS DOUBLE), 2 FROM seasons" for c in _SEASON_COLS) + """
+  """ + "\n  ".join(f"UNION ALL SELECT 'promo', 'flag=' || promo_flag || ' {c}', CAST({c} AS DOUBLE), 2 FROM promo" for c in _PROMO_COLS) + """
   UNION ALL SELECT 'promo', 'promo_revenue_share_pct',
-     total_revenue / nullif((SELECT sum(total_revenue) FROM promo), 0) * 100 FROM promo WHERE promo_flag = 1)
-SELECT section, metric, round(CAST(value AS DOUBLE), 2) AS value FROM k"""
+     total_revenue / nullif((SELECT rev FROM t), 0) * 100, 2 FROM promo WHERE promo_flag = 1)
+SELECT section, metric, CASE WHEN digits = 3 THEN round(value, 3) ELSE round(value, 2) END AS value FROM k"""
+
+Q["ols_line"] = """SELECT round(s, 6) AS slope, round(my - s * mx, 2) AS intercept FROM (
+  SELECT covar_pop(x, y) / nullif(var_pop(x), 0) AS s, avg(x) AS mx, avg(y) AS my
+  FROM (SELECT CAST(paid_social_spend AS DOUBLE) AS x, CAST(ecomm_revenue AS DOUBLE) AS y FROM ccd) t WHERE x IS NOT NULL AND y IS NOT NULL) f"""
+
+Q["airport_lookup"] = "SELECT * FROM airport_lookup"
 
 
 # ------------------------------------------------------------------ data quality
@@ -663,16 +687,22 @@ DQ["empty_cols"] = _u(_empty(n) for n in FACTS + ["dim_geography"])
 
 
 def _recon(n, a, b):
-    return f"""SELECT 'reconcile' AS "check", '{n}' AS table_name, {_st('abs(a - b) < 0.01')} AS status,
+    return f"""SELECT 'reconcile' AS "check", '{n}' AS table_name, {_st('round(abs(a - b), 6) <= 0.01')} AS status,
   CAST(CAST(round(abs(a - b), 2) AS DECIMAL(18,2)) AS VARCHAR) AS detail FROM (SELECT ({a}) AS a, ({b}) AS b) x"""
 
 
+_EXACT = "sum(CAST({} AS DECIMAL(38,10)))"
 DQ["reconcile"] = _u([
-    _recon("fact_ecommerce_daily", "SELECT sum(CAST(line_revenue AS DOUBLE)) FROM v_txn",
-           "SELECT sum(gross_revenue) FROM ecommerce_daily"),
-    _recon("fact_ooh_daily", "SELECT sum(CAST(spend AS DOUBLE)) FROM v_ooh_weekly", "SELECT sum(spend) FROM ooh_daily"),
-    _recon("fact_paid_social_daily", "SELECT sum(CAST(spend AS DOUBLE)) FROM paid_base",
-           "SELECT sum(CAST(spend AS DOUBLE)) FROM paid_social")])
+    _recon("fact_ecommerce_daily", f"SELECT {_EXACT.format('line_revenue')} FROM v_txn",
+           f"SELECT {_EXACT.format('gross_revenue')} FROM ecommerce_daily"),
+    _recon("fact_ooh_daily", f"SELECT {_EXACT.format('spend')} FROM v_ooh_weekly", f"SELECT {_EXACT.format('spend')} FROM ooh_daily"),
+    _recon("fact_paid_social_daily", f"SELECT {_EXACT.format('spend')} FROM paid_base",
+           f"SELECT {_EXACT.format('spend')} FROM paid_social")])
+
+Q["dq_expected_total"] = _u(
+    f"""SELECT 'expected_total' AS "check", '{n}' AS table_name, {_st('abs(t - x) <= 0.01')} AS status, CAST(CAST(t AS DECIMAL(18,2)) AS VARCHAR) AS detail
+FROM (SELECT (SELECT sum(CAST(spend AS DECIMAL(18,2))) FROM {src}) AS t, (SELECT sum(CAST(l_extendedprice AS DECIMAL(18,2))) FROM lineitem) AS x) q"""
+    for n, src in (("fact_paid_social_daily", "paid_social"), ("raw_ooh_weekly", "v_ooh_weekly")))
 
 
 def _exp(n, o, x):
@@ -692,7 +722,7 @@ def _align(n, metric, src, s_expr, rollup, r_expr):
     return f"""SELECT 'alignment_{metric}' AS "check", '{n}' AS table_name, {_st('bad = 0')} AS status, CAST(bad AS VARCHAR) AS detail
 FROM (SELECT count(*) FILTER (WHERE s IS NULL OR r IS NULL OR abs(s - r) > 0.01) AS bad
       FROM (SELECT date, CAST({s_expr} AS DOUBLE) AS s FROM {src} GROUP BY date) a
-      FULL OUTER JOIN (SELECT date, CAST({r_expr} AS DOUBLE) AS r FROM {rollup} GROUP BY date) b ON a.date = b.date) x"""
+      FULL OUTER JOIN (SELECT date, CAST({r_expr} AS DOUBLE) AS r FROM {rollup} GROUP BY date) b ON a.date IS NOT DISTINCT FROM b.date) x"""
 
 
 DQ["alignment"] = _u([
@@ -793,42 +823,81 @@ SELECT p.file_a, p.file_b, p.overlap_start, p.overlap_end,
   CAST((SELECT coalesce(sum(n), 0) FROM daily WHERE f = p.file_b AND d BETWEEN p.overlap_start AND p.overlap_end) AS BIGINT) AS rows_b
 FROM pairs p"""
 
-_PAIDCOLS = {"instagram_part3": 18, "pinterest_part1": 15, "tiktok_part2": 16}
-Q["inventory"] = """, paid_inv AS (
-  SELECT 'paid_' || _file AS file, count(*) AS n_rows, min(date) AS min_date, max(date) AS max_date,
-    CAST(CASE _file WHEN 'instagram_part3' THEN 18 WHEN 'pinterest_part1' THEN 15 WHEN 'tiktok_part2' THEN 16 ELSE 17 END AS INTEGER) AS n_columns
-  FROM paid_base GROUP BY _file),
-inv AS (
-  SELECT file, n_rows, n_columns, min_date, max_date FROM paid_inv
-  UNION ALL SELECT 'web_a_web_traffic', count(*), CAST(12 AS INTEGER), min(CAST(event_datetime AS DATE)), max(CAST(event_datetime AS DATE))
-    FROM v_web_parts WHERE _source = 'web_a'
-  UNION ALL SELECT 'web_b_web_traffic', count(*), CAST(12 AS INTEGER), min(CAST(event_datetime AS DATE)), max(CAST(event_datetime AS DATE))
-    FROM v_web_parts WHERE _source = 'web_b'
-  UNION ALL SELECT 'transactions', count(*), CAST(15 AS INTEGER), min(CAST(order_datetime AS DATE)), max(CAST(order_datetime AS DATE)) FROM v_txn
-  UNION ALL SELECT 'podcast_mentions', count(*), CAST(11 AS INTEGER), min(CAST(mention_datetime AS DATE)), max(CAST(mention_datetime AS DATE)) FROM v_mentions
-  UNION ALL SELECT 'tiktok_owned_posts', count(*), CAST(12 AS INTEGER), min(date), max(date) FROM v_posts
-  UNION ALL SELECT 'ooh_weekly', count(*), CAST(8 AS INTEGER), min(week_start_date), max(week_start_date) FROM v_ooh_weekly)
-SELECT file, CASE WHEN contains(lower(file), 'paid') THEN 'paid_social' WHEN contains(lower(file), 'instagram') THEN 'paid_social'
-  WHEN contains(lower(file), 'pinterest') THEN 'paid_social' WHEN contains(lower(file), 'tiktok_owned') THEN 'organic_social'
-  WHEN contains(lower(file), 'tiktok') THEN 'paid_social' WHEN contains(lower(file), 'web') THEN 'web_analytics'
-  WHEN contains(lower(file), 'transactions') THEN 'ecommerce' WHEN contains(lower(file), 'podcast') THEN 'podcast'
-  WHEN contains(lower(file), 'ooh') THEN 'ooh' ELSE 'unknown' END AS stream,
-  n_rows, n_columns, min_date, max_date FROM inv"""
+_STREAMS = [("paid_instagram", "paid_social"), ("paid_pinterest", "paid_social"), ("paid_tiktok", "paid_social"),
+            ("web_traffic", "web_analytics"), ("transactions", "ecommerce"), ("tiktok_owned", "organic_social"),
+            ("podcast_mentions", "podcast"), ("ooh_airport", "ooh")]
+_PAID_STD = ("date channel campaign_name campaign_id dma_name state optimization_goal spend impressions clicks video_views "
+             "video_25pct video_50pct video_75pct video_completes age_target audience_segment").split()
+_PAID_FILE = {"instagram_part3": ({"spend": "spend_usd"}, ["spend_currency"], []),
+              "pinterest_part1": ({"clicks": "link_clicks"}, [], ["video_25pct", "video_50pct"]),
+              "tiktok_part2": ({"video_views": "views"}, [], ["optimization_goal"])}
+
+
+def _inventory(name, src, cols, shown, dates):
+    """``cols`` are counted for nulls, ``shown`` is the header."""
+    key, group = next(((k, g) for k, g in _STREAMS if k in name), ("unknown", "unknown"))
+    nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
+    ts = f"SELECT CAST({dates[0]} AS TIMESTAMP) AS ts FROM {src}"
+    return f"""SELECT '{name}' AS filename, n AS rows, CAST({len(shown)} AS INTEGER) AS cols, '{"; ".join(shown)}' AS columns,
+  '{"; ".join(dates)}' AS date_columns, mn AS date_min, mx AS date_max, dd AS distinct_dates, date_diff('day', mn, mx) + 1 - dd AS missing_date_count,
+  CASE WHEN timed = 1 THEN 'event-level' WHEN gap IS NULL THEN 'unknown' WHEN gap <= 1 THEN 'daily' WHEN gap >= 5 AND gap <= 9 THEN 'weekly'
+       WHEN gap >= 25 AND gap <= 35 THEN 'monthly' ELSE '~' || CAST(CAST(floor(gap) AS BIGINT) AS VARCHAR) || '-day' END AS granularity,
+  CAST(nulls AS BIGINT) AS total_nulls, '{key}' AS datastream, '{group}' AS stream_group
+FROM (SELECT count(*) AS n, {nulls} AS nulls FROM {src}) a
+CROSS JOIN (SELECT min(CAST(ts AS DATE)) AS mn, max(CAST(ts AS DATE)) AS mx, count(DISTINCT CAST(ts AS DATE)) AS dd,
+    max(CASE WHEN hour(ts) <> 0 OR minute(ts) <> 0 THEN 1 ELSE 0 END) AS timed FROM ({ts}) t) b
+CROSS JOIN (SELECT median(CAST(g AS DOUBLE)) AS gap FROM (SELECT date_diff('day', lag(d) OVER (ORDER BY d), d) AS g
+    FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM ({ts}) t WHERE ts IS NOT NULL) u) v) c"""
+
+
+def _paid_inventory(f):
+    renamed, added, omitted = _PAID_FILE.get(f, ({}, [], []))
+    cols = [c for c in _PAID_STD if c not in omitted]
+    return _inventory(f"paid_{f}", f"(SELECT * FROM paid_base WHERE _file = '{f}')", cols, [renamed.get(c, c) for c in cols] + added, ["date"])
+
+
+_VIEW_COLS = {
+    "v_web": "date event_datetime user_id session_id page_url traffic_source traffic_medium campaign device_category dma_name state zip_code",
+    "v_txn": "date order_datetime order_id user_id dma_name state zip_code product_category size quantity unit_price unit_cost "
+             "discount_per_unit line_revenue promo_flag",
+    "v_mentions": "podcast_name episode_title episode_release_date mention_datetime host_name mentions_brand mentions_founder "
+                  "transcript_snippet estimated_impressions episode_rating sentiment",
+    "v_posts": "date post_id caption followers impressions video_views video_completes likes comments shares clicks saves",
+    "v_ooh_weekly": "week_start_date airport_code airport_name format audience_segment spend impressions placements"}
+_VIEW_COLS = {k: v.split() for k, v in _VIEW_COLS.items()}
+Q["inventory"] = _u(
+    [_paid_inventory(f"{p}_part{i}") for p in ("instagram", "pinterest", "tiktok") for i in (1, 2, 3)] +
+    [_inventory(f"{t}_web_traffic", f"(SELECT * FROM v_web_parts WHERE _source = '{t}')", _VIEW_COLS["v_web"], _VIEW_COLS["v_web"],
+                ["event_datetime", "date"]) for t in ("web_a", "web_b")] +
+    [_inventory(n, v, _VIEW_COLS[v], _VIEW_COLS[v], dates) for n, v, dates in (
+        ("transactions", "v_txn", ["order_datetime", "date"]), ("podcast_mentions", "v_mentions", ["mention_datetime", "episode_release_date"]),
+        ("tiktok_owned_posts", "v_posts", ["date"]), ("ooh_airport_weekly", "v_ooh_weekly", ["week_start_date"]))])
 
 # ------------------------------------------------------------------ exploration
 _KEYSETS = [("fact_ecommerce_transactions", "txn_out", k) for k in
             (["order_id"], ["order_id", "product_category"], ["order_id", "product_category", "size"],
              ["order_id", "product_category", "size", "quantity", "unit_price", "date"])] + \
            [("ooh_weekly", "v_ooh_weekly", k) for k in
-            (["week_start_date", "airport_code"], ["week_start_date", "airport_code", "format", "audience_segment"],
-             ["airport_code"])]
+            (["week_start_date", "airport_code"], ["week_start_date", "airport_code", "format"],
+             ["week_start_date", "airport_code", "audience_segment"],
+             ["week_start_date", "airport_code", "format", "audience_segment"], ["airport_code"])] + \
+           [("web_events", "v_web_parts", ["event_datetime", "user_id", "session_id", "page_url"]),
+            ("organic_posts", "v_posts", ["date", "post_id"]),
+            ("podcast_mentions", "v_mentions", ["podcast_name", "episode_title", "mention_datetime"])]
+_TESTED = "CASE WHEN extra_rows = 0 THEN 'UNIQUE' ELSE 'DUPLICATES' END AS status"
 Q["key_battery"] = _u(
-    f"""SELECT '{t}' AS table_name, '{",".join(k)}' AS key_columns, extra_rows,
-  CASE WHEN extra_rows = 0 THEN 'UNIQUE' ELSE 'DUPLICATES' END AS status
+    f"""SELECT '{t}' AS table_name, '{",".join(k)}' AS key_columns, extra_rows, {_TESTED}
 FROM (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS extra_rows FROM (SELECT count(*) AS n FROM {src} GROUP BY {", ".join(k)}) g) x"""
     for t, src, k in _KEYSETS) + """
 UNION ALL SELECT 'fact_ecommerce_transactions', 'order_id,line_number', CAST(NULL AS BIGINT), 'SKIPPED'"""
 
+_PAIDKEY = ["date", "channel", "campaign_id", "dma_name"]
+Q["paid_key_battery"] = _u(
+    f"""SELECT _file, 'paid_social' AS table_name, '{",".join(k)}' AS key_columns, extra_rows, {_TESTED}
+FROM (SELECT _file, CAST(sum(n - 1) AS BIGINT) AS extra_rows FROM (SELECT _file, count(*) AS n FROM paid_base GROUP BY _file, {", ".join(k)}) g GROUP BY _file) x"""
+    for k in (_PAIDKEY, _PAIDKEY + ["optimization_goal"], _PAIDKEY + ["age_target"], _PAIDKEY + ["audience_segment"],
+              _PAIDKEY + ["age_target", "audience_segment"], _PAIDKEY + ["optimization_goal", "age_target", "audience_segment"]))
+
 _WCOLS = COLS["fact_web_analytics_events"].split()
 
 
@@ -859,10 +928,10 @@ GROUP BY line_items"""
 Q["order_values"] = """SELECT count(*) AS orders, round(CAST(min(v) AS DOUBLE), 2) AS min_value, round(avg(CAST(v AS DOUBLE)), 2) AS avg_value,
   round(CAST(max(v) AS DOUBLE), 2) AS max_value FROM (SELECT order_id, sum(line_revenue) AS v FROM v_txn GROUP BY 1) t"""
 
-Q["recycled_ids"] = """, ps AS (SELECT CASE WHEN date < DATE '1998-01-16' THEN 'posts_a' ELSE 'posts_b' END AS f, post_id, date FROM v_posts),
-fst AS (SELECT f, post_id, min(date) AS d FROM ps GROUP BY 1, 2)
-SELECT a.post_id, a.d AS first_date_a, b.d AS first_date_b
-FROM (SELECT * FROM fst WHERE f = 'posts_a') a JOIN (SELECT * FROM fst WHERE f = 'posts_b') b ON a.post_id = b.post_id"""
+Q["recycled_ids"] = """, ps AS (SELECT CASE WHEN date < DATE '1998-01-16' THEN 'posts_a' ELSE 'posts_b' END AS f, post_id, date, followers FROM v_posts),
+fst AS (SELECT f, post_id, date, followers, row_number() OVER (PARTITION BY f, post_id ORDER BY date, followers) AS rn FROM ps)
+SELECT a.post_id, a.date AS first_date_a, a.followers AS followers_a, b.date AS first_date_b, b.followers AS followers_b
+FROM fst a JOIN fst b ON a.post_id = b.post_id AND a.f = 'posts_a' AND b.f = 'posts_b' AND a.rn = 1 AND b.rn = 1"""
 
 Q["follower_drops"] = """, fp AS (SELECT date, min(post_id) AS pid FROM v_posts GROUP BY date),
 day AS (SELECT p.date, min(p.followers) FILTER (WHERE p.post_id = fp.pid) AS followers,
@@ -877,7 +946,7 @@ Q["release_vs_mention"] = """SELECT count(*) AS mentions,
 
 Q["multi_mentions"] = """SELECT podcast_name, count(DISTINCT episode_title) AS episodes, count(*) FILTER (WHERE n > 1) AS multi_mention_groups,
   max(n) AS max_mentions
-FROM (SELECT CAST(mention_datetime AS DATE) AS date, podcast_name, episode_title, count(*) AS n FROM v_mentions GROUP BY 1, 2, 3) g
+FROM (SELECT podcast_name, episode_title, count(*) AS n FROM v_mentions GROUP BY 1, 2) g
 GROUP BY podcast_name"""
 
 Q["promo_crosstab"] = """SELECT promo_flag, discount_per_unit > 0 AS has_discount, count(*) AS n_rows,
@@ -885,10 +954,13 @@ Q["promo_crosstab"] = """SELECT promo_flag, discount_per_unit > 0 AS has_discoun
 
 _DAILY = ["fact_paid_social_daily", "fact_web_analytics_daily", "fact_ecommerce_daily", "fact_organic_social_daily",
           "fact_podcast_daily", "fact_ooh_daily"]
+_RAW_DATES = [("paid_social", "date", "paid_base"), ("web_analytics", "event_datetime", "v_web"), ("ecommerce", "order_datetime", "v_txn"),
+              ("organic_social", "date", "v_posts"), ("podcast", "episode_release_date", "v_mentions"), ("ooh", "week_start_date", "v_ooh_weekly")]
+_RAW_DAYS = _u(f"SELECT DISTINCT '{n}' AS stream, CAST({c} AS DATE) AS d FROM {src}" for n, c, src in _RAW_DATES)
 Q["spine_coverage"] = "SELECT stream, min(d) AS min_date, max(d) AS max_date, count(*) AS days_present, " \
-    "date_diff('day', min(d), max(d)) + 1 - count(*) AS missing_days FROM (" + _u(
-        f"SELECT DISTINCT '{n}' AS stream, CAST(date AS DATE) AS d FROM {DQ_CTE[n]}" for n in _DAILY) + \
-    ") t GROUP BY stream"
+    "date_diff('day', min(d), max(d)) + 1 - count(*) AS missing_days FROM (" + _RAW_DAYS + ") t GROUP BY stream"
+Q["uncovered_days"] = "SELECT min(d) AS min_date, max(d) AS max_date, date_diff('day', min(d), max(d)) + 1 AS days_in_range, " \
+    "count(DISTINCT d) AS days_with_data, date_diff('day', min(d), max(d)) + 1 - count(DISTINCT d) AS days_without_data FROM (" + _RAW_DAYS + ") t"
 
 Q["presence_matrix"] = """SELECT dma_name, bool_or(stream = 'ecommerce') AS ecommerce, bool_or(stream = 'paid_social') AS paid_social,
   bool_or(stream = 'web') AS web
@@ -897,15 +969,16 @@ FROM (SELECT 'paid_social' AS stream, dma_name FROM paid_base UNION ALL SELECT '
 
 Q["near_match"] = r""", d AS (SELECT raw, lower(trim(replace(raw, '  ', ' '))) AS norm_key FROM (
              SELECT dma_name AS raw FROM v_txn UNION ALL SELECT dma_name FROM v_web
-             UNION ALL SELECT dma_name FROM paid_base UNION ALL SELECT municipality FROM airport_lookup) u
+             UNION ALL SELECT dma_name FROM paid_base UNION ALL SELECT municipality FROM airports_raw) u
            WHERE raw IS NOT NULL),
 g AS (SELECT norm_key, raw, count(*) AS n FROM d GROUP BY 1, 2),
 v AS (SELECT norm_key, count(*) AS variants FROM g GROUP BY norm_key HAVING count(*) > 1)
 SELECT g.norm_key, g.raw, v.variants, g.n AS n_rows FROM g JOIN v ON g.norm_key = v.norm_key"""
 
-Q["state_format"] = """SELECT stream, state, count(*) AS n_rows, coalesce(regexp_matches(state, '^[A-Z]{2}$'), false) AS is_code
+Q["state_format"] = """SELECT stream, state, count(*) AS n_rows, coalesce(regexp_matches(state, '^[A-Z]{2}$'), false) AS is_code,
+  coalesce(length(state) > 2, false) AS is_full_name
 FROM (SELECT 'paid_social' AS stream, state FROM paid_base UNION ALL SELECT 'web', state FROM v_web
-      UNION ALL SELECT 'ecommerce', state FROM v_txn UNION ALL SELECT 'airport_lookup', state FROM airport_lookup) t
+      UNION ALL SELECT 'ecommerce', state FROM v_txn UNION ALL SELECT 'airport_lookup', state FROM all_airports) t
 GROUP BY stream, state"""
 
 Q["campaign_linkage"] = r""", x AS (SELECT DISTINCT campaign AS left_value FROM web_events WHERE campaign IS NOT NULL),
@@ -917,16 +990,41 @@ SELECT left_value AS web_campaign, right_value AS paid_campaign, theme AS paid_t
 
 Q["campaign_crosstab"] = """SELECT campaign, traffic_source, traffic_medium, count(*) AS n_rows FROM web_events GROUP BY ALL"""
 
-Q["geo_terms"] = r""", t AS (SELECT * FROM (VALUES ('state_code', 'GA', 'word'), ('city_code', 'ATL', 'word'),
-    ('nickname', 'Peach State', 'substring'), ('state_name', 'Georgia', 'substring')) t(kind, term, mode)),
-names AS (SELECT DISTINCT podcast_name AS text FROM v_mentions WHERE podcast_name IS NOT NULL),
-hits AS (SELECT n.text, string_agg(DISTINCT t.term, ',' ORDER BY t.term) AS geo_terms FROM names n JOIN t ON
-           CASE WHEN t.mode = 'word' THEN regexp_matches(n.text, '\b' || t.term || '\b')
-                ELSE contains(lower(n.text), lower(t.term)) END GROUP BY n.text),
-per AS (SELECT podcast_name, count(*) AS mentions, CAST(sum(mentions_founder) AS BIGINT) AS founder_mentions
-        FROM v_mentions GROUP BY 1)
-SELECT per.podcast_name, per.mentions, per.founder_mentions, hits.geo_terms, hits.geo_terms IS NOT NULL AS is_geo
-FROM per LEFT JOIN hits ON per.podcast_name = hits.text"""
+def _geo_terms():
+    from martline.plans.explore import GEO_TERMS
+    return ", ".join(f"('{k}', '{t}', '{m}')" for k, t, m in GEO_TERMS)
+
+
+V["geo_signals"] = r"""geo_signals AS (
+  SELECT per.podcast_name, per.mentions, per.founder_episodes, hits.geo_terms, hits.geo_terms IS NOT NULL AS is_geo,
+    per.founder_episodes > 0 AS has_founder
+  FROM (SELECT podcast_name, count(*) AS mentions,
+          count(DISTINCT CASE WHEN mentions_founder = 1 THEN coalesce(episode_title, '') END) AS founder_episodes
+        FROM v_mentions WHERE podcast_name IS NOT NULL GROUP BY 1) per
+  LEFT JOIN (SELECT n.text, string_agg(DISTINCT t.kind || ':' || t.term, ',' ORDER BY t.kind || ':' || t.term) AS geo_terms
+             FROM (SELECT DISTINCT podcast_name AS text FROM v_mentions WHERE podcast_name IS NOT NULL) n
+             JOIN (SELECT * FROM (VALUES """ + _geo_terms() + r""") v(kind, term, mode)) t ON
+               CASE WHEN t.mode = 'word' THEN regexp_matches(n.text, '\b' || t.term || '\b')
+                    ELSE contains(lower(n.text), lower(t.term)) END GROUP BY n.text) hits ON per.podcast_name = hits.text)"""
+DEPS["geo_signals"] = ["v_mentions"]
+Q["geo_terms"] = "SELECT * FROM geo_signals"
+Q["geo_summary"] = "SELECT is_geo, has_founder, count(*) AS shows FROM geo_signals GROUP BY 1, 2"
+
+Q["campaign_exact"] = r"""SELECT campaign, bool_or(stream = 'paid_name') AS paid_name, bool_or(stream = 'paid_theme') AS paid_theme,
+  bool_or(stream = 'web') AS web
+FROM (SELECT 'web' AS stream, campaign FROM web_events WHERE length(campaign) > 0
+      UNION ALL SELECT 'paid_name', campaign_name FROM paid_base
+      UNION ALL SELECT 'paid_theme', nullif(regexp_extract(campaign_name, '^\S+ (.*)$', 1), '') FROM paid_base) t
+WHERE campaign IS NOT NULL GROUP BY campaign"""
+
+Q["podcast_metrics"] = _u(
+    f"""SELECT '{c}' AS metric, count(v) AS n, round(min(v), 2) AS min, round(max(v), 2) AS max, round(avg(v), 2) AS mean,
+  round(median(v), 2) AS median, round(stddev_samp(v), 2) AS stdev
+FROM (SELECT CAST({c} AS DOUBLE) AS v FROM v_mentions) t""" for c in ("estimated_impressions", "episode_rating"))
+
+Q["stable_sample"] = """SELECT """ + ", ".join(TXN_COLS) + """ FROM (
+  SELECT *, md5('42|' || coalesce(order_id, '') || '|' || coalesce(product_category, '') || '|' || coalesce(CAST(quantity AS VARCHAR), '')) AS h FROM txn_out) t
+ORDER BY h, order_id, product_category, quantity, """ + ", ".join(c for c in TXN_COLS if c not in ("order_id", "product_category", "quantity")) + """ LIMIT 20"""
 
 Q["metric_distribution"] = """SELECT podcast_name, count(v) AS n, round(min(v), 2) AS min, round(max(v), 2) AS max, round(avg(v), 2) AS mean,
   round(median(v), 2) AS median, round(stddev_samp(v), 2) AS stdev
@@ -941,17 +1039,16 @@ Q["distinct_values"] = """SELECT 'fact_ecommerce_transactions' AS table_name, pr
 UNION ALL SELECT 'fact_ecommerce_daily', product_category, count(*) FROM ecommerce_daily
   WHERE product_category IS NOT NULL GROUP BY 2"""
 
-Q["missing_dates"] = """, u AS (""" + _u(
-    f"SELECT DISTINCT '{n}' AS stream, CAST(date AS DATE) AS date FROM {DQ_CTE[n]}" for n in _DAILY) + """),
-rng AS (SELECT stream, min(date) AS s, max(date) AS e FROM u GROUP BY stream)
-SELECT r.stream, d.date FROM date_dim d JOIN rng r ON d.date BETWEEN r.s AND r.e
-WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.stream = r.stream AND u.date = d.date)"""
+Q["missing_dates"] = """, u AS (""" + _RAW_DAYS + """),
+rng AS (SELECT stream, min(d) AS s, max(d) AS e FROM u GROUP BY stream),
+days AS (SELECT stream, CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS date FROM rng)
+SELECT stream, date FROM days WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.stream = days.stream AND u.d = days.date)"""
 
 Q["duplicate_rows"] = "SELECT " + ", ".join(_WCOLS) + ", count(*) AS count FROM v_web_parts GROUP BY ALL HAVING count(*) > 1"
 
 Q["date_columns"] = _u(
-    f"""SELECT '{c}' AS column_name, count(*) AS sampled, count(*) > 0 AND count(*) FILTER (WHERE try_strptime(v, ['%Y-%m-%d %H:%M:%S', '%Y-%m-%d %H:%M:%S.%f', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%d', '%m/%d/%Y']) IS NULL) = 0 AS is_date
-FROM (SELECT CAST({c} AS VARCHAR) AS v FROM v_txn WHERE {c} IS NOT NULL LIMIT 50) t"""
+    f"""SELECT '{c}' AS column_name, count(v) AS non_null, count(v) > 0 AND count(*) FILTER (WHERE v IS NOT NULL AND try_strptime(v, ['%Y-%m-%d %H:%M:%S', '%Y-%m-%d %H:%M:%S.%f', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%d', '%m/%d/%Y']) IS NULL) = 0 AS is_date
+FROM (SELECT CAST({c} AS VARCHAR) AS v FROM v_txn) t"""
     for c in ["order_datetime", "order_id", "dma_name", "product_category", "size"])
 
 Q["airport_inventory"] = """SELECT airport_code, arg_max(airport_name, week_start_date) AS airport_name, count(*) AS weeks

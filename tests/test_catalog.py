@@ -20,23 +20,6 @@ def test_sql_over_registered_warehouse(spark):
                      JOIN dim_date d ON c.date = d.date GROUP BY d.season_flag""").collect()
     assert sum(x.days for x in r) == spark.table("dim_date").count()
 
-
-def test_bucketed_join_needs_no_exchange(spark, tmp_path):
-    from martline.sources.sinks import write_bucketed
-    a = spark.range(1000).selectExpr("id AS k", "id * 2 AS v")
-    b = spark.range(1000).selectExpr("id AS k", "id * 3 AS w")
-    write_bucketed(a, "bucket_a", str(tmp_path / "a"), 4, ["k"])
-    write_bucketed(b, "bucket_b", str(tmp_path / "b"), 4, ["k"])
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        j = spark.table("bucket_a").join(spark.table("bucket_b"), "k")
-        plan = j._jdf.queryExecution().executedPlan().toString()
-        assert j.count() == 1000
-        assert "Exchange" not in plan.split("== Initial Plan ==")[-1]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_cli_list(capsys):
     from martline.__main__ import main
     assert main(["list"]) == 0

@@ -42,21 +42,26 @@ def test_profile_inventory_drift_and_overlap(spark, tmp_path):
     rep = profile_files(spark, fixtures(tmp_path))
     inv = {r.file: r for r in rep["inventory"].collect()}
     assert inv["paid_instagram_part3.csv"].n_columns == 8 and inv["paid_tiktok_part2.csv"].n_columns == 6
-    assert inv["paid_instagram_part1.csv"].stream == "paid_social"
-    assert inv["web_traffic_early.csv"].stream == "web_analytics"
+    r = inv["paid_instagram_part1.csv"]
+    assert (r.stream, r.stream_group, r.format, r.n_rows, r.total_nulls, r.date_columns) == ("paid_instagram", "paid_social", ".csv", 2, 0, "date")
+    assert r.path.endswith("/paid_instagram_part1.csv") and r.size_bytes > 100 and r.columns.startswith("date; channel; ")
+    r = inv["web_traffic_early.csv"]
+    assert (r.stream, r.stream_group, r.distinct_dates, r.total_nulls) == ("web_traffic", "web_analytics", 2, 2)
     assert inv["web_traffic_early.csv"].granularity == "event-level"
     assert inv["paid_instagram_part1.csv"].granularity == "daily"
     assert inv["web_traffic_early.csv"].missing_date_count == 4
     drift = {(r.stream, r.column_name): r for r in rep["drift"].collect()}
-    assert drift[("paid_social", "spend_usd")].present_in == "paid_instagram_part3.csv"
-    assert drift[("paid_social", "date")].status == "common"
-    assert drift[("web_analytics", "campaign")].status == "common"
+    # files are compared inside one datastream: single files of a platform have none to compare with
+    assert drift[("paid_instagram", "spend_usd")].present_in == "paid_instagram_part3.csv"
+    assert drift[("paid_instagram", "date")].status == "common"
+    assert drift[("web_traffic", "campaign")].status == "common"
+    assert {k for k, _ in drift} == {"paid_instagram", "web_traffic"}
     ov = rep["overlap"].collect()
-    assert len(ov) == 1 and ov[0].stream == "web_analytics"
+    assert len(ov) == 1 and ov[0].stream == "web_traffic"
     # the overlap window is compared as dates, so the 23:59 event on the last day counts
     assert (str(ov[0].overlap_start), str(ov[0].overlap_end), ov[0].rows_a, ov[0].rows_b) == \
         ("2024-01-15", "2024-01-15", 2, 1)
-    assert not [r for r in ov if r.stream == "paid_social"]
+    assert not [r for r in ov if r.stream.startswith("paid_")]
 
 
 def test_drift_union_from_files_equals_standard(spark, tmp_path):

@@ -42,12 +42,13 @@ def test_airport_lookup(spark):
 def test_write_outputs_and_observe(spark, tmp_path):
     clean = spark.createDataFrame([(dt.date(2024, 1, 1), 1.0), (dt.date(2024, 2, 1), 2.0)], "date date, v double")
     clean, obs = sinks.observe_step(clean, "step", "date")
-    paths = sinks.write_outputs(clean, {"detail": lambda d: d, "total": lambda d: d.agg(F.sum("v").alias("v"))},
-                                str(tmp_path))
-    assert spark.read.parquet(paths["total"]).collect()[0].v == 3.0
+    paths = sinks.write_outputs(clean, "detail", {"total": lambda d: d.agg(F.sum("v").alias("v"))}, str(tmp_path))
+    assert spark.read.parquet(paths["total"]).collect()[0].v == 3.0 and spark.read.parquet(paths["detail"]).count() == 2
     assert obs.get["rows"] == 2
     sinks.write_table(clean, str(tmp_path / "by_month"), by_month="date")
-    assert sorted(os.listdir(tmp_path / "by_month" / "year=2024")) == ["month=1", "month=2"]
+    assert sorted(p for p in os.listdir(tmp_path / "by_month") if "=" in p) == ["part_month=2024-01", "part_month=2024-02"]
+    kept = sinks.read_table(spark, str(tmp_path / "by_month"), "date", "2024-01-15", "2024-02-15")
+    assert kept.columns == ["date", "v"] and [r.v for r in kept.collect()] == [2.0]
 
 
 def test_publish_and_sorted_export(spark, tmp_path):
@@ -73,3 +74,38 @@ def test_schema_columns_matched_by_name_not_position(spark, tmp_path):
     rows = sorted(files.read_source(spark, [str(a), str(b)], schema).collect())
     assert [(str(r.date), r.spend, r.clicks, r.goal, r._source_file) for r in rows] == [
         ("2024-01-01", 1.5, 3, None, "part1.csv"), ("2024-01-02", 2.25, 4, None, "part2.csv")]
+
+
+def _swapped(folder):
+    folder.mkdir(exist_ok=True)
+    (folder / "p1.csv").write_text("a,b\n1,x\n")
+    (folder / "p2.csv").write_text("b,a,c\ny,2,z\n")
+    return folder
+
+
+def test_folders_globs_and_lists_are_matched_by_name(spark, tmp_path):
+    folder = _swapped(tmp_path / "in")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    for paths in (str(folder), str(folder / "*.csv"), [str(folder / "p1.csv"), str(folder / "p2.csv")]):
+        typed = files.read_source(spark, paths, schema)
+        assert sorted((r.a, r.b, r._source_file) for r in typed.collect()) == [(1, "x", "p1.csv"), (2, "y", "p2.csv")]
+        plain = files.read_source(spark, paths)
+        assert sorted((r.a, r.b, r.c, r._source_file) for r in plain.collect()) == [("1", "x", None, "p1.csv"), ("2", "y", "z", "p2.csv")]
+
+
+def test_equal_names_in_two_folders_stay_apart(spark, tmp_path):
+    one, two = _swapped(tmp_path / "one"), tmp_path / "two"
+    two.mkdir()
+    (two / "p1.csv").write_text("d,a\nq,3\n")
+    df, headers = files.read_tagged(spark, [str(one), str(two)])
+    assert sorted(len(h) for h in headers.values()) == [2, 2, 3] and len(headers) == 3
+    rows = {r._source_file.rsplit("/", 2)[-2:][0] if "/" in r._source_file else r._source_file: r for r in df.collect()}
+    assert rows["one"].a == "1" and rows["two"].a == "3" and rows["two"].d == "q" and rows["one"].d is None and rows["p2.csv"].c == "z"
+    assert set(headers) == {r._source_file for r in rows.values()}
+
+
+def test_quoted_header_and_empty_file(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('"A, B",c\n1,2\n')
+    (tmp_path / "empty.csv").write_text("")
+    df = files.read_source(spark, str(tmp_path))
+    assert df.columns == ["a, b", "c", "_source_file"] and df.count() == 1

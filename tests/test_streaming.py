@@ -1,4 +1,4 @@
-"""Incremental ingestion: exactly-once file sink and watermarked daily rollup."""
+"""Incremental ingestion: exactly-once file sink, daily tables rebuilt day by day."""
 
 import datetime as dt
 
@@ -6,50 +6,41 @@ from pyspark.sql import functions as F
 
 from martline.streaming import incremental
 
+SCHEMA = "ts timestamp_ntz, k string, v double"
 
-def test_incremental_ingest_and_rollup(spark, tmp_path):
+
+def _land(spark, path, rows):
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(path))
+
+
+def _stream(spark, src, **options):
+    return incremental.read_stream(spark, str(src / "*"), spark.createDataFrame([], SCHEMA).schema, **options).withColumn("date", F.to_date("ts"))
+
+
+def test_incremental_ingest(spark, tmp_path):
     src = tmp_path / "in"
-    rows1 = [(dt.datetime(2024, 1, 1, 10), "a", 1.0), (dt.datetime(2024, 1, 1, 11), "b", 2.0)]
-    rows2 = [(dt.datetime(2024, 1, 2, 9), "a", 4.0), (dt.datetime(2024, 1, 6, 9), "a", 1.0)]
-    schema = "ts timestamp_ntz, k string, v double"
-    spark.createDataFrame(rows1, schema).write.parquet(str(src / "batch1"))
-    stream = incremental.read_stream(spark, str(src / "*"), spark.createDataFrame([], schema).schema)
-    q = incremental.ingest_source_grain(stream, lambda d: d.withColumn("date", F.to_date("ts")),
-                                        str(tmp_path / "out"), str(tmp_path / "ck"))
-    q.awaitTermination()
-    spark.createDataFrame(rows2, schema).write.parquet(str(src / "batch2"))
-    q = incremental.ingest_source_grain(stream, lambda d: d.withColumn("date", F.to_date("ts")),
-                                        str(tmp_path / "out"), str(tmp_path / "ck"))
-    q.awaitTermination()
-    out = spark.read.parquet(str(tmp_path / "out"))
-    assert out.count() == 4  # each input file committed exactly once across restarts
-
-    roll = incremental.daily_additive_rollup(incremental.read_stream(spark, str(src / "*"),
-                                                                     spark.createDataFrame([], schema).schema),
-                                             "ts", ["k"], ["v"], watermark="1 day")
-    q = incremental.write_rollup(roll, str(tmp_path / "roll"), str(tmp_path / "ck2"))
-    q.awaitTermination()
-    got = {(str(r.date), r.k): (r.rows, r.v) for r in spark.read.parquet(str(tmp_path / "roll")).collect()}
-    # days before the watermark (max ts - 1 day) are final; 2024-01-06 is still open
-    assert got[("2024-01-01", "a")] == (1, 1.0) and got[("2024-01-02", "a")] == (1, 4.0)
-    assert ("2024-01-06", "a") not in got
-
-
-def test_overlapping_extracts_deduplicated_in_stream(spark, tmp_path):
-    src = tmp_path / "web"
-    schema = "ts timestamp_ntz, user string, page string"
-    early = [(dt.datetime(2024, 1, 14, 9), "u1", "/a"), (dt.datetime(2024, 1, 15, 9, 30), "u2", "/b"),
-             (dt.datetime(2024, 1, 15, 23, 59), "u3", "/c")]
-    late = [(dt.datetime(2024, 1, 15, 9, 30), "u2", "/b"), (dt.datetime(2024, 1, 15, 23, 59), "u3", "/c"),
-            (dt.datetime(2024, 1, 20, 10), "u4", "/d")]
-    spark.createDataFrame(early, schema).write.parquet(str(src / "extract1"))
-    spark.createDataFrame(late, schema).write.parquet(str(src / "extract2"))
-    stream = incremental.read_stream(spark, str(src / "*"), spark.createDataFrame([], schema).schema,
-                                     max_files_per_trigger=1)
-    q = incremental.ingest_source_grain(
-        stream, lambda d: incremental.dedupe_overlapping(d, ["ts", "user", "page"], "ts", "3 days"),
-        str(tmp_path / "events"), str(tmp_path / "ck"))
-    q.awaitTermination()
-    out = spark.read.parquet(str(tmp_path / "events"))
-    assert out.count() == 4
-    assert sorted(r.user for r in out.collect()) == ["u1", "u2", "u3", "u4"]
+    for batch, rows in (("batch1", [(dt.datetime(2024, 1, 1, 10), "a", 1.0), (dt.datetime(2024, 1, 1, 11), "b", 2.0)]),
+                        ("batch2", [(dt.datetime(2024, 1, 2, 9), "a", 4.0), (dt.datetime(2024, 1, 6, 9), "a", 1.0)])):
+        _land(spark, src / batch, rows)
+        incremental.ingest_source_grain(_stream(spark, src), lambda d: d, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 4  # each input file committed exactly once across restarts
+
+
+def test_late_rows_and_copies_reopen_their_day(spark, tmp_path):
+    src, out = tmp_path / "in", tmp_path / "daily"
+
+    def build(days):
+        return days.groupBy("date").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("k").alias("users"), F.sum("v").alias("v"))
+
+    def run():
+        q = incremental.maintain_daily(_stream(spark, src, max_files_per_trigger=1), "date", build, str(tmp_path / "source"), str(out),
+                                       str(tmp_path / "ck"), keys=["ts", "k"])
+        q.awaitTermination()
+        return {str(r.date): (r.rows, r.users, r.v) for r in spark.read.parquet(str(out)).collect()}
+
+    _land(spark, src / "e1", [(dt.datetime(2024, 1, 1, 10), "a", 1.0), (dt.datetime(2024, 1, 1, 11), "b", 2.0), (None, "x", 9.0)])
+    _land(spark, src / "e2", [(dt.datetime(2024, 1, 1, 11), "b", 2.0), (dt.datetime(2024, 3, 1, 9), "a", 4.0)])
+    assert run() == {"2024-01-01": (2, 2, 3.0), "2024-03-01": (1, 1, 4.0), "None": (1, 1, 9.0)}
+    # two months late, with a copy of a stored row
+    _land(spark, src / "e3", [(dt.datetime(2024, 1, 1, 12), "a", 5.0), (dt.datetime(2024, 1, 1, 10), "a", 1.0)])
+    assert run() == {"2024-01-01": (3, 2, 8.0), "2024-03-01": (1, 1, 4.0), "None": (1, 1, 9.0)}
