@@ -2,8 +2,11 @@
 
 A spot signature is an anchor, a common word, followed by a chain of content
 words: the next ``chain`` words, ``distance`` apart, that are not common words
-themselves.  The set of a document's signatures is its fingerprint; likeness
-is the Jaccard coefficient of two sets.
+themselves.  In a stretch without common words (a list, a table, another
+language) every word that is more than ``gap`` words from the last anchor is
+an anchor itself, so that such text has signatures too.  The set of a
+document's signatures is its fingerprint; likeness is the Jaccard coefficient
+of two sets.
 
 Texts without any signature (no anchor with a full chain after it) fall back
 to one signature of their whole word sequence, so that equal texts have equal
@@ -38,6 +41,7 @@ COMMON_WORDS = (
 ).split()
 CHAIN = 2
 DISTANCE = 1
+GAP = 6
 
 #: Word characters: ASCII letters and digits and every byte beyond ASCII; punctuation does not count.
 _WORD = np.zeros(256, dtype=bool)
@@ -54,8 +58,8 @@ def _word_hashes(words: list[str]) -> np.ndarray:
 class Signer:
     """Signature sets of the texts of a block."""
 
-    def __init__(self, common: tuple[str, ...] | list[str] = COMMON_WORDS, chain: int = CHAIN, distance: int = DISTANCE):
-        self.chain, self.distance = chain, distance
+    def __init__(self, common: tuple[str, ...] | list[str] = COMMON_WORDS, chain: int = CHAIN, distance: int = DISTANCE, gap: int = GAP):
+        self.chain, self.distance, self.gap = chain, distance, gap
         self.common = np.sort(_word_hashes(sorted({w.lower() for w in common})))
 
     def sets(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -67,16 +71,21 @@ class Signer:
         row = np.repeat(np.arange(n), counts)
         where = np.minimum(np.searchsorted(self.common, h), len(self.common) - 1)
         anchor = self.common[where] == h
+        # words since the last common word or the text's start
+        at = np.arange(len(h))
+        begins = np.zeros(len(h), dtype=bool)
+        begins[(np.cumsum(counts) - counts)[counts > 0]] = True
+        since = at - np.maximum.accumulate(np.where(anchor | begins, at, 0)) if len(h) else at
         # content words in order; an anchor's chain starts at the first content word after it
         content = np.flatnonzero(~anchor)
-        first = np.cumsum(~anchor)[anchor]
+        spots = np.flatnonzero(anchor | (since > self.gap))
+        first = np.cumsum(~anchor)[spots]
         last = first + (self.chain - 1) * self.distance
-        spots = np.flatnonzero(anchor)
         whole = last < len(content)
         spots, first = spots[whole], first[whole]
         whole = row[content[first + (self.chain - 1) * self.distance]] == row[spots] if len(spots) else np.zeros(0, bool)
         spots, first = spots[whole], first[whole]
-        sig = h[spots]
+        sig = mix64(h[spots])
         for j in range(self.chain):
             sig = mix64(sig ^ h[content[first + j * self.distance]])
         rows = row[spots]

@@ -45,17 +45,19 @@ def brute_set(text, signer):
     words = [w.lower().encode() if w.isascii() else "".join(c.lower() if c.isascii() else c for c in w).encode()
              for w in re.findall(r"[A-Za-z0-9\u0080-\U0010FFFF]+", text)]
     common = {w.lower().encode() for w in spotsigs.COMMON_WORDS}
-    chains = set()
+    chains, last = set(), 0
     for i, w in enumerate(words):
         rest = [x for x in words[i + 1:] if x not in common]
-        if w in common and len(rest) >= signer.chain:
+        last = i if w in common else last
+        if (w in common or i - last > signer.gap) and len(rest) >= signer.chain:
             chains.add((w, *rest[:signer.chain]))
     return chains
 
 
 def test_signatures_follow_anchors(docs_small):
     signer = spotsigs.Signer()
-    texts = [r.text for r in docs_small.limit(60).collect()] + ["the", "cat", "the cat", "the big cat", "The, BIG cat! the the big cat", ""]
+    texts = [r.text for r in docs_small.limit(60).collect()] + [
+        "the", "cat", "the cat", "the big cat", "The, BIG cat! the the big cat", "", "a1 | a2 | a3 a4 a5 a6 a7 a8 a9 a10", "xyz " * 40]
     for _, _, data, off in blocks(pa.array(texts)):
         sig, at = signer.sets(data, off)
         break
