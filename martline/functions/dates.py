@@ -55,11 +55,6 @@ def season_flag(d, seasons=DEFAULT_SEASONS, otherwise: str = DEFAULT_SEASON_ELSE
     return F.lit(otherwise) if expr is None else expr.otherwise(F.lit(otherwise))
 
 
-def tolerant_timestamp(s) -> Column:
-    """parse a string as a timestamp, null instead of an error."""
-    return F.try_to_timestamp(_c(s))
-
-
 def month_key(d) -> Column:
     """A17: 'yyyy-MM' bucket."""
     return F.date_format(_c(d), "yyyy-MM")

@@ -45,31 +45,3 @@ def word_match(s, term_col) -> Column:
 def is_two_letter_code(s) -> Column:
     """exactly two upper-case letters."""
     return F.coalesce(_c(s).rlike("^[A-Z]{2}$"), F.lit(False))
-
-
-def map_by_first_match(df: DataFrame, value_col: str, mapping: DataFrame,
-                       key_col: str = "key", out_col: str = "group",
-                       priority_col: str = "priority", mode: str = "contains",
-                       default: str | None = None) -> DataFrame:
-    """Map a value to a group via a small mapping table.
-
-    ``mode='equals'`` is an equi-join; ``mode='contains'`` picks the match
-    with the lowest priority whose key is contained in the lower-cased
-    value.  The mapping table is a fixed-size constant table, so it is
-    broadcast; the per-row work stays a join + ``min_by`` on the row's
-    identity (the distinct values), not a Python loop.
-    """
-    m = mapping.select(F.col(key_col).alias("_k"), F.col(out_col).alias("_g"),
-                       F.col(priority_col).alias("_p"))
-    vals = df.select(value_col).distinct()
-    if mode == "equals":
-        cond = F.col(value_col) == F.col("_k")
-    else:
-        cond = F.lower(F.col(value_col)).contains(F.lower(F.col("_k")))
-    matched = (vals.join(F.broadcast(m), cond, "inner")
-               .groupBy(value_col)
-               .agg(F.min_by("_g", "_p").alias(out_col)))
-    out = df.join(matched, value_col, "left")
-    if default is not None:
-        out = out.withColumn(out_col, F.coalesce(F.col(out_col), F.lit(default)))
-    return out

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martline.functions.text import word_match
+
 # 64 MiB: well under executor memory at any realistic cluster size.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
@@ -117,16 +119,6 @@ def drill_across(a: DataFrame, b: DataFrame, keys: Sequence[str], null_safe: boo
     return null_safe_full_join(a, b, keys) if null_safe else a.join(b, list(keys), "full_outer")
 
 
-def aligned_compare(a: DataFrame, b: DataFrame, keys: Sequence[str], value_a: str,
-                    value_b: str, tol: float = 0.0) -> DataFrame:
-    """Full outer join of two per-key aggregates (NULL keys match), flag
-    missing keys and differences."""
-    j = null_safe_full_join(a.select(*keys, F.col(value_a).alias("_a")),
-                            b.select(*keys, F.col(value_b).alias("_b")), keys)
-    diff = F.abs(F.col("_a").cast("double") - F.col("_b").cast("double"))
-    return j.withColumn("mismatch", F.col("_a").isNull() | F.col("_b").isNull() | (diff > F.lit(tol)))
-
-
 def _contained(long: DataFrame, long_col: str, short: DataFrame, short_col: str) -> DataFrame:
     """Value pairs where ``short_col`` occurs in ``long_col`` (both hold distinct values; compared in lower case).
 
@@ -163,9 +155,7 @@ def term_matches(texts: DataFrame, text_col: str, terms: DataFrame) -> DataFrame
     terms table is a constant list (broadcast).
     """
     t = texts.select(F.col(text_col).alias("text")).where(F.col("text").isNotNull()).distinct()
-    word = F.concat(F.lit(r"\b"), F.regexp_replace(F.col("term"), r"([^A-Za-z0-9 ])", r"\\$1"),
-                    F.lit(r"\b"))
-    cond = F.when(F.col("mode") == "word", F.regexp_like(F.col("text"), word)) \
+    cond = F.when(F.col("mode") == "word", word_match("text", "term")) \
         .otherwise(F.lower(F.col("text")).contains(F.lower(F.col("term"))))
     return t.join(F.broadcast(terms), cond, "inner").select("text", "kind", "term")
 
@@ -185,14 +175,3 @@ def interval_pairs(ranges: DataFrame, id_col: str, start_col: str, end_col: str,
         *within, F.explode(F.flatten(F.expr(f"transform(_rs, (a, i) -> {later})"))).alias("_p")).distinct()
     return pairs.select(*within, F.col("_p.a.id").alias("file_a"), F.col("_p.b.id").alias("file_b"),
                         F.greatest("_p.a.s", "_p.b.s").alias("overlap_start"), F.least("_p.a.e", "_p.b.e").alias("overlap_end"))
-
-
-def first_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
-    """First row per key by an explicit order.
-
-    An aggregate (``min_by`` with map-side partial aggregation), not a
-    keyed window: a hot key never has to be sorted inside one task.
-    """
-    rest = [c for c in df.columns if c not in keys]
-    row = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order_cols]))
-    return df.groupBy(*keys).agg(row.alias("_r")).select(*keys, *[F.col("_r." + c).alias(c) for c in rest])

@@ -72,21 +72,3 @@ def _sum_result_type(dtype: str) -> str:
     if dtype in ("double", "float"):
         return "double"
     return "bigint"
-
-
-def segment_summary(df: DataFrame, by: Sequence[str], metrics: Sequence[tuple[str, str, str | None]],
-                    ratios: Sequence[tuple[str, str, str]] = (), digits: int | None = None) -> DataFrame:
-    """Per-segment metrics in one grouped pass, then ratios of those
-    metrics with a zero/null guard (``(name, numerator, denominator)`` -> 0).
-
-    Segments are usually a low-cardinality flag or season, so the result is
-    small; the metrics are partial-aggregated before the shuffle.
-    """
-    out = rollup(df, by, metrics, keep_null_keys=True)
-    for name, num, den in ratios:
-        out = out.withColumn(name, F.coalesce(F.try_divide(F.col(num).cast("double"), F.col(den).cast("double")),
-                                              F.lit(0.0)))
-    if digits is not None:
-        out = out.select(*[F.round(F.col(c), digits).alias(c) if t == "double" else F.col(c)
-                           for c, t in out.dtypes])
-    return out

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martline.functions.numeric import pearson
+from martline.functions.numeric import pearson, where_nonzero
 
 
 def long_pairs(df: DataFrame, pairs: Sequence[tuple[str, str, str]], order: str = "date") -> DataFrame:
@@ -84,7 +84,7 @@ def seasonal_inflation(raw: DataFrame, resid: DataFrame, digits: int = 6) -> Dat
     r0 = raw.where(F.col("lag_days") == 0).select("signal_pair", F.col("pearson_r").alias("raw_r"))
     s0 = resid.where(F.col("lag_days") == 0).select("signal_pair", F.col("pearson_r").alias("residual_r"))
     j = r0.join(s0, "signal_pair", "inner")
-    pct = F.when(F.col("raw_r") != 0, (F.col("raw_r") - F.col("residual_r")) / F.col("raw_r"))
+    pct = where_nonzero("raw_r", (F.col("raw_r") - F.col("residual_r")) / F.col("raw_r"))
     return j.withColumn("percent_reduction", F.round(pct, digits))
 
 

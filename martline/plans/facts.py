@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martline.functions.dates import to_day
 from martline.operators.drift import PAID_DRIFT_RULES, PAID_TARGET, resolve_drift, resolve_drift_tagged
 from martline.operators.joins import sized_join
 from martline.operators.overlap import drop_overlap, expand_period
@@ -45,7 +46,7 @@ WEB_DAILY_KEYS = ("date", "traffic_source", "traffic_medium", "campaign", "devic
 def web_events(raw: DataFrame, source_col: str, drop_source: str, start: str, end: str) -> DataFrame:
     """Remove one extract's copy of the overlap window, keep source grain."""
     clean = drop_overlap(raw, source_col, drop_source, "event_datetime", start, end)
-    return clean.withColumn("date", F.to_date("event_datetime")).select(*WEB_EVENT_COLS)
+    return clean.withColumn("date", to_day("event_datetime")).select(*WEB_EVENT_COLS)
 
 
 def web_daily(events: DataFrame) -> DataFrame:
@@ -68,7 +69,7 @@ ECOM_KEYS = ("date", "dma_name", "state", "product_category", "size", "promo_fla
 
 def ecommerce_clean(raw: DataFrame) -> DataFrame:
     """Shared cleaned frame of T4/T5 (K2): date from the order timestamp."""
-    return raw.withColumn("date", F.to_date("order_datetime"))
+    return raw.withColumn("date", to_day("order_datetime"))
 
 
 def ecommerce_transactions(clean: DataFrame) -> DataFrame:
@@ -107,7 +108,7 @@ def organic_daily(posts: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ T7 podcast
 def podcast_daily(mentions: DataFrame, order_by: Sequence[str] = ("mention_datetime",)) -> DataFrame:
     """One row per (date, show, episode); 'first' is first non-null by mention time."""
-    df = mentions.withColumn("date", F.to_date("mention_datetime"))
+    df = mentions.withColumn("date", to_day("mention_datetime"))
     return rollup(df, ("date", "podcast_name", "episode_title"),
                   [("host_name", "first", "host_name"),
                    ("mentions_brand", "max", "mentions_brand"),

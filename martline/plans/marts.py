@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martline.functions import dates as fd
-from martline.functions.numeric import MONEY, attenuation_label
+from martline.functions.numeric import MONEY, attenuation_label, safe_ratio, where_nonzero
 from martline.operators import stats
 from martline.operators.joins import spine_join
 from martline.operators.sets import with_total
@@ -112,7 +112,7 @@ def promo_impact(txn: DataFrame) -> DataFrame:
         F.count_distinct("order_id").alias("distinct_orders"),
         F.sum("quantity").alias("total_quantity"),
         F.round(rev, 2).alias("total_revenue"),
-        F.round(F.coalesce(F.try_divide(rev, F.count_distinct("order_id")), F.lit(0.0)), 2).alias("avg_order_value"),
+        F.round(safe_ratio(rev, F.count_distinct("order_id")), 2).alias("avg_order_value"),
         F.round(F.try_divide(F.sum(m["unit_price"]).cast("double"), F.count("unit_price")), 2).alias("avg_unit_price"),
         F.round(F.try_divide(F.sum(m["discount_per_unit"]).cast("double"), F.count("discount_per_unit")), 2)
          .alias("avg_discount_per_unit"),
@@ -135,7 +135,7 @@ def season_summary(daily: DataFrame, digits: int = 4) -> DataFrame:
         F.round(avg_spend, digits).alias("avg_daily_paid_spend"),
         F.round(F.avg("web_sessions"), digits).alias("avg_daily_sessions"),
         F.round(F.avg("ecomm_orders"), digits).alias("avg_daily_orders"),
-        F.round(F.coalesce(F.try_divide(avg_rev, avg_spend), F.lit(0.0)), digits).alias("revenue_per_spend_dollar"))
+        F.round(safe_ratio(avg_rev, avg_spend), digits).alias("revenue_per_spend_dollar"))
 
 
 def revenue_smooth(daily: DataFrame, digits: int = 4) -> DataFrame:
@@ -224,7 +224,7 @@ def kpi_table(daily: DataFrame, inflation: DataFrame, promo: DataFrame, seasons:
         t.select("ecomm_revenue", F.lit(1).alias("_one")), "_one")
     share = share.select(F.lit("promo").alias("section"), F.lit("promo_revenue_share_pct").alias("metric"),
                          (F.try_divide(F.col("total_revenue"), F.col("ecomm_revenue")) * 100).alias("value"))
-    red = F.when(F.col("raw_r") != 0, (1 - F.abs(F.col("residual_r")) / F.abs(F.col("raw_r"))) * 100).otherwise(0.0)
+    red = F.coalesce(where_nonzero("raw_r", (1 - F.try_divide(F.abs("residual_r"), F.abs("raw_r"))) * 100), F.when(F.col("raw_r") == 0, 0.0))
     corr = inflation.withColumn("reduction_pct", red)
     pair = lambda c: F.concat_ws(" ", F.col("signal_pair"), F.lit(c))
     out = out.unionByName(flags).unionByName(share).unionByName(_unpivot(corr, "correlation", pair, ("reduction_pct",)))
@@ -245,14 +245,3 @@ def daily_distincts(txn: DataFrame, web_events: DataFrame, ecom_daily: DataFrame
     ws = web_daily.groupBy("date").agg(F.sum("sessions").alias("sessions_summed"),
                                        F.sum("users").alias("users_summed"))
     return o.join(eo, "date", "full_outer").join(w.join(ws, "date", "full_outer"), "date", "full_outer")
-
-
-def distinct_sketches(df: DataFrame, keys: Sequence[str], col: str, lg_k: int = 12) -> DataFrame:
-    """Mergeable HyperLogLog sketches of ``col`` per key (e.g. per day)."""
-    return df.groupBy(*keys).agg(F.hll_sketch_agg(F.col(col), lg_k).alias("sketch"))
-
-
-def merge_sketches(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Roll sketches up to coarser keys (e.g. day -> month) without re-reading the source."""
-    return (sketches.groupBy(*keys).agg(F.hll_union_agg("sketch").alias("sketch"))
-            .withColumn("estimate", F.hll_sketch_estimate("sketch")))

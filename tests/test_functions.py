@@ -35,16 +35,6 @@ def test_text_functions(spark):
     assert rows[0].w is False and rows[1].w is False
 
 
-def test_map_by_first_match(spark):
-    df = spark.createDataFrame([("ads_paid_tiktok_part1.csv",), ("brand_tiktok_owned_2024.csv",), ("x.csv",)],
-                               "f string")
-    mapping = spark.createDataFrame([("tiktok_owned", "organic_social", 1), ("tiktok", "paid_social", 2)],
-                                    "key string, group string, priority int")
-    got = {r.f: r.group for r in ft.map_by_first_match(df, "f", mapping, default="unknown").collect()}
-    assert got == {"ads_paid_tiktok_part1.csv": "paid_social", "brand_tiktok_owned_2024.csv": "organic_social",
-                   "x.csv": "unknown"}
-
-
 def test_numeric_functions(spark):
     df = spark.createDataFrame([(1.0, 0.0, 2, 10.0, 1.0, 18.0), (0.5, 0.25, 1, 5.0, 0.0, 5.0)],
                                "simple double, partial double, q bigint, p double, d double, r double")
@@ -59,6 +49,7 @@ def test_numeric_functions(spark):
 
 def test_parse_and_null_helpers(spark):
     df = spark.createDataFrame([("2024-01-05 10:30:00", None), ("not a date", 1)], "s string, n int")
-    rows = df.select(fd.tolerant_timestamp("s").alias("t"), fd.to_day(fd.tolerant_timestamp("s")).alias("d")).collect()
+    from martline.plans.profile import parse_any
+    rows = df.select(parse_any(F.col("s")).alias("t"), fd.to_day(parse_any(F.col("s"))).alias("d")).collect()
     assert rows[0].d == dt.date(2024, 1, 5) and rows[1].t is None
     assert df.agg(fn.null_count("n").alias("nulls")).collect()[0].nulls == 1
