@@ -11,8 +11,8 @@ are taken once more until the target is met, the last of them for a part of
 its words.  A source's taken words are its target rounded down.
 
 The order inside a source is never sorted in one task: documents fall into
-hash buckets, bucket sums are accumulated per source, and only the one bucket
-where a source's target ends is put in order.
+hash buckets, the bucket where a source's target ends is found by sums over
+coarse and then finer buckets, and only that one is put in order.
 
 Cases: a null text has size 0; a null source is a source of its own, sorted
 last; a source without words has target 0; rows with the same id share a
@@ -104,15 +104,15 @@ def make_plan(sized: DataFrame, weights: Sequence[int], share: float, max_epochs
     rounds = F.when(F.col("source_size") > 0, F.floor(goal / F.col("source_size"))).otherwise(0).cast("bigint")
     goals = (targets.withColumn("whole", rounds).withColumn("rest", goal - F.col("whole") * F.col("source_size"))
              .withColumnRenamed("source", "s"))
-    ranked = sized.select("source", "size", seeded_order(F.col("key"), seed).alias("order")).withColumn("bucket", F.substring("order", 1, BUCKET_DIGITS))
-    sums = ranked.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
-    upto = F.sum("in_bucket").over(W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow))
-    last = (sums.withColumn("upto", upto).join(goals.select("s", "rest"), F.col("source").eqNullSafe(F.col("s")))
-            .where((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("in_bucket") <= F.col("rest")))
-            .select(F.col("source").alias("l"), F.col("bucket").alias("last_bucket"), (F.col("upto") - F.col("in_bucket")).alias("before_bucket")))
+    ranked = sized.select("source", "size", seeded_order(F.col("key"), seed).alias("order"))
+    # where each source's rest ends, two digits of the hash at a time: no sum runs over more than 256 buckets
+    last = goals.select(F.col("s").alias("l"), "rest", F.lit("").alias("last_bucket"), F.lit(0).cast("bigint").alias("before_bucket"))
+    for digits in range(2, BUCKET_DIGITS + 1, 2):
+        last = _bucket_of_rest(ranked, last, digits).checkpoint()
+    last = last.drop("rest")
     sources = goals.join(last, F.col("s").eqNullSafe(F.col("l")), "left").drop("l").checkpoint()
     of_last = sources.where("last_bucket IS NOT NULL").select("s", "last_bucket", "before_bucket", "rest")
-    units = (ranked.join(F.broadcast(of_last) if _few(of_last) else of_last, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("last_bucket")))
+    units = (ranked.join(F.broadcast(of_last) if _few(of_last) else of_last, F.col("source").eqNullSafe(F.col("s")) & (F.substring("order", 1, BUCKET_DIGITS) == F.col("last_bucket")))
              .groupBy("s", "order", "before_bucket", "rest").agg(F.sum("size").alias("of")))
     until = F.col("before_bucket") + F.sum("of").over(W.partitionBy("s").orderBy("order").rowsBetween(W.unboundedPreceding, W.currentRow))
     given = F.greatest(F.lit(0).cast("bigint"), F.least(F.col("of"), F.col("rest") - F.col("until") + F.col("of")))
@@ -120,6 +120,16 @@ def make_plan(sized: DataFrame, weights: Sequence[int], share: float, max_epochs
     return MixPlan(sources, border, seed)
 
 
+def _bucket_of_rest(ranked: DataFrame, upper: DataFrame, digits: int) -> DataFrame:
+    """(l, rest, last_bucket, before_bucket): of the bucket each source's rest ends in, the part two digits finer."""
+    upper = F.broadcast(upper) if _few(upper) else upper
+    inside = ranked.join(upper, F.col("source").eqNullSafe(F.col("l")) & (F.substring("order", 1, digits - 2) == F.col("last_bucket")))
+    sums = inside.groupBy("l", "rest", "before_bucket", F.substring("order", 1, digits).alias("bucket")).agg(F.sum("size").alias("in_bucket"))
+    upto = F.col("before_bucket") + F.sum("in_bucket").over(W.partitionBy("l").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow))
+    ends = sums.withColumn("upto", upto).where((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("in_bucket") <= F.col("rest")))
+    return ends.select("l", "rest", F.col("bucket").alias("last_bucket"), (F.col("upto") - F.col("in_bucket")).alias("before_bucket"))
+
+
 def _few(table: DataFrame, limit: int = 100_000) -> bool:
     """Whether a table of narrow rows is small enough to broadcast."""
     return table.count() <= limit
