@@ -176,7 +176,7 @@ class Grammar:
     ordinary: dict[str, float]
     floor: float
     margin: float = 1.0
-    slack: float = 0.25
+    slack: float = 0.5
 
     def is_credential(self, s: str) -> bool:
         plain = sum(self.ordinary.get(c, self.floor) for c in s) / len(s)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martline.llm.blocks import LOWER, SPACE, SpanHasher, U64, blocks, break_spans, mix64, replace_columns, text_arrays
+from martline.llm.blocks import LOWER, SpanHasher, U64, blocks, break_spans, mix64, replace_columns, text_arrays
 
 #: Anchors: common words of English, German, French and Spanish (fixed values).
 COMMON_WORDS = (
