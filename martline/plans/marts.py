@@ -16,7 +16,6 @@ from martline.functions import dates as fd
 from martline.functions.numeric import MONEY, attenuation_label, safe_ratio, where_nonzero
 from martline.operators import stats
 from martline.operators.joins import spine_join
-from martline.operators.sets import with_total
 from martline.operators.windows import residuals, rolling_mean
 
 SPINE_COLS = ("date", "day_of_week", "season_flag", "is_weekend", "month", "quarter", "year")
