@@ -34,6 +34,14 @@ def query(name: str):
     return deco
 
 
+def _stored(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
+    """``df`` written once under the shared checkpoint folder and read from there."""
+    spark = df.sparkSession
+    base = base or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(f"{base}/{name}")
+    return spark.read.parquet(f"{base}/{name}")
+
+
 @query("ecommerce_daily")
 def q_ecommerce_daily(spark: SparkSession, d: str) -> DataFrame:
     return wh.ecommerce_daily(spark, d)
@@ -241,8 +249,9 @@ def q_season_summary(spark, d):
 
 @query("kpi_table")
 def q_kpi(spark, d):
+    """The mart is written once, since five summaries read it."""
     from martline.operators.stats import seasonal_inflation
-    daily = wh.cross_channel(spark, d)
+    daily = _stored(wh.cross_channel(spark, d), "cross_channel_daily")
     infl = seasonal_inflation(marts.lag_correlations(daily), marts.lag_correlations(daily, residual=True))
     return marts.kpi_table(daily, infl, marts.promo_impact(wh.transactions_clean(spark, d)), marts.season_summary(daily),
                            marts.partial_correlation(daily))
@@ -313,10 +322,7 @@ def _dq_inputs(spark, d, materialize: bool = False):
     def get(name: str) -> DataFrame:
         if name not in memo:
             df = derived[name]() if name in derived else wh.table_by_name(spark, d, name)
-            if materialize:
-                df.write.parquet(f"{base}/{name}")
-                df = spark.read.parquet(f"{base}/{name}")
-            memo[name] = df
+            memo[name] = _stored(df, name, base) if materialize else df
         return memo[name]
     return get
 
