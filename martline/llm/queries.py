@@ -30,7 +30,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spotsigs.edited_fingerprints(documents(spark, sf_dir))
+    return spotsigs.edited_fingerprints(documents(spark, sf_dir), threshold=0.8)
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,12 +15,13 @@ set.  Two empty sets are alike (1), an empty and another set are not (0).
 
 Sets of lengths ``a <= b`` can only reach likeness ``t`` if ``a >= t * b``.
 The similarity join partitions sets by length so that a set meets only its own
-and the next partition, looks there for sets that share one of its rarest
-signatures, and stops a comparison as soon as ``t`` is out of reach.
+and the next partition, looks there for sets that share one of its tuples of
+rare signatures, and compares only sets whose lengths can reach ``t``.
 """
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import math
 from collections.abc import Iterator
@@ -30,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martline.llm.blocks import LOWER, SpanHasher, U64, blocks, break_spans, mix64, replace_columns, text_arrays
+from martline.llm.blocks import LOWER, SpanHasher, U64, blocks, break_spans, hash_share, mix64, replace_columns, text_arrays
+from martline.llm.simhash import connected
 
 #: Anchors: common words of English, German, French and Spanish (fixed values).
 COMMON_WORDS = (
@@ -42,6 +44,9 @@ COMMON_WORDS = (
 CHAIN = 2
 DISTANCE = 1
 GAP = 6
+#: Sets of a gathering that one task compares with all of it, and gathered sets up to which their list is broadcast.
+SLICE = 4096
+BROADCAST_NODES = 1 << 20
 
 #: Word characters: ASCII letters and digits and every byte beyond ASCII; punctuation does not count.
 _WORD = np.zeros(256, dtype=bool)
@@ -142,9 +147,209 @@ def fingerprints(docs: DataFrame, text: str = "text", fingerprint: str = "finger
     return kept.withColumn(fingerprint, F.arrow_udf(run, "string", F.ArrowUDFType.SCALAR_ITER)(F.col(f"`{text}`")))
 
 
-def _length_partition(length, threshold: float):
-    """Sets in one partition or neighbouring ones are all that can be alike: the bounds grow by ``1 / threshold``."""
-    return F.floor(F.log(length.cast("double")) / math.log(1 / threshold)).cast("int")
+def set_digest(members: np.ndarray) -> bytes:
+    return hashlib.blake2b(members.astype("<u4").tobytes(), digest_size=16).digest()
+
+
+def _node(digest: bytes) -> int:
+    """48 bits of a digest; sets that share them are compared in vain, never lost."""
+    return int.from_bytes(digest[:6], "little")
+
+
+class LengthFiles:
+    """Under which keys a set is filed so that any two sets with a likeness of at least ``t`` share one.
+
+    Sets in one length partition or neighbouring ones are all that can be
+    alike: the bounds grow by ``1 / t``.  Sets of lengths ``a`` and ``b`` that
+    reach ``t`` differ in at most ``d = (a + b) (1 - t) / (1 + t)`` members, so
+    when the members of a partition's sets are dealt to ``k`` buckets, at least
+    ``k - d`` buckets hold the same.  A key is a bucket with its content (a
+    tuple of members).  In any common order of keys the first ``d + 1`` of both
+    sets then have one in common; keys with many rare members come first.
+    ``frequent`` members only bear on that order, never on the result.
+    """
+
+    def __init__(self, threshold: float, frequent: np.ndarray):
+        self.t, self.frequent, self.known = threshold, np.sort(frequent.astype(np.uint32)), {}
+
+    def _part(self, n: int) -> int:
+        return int(math.log(n) / math.log(1 / self.t) + 1e-9)
+
+    def _apart(self, total: int) -> int:
+        return int(total * (1 - self.t) / (1 + self.t) + 1e-9)
+
+    def _plan(self, n: int) -> list[tuple[int, int, int]]:
+        """(partition, its buckets, keys to file) of a set of ``n`` members."""
+        if n not in self.known:
+            longest, out = int(n / self.t + 1e-9), []
+            for part in range(self._part(n), self._part(longest) + 1):
+                most = int((1 / self.t) ** (part + 1)) + 2
+                while self._part(most) > part:
+                    most -= 1
+                apart = self._apart(n + min(longest, most))
+                if apart:  # else only equal sets are alike
+                    out.append((part, (self._apart(2 * most) + 1) * 6 // 5 + 1, apart + 1))
+            self.known[n] = out
+        return self.known[n]
+
+    def keys(self, members: np.ndarray) -> np.ndarray:
+        out = [np.zeros(0, U64)]
+        if len(members):
+            wide = mix64(members.astype(U64) + U64(1))
+            rare = np.ones(len(members))
+            if len(self.frequent):
+                rare[self.frequent[np.minimum(np.searchsorted(self.frequent, members), len(self.frequent) - 1)] == members] = 0
+            for part, k, take in self._plan(len(members)):
+                bucket = ((wide >> U64(20)) % U64(k)).astype(np.int64)
+                content = np.zeros(k, U64)
+                np.add.at(content, bucket, wide)
+                key = mix64(content + mix64(np.arange(k, dtype=U64) + U64(part << 40)))
+                out.append(key[np.lexsort((key, -np.bincount(bucket, rare, k)))[:take]])
+        return np.concatenate(out)
+
+
+def _frequent_members(rows: DataFrame, sample_docs: int = 2000, least: int = 4, **options) -> np.ndarray:
+    """Members of at least ``least`` of about ``sample_docs`` sets; of a set at most 4,096 members are looked at."""
+    n = rows.count()
+    picked = rows.where(hash_share("spots", F.coalesce(F.col("key").cast("string"), F.lit(""))) < min(1.0, sample_docs / max(n, 1))).limit(2 * sample_docs)
+    found = fingerprints(picked, **options).select(F.substring("fingerprint", 1, 8 * 4096)).collect()
+    if not found:
+        return np.zeros(0, np.uint32)
+    members, counts = np.unique(np.concatenate([decode_set(r[0]) for r in found]), return_counts=True)
+    return members[counts >= least]
+
+
+def similar_classes(rows: DataFrame, threshold: float, **options) -> DataFrame:
+    """(digest, links) of the sets of (key, text) that reach ``threshold`` with any other: the number of such distinct sets.
+
+    Sets are filed by ``LengthFiles``; a task hands on its keys as packed
+    bytes, and a file a star over its members, never its pairs.  Sets that
+    stars connect are gathered and compared there, longest first, so that a
+    block of sets meets only those whose lengths can reach the threshold.  A
+    gathering of over ``SLICE`` sets is compared in slices of its sets with
+    all, each slice a task.
+    """
+    spark = rows.sparkSession
+    files = LengthFiles(threshold, _frequent_members(rows, **options))
+    buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signer = Signer(**options)
+        for batch in batches:
+            keys, nodes, seen = [np.zeros(0, U64)], [np.zeros(0, U64)], set()
+            for _, _, data, off in blocks(batch.column(0)):
+                sig, at = signer.sets(data, off)
+                for a, b in zip(at[:-1], at[1:]):
+                    node = _node(set_digest(sig[a:b]))
+                    if node not in seen:
+                        seen.add(node)
+                        keys.append(files.keys(sig[a:b]))
+                        nodes.append(np.full(len(keys[-1]), node, U64))
+            key, node = np.concatenate(keys), np.concatenate(nodes)
+            bucket = ((key >> U64(48)) * U64(buckets) >> U64(16)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            packed = np.empty((len(key), 12), np.uint8)
+            packed[:, :6] = key[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]
+            packed[:, 6:] = node[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+            kind, first = np.unique(bucket[order], return_index=True)
+            ends = np.append(first[1:], len(key))
+            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array([packed[a:b].tobytes() for a, b in zip(first, ends)], pa.binary())],
+                                             ["bucket", "filed"])
+
+    def star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed = np.frombuffer(b"".join(x for batch in batches for x in batch.column("filed").to_pylist()), np.uint8).reshape(-1, 12)
+        wide = np.zeros((2, len(packed), 8), np.uint8)
+        wide[0, :, :6], wide[1, :, :6] = packed[:, :6], packed[:, 6:]
+        key, node = wide.view("<u8")[..., 0].astype(np.int64)
+        order = np.lexsort((node, key))
+        key, node = key[order], node[order]
+        first = np.concatenate([[True], key[1:] != key[:-1]])[:len(key)]
+        least = node[np.flatnonzero(first)][np.cumsum(first) - 1]
+        edges = np.unique(np.stack([node, least], axis=1)[node != least], axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0], pa.int64()), pa.array(edges[:, 1], pa.int64())], ["a", "b"])
+
+    filed = rows.select("text").mapInArrow(file, "bucket int, filed binary").repartition("bucket")
+    roots = connected(filed.mapInArrow(star, "a bigint, b bigint"))
+    roots = roots.union(roots.select(F.col("root").alias("node"), "root")).distinct().checkpoint()
+    sizes = roots.groupBy("root").agg(F.count("*").alias("m"))
+    roots = roots.join(sizes, "root").checkpoint()
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signer = Signer(**options)
+        for batch in batches:
+            for _, _, data, off in blocks(batch.column(0)):
+                sig, at = signer.sets(data, off)
+                found = [sig[a:b] for a, b in zip(at[:-1], at[1:])]
+                digests = [set_digest(x) for x in found]
+                yield pa.RecordBatch.from_arrays([pa.array([_node(d) for d in digests], pa.int64()), pa.array(digests, pa.binary()),
+                                                  pa.array([x.astype("<u4").tobytes() for x in found], pa.binary())], ["node", "digest", "members"])
+
+    few = roots.count() <= BROADCAST_NODES
+    sets = rows.select("text").mapInArrow(members, "node bigint, digest binary, members binary").join(F.broadcast(roots) if few else roots, "node")
+    sets = sets.groupBy("digest").agg(F.first("members").alias("members"), F.first("root").alias("root"), F.first("m").alias("m"))
+    slices = F.ceil(F.col("m") / SLICE).cast("int")
+    own = F.pmod(F.xxhash64("digest"), slices)
+    dealt = sets.withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1))).withColumn("own", own == F.col("slice"))
+
+    def compare(group: pa.Table) -> pa.Table:
+        digests = group.column("digest").to_pylist()
+        own = np.asarray(group.column("own").combine_chunks().to_numpy(zero_copy_only=False), dtype=bool)
+        links = count_links([np.frombuffer(x, "<u4") for x in group.column("members").to_pylist()], own, threshold)
+        at = np.flatnonzero(own & (links > 0))
+        return pa.table({"digest": pa.array([digests[i] for i in at], pa.binary()), "links": pa.array(links[at], pa.int64())})
+
+    return dealt.select("root", "slice", "own", "digest", "members").groupBy("root", "slice").applyInArrow(compare, "digest binary, links bigint")
+
+
+def count_links(sets: list[np.ndarray], own: np.ndarray, threshold: float, block: int = 512, columns: int = 8192) -> np.ndarray:
+    """For each of the distinct ``sets`` that is ``own``: with how many others its likeness reaches ``threshold``."""
+    n = np.array([len(x) for x in sets], dtype=np.int64)
+    order = np.argsort(-n, kind="stable")
+    links = np.zeros(len(sets), np.int64)
+    mine = order[own[order]]
+    for lo in range(0, len(mine), block):
+        query = mine[lo:lo + block]
+        longest, shortest = n[query[0]], n[query[-1]]
+        others = order[(n[order] >= threshold * shortest - 1e-9) & (threshold * n[order] <= longest + 1e-9)]
+        known = np.unique(np.concatenate([sets[i] for i in query]))
+        for at in range(0, len(others), block):
+            other = others[at:at + block]
+            common = np.zeros((len(query), len(other)), np.float32)
+            for c in range(0, len(known), columns):
+                common += _dense(sets, query, known[c:c + columns]) @ _dense(sets, other, known[c:c + columns]).T
+            total = n[query][:, None] + n[other][None, :] - common.astype(np.float64)
+            alike = (common / np.maximum(total, 1) >= threshold) & (query[:, None] != other[None, :])
+            links[query] += alike.sum(axis=1)
+    return links
+
+
+def _dense(sets: list[np.ndarray], which: np.ndarray, known: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(which), len(known)), np.float32)
+    row = np.repeat(np.arange(len(which)), [len(sets[i]) for i in which])
+    members = np.concatenate([sets[i] for i in which])
+    at = np.minimum(np.searchsorted(known, members), len(known) - 1)
+    there = known[at] == members
+    out[row[there], at[there]] = 1
+    return out
+
+
+def classified(rows: DataFrame, threshold: float, **options) -> tuple[DataFrame, DataFrame]:
+    """For (key, text): the keys with their sets' digests, and (digest, class_id, links) of every distinct set; both are checkpointed."""
+    from martline.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(rows.sparkSession)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        signer = Signer(**options)
+        for column in batches:
+            out: list[bytes] = []
+            for _, _, data, off in blocks(column):
+                sig, at = signer.sets(data, off)
+                out += [set_digest(sig[a:b]) for a, b in zip(at[:-1], at[1:])]
+            yield pa.array(out, pa.binary())
+
+    prints = rows.select("key", F.arrow_udf(run, "binary", F.ArrowUDFType.SCALAR_ITER)("text").alias("digest")).checkpoint()
+    classes = prints.groupBy("digest").agg(F.min("key").alias("class_id")).join(similar_classes(rows, threshold, **options), "digest", "left")
+    return prints, classes.select("digest", "class_id", F.coalesce("links", F.lit(0).cast("bigint")).alias("links")).checkpoint()
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
@@ -155,51 +360,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, text: str = "text",
     ``threshold``.  Rows with a null key are left out.  Texts without words
     form one class without links.
     """
-    from martline.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(docs.sparkSession)
-    rows = fingerprints(docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).where("key IS NOT NULL"), **options)
-    prints = rows.select("key", "fingerprint").checkpoint()
-    classes = prints.groupBy("fingerprint").agg(F.min("key").alias("class_id"))
-    pairs = similar_classes(classes, threshold)
-    links = pairs.selectExpr("explode(array(a, b)) AS class_id").groupBy("class_id").agg(F.count("*").alias("links"))
-    return (prints.join(classes, "fingerprint").join(links, "class_id", "left")
-            .select(F.col("key").alias(key), "class_id", F.coalesce("links", F.lit(0).cast("bigint")).alias("links")))
-
-
-def similar_classes(classes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs ``(a, b, likeness)``, a < b, of classes whose sets reach ``threshold``.
-
-    A set need only be looked up by its rarest members: two sets with likeness
-    ``t`` share one of the ``n - ceil(t * n) + 1`` rarest of each.  Members
-    are ranked by their frequency over all classes, so the groups that meet
-    are small without any cap.
-    """
-    sets = classes.where("fingerprint <> ''").select("class_id", "fingerprint", (F.length("fingerprint") / 8).cast("int").alias("n"))
-    member = F.expr("transform(sequence(0, n - 1), i -> substring(fingerprint, i * 8 + 1, 8))")
-    members = sets.select("class_id", "n", F.explode(member).alias("member"))
-    counted = members.join(members.groupBy("member").agg(F.count("*").alias("f")), "member")
-    ranked = counted.groupBy("class_id", "n").agg(F.sort_array(F.collect_list(F.struct("f", "member"))).alias("ms"))
-    prefix = ranked.select("class_id", "n", F.explode(F.expr(f"slice(ms, 1, cast(n - ceil({threshold} * n) + 1 AS int)).member")).alias("member"))
-    prefix = prefix.withColumn("part", _length_partition(F.col("n"), threshold))
-    left = prefix.select(F.col("class_id").alias("a"), F.col("n").alias("na"), "member", F.explode(F.array("part", F.col("part") + 1)).alias("part"))
-    right = prefix.select(F.col("class_id").alias("b"), F.col("n").alias("nb"), "member", "part")
-    meet = left.join(right, ["member", "part"]).where(
-        ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))) & (F.col("na") >= threshold * F.col("nb")))
-    pairs = meet.select("a", "b").distinct()
-    full = sets.select("class_id", "fingerprint")
-    both = (pairs.join(full.withColumnRenamed("class_id", "a").withColumnRenamed("fingerprint", "fa"), "a")
-            .join(full.withColumnRenamed("class_id", "b").withColumnRenamed("fingerprint", "fb"), "b"))
-
-    def compare(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for fa, fb in batches:
-            yield pa.array([jaccard(decode_set(x), decode_set(y), threshold) for x, y in zip(fa.to_pylist(), fb.to_pylist())], pa.float64())
-
-    like = F.arrow_udf(compare, "double", F.ArrowUDFType.SCALAR_ITER)
-    scored = both.withColumn("likeness", like("fa", "fb")).where(F.col("likeness") >= threshold)
-    return scored.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness")
-
-
-def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", ranges: int | None = None, **options) -> DataFrame:
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).where("key IS NOT NULL")
+    prints, classes = classified(rows, threshold, **options)
+    return prints.join(classes, "digest").select(F.col("key").alias(key), "class_id", "links")
+
+
+def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", ranges: int | None = None, threshold: float | None = None, **options) -> DataFrame:
     """Fingerprints of every text and of its edited form, with their likenesses.
 
     The edited form of a text replaces its last ``floor(n_chars / 3)`` code
@@ -212,6 +378,10 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id"
     the keys, and sorted within ranges.  The document that follows a range's
     last is the bound itself, so bounds are sent to both ranges.  Rows with
     equal keys follow each other by the hash of their texts; null keys come last.
+
+    With a ``threshold``, ``class_id`` and ``links`` follow as in
+    ``near_duplicates``, over all rows (a class of null keys only has a null
+    id).  They are dealt to the ranges with the texts, ahead of them.
     """
     rows = docs.select(F.col(f"`{key}`").cast("bigint").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     spark = docs.sparkSession
@@ -235,48 +405,74 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id"
                 also2 = np.zeros(len(known), np.int64)
             yield pa.StructArray.from_arrays([pa.array(part.astype(np.int32)), pa.array(also.astype(np.int32)), pa.array(also2.astype(np.int32))], ["part", "also", "wrap"])
 
-    dealt = rows.withColumn("d", F.arrow_udf(deal, "part int, also int, wrap int", F.ArrowUDFType.SCALAR_ITER)("key"))
+    dealing = F.arrow_udf(deal, "part int, also int, wrap int", F.ArrowUDFType.SCALAR_ITER)
+    dealt = rows.withColumn("d", dealing("key"))
     # a key past the largest bound may be the top and a bound's follower at once: up to three roles
     roles = F.filter(F.array(F.struct(F.col("d.part").alias("part"), F.lit(0).alias("guard")), F.struct(F.col("d.also").alias("part"), F.lit(1).alias("guard")),
                              F.struct(F.col("d.wrap").alias("part"), F.lit(2).alias("guard"))), lambda r: r["part"] >= 0)
     placed = dealt.select("key", "text", F.explode(roles).alias("r")).select("key", "text", "r.part", "r.guard")
+    names = ["key", "text", "part", "guard"]
+    if threshold is not None:
+        prints, classes = classified(rows, threshold, **options)
+        # both are checkpointed: the join's shuffle files can go before the texts are dealt
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        where = prints.select("digest", dealing("key").getField("part").alias("part")).distinct()
+        ahead = where.join(classes, "digest").select(F.lit(None).cast("bigint").alias("key"), F.lit(None).cast("string").alias("text"), "part",
+                                                     F.lit(-1).alias("guard"), "digest", "class_id", "links")
+        placed = placed.unionByName(ahead, allowMissingColumns=True)
+        names += ["digest", "class_id", "links"]
     ordered = (placed.withColumn("tie", F.xxhash64("text")).repartition("part")
-               .sortWithinPartitions("part", "guard", F.col("key").desc_nulls_last(), "tie").select("key", "text", "part", "guard"))
+               .sortWithinPartitions("part", "guard", F.col("key").desc_nulls_last(), "tie").select(*names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _edit_ranges(batches, Signer(**options))
+        yield from _edit_ranges(batches, Signer(**options), threshold is not None)
 
-    schema = ("key bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    schema = ("key bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+              + ", class_id bigint, links bigint" * (threshold is not None))
     return ordered.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
-def _edit_ranges(batches: Iterator[pa.RecordBatch], signer: Signer) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by range; in each, its documents and then the documents that may follow its last.
+def _edit_ranges(batches: Iterator[pa.RecordBatch], signer: Signer, classified: bool = False) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by range; in each, the classes of its sets (if ``classified``), its documents and then the documents that may follow its last.
 
     The last document of a range is held back until its follower is seen: the
     first guard of the range.  Guards of kind 2 (wrapping round to the first
     document) only stand in where there is no other.
     """
     schema = pa.schema([("key", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
-                        ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
+                        ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
+                        *([("class_id", pa.int64()), ("links", pa.int64())] if classified else [])])
     held: tuple | None = None
+    classes: dict | None = {} if classified else None
+    of = None  # the range of these classes
     for batch in batches:
         keys, parts, guards = batch.column("key").to_pylist(), batch.column("part").to_numpy(), batch.column("guard").to_numpy()
         texts = batch.column("text")
+        if classified:
+            digests, ids, links = (batch.column(c).to_pylist() for c in ("digest", "class_id", "links"))
         for lo, hi, _, _ in blocks(texts, 1 << 18):
             cur = texts.slice(lo, hi - lo).to_pylist()
             todo: list[tuple] = []
             for i, t in enumerate(cur):
+                if guards[lo + i] < 0:
+                    if parts[lo + i] != of:
+                        if todo:  # they still need the classes of their range
+                            yield _edited_rows(todo, signer, schema, classes)
+                        todo, of = [], parts[lo + i]
+                        classes.clear()
+                    classes[digests[lo + i]] = (ids[lo + i], links[lo + i])
+                    continue
                 at = (parts[lo + i], guards[lo + i], keys[lo + i], t)
                 if held is not None and held[0] == at[0]:
                     todo.append((held[2], held[3], t))
                 # of a range, only documents wait for a follower
                 held = at if at[1] == 0 else None
             if todo:
-                yield _edited_rows(todo, signer, schema)
+                yield _edited_rows(todo, signer, schema, classes)
 
 
-def _edited_rows(todo: list[tuple], signer: Signer, schema: pa.Schema) -> pa.RecordBatch:
+def _edited_rows(todo: list[tuple], signer: Signer, schema: pa.Schema, classes: dict | None = None) -> pa.RecordBatch:
     keys, own, following = zip(*todo)
     n = len(todo)
     lengths = [len(t) for t in own]
@@ -284,9 +480,10 @@ def _edited_rows(todo: list[tuple], signer: Signer, schema: pa.Schema) -> pa.Rec
     data, off = text_arrays(pa.array([*own, *edited, *following], pa.large_string()))
     sig, at = signer.sets(data, off)
     sets = [sig[a:b] for a, b in zip(at[:-1], at[1:])]
+    found = [] if classes is None else [pa.array(x, pa.int64()) for x in zip(*[classes[set_digest(s)] for s in sets[:n]])]
     return pa.RecordBatch.from_arrays([
         pa.array(keys, pa.int64()), pa.array(lengths, pa.int64()),
         pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
         pa.array([encode_set(s) for s in sets[:n]], pa.string()), pa.array([encode_set(s) for s in sets[n:2 * n]], pa.string()),
         pa.array([jaccard(a, b) for a, b in zip(sets[:n], sets[n:2 * n])], pa.float64()),
-        pa.array([jaccard(a, b) for a, b in zip(sets[:n], sets[2 * n:])], pa.float64())], schema=schema)
+        pa.array([jaccard(a, b) for a, b in zip(sets[:n], sets[2 * n:])], pa.float64()), *found], schema=schema)

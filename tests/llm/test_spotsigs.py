@@ -103,3 +103,43 @@ def test_cases(awkward, nothing):
     assert len(spotsigs.edited_fingerprints(awkward.where("doc_id IS NULL")).collect()) == 2
     assert len(spotsigs.near_duplicates(awkward).collect()) == awkward.where("doc_id IS NOT NULL").count()
     assert spotsigs.near_duplicates(nothing).collect() == []
+
+
+def test_query_links_equal_all_pairs(spark, docs_small):
+    from martline.llm.queries import QUERIES
+    got = QUERIES["op2_spotsigs"](spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == docs_small.count()
+    first, sets = {}, {}
+    for r in sorted(got, key=lambda r: r.doc_id):
+        first.setdefault(r.fingerprint, r.doc_id)
+        sets[r.fingerprint] = frozenset(spotsigs.decode_set(r.fingerprint).tolist())
+    links = {a: sum(a != b and len(x & y) >= 0.8 * len(x | y) for b, y in sets.items() if y) if x else 0 for a, x in sets.items()}
+    assert any(links.values())
+    assert all((r.class_id, r.links) == (first[r.fingerprint], links[r.fingerprint]) for r in got)
+
+
+def test_classes_of_awkward_rows(awkward, nothing):
+    plain = {(r.doc_id, r.n_chars, r.fingerprint) for r in spotsigs.edited_fingerprints(awkward).collect()}
+    for ranges in (1, 5):
+        got = spotsigs.edited_fingerprints(awkward, ranges=ranges, threshold=0.8).collect()
+        assert len(got) == awkward.count() and {(r.doc_id, r.n_chars, r.fingerprint) for r in got} == plain
+        for r in got:
+            keys = [x.doc_id for x in got if x.fingerprint == r.fingerprint and x.doc_id is not None]
+            assert r.class_id == min(keys, default=None)
+    assert spotsigs.edited_fingerprints(nothing, threshold=0.8).collect() == []
+
+
+def test_files_share_a_key_whenever_sets_are_alike():
+    rng = np.random.default_rng(5)
+    for t in (0.6, 0.8, 0.9):
+        files = spotsigs.LengthFiles(t, rng.integers(0, 50, 20))
+        for _ in range(600):
+            n = int(rng.integers(1, 120))
+            pool = rng.permutation(400).astype(np.uint32)
+            a, gone, more = pool[:n], int(rng.integers(0, n // 4 + 1)), int(rng.integers(0, n // 4 + 1))
+            b = np.concatenate([a[gone:], pool[n:n + more]])
+            if len(b) and gone + more and spotsigs.jaccard(np.sort(a), np.sort(b)) >= t:
+                assert set(files.keys(np.sort(a)).tolist()) & set(files.keys(np.sort(b)).tolist())
+    many = [np.sort(rng.permutation(60)[:50].astype(np.uint32)) for _ in range(70)]
+    want = [sum(spotsigs.jaccard(x, y) >= 0.8 for j, y in enumerate(many) if j != i) for i, x in enumerate(many)]
+    assert spotsigs.count_links(many, np.ones(70, bool), 0.8, block=16, columns=7).tolist() == want
