@@ -1,7 +1,8 @@
 """Secret scanning with inferred credential grammars.
 
-Base patterns find credentials of known shape.  Their values, taken from a
-bounded sample of documents and labelled by pattern, teach a probabilistic
+Base patterns find credentials of known shape.  Their values, taken from all
+documents and labelled by pattern (of each kind the ``PER_KIND`` with the
+smallest hashes), teach a probabilistic
 automaton per kind: a prefix tree over character classes whose states are
 merged while their stop and transition frequencies are compatible (Hoeffding
 bounds), red-blue order.  States also learn which characters of a class they
@@ -20,6 +21,7 @@ is learned and only base spans are found.  Repeated rows get equal spans.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -32,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from martline.llm.blocks import blocks, break_spans, hash_share, replace_columns
+from martline.llm.blocks import blocks, break_spans, replace_columns
 
 KINDS = ("assign", "access", "hex", "format")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -41,8 +43,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_ASSIGNED = 6
 #: Candidates: runs of credential characters of at least this length with a letter and a digit.
 MIN_CANDIDATE = 16
-#: Bounds of the training sample: documents looked at, credentials of each kind, characters of each.
-SAMPLE_DOCS = 20_000
+#: Bounds of the labelled credentials: of each kind, characters of each.
 PER_KIND = 300
 MAX_CHARS = 64
 
@@ -194,10 +195,15 @@ def fit_grammar(credentials: Sequence[tuple[str, str]], ordinary_chars: Counter,
         by_kind.setdefault(kind, set()).add(value)
     total = sum(ordinary_chars.values()) + 1
     ordinary = {c: math.log2((n + 0.5) / total) for c, n in sorted(ordinary_chars.items())}
-    automata = {k: Automaton(sorted(v)[:PER_KIND]) for k, v in sorted(by_kind.items()) if len(v) >= least}
+    automata = {k: Automaton(sorted(v, key=_place)[:PER_KIND]) for k, v in sorted(by_kind.items()) if len(v) >= least}
     return Grammar(automata, ordinary, math.log2(0.5 / total))
 
 
+def _place(value: str) -> tuple[int, str]:
+    """Credentials in the order of a hash, the same in every task."""
+    return int.from_bytes(hashlib.blake2b(value.encode(), digest_size=8).digest(), "little", signed=True), value
+
+
 def text_spans(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, list[tuple[int, int, str, str]], list[tuple[int, int, str]]]]:
     """For each text with any: its index, base spans (start, end, kind, value) and candidates (start, end, string).
 
@@ -237,31 +243,30 @@ def _sorted(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
-def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", train_on: Column | None = None, sample_docs: int = SAMPLE_DOCS) -> Grammar:
-    """Learn from about ``sample_docs`` documents chosen by a hash of their ids; only matches and character counts reach the driver."""
+def fit(docs: DataFrame, text: str = "text", train_on: Column | None = None) -> Grammar:
+    """Learn from the base matches of all documents; of each kind a task hands on the ``PER_KIND`` values with the smallest hashes, and character counts."""
     rows = docs if train_on is None else docs.where(train_on)
-    n = rows.select(F.lit(1)).count()
-    id_text = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))
-    picked = rows.where(hash_share("secrets", id_text) < min(1.0, sample_docs / max(n, 1))).select(F.col(f"`{text}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values: set[tuple[str, str]] = set()
+        values: dict[str, set[tuple[int, str]]] = {}
         chars = np.zeros(256, np.int64)
         for batch in batches:
             for _, _, data, off in blocks(batch.column(0)):
                 chars += np.bincount(data, minlength=256)
                 for _, base, _ in text_spans(data, off):
-                    values.update((kind, value[:MAX_CHARS]) for _, _, kind, value in base)
-        by_kind: dict[str, list[str]] = {}
-        for kind, value in sorted(values):
-            by_kind.setdefault(kind, []).append(value)
-        out = [(kind, v, 0) for kind, vs in by_kind.items() for v in vs[:4 * PER_KIND]]
-        out += [("", chr(c), int(k)) for c, k in enumerate(chars) if k and _RUN[c]]
-        kinds, vs, ks = zip(*out) if out else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(vs, pa.string()), pa.array(ks, pa.int64())], ["kind", "value", "n"])
-
-    found = picked.mapInArrow(run, "kind string, value string, n bigint").groupBy("kind", "value").agg(F.sum("n").alias("n"))
-    place = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value"))
+                    for _, _, kind, value in base:
+                        kept = values.setdefault(kind, set())
+                        kept.add(_place(value[:MAX_CHARS]))
+                        if len(kept) >= 4 * PER_KIND:
+                            values[kind] = set(sorted(kept)[:PER_KIND])
+        out = [(kind, v, h, 0) for kind, kept in sorted(values.items()) for h, v in sorted(kept)[:PER_KIND]]
+        out += [("", chr(c), 0, int(k)) for c, k in enumerate(chars) if k and _RUN[c]]
+        kinds, vs, hs, ks = zip(*out) if out else ((), (), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(vs, pa.string()), pa.array(hs, pa.int64()), pa.array(ks, pa.int64())],
+                                         ["kind", "value", "h", "n"])
+
+    found = rows.select(F.col(f"`{text}`")).mapInArrow(run, "kind string, value string, h bigint, n bigint").groupBy("kind", "value", "h").agg(F.sum("n").alias("n"))
+    place = F.row_number().over(Window.partitionBy("kind").orderBy("h", "value"))
     rows = found.withColumn("place", place).where((F.col("kind") == "") | (F.col("place") <= PER_KIND)).collect()
     ordinary = Counter({r["value"]: r["n"] for r in rows if r["kind"] == ""})
     return fit_grammar([(r["kind"], r["value"]) for r in rows if r["kind"]], ordinary)

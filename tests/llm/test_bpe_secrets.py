@@ -116,3 +116,13 @@ def test_secret_cases(awkward, nothing):
     assert not grammar.automata
     assert secret_scan.scan(awkward, grammar).count() == awkward.count()
     assert not secret_scan.fit(nothing).automata and secret_scan.scan(nothing, grammar).collect() == []
+
+
+def test_labelled_credentials_do_not_thin_out_with_size(spark):
+    """25 credentials among 60,000 documents are learned; one dump does not crowd out the others."""
+    some = spark.createDataFrame([(i, f"secret: {c}") for i, c in enumerate(credentials(25, 3))], "doc_id bigint, text string")
+    docs = some.union(spark.range(100, 60_100).selectExpr("id AS doc_id", "'plain words only' AS text"))
+    assert set(secret_scan.fit(docs).automata) == {"assign"}
+    dump = " ".join(f"token={i:012d}" for i in range(2000)) + " " + " ".join(f"token=z{i:011d}" for i in range(2000))
+    learned = secret_scan.fit(spark.createDataFrame([(1, dump)], "doc_id bigint, text string").coalesce(1)).automata["assign"]
+    assert min(learned.states[0].taken.values()) > 80 and set(learned.states[0].taken) == {"0", "g"}
