@@ -8,8 +8,9 @@ merged while their stop and transition frequencies are compatible (Hoeffding
 bounds), red-blue order.  States also learn which characters of a class they
 emit, so literal prefixes stay literal.
 
-Every run of credential characters in every text is then a candidate and is
-scored by its likelihood per character under each automaton, against an
+Every run of credential characters outside base spans, from the shortest
+labelled length on, is then a candidate; where the whole is no credential, its
+pieces between separators are.  A candidate is scored by its likelihood per character under each automaton, against an
 ordinary-text model of single characters.  Candidates that are as likely as
 the labelled credentials are, and clearly likelier than ordinary text, are
 added as spans of kind ``format``.  Base spans always stay.
@@ -41,8 +42,10 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_ASSIGNED = 6
-#: Candidates: runs of credential characters of at least this length with a letter and a digit.
+#: Base matches within runs are at least this long; with a grammar, its shortest labelled length bounds the candidates.
 MIN_CANDIDATE = 16
+#: Separators at which a run is cut into pieces.
+SEPARATORS = "=/.-"
 #: Bounds of the labelled credentials: of each kind, characters of each.
 PER_KIND = 300
 MAX_CHARS = 64
@@ -178,6 +181,37 @@ class Grammar:
     floor: float
     margin: float = 1.0
     slack: float = 0.5
+    least: int = MIN_CANDIDATE
+    known: dict[str, bool] = field(default_factory=dict)
+
+    def accepts(self, s: str) -> bool:
+        """``is_credential``, with the answers for short strings kept in bounds."""
+        if len(s) > MAX_CHARS:
+            return self.is_credential(s)
+        if s not in self.known:
+            if len(self.known) >= 1 << 17:
+                self.known.clear()
+            self.known[s] = self.is_credential(s)
+        return self.known[s]
+
+    def credentials(self, run: str, at: int) -> Iterator[tuple[int, int]]:
+        """Spans of the run that starts ``at``: the whole if it is a credential, else those of its pieces."""
+        todo = [(run, at)]
+        while todo:
+            s, at = todo.pop()
+            if len(s) < self.least:
+                continue
+            if self.accepts(s):
+                yield at, at + len(s)
+                continue
+            inner = s.strip(SEPARATORS)
+            if inner != s:
+                todo.append((inner, at + len(s) - len(s.lstrip(SEPARATORS))))
+                continue
+            # a value after an equals sign is a candidate before its own pieces
+            cuts = [i for i, c in enumerate(s) if c == "="] or [i for i, c in enumerate(s) if c in SEPARATORS]
+            if cuts:
+                todo += [(s[a + 1:b], at + a + 1) for a, b in zip([-1, *cuts], [*cuts, len(s)])]
 
     def is_credential(self, s: str) -> bool:
         plain = sum(self.ordinary.get(c, self.floor) for c in s) / len(s)
@@ -196,7 +230,8 @@ def fit_grammar(credentials: Sequence[tuple[str, str]], ordinary_chars: Counter,
     total = sum(ordinary_chars.values()) + 1
     ordinary = {c: math.log2((n + 0.5) / total) for c, n in sorted(ordinary_chars.items())}
     automata = {k: Automaton(sorted(v, key=_place)[:PER_KIND]) for k, v in sorted(by_kind.items()) if len(v) >= least}
-    return Grammar(automata, ordinary, math.log2(0.5 / total))
+    shortest = min((len(v) for k in automata for v in by_kind[k]), default=MIN_CANDIDATE)
+    return Grammar(automata, ordinary, math.log2(0.5 / total), least=shortest)
 
 
 def _place(value: str) -> tuple[int, str]:
@@ -204,7 +239,7 @@ def _place(value: str) -> tuple[int, str]:
     return int.from_bytes(hashlib.blake2b(value.encode(), digest_size=8).digest(), "little", signed=True), value
 
 
-def text_spans(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, list[tuple[int, int, str, str]], list[tuple[int, int, str]]]]:
+def text_spans(data: np.ndarray, off: np.ndarray, least: int = MIN_CANDIDATE) -> Iterator[tuple[int, list[tuple[int, int, str, str]], list[tuple[int, int, str]]]]:
     """For each text with any: its index, base spans (start, end, kind, value) and candidates (start, end, string).
 
     Access keys, hex strings and candidates all lie within runs of credential
@@ -212,7 +247,7 @@ def text_spans(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, list[tu
     """
     starts, ends, counts = break_spans(_RUN[data], off)
     row = np.repeat(np.arange(len(off) - 1), counts)
-    long = ends - starts >= MIN_CANDIDATE
+    long = ends - starts >= min(least, MIN_CANDIDATE)
     starts, ends, row = starts[long], ends[long], row[long]
     raw = data.tobytes()
     points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
@@ -234,7 +269,8 @@ def text_spans(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, list[tu
                 base += [(at + m.start(), at + m.end(), "access", m[0]) for m in ACCESS.finditer(run)]
             if len(run) >= 24:
                 base += [(at + m.start(), at + m.end(), "hex", m[0]) for m in HEX.finditer(run)]
-            found.append((at, at + len(run), run))
+            if len(run) >= least:
+                found.append((at, at + len(run), run))
         if base or found:
             yield int(i), base, found
 
@@ -243,6 +279,18 @@ def _sorted(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
+def outside(run: str, at: int, spans: list[tuple[int, int]]) -> Iterator[tuple[str, int]]:
+    """The parts of a run, starting ``at``, that no span covers."""
+    end, lo = at + len(run), at
+    for a, b in spans:
+        if a < end and b > lo:
+            if a > lo:
+                yield run[lo - at:a - at], lo
+            lo = b
+    if lo < end:
+        yield run[lo - at:], lo
+
+
 def fit(docs: DataFrame, text: str = "text", train_on: Column | None = None) -> Grammar:
     """Learn from the base matches of all documents; of each kind a task hands on the ``PER_KIND`` values with the smallest hashes, and character counts."""
     rows = docs if train_on is None else docs.where(train_on)
@@ -275,19 +323,19 @@ def fit(docs: DataFrame, text: str = "text", train_on: Column | None = None) ->
 def scan(docs: DataFrame, grammar: Grammar | None, text: str = "text", spans: str = "spans") -> DataFrame:
     """``docs`` plus all spans of each whole text as an array of (start, end, kind), in order."""
     kept = replace_columns(docs, spans)
+    learned = grammar is not None and bool(grammar.automata)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kind_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
         for column in batches:
             out: list[list[dict]] = [[] for _ in range(len(column))]
             for lo, _, data, off in blocks(column):
-                for i, base, found in text_spans(data, off):
+                for i, base, found in text_spans(data, off, grammar.least if learned else MIN_CANDIDATE):
                     spans = [(a, b, k) for a, b, k, _ in base]
-                    for a, b, run in found:
-                        if any(x < b and a < y for x, y, _ in spans):
-                            continue
-                        if grammar and any(c.isdigit() for c in run) and any(c.isalpha() for c in run) and grammar.is_credential(run):
-                            spans.append((a, b, "format"))
+                    taken = sorted((a, b) for a, b, _ in spans)
+                    for a, b, run in found if learned else ():
+                        parts = outside(run, a, [x for x in taken if x[0] < b and a < x[1]]) if taken else ((run, a),)
+                        spans += [(x, y, "format") for part, at in parts for x, y in grammar.credentials(part, at)]
                     out[lo + i] = [{"start": a, "end": b, "kind": k} for a, b, k in _sorted(spans)]
             yield pa.array(out, kind_type)
 
