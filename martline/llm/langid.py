@@ -12,7 +12,8 @@ rows.  For prediction, the tables of neighbouring positions are added up in
 advance into tables over byte pairs.
 
 Cases: a null text or one without any letter (``\\p{L}``) is ``und`` with
-score 0.  Without any labelled row every text is ``und``.  Equal texts get
+score 0.  At most 256 languages, the most frequent ones, are learned; texts of
+others get one of these.  Without any labelled row every text is ``und``.  Equal texts get
 equal predictions.  Ties go to the language that comes first by name.
 Columns of the input named like an added column are replaced.
 """
