@@ -20,7 +20,10 @@ from martline.session import ensure_checkpoint_dir
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents without a language (``und``: null text or no letter) go."""
+    """Language ID: documents without a language (``und``: null text or no letter) go.
+
+    The network's choice among languages removes no row and is not handed on.
+    """
     model = langid.fit(docs, train_on=remainder(F.col("doc_id"), 4) != 2)
     guessed = langid.predict(docs.select(F.struct("*").alias("row"), "text"), model, pred="lang_pred", score="lang_score")
     return guessed.where(F.col("lang_pred") != langid.UNDETERMINED).select("row.*")
