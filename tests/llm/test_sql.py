@@ -15,9 +15,11 @@ DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{os.path.join(DIR, 'documents.parquet')}'")
+    for table in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{os.path.join(DIR, table + '.parquet')}'")
     want = con.execute(ORACLES[name]).fetchdf()
     got = QUERIES[name](spark, DIR).toPandas()
     cols = sorted(want.columns)
     assert sorted(got.columns) == cols
-    pd.testing.assert_frame_equal(got[cols].sort_values("doc_id", ignore_index=True), want[cols].sort_values("doc_id", ignore_index=True))
+    key = "doc_id" if "doc_id" in cols else "conv_id"
+    pd.testing.assert_frame_equal(got[cols].sort_values(key, ignore_index=True), want[cols].sort_values(key, ignore_index=True))
