@@ -11,9 +11,8 @@ exactly the assistant's.
 
 Every turn begins with a control string after the line feed that ends the turn
 before; the vocabulary's split pattern always cuts there, so the pieces of a
-conversation too long for one task (``turns``) and the stretches of a long
-text (cut before a blank that stands between a non-blank and an ASCII letter)
-are encoded exactly as in the whole.
+conversation too long for one task (``turns``) are encoded exactly as in the
+whole.  Offsets follow from the tokens' lengths in bytes.
 
 Cases: null texts are empty, null roles too; turns come by turn (nulls first),
 then role and text; a null id is a conversation of its own; equal rows are
@@ -38,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from martline.llm import turns
+from martline.llm import bpe, turns
 
 #: Control strings before and after a text, by role.
 MARKS = {"system": ("<<SYS>>\n", "\n<</SYS>>\n"), "user": ("[INST] ", " [/INST]\n"), "assistant": ("<s>", "</s>\n")}
@@ -46,9 +45,6 @@ MARKS = {"system": ("<<SYS>>\n", "\n<</SYS>>\n"), "user": ("[INST] ", " [/INST]\
 NAMED = ("[ROLE]", "[/ROLE]", "</s>\n")
 CONTROLS = ("<<SYS>>", "<</SYS>>", "[INST]", "[/INST]", "<s>", "</s>", "[ROLE]", "[/ROLE]")
 
-#: Texts are encoded in stretches of about this many code points.
-STRETCH = 1 << 16
-
 
 class Template:
     """Rendering and reading of turns; ``specials`` are the vocabulary's special tokens, escaped like control strings."""
@@ -105,32 +101,21 @@ def special_tokens(path: str) -> list[str]:
 
 
 @functools.lru_cache(maxsize=2)
-def _tools(path: str):
-    from tokenizers import Tokenizer
-    encoder = Tokenizer.from_file(path)
-    encoder.no_truncation()
-    encoder.no_padding()
-    encoder.encode_special_tokens = True
-    return encoder, Template(special_tokens(path))
-
-
-_CUT = re.compile(r"(?<=\S)(?= [A-Za-z])")
-
-
-def encode(encoder, text: str, stretch: int = STRETCH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, starts and ends (code points) of the tokens of ``text``."""
-    cuts = [0]
-    while len(text) - cuts[-1] > stretch and (cut := _CUT.search(text, cuts[-1] + stretch)):
-        cuts.append(cut.start())
-    cuts.append(len(text))
-    ids, starts, ends = [], [], []
-    for lo, hi in zip(cuts, cuts[1:]):
-        done = encoder.encode(text[lo:hi], add_special_tokens=False)
-        spans = np.array(done.offsets, dtype=np.int64).reshape(-1, 2) + lo
-        ids.append(np.array(done.ids, dtype=np.int32))
-        starts.append(spans[:, 0])
-        ends.append(spans[:, 1])
-    return np.concatenate(ids), np.concatenate(starts), np.concatenate(ends)
+def _tools(path: str) -> tuple[bpe.ByteBPE, np.ndarray, Template]:
+    """Encoder, bytes of each token, template."""
+    encoder = bpe.load(path)
+    return encoder, np.array([len(t) for t in encoder.tokens], dtype=np.int64), Template(special_tokens(path))
+
+
+def encode(encoder: bpe.ByteBPE, lengths: np.ndarray, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, starts and ends (code points) of the tokens of ``text``; a token of some bytes of a character has the character's span."""
+    ids = np.array(encoder.encode_tree(text), dtype=np.int32)
+    ends = np.cumsum(lengths[ids])
+    starts = ends - lengths[ids]
+    if not text.isascii():
+        place = np.cumsum((np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80) - 1
+        starts, ends = place[starts], place[ends - 1] + 1
+    return ids, starts, ends
 
 
 def intersect(starts: np.ndarray, ends: np.ndarray, spans: Sequence[tuple[int, int]]) -> tuple[np.ndarray, list[tuple[int, int]]]:
@@ -178,11 +163,11 @@ def format_conversations(rows: DataFrame, path: str, conv: str = "conv_id", turn
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch], cut: bool) -> Iterator[pa.RecordBatch]:
-        encoder, template = _tools(path)
+        encoder, lengths, template = _tools(path)
         held, size = [], 0
         for part, piece, found in turns.runs(batches, 3, *((max_rows, max_bytes) if cut else (None, None))):
             formatted, spans = template.render([(r[2], r[3]) for r in found])
-            ids, starts, ends = encode(encoder, formatted)
+            ids, starts, ends = encode(encoder, lengths, formatted)
             mask, shared = intersect(starts, ends, [(lo, hi) for name, lo, hi in spans if name in learn])
             held.append((found[0][0], part, piece, len(found), formatted, ids, starts.astype(np.int32), ends.astype(np.int32), mask,
                          [{"start": lo, "end": hi} for lo, hi in shared]))
@@ -216,7 +201,7 @@ def read_back(formatted: DataFrame, path: str, conv: str = "conv_id") -> DataFra
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        template = _tools(path)[1]
+        template = _tools(path)[2]
         state = None
         for batch in batches:
             out = []

@@ -83,9 +83,9 @@ def test_template_is_reversible_and_marks_stand_alone(turns):
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["user", "assistant"]), texts), min_size=1, max_size=5))
 def test_mask_covers_the_answers_only(turns):
-    encoder, _ = chat._tools(PATH)
+    encoder, lengths, _ = chat._tools(PATH)
     formatted, spans = TEMPLATE.render(turns)
-    _, starts, ends = chat.encode(encoder, formatted, stretch=8)
+    _, starts, ends = chat.encode(encoder, lengths, formatted)
     wanted = [(lo, hi) for role, lo, hi in spans if role == "assistant"]
     mask, shared = chat.intersect(starts, ends, wanted)
     assert shared == [s for s in wanted if s[1] > s[0]]
