@@ -19,6 +19,7 @@ from martline.operators.stats import seasonal_inflation
 from martline.plans import dims, facts, marts
 from martline.plans import quality as dq
 from martline.plans import warehouse as wh
+from martline.plans.checks import COUNT, Suite, total
 from martline.sources import views
 from martline.sources.files import list_files, read_tagged
 from martline.sources.sinks import observe_step, publish, read_table, write_outputs, write_table
@@ -174,13 +175,20 @@ def rebuild_streams(spark: SparkSession, raw: Streams, out: str, csv_dir: str |
     save("promo_impact_summary", marts.promo_impact(read("fact_ecommerce_transactions")))
     save("season_summary", marts.season_summary(daily))
 
-    # quality rows over the written tables
-    grains = {n: (read(n), k) for n, k in wh.GRAINS.items()}
-    bounds = read("dim_date").agg(F.min("date").alias("start"), F.max("date").alias("end"))
+    # quality rows over the written tables, each read once
+    suite = Suite().dated(dim_date="date", transactions_clean="date", **{n: "date" for n in (*DAILY_FACTS, "fact_web_analytics_events")})
+    for n, keys in wh.GRAINS.items():
+        suite.grain(n, keys)
+    for n in DAILY_FACTS:
+        suite.date_range(n, "dim_date").filled(n)
+    (suite.formula("fact_ecommerce_transactions", "fact_ecommerce_transactions")
+     .expected("fact_ecommerce_transactions", ("fact_ecommerce_transactions", COUNT), ("transactions_clean", COUNT))
+     .totals("fact_ecommerce_daily", ("transactions_clean", total("line_revenue")), ("fact_ecommerce_daily", total("gross_revenue")))
+     .alignment("fact_ecommerce_daily", "transactions_clean", "fact_ecommerce_daily", [
+         ("revenue", total("line_revenue"), total("gross_revenue")), ("quantity", total("quantity"), total("total_quantity")), ("line_items", COUNT, total("line_items"))])
+     .alignment("fact_web_analytics_daily", "fact_web_analytics_events", "fact_web_analytics_daily", [("pageviews", COUNT, total("pageviews"))]))
     checks = (dq.check_paths_exist(spark, {n: p for n, p in paths.items() if n.startswith(("fact_", "dim_"))})
-              .unionByName(dq.check_grain(grains))
-              .unionByName(dq.check_date_range({n: (read(n), "date") for n in DAILY_FACTS}, bounds))
-              .unionByName(dq.check_formula("fact_ecommerce_transactions", read("fact_ecommerce_transactions"))))
+              .unionByName(suite.rows(spark, read)))
     save("quality_checks", checks)
     save("quality_summary", dq.suite_summary(read("quality_checks")))
     if strict:

@@ -752,6 +752,9 @@ Q["dq_month_counts"] = "SELECT table_name, month, count(*) AS n_rows FROM (" + _
     for n in ["fact_paid_social_daily", "fact_web_analytics_daily", "fact_ecommerce_daily", "fact_organic_social_daily",
               "fact_podcast_daily", "fact_ooh_daily"]) + ") t GROUP BY table_name, month"
 
+Q["dq_suite"] = _u("SELECT * FROM (" + DQ[k] + ") q" for k in
+                   ["exists", "grain", "date_range", "empty_cols", "reconcile", "expected", "alignment", "overlap", "formula"])
+
 Q["dq_summary"] = """, allr AS (
 """ + _u("SELECT * FROM (" + DQ[k] + ") q" for k in
          ["exists", "grain", "date_range", "empty_cols", "reconcile", "expected", "alignment", "overlap", "formula"]) + """)
