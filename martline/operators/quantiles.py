@@ -78,7 +78,22 @@ def join_median(stats: DataFrame, median: DataFrame, group: str) -> DataFrame:
     return stats.join(m, stats[group].eqNullSafe(m["_r_" + group]), "left").drop("_r_" + group)
 
 
-def surrogate_key(df: DataFrame, order_cols: Sequence, out: str = "key", buckets: Sequence[Column] | None = None) -> DataFrame:
+def _offsets(counts: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``counts`` plus ``_off``, the rows before each bucket, in two steps: the sums of the first
+    column's few values in one row, and a window over the buckets of each of them."""
+    top = names[0]
+    sums = counts.groupBy(F.col(top).alias("_top")).agg(F.sum("_cnt").alias("_sum"))
+    row = sums.agg(F.array_sort(F.collect_list(F.struct("_top", "_sum"))).alias("_all"))  # nulls first, as the keys
+    before = F.transform("_all", lambda x, i: F.struct(x["_top"].alias("_top"), F.aggregate(
+        F.slice("_all", F.lit(1), i), F.lit(0).cast("bigint"), lambda a, y: a + y["_sum"]).alias("_base")))
+    base = row.select(F.inline(before))
+    inside = Window.partitionBy(top).orderBy(*[F.col(n).asc_nulls_first() for n in names[1:]])
+    local = counts.withColumn("_in", F.coalesce(F.sum("_cnt").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    joined = local.join(base, F.col(top).eqNullSafe(F.col("_top")))
+    return joined.withColumn("_off", F.col("_in") + F.col("_base")).drop("_in", "_top", "_base")
+
+
+def surrogate_key(df: DataFrame, order_cols: Sequence, out: str = "key", buckets: Sequence[Column] | None = None, few_first: bool = False) -> DataFrame:
     """Consecutive keys 1..n in ``order_cols`` order, numbered in parallel.
 
     ``buckets`` are coarse columns in order, such that sorting by them first
@@ -87,16 +102,21 @@ def surrogate_key(df: DataFrame, order_cols: Sequence, out: str = "key", buckets
     bucket is offset by the row count of the buckets before it (a table of one
     row per bucket).  The default is the first order column itself, fit for a
     column with many values.  ``order_cols`` must be a total order for the keys
-    to be deterministic.
+    to be deterministic.  With ``few_first`` the first of several buckets has
+    few values (months, files), and offsets are summed per value, so that no
+    window spans all buckets.
     """
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     coarse = list(buckets) if buckets is not None else [F.col(order_cols[0]) if isinstance(order_cols[0], str) else order_cols[0]]
     names = [f"_b{i}" for i in range(len(coarse))]
     keyed = df.select("*", *[c.alias(n) for c, n in zip(coarse, names)])
     counts = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(F.lit(1)).orderBy(*[F.col(n).asc_nulls_first() for n in names])
-    offsets = counts.select(*[F.col(n).alias("_r_" + n) for n in names], F.coalesce(F.sum("_cnt").over(
-        before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    if few_first:
+        offsets = _offsets(counts, names).select(*[F.col(n).alias("_r_" + n) for n in names], "_off")
+    else:
+        before = Window.partitionBy(F.lit(1)).orderBy(*[F.col(n).asc_nulls_first() for n in names])
+        offsets = counts.select(*[F.col(n).alias("_r_" + n) for n in names], F.coalesce(F.sum("_cnt").over(
+            before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     local = keyed.withColumn("_r", F.row_number().over(Window.partitionBy(*names).orderBy(*cols)))
     joined = local.join(offsets, _same(local, offsets, names))
     return joined.withColumn(out, (F.col("_off") + F.col("_r")).cast("bigint")).drop("_r", "_off", *names, *["_r_" + n for n in names])

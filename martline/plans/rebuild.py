@@ -9,6 +9,7 @@ by ``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,8 @@ from martline.plans import quality as dq
 from martline.plans import warehouse as wh
 from martline.plans.checks import COUNT, Suite, total
 from martline.sources import views
-from martline.sources.files import list_files, read_tagged
-from martline.sources.sinks import observe_step, publish, read_table, write_outputs, write_table
+from martline.sources.files import airport_lookup, list_files, read_source, read_tagged
+from martline.sources.sinks import Step, publish, read_table, step_metrics, write_outputs, write_table
 
 # Export row order per table (ascending, nulls last), as the
 # reference's CSV outputs are sorted.
@@ -111,6 +112,14 @@ def csv_streams(spark: SparkSession, folder: str, airports: DataFrame, web_drop:
                    typed("podcast_mentions"), typed("ooh_airport"), airports)
 
 
+def airports_of(spark: SparkSession, path: str) -> DataFrame:
+    """The airport lookup from a CSV that has each airport's state, or its region code to take the state from."""
+    raw = read_source(spark, path).drop("_source_file")
+    if "state" in raw.columns:
+        return raw.select("iata_code", "name", "municipality", "state", "iso_country")
+    return airport_lookup(raw, raw.select("iata_code").where("iata_code IS NOT NULL"))
+
+
 def rebuild(spark: SparkSession, sf_dir: str, out: str, csv_dir: str | None = None,
             strict: bool = False, publish_dir: str | None = None) -> dict[str, str]:
     """Build every table from the driver tables; see :func:`rebuild_streams`."""
@@ -127,18 +136,21 @@ def rebuild_streams(spark: SparkSession, raw: Streams, out: str, csv_dir: str |
                     strict: bool = False, publish_dir: str | None = None) -> dict[str, str]:
     """Build every table under ``out``; returns table name -> path.  With
     ``csv_dir``, the published tables are also exported as sorted CSV; with
-    ``publish_dir``, facts and dimensions are copied there (K3).  Row counts
-    of all steps are kept in ``step_metrics`` (K4).  With ``strict``, a failed
+    ``publish_dir``, facts and dimensions are copied there and verified (K3).
+    Rows in, rows out, date range and actions of all steps are kept in
+    ``step_metrics`` (K4).  With ``strict``, a failed
     quality check raises (after the check rows are written), like the
     reference's raising date-range assertion."""
     out = out.rstrip("/")
     paths: dict[str, str] = {}
-    steps: list[tuple[str, object]] = []
-
-    def save(name: str, df: DataFrame, by_month: str | None = None) -> None:
-        df, seen = observe_step(df, name)
-        write_table(df, f"{out}/{name}", by_month=by_month)
-        steps.append((name, seen))
+    steps: list[Step] = []
+
+    def save(name: str, made: DataFrame | Callable[[DataFrame], DataFrame], by_month: str | None = None, source: DataFrame | None = None, actions: str = "") -> None:
+        """Write a table; ``made`` may be a function of the one ``source`` whose rows count as rows in."""
+        step = Step(name, "date", actions)
+        df = made if source is None else made(step.into(source))
+        write_table(step.out(df), f"{out}/{name}", by_month=by_month)
+        steps.append(step)
         paths[name] = f"{out}/{name}"
 
     # lookup + dimensions
@@ -147,13 +159,15 @@ def rebuild_streams(spark: SparkSession, raw: Streams, out: str, csv_dir: str |
     clean = facts.ecommerce_clean(raw.transactions)
     # facts: one cleaned transaction frame feeds two tables (K2); the daily one is built from the written line items
     paths.update(write_outputs(clean, "transactions_clean", {"fact_ecommerce_transactions": facts.ecommerce_transactions,
-                                                             "fact_ecommerce_daily": facts.ecommerce_daily}, out, by_month="date"))
-    save("fact_web_analytics_events", facts.web_events(raw.web, "_source", *raw.web_drop), by_month="date")
-    save("fact_web_analytics_daily", facts.web_daily(read("fact_web_analytics_events")), by_month="date")
-    save("fact_paid_social_daily", facts.paid_social_daily(raw.paid), by_month="date")
-    save("fact_organic_social_daily", facts.organic_daily(raw.posts), by_month="date")
-    save("fact_podcast_daily", facts.podcast_daily(raw.mentions), by_month="date")
-    save("fact_ooh_daily", facts.ooh_daily(raw.ooh_weekly, read("airport_lookup")), by_month="date")
+                                                             "fact_ecommerce_daily": facts.ecommerce_daily}, out, by_month="date", steps=steps))
+    tag, first_day, last_day = raw.web_drop
+    save("fact_web_analytics_events", lambda web: facts.web_events(web, "_source", *raw.web_drop), "date", raw.web,
+         f"dropped rows of {tag} from {first_day} to {last_day}")
+    save("fact_web_analytics_daily", facts.web_daily, "date", read("fact_web_analytics_events"), "grouped by day and session attributes")
+    save("fact_paid_social_daily", facts.paid_social_daily, "date", raw.paid, "resolved drifted columns, grouped by day and campaign")
+    save("fact_organic_social_daily", facts.organic_daily, "date", raw.posts, "grouped by day")
+    save("fact_podcast_daily", facts.podcast_daily, "date", raw.mentions, "grouped by day, show and episode")
+    save("fact_ooh_daily", lambda weekly: facts.ooh_daily(weekly, read("airport_lookup")), "date", raw.ooh_weekly, "added states, spread weeks over days")
     save("ooh_daily_totals", facts.ooh_daily_totals(raw.ooh_weekly))
     save("dim_date", dims.date_dim_for(read("transactions_clean"), "date"))
     save("dim_geography", dims.geography_dim([read(n).select("dma_name", "state") for n in (
@@ -201,8 +215,6 @@ def rebuild_streams(spark: SparkSession, raw: Streams, out: str, csv_dir: str |
         export_csv(spark, paths, csv_dir)
     if publish_dir:
         publish(spark, [(p, f"{publish_dir.rstrip('/')}/{n}") for n, p in paths.items() if n.startswith(("fact_", "dim_"))])
-    # one row per step
-    counts = [(name, int(seen.get["rows"])) for name, seen in steps]
-    write_table(spark.createDataFrame(counts, "step string, rows bigint").coalesce(1), f"{out}/step_metrics")
+    write_table(step_metrics(spark, steps).coalesce(1), f"{out}/step_metrics")
     paths["step_metrics"] = f"{out}/step_metrics"
     return paths

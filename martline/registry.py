@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martline.operators.joins import bridge_join, drill_across, star_join
-from martline.plans import dims, explore, marts, profile
+from martline.operators import ordered
+from martline.plans import dims, explore, facts, marts, profile, storage
 from martline.plans import quality as dq
 from martline.plans import warehouse as wh
 from martline.plans.checks import COUNT, Suite, groups, total
 from martline.session import ensure_checkpoint_dir, forget_plans
-from martline.sources import views
+from martline.sources import position, views
 from martline.sources.views import PLATFORMS
 
 QUERIES = {}
@@ -872,3 +873,95 @@ def q_sessions_edge_days(spark, d):
     first = per_day.orderBy(F.col("date").asc()).limit(3).withColumn("edge", F.lit("first"))
     last = per_day.orderBy(F.col("date").desc()).limit(3).withColumn("edge", F.lit("last"))
     return first.unionByName(last)
+
+
+# ------------------------------------------------------------------ written files: sources and sinks
+
+@query("csv_types")
+def q_csv_types(spark, d):
+    """Types inferred from all values of a table written as CSV in two column orders."""
+    return storage.csv_types(views.table(spark, d, "lineitem"))
+
+
+@query("csv_round_trip")
+def q_csv_round_trip(spark, d):
+    """A table written as CSV and read back with inferred types (decimals shown as DOUBLE)."""
+    back = storage.csv_round_trip(views.table(spark, d, "lineitem"))
+    return back.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in back.dtypes])
+
+
+@query("csv_untyped")
+def q_csv_untyped(spark, d):
+    """Empty fields stay empty texts."""
+    return storage.csv_untyped(views.v_web(spark, d).select("event_datetime", "user_id", "page_url", "traffic_source", "campaign", "zip_code"))
+
+
+@query("month_slice")
+def q_month_slice(spark, d):
+    """K1: a date range read from month folders."""
+    return storage.month_slice(wh.web_events(spark, d), "date", "1998-01-10", "1998-02-20")
+
+
+@query("replaced_table")
+def q_replaced_table(spark, d):
+    """K1: a table replaced as a whole, both versions read back."""
+    orders = views.table(spark, d, "orders")
+    return storage.replaced_table(orders, orders.where("o_orderstatus = 'F'"))
+
+
+@query("two_outputs")
+def q_two_outputs(spark, d):
+    """K2: tables from one cleaned frame."""
+    return storage.two_outputs(wh.transactions_clean(spark, d), {"detail": facts.ecommerce_transactions, "daily": facts.ecommerce_daily})
+
+
+@query("published_tables")
+def q_published(spark, d):
+    """K3: copies verified by checksum, and a single changed value found."""
+    tables = {n: views.table(spark, d, n) for n in ("customer", "part", "supplier")}
+    changed = {n: t.withColumn(c, F.when(F.col(t.columns[0]) == 1, F.col(c) + 0.01).otherwise(F.col(c)))
+               for (n, t), c in zip(tables.items(), ("c_acctbal", "p_retailprice", "s_acctbal"))}
+    return storage.published(tables, changed)
+
+
+@query("step_metrics")
+def q_step_metrics(spark, d):
+    """K4: rows in, rows out, dates and actions of the source-grain web step and two daily ones."""
+    from martline.sources.sinks import Step, step_metrics, write_table
+    steps = []
+    for name, source, build, actions in (
+            ("web_events", views.v_web_parts(spark, d), lambda df: facts.web_events(df, "_source", wh.WEB_DROP_SOURCE, *wh.WEB_OVERLAP), "overlap dropped"),
+            ("organic_daily", views.v_posts(spark, d), facts.organic_daily, "grouped by day"),
+            ("podcast_daily", views.v_mentions(spark, d), facts.podcast_daily, "grouped by day, show and episode")):
+        step = Step(name, "date", actions)
+        write_table(step.out(build(step.into(source))), storage.scratch(spark, "step"))
+        steps.append(step)
+    return step_metrics(spark, steps)
+
+
+@query("exported_order")
+def q_exported_order(spark, d):
+    """O1/O2: each order's place in a CSV export sorted by customer, then price from the highest."""
+    done = storage.exported_order(views.table(spark, d, "orders"), ["o_custkey", "o_totalprice", "o_orderkey"], ["o_totalprice"], ["o_orderkey"])
+    return done.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "place")
+
+
+@query("first_appearance")
+def q_first_appearance(spark, d):
+    """Users numbered by the first row of the file that has them, with that row's event."""
+    events = position.read_parquet_rows(spark, f"{d}/events.parquet")
+    numbers = position.number_by_appearance(events, ["user_id"], "user_number")
+    first = position.first_rows(events, ["user_id"], ["event_type", "value"])
+    return numbers.join(first, "user_id")
+
+
+@query("event_rolling")
+def q_event_rolling(spark, d):
+    """W1-W4 at event grain: trailing and centred means, residual and previous value over all events in time order."""
+    e = views.table(spark, d, "events").select("event_id", "ts", F.col("value").cast("decimal(18,4)").alias("value"))
+    order, buckets = ["ts", "event_id"], [F.date_trunc("month", "ts"), F.to_date("ts")]
+    means = ordered.rolling_means(e, ["value"], order, buckets, 7, min_periods=1, suffix="_7")
+    centred = ordered.rolling_means(e, ["value"], order, buckets, 14, center=True, suffix="_14", residual="_resid")
+    previous = ordered.previous_values(e, ["value"], order, buckets, suffix="_prev")
+    out = means.select("event_id", "value_7").join(centred.select("event_id", "value_14", "value_resid"), "event_id")
+    return out.join(previous.select("event_id", F.col("value_prev").cast("double").alias("value_prev")), "event_id")

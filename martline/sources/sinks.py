@@ -8,6 +8,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from martline.sources.versions import Checksum, checksum
+
 
 #: The partition column of tables laid out by month; dates of the table itself stay a column.
 MONTH = "part_month"
@@ -60,27 +62,41 @@ def read_table(spark: SparkSession, path: str, date_col: str = "date", start: st
 
 
 def write_outputs(clean: DataFrame, source_name: str, outputs: Mapping[str, Callable[[DataFrame], DataFrame]], base: str,
-                  fmt: str = "parquet", by_month: str | None = None) -> dict[str, str]:
+                  fmt: str = "parquet", by_month: str | None = None, steps: list[Step] | None = None) -> dict[str, str]:
     """K2: several tables from one cleaned frame with a single scan of the source.
 
     The cleaned frame itself is written first, as table ``source_name``, and
     the other tables are built from what was written: nothing is held on the
-    executors, and a lost one costs only its part of one write.
+    executors, and a lost one costs only its part of one write.  With
+    ``steps``, the metrics of every table are added there.
     """
     spark = clean.sparkSession
-    paths = {source_name: f"{base.rstrip('/')}/{source_name}"}
-    write_table(clean, paths[source_name], fmt=fmt, by_month=by_month)
-    written = read_table(spark, paths[source_name], fmt=fmt)
+    paths = {name: f"{base.rstrip('/')}/{name}" for name in (source_name, *outputs)}
+    made = [] if steps is None else steps
+    first = Step(source_name, by_month)
+    write_table(first.out(clean), paths[source_name], fmt=fmt, by_month=by_month)
+    made.append(first)
     for name, build in outputs.items():
-        paths[name] = f"{base.rstrip('/')}/{name}"
-        write_table(build(written), paths[name], fmt=fmt, by_month=by_month)
+        step = Step(name, by_month)
+        write_table(step.out(build(step.into(read_table(spark, paths[source_name], fmt=fmt)))), paths[name], fmt=fmt, by_month=by_month)
+        made.append(step)
     return paths
 
 
-def publish(spark: SparkSession, manifest: Sequence[tuple[str, str]], fmt: str = "parquet") -> None:
-    """K3: re-lay out curated tables: read each source path, write it to its destination."""
+def publish(spark: SparkSession, manifest: Sequence[tuple[str, str]], fmt: str = "parquet") -> dict[str, Checksum]:
+    """K3: re-lay out curated tables: read each source path, write it to its destination.
+
+    A copy whose rows are not those of its source raises (compared by an
+    order-independent checksum, which is returned per destination).
+    """
+    found = {}
     for src, dest in manifest:
-        write_table(read_table(spark, src, fmt=fmt), dest, fmt=fmt)
+        source = read_table(spark, src, fmt=fmt)
+        write_table(source, dest, fmt=fmt)
+        found[dest] = checksum(read_table(spark, dest, fmt=fmt))
+        if found[dest] != checksum(source):
+            raise ValueError(f"{dest} is not a copy of {src}")
+    return found
 
 
 def observe_step(df: DataFrame, name: str, date_col: str | None = None) -> tuple[DataFrame, Observation]:
@@ -96,6 +112,40 @@ def observe_step(df: DataFrame, name: str, date_col: str | None = None) -> tuple
     return df.observe(obs, *exprs), obs
 
 
+class Step:
+    """K4: rows in, rows out, date range and actions of one step, gathered while its rows are written."""
+
+    def __init__(self, name: str, date_col: str | None = None, actions: str = ""):
+        self.name, self.date_col, self.actions = name, date_col, actions
+        self._in: list[Observation] = []
+        self._out: Observation | None = None
+
+    def into(self, df: DataFrame) -> DataFrame:
+        """An input of the step, its rows counted as they are read."""
+        df, seen = observe_step(df, f"{self.name} in {len(self._in)}")
+        self._in.append(seen)
+        return df
+
+    def out(self, df: DataFrame) -> DataFrame:
+        """The step's result, counted as it is written."""
+        df, self._out = observe_step(df, self.name, self.date_col if self.date_col in df.columns else None)
+        return df
+
+    def row(self) -> tuple:
+        """(step, rows_in, rows, min_date, max_date, actions), once the result is written; rows_in is null where no input was counted."""
+        said = self._out.get
+        dates = [None if (d := said.get(k)) is None else str(d)[:10] for k in ("min_date", "max_date")]
+        return self.name, sum(int(o.get["rows"]) for o in self._in) if self._in else None, int(said["rows"]), *dates, self.actions
+
+
+STEP_SCHEMA = "step string, rows_in bigint, rows bigint, min_date string, max_date string, actions string"
+
+
+def step_metrics(spark: SparkSession, steps: Sequence[Step]) -> DataFrame:
+    """One row per step."""
+    return spark.createDataFrame([s.row() for s in steps], STEP_SCHEMA)
+
+
 def export_sorted(df: DataFrame, path: str, sort_cols: Sequence[str], descending: Sequence[str] = (),
                   fmt: str = "csv") -> None:
     """O1/O2: export with the reference's row order (ascending, nulls last;

@@ -1093,3 +1093,53 @@ Q["sessions_edge_days"] = """, p AS (SELECT CAST(event_datetime AS DATE) AS date
   count(DISTINCT user_id) AS users FROM web_events GROUP BY 1)
 SELECT * FROM (SELECT *, 'first' AS edge FROM p ORDER BY date LIMIT 3)
 UNION ALL SELECT * FROM (SELECT *, 'last' AS edge FROM p ORDER BY date DESC LIMIT 3)"""
+
+
+# ------------------------------------------------------------------ written files: sources and sinks
+def _decimal(c):
+    # digits before and after the point, as the values are written
+    return f"""SELECT '{c}' AS column_name, 'decimal(' || (max(length(CAST(CAST(trunc(abs({c})) AS BIGINT) AS VARCHAR))) + max(length(split_part(CAST({c} AS VARCHAR), '.', 2))))
+  || ',' || max(length(split_part(CAST({c} AS VARCHAR), '.', 2))) || ')' AS type, count({c}) AS n_values FROM lineitem"""
+
+
+Q["csv_types"] = _u(
+    [f"SELECT '{c}' AS column_name, 'bigint' AS type, count({c}) AS n_values FROM lineitem" for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")]
+    + [_decimal(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
+    + [f"SELECT '{c}' AS column_name, '{t}' AS type, count({c}) AS n_values FROM lineitem"
+       for c, t in (("l_returnflag", "string"), ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz"))])
+
+Q["csv_round_trip"] = "SELECT * REPLACE (CAST(l_linenumber AS BIGINT) AS l_linenumber) FROM lineitem"
+
+Q["csv_untyped"] = _u(
+    f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS empty, count(DISTINCT coalesce(CAST({c} AS VARCHAR), '')) AS distinct_texts FROM v_web"
+    for c in ("event_datetime", "user_id", "page_url", "traffic_source", "campaign", "zip_code"))
+
+Q["month_slice"] = "SELECT date, count(*) AS n_rows FROM web_events WHERE date BETWEEN DATE '1998-01-10' AND DATE '1998-02-20' GROUP BY date"
+
+Q["replaced_table"] = """SELECT CAST(1 AS BIGINT) AS version, count(*) AS n_rows, false AS current, true AS verified FROM orders
+UNION ALL SELECT CAST(2 AS BIGINT), count(*), true, true FROM orders WHERE o_orderstatus = 'F'"""
+
+Q["two_outputs"] = """SELECT 'clean' AS table_name, count(*) AS n_rows FROM v_txn UNION ALL SELECT 'detail', count(*) FROM v_txn
+UNION ALL SELECT 'daily', count(*) FROM ecommerce_daily"""
+
+Q["published_tables"] = _u(f"SELECT '{t}' AS table_name, count(*) AS n_rows, true AS verified, true AS change_found FROM {t}" for t in ("customer", "part", "supplier"))
+
+Q["step_metrics"] = _u(
+    f"""SELECT '{step}' AS step, (SELECT count(*) FROM {src}) AS rows_in, count(*) AS rows, CAST(min(date) AS VARCHAR) AS min_date, CAST(max(date) AS VARCHAR) AS max_date,
+  '{actions}' AS actions FROM {out}"""
+    for step, src, out, actions in (("web_events", "v_web_parts", "web_events", "overlap dropped"), ("organic_daily", "v_posts", "organic_daily", "grouped by day"),
+                                    ("podcast_daily", "v_mentions", "podcast_daily", "grouped by day, show and episode")))
+
+Q["exported_order"] = "SELECT o_orderkey, row_number() OVER (ORDER BY o_custkey, o_totalprice DESC, o_orderkey) AS place FROM orders"
+
+Q["first_appearance"] = """, e AS (SELECT *, row_number() OVER () AS rn FROM events),
+f AS (SELECT user_id, min(rn) AS rn FROM e GROUP BY user_id)
+SELECT f.user_id, row_number() OVER (ORDER BY f.rn) AS user_number, e.event_type, e.value FROM f JOIN e ON e.rn = f.rn"""
+
+Q["event_rolling"] = """, e AS (SELECT event_id, ts, CAST(value AS DECIMAL(18,4)) AS v FROM events),
+w AS (
+  SELECT event_id, v, CAST(sum(v) OVER t AS DOUBLE) / count(v) OVER t AS value_7,
+    CASE WHEN count(v) OVER c >= 14 THEN CAST(sum(v) OVER c AS DOUBLE) / count(v) OVER c END AS value_14, CAST(lag(v) OVER o AS DOUBLE) AS value_prev
+  FROM e WINDOW o AS (ORDER BY ts, event_id), t AS (ORDER BY ts, event_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
+    c AS (ORDER BY ts, event_id ROWS BETWEEN 7 PRECEDING AND 6 FOLLOWING))
+SELECT event_id, value_7, value_14, CAST(v AS DOUBLE) - value_14 AS value_resid, value_prev FROM w"""
