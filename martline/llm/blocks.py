@@ -11,7 +11,7 @@ A null text counts as empty.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -85,7 +85,11 @@ def text_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def blocks(column: pa.Array, max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """``(first row, end row, bytes, offsets)`` of runs of rows of about ``max_bytes``; a longer text is a block of its own."""
+    """``(first row, end row, bytes, offsets)`` of runs of rows of about ``max_bytes``.
+
+    A longer text is a block of its own: operators that hold figures for every
+    byte of a block need a multiple of the longest text.
+    """
     data, off = text_arrays(column)
     n, lo = len(off) - 1, 0
     while lo < n:
@@ -137,11 +141,12 @@ def replace_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in wanted])
 
 
-def with_struct(df: DataFrame, text: Column, udf: Callable, fields: list[str]) -> DataFrame:
-    """``df`` plus the named fields of one struct-valued UDF over ``text``, evaluated once per row."""
-    kept = replace_columns(df, *fields)
-    scored = kept.withColumn("__out", udf(text))
-    return scored.select(*[F.col(f"`{c}`") for c in kept.columns], *[F.col(f"__out.{f}").alias(f) for f in fields])
+def unused(name: str, *frames: DataFrame) -> str:
+    """A column name that none of the frames has, for a column in between."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def remainder(doc_id: Column, mod: int) -> Column:
@@ -155,24 +160,24 @@ def hash_share(seed: str, *keys: Column) -> Column:
     return bits.cast("double") / F.lit(float(1 << 53))
 
 
-def bounded_sample(docs: DataFrame, label: Column, key: Column, value: Column, per_label: int | dict, max_labels: int = 256,
-                   seed: str = "sample") -> list[tuple]:
-    """About ``per_label`` rows of every label (or of each as a dict says), as ``(label, value)`` on the driver.
+def bounded_sample(docs: DataFrame, label: Column, value: Column, per_label: int | dict, max_labels: int = 256, seed: str = "sample") -> list[tuple]:
+    """About ``per_label`` distinct values of every label (or of each as a dict says), as ``(label, value)`` on the driver.
 
-    Rows are chosen by a hash of ``key``: the share kept of each label follows
-    from its count, so the result holds about
-    ``1.1 * per_label * max_labels`` rows at most, for any input.  Labels
-    beyond the ``max_labels`` most frequent are not learnable.  The rows come
-    sorted, so that a refit sees the same sequence.
+    Values are chosen by their own hash, and equal ones count once: the share
+    kept of each label follows from its (approximate) number of distinct
+    values, so the result holds about ``1.1 * per_label * max_labels`` pairs at
+    most, for any input, however often rows or ids repeat.  Labels beyond the
+    ``max_labels`` most frequent are not learnable.  The pairs come sorted, so
+    that a refit sees the same sequence.
     """
-    rows = docs.select(label.alias("label"), key.alias("key"), value.alias("value")).where("label IS NOT NULL AND key IS NOT NULL")
-    counts = [r for r in rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_labels).collect()]
+    rows = docs.select(label.alias("label"), value.alias("value")).where("label IS NOT NULL AND value IS NOT NULL")
+    seen = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("value"), 0.02).alias("distinct"))
+    counts = seen.orderBy(F.desc("n"), "label").limit(max_labels).collect()
     if not counts:
         return []
     share = F.lit(0.0)
     for r in counts:
         wanted = per_label.get(r["label"], 0) if isinstance(per_label, dict) else per_label
-        share = F.when(F.col("label") == F.lit(r["label"]), F.lit(min(1.0, 1.1 * wanted / r["count"]))).otherwise(share)
-    picked = rows.where(hash_share(seed, F.col("key")) < share).select("label", "key", "value").collect()
-    picked.sort(key=lambda r: (str(r["label"]), str(r["key"]), str(r["value"])))
-    return [(r["label"], r["value"]) for r in picked]
+        share = F.when(F.col("label") == F.lit(r["label"]), F.lit(min(1.0, 1.1 * wanted / max(1, r["distinct"])))).otherwise(share)
+    picked = rows.where(hash_share(seed, F.col("value")) < share).distinct().collect()
+    return sorted([(r["label"], r["value"]) for r in picked], key=lambda r: (str(r[0]), str(r[1])))

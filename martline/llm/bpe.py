@@ -30,7 +30,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martline.llm.blocks import replace_columns
+from martline.llm.blocks import replace_columns, unused
 from martline.session import ensure_checkpoint_dir
 
 #: The split pattern of byte-level BPE vocabularies (a fixed value of the file format).
@@ -153,13 +153,14 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", lon
     if not kept.where(F.length(t) > long_chars).head(1):
         return short
     far = long_ids(kept.where(F.length(t) > long_chars).select(t.alias("text")), path, leaf_chars)
-    marked = short.withColumn("__mark", F.when(F.length(t) > long_chars, F.sha2(t, 256)))
-    joined = marked.join(far, F.col("__mark") == F.col("__text_mark"), "left")
-    return joined.select(*[F.col(f"`{c}`") for c in kept.columns], F.coalesce("__far", F.col(f"`{ids}`")).alias(ids))
+    mark, of, found = unused("mark", short), unused("of", short), unused("far", short)
+    marked = short.withColumn(mark, F.when(F.length(t) > long_chars, F.sha2(t, 256)))
+    joined = marked.join(far.toDF(of, found), F.col(mark) == F.col(of), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in kept.columns], F.coalesce(F.col(found), F.col(f"`{ids}`")).alias(ids))
 
 
 def long_ids(texts: DataFrame, path: str, leaf_chars: int = LEAF_CHARS) -> DataFrame:
-    """(``__text_mark``, ``__far``): ids of each distinct text, its leaves encoded in parallel."""
+    """(``of``, ``far``): the mark (SHA-256) and the ids of each distinct text, its leaves encoded in parallel."""
     ensure_checkpoint_dir(texts.sparkSession)
     cuts = F.expr(f"transform(sequence(0, cast((length(text) - 1) / {leaf_chars} AS int)), i -> substring(text, i * {leaf_chars} + 1, {leaf_chars}))")
     cut = texts.select(F.sha2("text", 256).alias("mark"), F.posexplode(cuts).alias("at", "leaf")).dropDuplicates(["mark", "at"]).repartition("mark", "at")
@@ -177,7 +178,7 @@ def long_ids(texts: DataFrame, path: str, leaf_chars: int = LEAF_CHARS) -> DataF
             yield pa.array([bpe.join_all([p["ids"] for p in sorted(parts, key=lambda p: p["at"])]) for parts in column.to_pylist()], pa.list_(pa.int32()))
 
     parts = encoded.groupBy("mark").agg(F.collect_list(F.struct("at", "ids")).alias("parts"))
-    return parts.select(F.col("mark").alias("__text_mark"), F.arrow_udf(join, "array<int>", F.ArrowUDFType.SCALAR_ITER)("parts").alias("__far"))
+    return parts.select(F.col("mark").alias("of"), F.arrow_udf(join, "array<int>", F.ArrowUDFType.SCALAR_ITER)("parts").alias("far"))
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -222,12 +223,13 @@ def round_trip(docs: DataFrame, path: str, text: str = "text", long_chars: int =
         for column in batches:
             yield digest(bpe, column.to_pylist())
 
-    done = kept.withColumn("__out", F.arrow_udf(run, schema, F.ArrowUDFType.SCALAR_ITER)(t))
+    near, mark, of, found = (unused(n, kept) for n in ("near", "mark", "of", "far"))
+    done = kept.withColumn(near, F.arrow_udf(run, schema, F.ArrowUDFType.SCALAR_ITER)(t))
     columns = [F.col(f"`{c}`") for c in kept.columns]
-    out = F.col("__out")
+    out = F.col(near)
     if kept.where(F.length(t) > long_chars).head(1):
         far = long_ids(kept.where(F.length(t) > long_chars).select(t.alias("text")), path, leaf_chars)
-        far = far.select("__text_mark", F.arrow_udf(run_far, schema, F.ArrowUDFType.SCALAR_ITER)("__far").alias("__far_out"))
-        done = done.withColumn("__mark", F.when(F.length(t) > long_chars, F.sha2(t, 256))).join(far, F.col("__mark") == F.col("__text_mark"), "left")
-        out = F.coalesce("__far_out", "__out")
+        far = far.select("of", F.arrow_udf(run_far, schema, F.ArrowUDFType.SCALAR_ITER)("far").alias("far")).toDF(of, found)
+        done = done.withColumn(mark, F.when(F.length(t) > long_chars, F.sha2(t, 256))).join(far, F.col(mark) == F.col(of), "left")
+        out = F.coalesce(F.col(found), F.col(near))
     return done.select(*columns, *[out[f].alias(f) for f in fields])

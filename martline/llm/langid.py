@@ -12,8 +12,9 @@ rows.  For prediction, the tables of neighbouring positions are added up in
 advance into tables over byte pairs.
 
 Cases: a null text or one without any letter (``\\p{L}``) is ``und`` with
-score 0.  At most 256 languages, the most frequent ones, are learned; texts of
-others get one of these.  Without any labelled row every text is ``und``.  Equal texts get
+score 0.  At most ``max_languages`` languages, the most frequent ones, are
+learned; texts of others get one of these.  A very long text takes about 40
+bytes per window of 256 beyond its own bytes.  Without any labelled row every text is ``und``.  Equal texts get
 equal predictions.  Ties go to the language that comes first by name.
 Columns of the input named like an added column are replaced.
 """
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martline.llm.blocks import LOWER, blocks, bounded_sample, replace_columns
+from martline.llm.blocks import LOWER, blocks, bounded_sample, replace_columns, unused
 
 UNDETERMINED = "und"
 WIDTHS = (2, 3, 4)
@@ -36,6 +37,7 @@ WINDOW = 256
 #: Bound of the training sample: about this many documents of a language, each with so many windows at most.
 DOCS_PER_LANGUAGE = 800
 WINDOWS_PER_DOC = 3
+MAX_LANGUAGES = 256
 
 
 @dataclass
@@ -84,18 +86,22 @@ class ByteCNN:
         return z / z.sum(axis=1, keepdims=True)
 
 
-def windows_of(data: np.ndarray, off: np.ndarray, byte_class: np.ndarray, window: int, widest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte classes of all windows as columns (zero past a text's end), the text of each window and its length."""
+def window_places(off: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The text of each window, its first byte and its length."""
     lengths = np.diff(off)
     n_windows = -(-lengths // window)
     row = np.repeat(np.arange(len(lengths)), n_windows)
-    nth = np.arange(len(row)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
-    used = np.minimum(window, lengths[row] - nth * window)
-    at = (off[:-1][row] + nth * window)[None, :] + np.arange(window + widest - 1)[:, None]
-    inside = at < off[1:][row][None, :]
+    start = (np.arange(len(row)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)) * window
+    return row, off[:-1][row] + start, np.minimum(window, lengths[row] - start)
+
+
+def window_codes(data: np.ndarray, start: np.ndarray, end: np.ndarray, byte_class: np.ndarray, length: int) -> np.ndarray:
+    """Byte classes of ``length`` bytes from each start as columns (zero from ``end``, a text's end, on)."""
+    at = start[None, :] + np.arange(length)[:, None]
+    inside = at < end[None, :]
     codes = byte_class[data[np.where(inside, at, 0)]]
     codes[~inside] = 0
-    return codes, row, used
+    return codes
 
 
 def train(samples: list[tuple[str, bytes]], widths: tuple[int, ...] = WIDTHS, filters: int = 16, max_classes: int = 96,
@@ -115,7 +121,8 @@ def train(samples: list[tuple[str, bytes]], widths: tuple[int, ...] = WIDTHS, fi
     byte_class[common] = np.arange(2, 2 + len(common))
     byte_class = byte_class[LOWER]
     classes, widest = max_classes, max(widths)
-    codes, row, _ = windows_of(data, off, byte_class, window, widest)
+    row, start, _ = window_places(off, window)
+    codes = window_codes(data, start, off[1:][row], byte_class, window + widest - 1)
     y = y[row]
     k, n_out = filters, len(languages)
     net = ByteCNN(languages, byte_class,
@@ -159,19 +166,19 @@ def train(samples: list[tuple[str, bytes]], widths: tuple[int, ...] = WIDTHS, fi
     return net
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", train_on: Column | None = None,
-        docs_per_language: int = DOCS_PER_LANGUAGE, windows_per_doc: int = WINDOWS_PER_DOC, **options) -> ByteCNN | None:
-    """Train on a bounded sample: about ``docs_per_language`` documents of every language, ``windows_per_doc`` windows each.
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", train_on: Column | None = None,
+        docs_per_language: int = DOCS_PER_LANGUAGE, windows_per_doc: int = WINDOWS_PER_DOC, max_languages: int = MAX_LANGUAGES, **options) -> ByteCNN | None:
+    """Train on a bounded sample: about ``docs_per_language`` distinct texts of every language, ``windows_per_doc`` windows each.
 
     ``train_on`` says which rows may be learned from (default: all).  Windows
     are cut on the executors at even distances, so only these bytes reach the
-    driver.
+    driver.  The ``max_languages`` most frequent languages are learned.
     """
     rows = docs if train_on is None else docs.where(train_on)
     t, n = F.col(f"`{text}`"), F.length(F.col(f"`{text}`"))
     cuts = F.array(*[F.substring(t, (n * i / windows_per_doc).cast("int") + 1, F.lit(WINDOW)) for i in range(windows_per_doc)])
     kept = F.when(n > WINDOW, F.array_distinct(cuts)).otherwise(F.array(t))
-    picked = bounded_sample(rows.where(t.rlike(r"\p{L}")), F.col(f"`{lang}`"), F.col(f"`{key}`"), kept, docs_per_language, seed="langid")
+    picked = bounded_sample(rows.where(t.rlike(r"\p{L}")), F.col(f"`{lang}`"), kept, docs_per_language, max_languages, seed="langid")
     samples = [(label, w.encode()[:WINDOW]) for label, ws in picked for w in ws if w]
     return train(samples, **options)
 
@@ -192,10 +199,11 @@ def predict(docs: DataFrame, model: ByteCNN | None, text: str = "text", pred: st
 
     guess = F.arrow_udf(run, "pred string, score double", F.ArrowUDFType.SCALAR_ITER)
     has_letter = F.coalesce(t.rlike(r"\p{L}"), F.lit(False))
-    scored = kept.withColumn("__letter", has_letter).withColumn("__out", guess(t))
+    letter, out = unused("letter", kept), unused("out", kept)
+    scored = kept.withColumn(letter, has_letter).withColumn(out, guess(t))
     return scored.select(*[F.col(f"`{c}`") for c in kept.columns],
-                         F.when(F.col("__letter"), F.col("__out.pred")).otherwise(UNDETERMINED).alias(pred),
-                         F.when(F.col("__letter"), F.col("__out.score")).otherwise(0.0).alias(score))
+                         F.when(F.col(letter), F.col(out).pred).otherwise(UNDETERMINED).alias(pred),
+                         F.when(F.col(letter), F.col(out).score).otherwise(0.0).alias(score))
 
 
 def classify(model: ByteCNN, data: np.ndarray, off: np.ndarray, windows_at_once: int = 64) -> tuple[np.ndarray, np.ndarray]:
@@ -203,11 +211,12 @@ def classify(model: ByteCNN, data: np.ndarray, off: np.ndarray, windows_at_once:
     n = len(off) - 1
     if not len(data):
         return np.zeros(n, np.int64), np.zeros(n)
-    codes, row, used = windows_of(data, off, model.byte_class, model.window, max(model.tables))
+    row, start, used = window_places(off, model.window)
     total = np.zeros((n, len(model.languages)))
     for lo in range(0, len(row), windows_at_once):
         part = slice(lo, lo + windows_at_once)
-        np.add.at(total, row[part], model.probabilities(codes[:, part]) * used[part, None])
+        codes = window_codes(data, start[part], off[1:][row[part]], model.byte_class, model.window + max(model.tables) - 1)
+        np.add.at(total, row[part], model.probabilities(codes) * used[part, None])
     total /= np.maximum(np.diff(off), 1)[:, None]
     best = total.argmax(axis=1)
     return best, np.minimum(1.0, total[np.arange(n), best])

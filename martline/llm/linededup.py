@@ -9,7 +9,8 @@ everywhere.  The rest of each text is put together in order.
 
 A row is a document.  Cases: a null or empty text is one empty line; keys of
 fewer than ``min_chars`` code points are never dropped; a text that loses all
-lines is empty; repeated rows count as documents each.
+lines is empty; repeated rows count as documents each; a very long text is
+held by its task with 16 bytes for each line.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martline.llm.blocks import replace_columns
+from martline.llm.blocks import replace_columns, unused
 from martline.session import ensure_checkpoint_dir
 
 #: Frequent keys are broadcast up to this size (16 bytes each); beyond it, texts are joined with their lines to drop.
@@ -133,10 +134,12 @@ def _with_joins(docs: DataFrame, frequent: DataFrame, min_chars: int, text: str)
 
     lines = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(explode, "t1 bigint, t2 bigint, h1 bigint, h2 bigint").distinct()
     drops = (lines.join(frequent, ["h1", "h2"], "left_semi").groupBy("t1", "t2")
-             .agg(F.collect_list(F.struct("h1", "h2")).alias("__drops")))
-    marked = docs.withColumn("__mark", F.arrow_udf(mark, "t1 bigint, t2 bigint", F.ArrowUDFType.SCALAR_ITER)(F.col(f"`{text}`")))
-    joined = marked.join(drops, (F.col("__mark.t1") == drops["t1"]) & (F.col("__mark.t2") == drops["t2"]), "left").drop("t1", "t2", "__mark")
-    return _with_fields(joined, F.arrow_udf(run, _schema(), F.ArrowUDFType.SCALAR_ITER)(F.col(f"`{text}`"), F.col("__drops")), "__drops")
+             .agg(F.collect_list(F.struct("h1", "h2")).alias("drops")).select(F.struct("t1", "t2").alias("of"), "drops"))
+    # names that the documents don't have
+    place, of, gone = unused("place", docs), unused("of", docs), unused("drops", docs)
+    marked = docs.withColumn(place, F.arrow_udf(mark, "t1 bigint, t2 bigint", F.ArrowUDFType.SCALAR_ITER)(F.col(f"`{text}`")))
+    joined = marked.join(drops.toDF(of, gone), (F.col(place).t1 == F.col(of).t1) & (F.col(place).t2 == F.col(of).t2), "left").drop(place, of)
+    return _with_fields(joined, F.arrow_udf(run, _schema(), F.ArrowUDFType.SCALAR_ITER)(F.col(f"`{text}`"), F.col(gone)), gone)
 
 
 def _schema() -> str:
@@ -149,6 +152,6 @@ def _struct(rows: list[tuple[str, int, int]]) -> pa.Array:
 
 
 def _with_fields(docs: DataFrame, struct, *drop: str) -> DataFrame:
-    out = docs.withColumn("__out", struct)
+    out = unused("out", docs)
     kept = [c for c in docs.columns if c not in drop]
-    return out.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"__out.{n}").alias(n) for n, _ in _FIELDS])
+    return docs.withColumn(out, struct).select(*[F.col(f"`{c}`") for c in kept], *[F.col(out)[n].alias(n) for n, _ in _FIELDS])

@@ -35,14 +35,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from martline.llm.numbering import numbered
 from martline.session import ensure_checkpoint_dir
 
 FANOUT = 16
@@ -151,51 +149,6 @@ def _all_siblings(nodes: np.ndarray, n: int, height: int, fanout: int) -> list[l
 
 # -- rows to blocks ----------------------------------------------------------
 
-def _numbered(rows: DataFrame, group: str, order: Sequence[str], base: str) -> DataFrame:
-    """``rows`` plus ``rank`` (from 0) of each row in its group by ``order``, and the group's ``total``.
-
-    Range partitions are sorted and numbered in one pass and written; a
-    partition's offset in a group is the sum of the counts of those before it.
-    """
-    tie = F.monotonically_increasing_id().alias("tie")
-    by = [F.col(c).asc_nulls_first() for c in (group, *order, "tie")]
-    ranged = rows.select("*", tie).repartitionByRange(*by).sortWithinPartitions(*by).drop("tie")
-    schema = T.StructType([*ranged.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("pos", T.LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        held, count = None, 0
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            g = batch.column(batch.schema.get_field_index(group))
-            same = np.zeros(n, dtype=bool)
-            if n > 1:
-                a, b = g.slice(0, n - 1), g.slice(1)
-                equal = np.asarray(pc.fill_null(pc.equal(a, b), False))
-                same[1:] = equal | (np.asarray(a.is_null()) & np.asarray(b.is_null()))
-            first = g[0].as_py()
-            same[0] = held is not None and held[0] == first
-            starts = np.where(same, -1, np.arange(n))
-            begin = np.maximum.accumulate(starts)
-            pos = np.where(begin < 0, np.arange(n) + count, np.arange(n) - begin)
-            held, count = (g[n - 1].as_py(),), int(pos[-1]) + 1
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(n, part, np.int32)), pa.array(pos.astype(np.int64))],
-                                             [*batch.schema.names, "part", "pos"])
-
-    path = f"{base}/numbered-{uuid.uuid4().hex}"
-    ranged.mapInArrow(run, schema).write.parquet(path)
-    spark = rows.sparkSession
-    written = spark.read.schema(schema).parquet(path)
-    counts = written.groupBy(group, "part").agg((F.max("pos") + 1).alias("n"))
-    within = W.partitionBy(group)
-    offsets = counts.select(F.col(group).alias("_g"), F.col("part").alias("_p"), F.sum("n").over(within).alias("total"),
-                            F.coalesce(F.sum("n").over(within.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    joined = written.join(offsets, written[group].eqNullSafe(F.col("_g")) & (F.col("part") == F.col("_p")))
-    return joined.withColumn("rank", F.col("before") + F.col("pos")).drop("part", "pos", "_g", "_p", "before")
-
-
 def _block_schema(key: T.DataType) -> T.StructType:
     return T.StructType([
         T.StructField("grp", T.StringType()), T.StructField("block", T.LongType()), T.StructField("total", T.LongType()),
@@ -282,13 +235,13 @@ def build(rows: DataFrame, group: Column, key: Column, leaf: Column, claim: Colu
     claim = F.lit(None).cast("string") if claim is None else claim
     hashed = rows.select(group.alias("grp"), key.alias("key"), F.unhex(leaf).alias("digest"), F.unhex(claim).alias("claim"))
     hashed.write.parquet(f"{base}/leaves")
-    leaves = _numbered(spark.read.schema(hashed.schema).parquet(f"{base}/leaves"), "grp", ["key", "digest"], base)
+    leaves = numbered(spark.read.schema(hashed.schema).parquet(f"{base}/leaves"), "grp", ["key", "digest"], base)
     layers = _layers(leaves, f"{base}/groups", fanout, levels)
     subroots = None
     for layer in layers:
         tops = layer.where(F.col("total") <= fanout ** levels).select("grp", F.col("root").alias("digest"))
         subroots = tops if subroots is None else subroots.unionByName(tops)
-    ordered = _numbered(subroots.select(F.lit(None).cast("string").alias("tree"), F.col("grp").alias("key"), "digest"), "tree", ["key"], base)
+    ordered = numbered(subroots.select(F.lit(None).cast("string").alias("tree"), F.col("grp").alias("key"), "digest"), "tree", ["key"], base)
     ordered = ordered.select(F.col("tree").alias("grp"), "key", "digest", F.lit(None).cast("binary").alias("claim"), "rank", "total")
     return Manifest(layers, _layers(ordered, f"{base}/top", fanout, levels), fanout, levels)
 

@@ -7,27 +7,31 @@ no source is above its limit (water-filling).
 
 Within a source every document is taken a whole number of times, and the rest
 of the target is a seeded part: documents in the order of a hash of their ids
-are taken once more until the target is met, the last of them for a part of
-its words.  A source's taken words are its target rounded down.
+are taken once more until the target is met.  ``take_plan`` counts the words
+of the last of them that the target still holds, so a source's taken words are
+its target rounded down; ``mix`` takes that document whole or not at all.
 
 The order inside a source is never sorted in one task: documents fall into
 hash buckets, the bucket where a source's target ends is found by sums over
 coarse and then finer buckets, and only that one is put in order.
 
 Cases: a null text has size 0; a null source is a source of its own, sorted
-last; a source without words has target 0; rows with the same id share a
-partial repetition by size (each part rounded down); an empty table gives no
-rows.
+last; a source without words has target 0; rows with the same id come in the
+order of their texts' hashes, rows with the same id and text share a partial
+repetition by size (each part rounded down); an empty table gives no rows; a
+very long text is only hashed and its words counted, by the JVM.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from martline.llm.numbering import numbered
 from martline.session import ensure_checkpoint_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -39,8 +43,9 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def seeded_order(key: Column, seed: str) -> Column:
-    return F.md5(F.concat(F.lit(seed), F.coalesce(key.cast("string"), F.lit(""))))
+def seeded_order(key: Column, text: Column, seed: str) -> Column:
+    """Documents in the order of a hash of their ids, those of equal ids by their texts'."""
+    return F.concat(F.md5(F.concat(F.lit(seed), F.coalesce(key.cast("string"), F.lit("")))), F.hex(F.xxhash64(text)))
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, max_epochs: float = 2.0) -> DataFrame:
@@ -50,11 +55,11 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (3, 1, 2), share:
     water level, words per unit of weight, rises from round to round; only
     sums over the sources reach the driver.
     """
-    ensure_checkpoint_dir(sizes.sparkSession)
     per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    place = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1
+    ordered = per_source.select(F.lit(None).cast("string").alias("all"), F.col("source").isNull().alias("none"), "source", "source_size")
+    placed = numbered(ordered, "all", ["none", "source"], f"{ensure_checkpoint_dir(sizes.sparkSession).rstrip('/')}/sources-{uuid.uuid4().hex}")
     cycle = F.array(*[F.lit(int(w)) for w in weights])
-    table = per_source.withColumn("weight", F.element_at(cycle, (place % len(weights) + 1).cast("int"))).checkpoint()
+    table = placed.select("source", "source_size", F.element_at(cycle, (F.col("rank") % len(weights) + 1).cast("int")).alias("weight")).checkpoint()
     total = share * (table.agg(F.sum("source_size")).first()[0] or 0)
     limit = F.lit(float(max_epochs)) * F.col("source_size")
     level, clamped = (0.0, 1.0), -1
@@ -83,9 +88,9 @@ class MixPlan:
         self.sources = F.broadcast(sources) if _few(sources) else sources
         self.border = F.broadcast(border) if _few(border) else border
 
-    def apply(self, rows: DataFrame, key: Column, source: Column, size: Column) -> DataFrame:
+    def apply(self, rows: DataFrame, order: Column, source: Column, size: Column) -> DataFrame:
         """``rows`` plus source_size, target, ``__whole`` repetitions and ``__part``, the words of one more."""
-        given = rows.withColumn("__order", seeded_order(key, self.seed)).withColumn("__size", size)
+        given = rows.withColumn("__order", order).withColumn("__size", size)
         given = given.join(self.sources, source.eqNullSafe(F.col("s"))).drop("s")
         bucket = F.substring("__order", 1, BUCKET_DIGITS)
         border = self.border.select(F.col("s").alias("__s"), F.col("order").alias("__o"), "given", "of")
@@ -97,14 +102,14 @@ class MixPlan:
 
 
 def make_plan(sized: DataFrame, weights: Sequence[int], share: float, max_epochs: float, seed: str) -> MixPlan:
-    """Plan from (key, source, size) rows."""
+    """Plan from (source, order, size) rows."""
     targets = source_targets(sized, weights, share, max_epochs)
     # floor(target) words of a source: whole rounds over it, then `rest` words of one more round
     goal = F.floor("target").cast("bigint")
     rounds = F.when(F.col("source_size") > 0, F.floor(goal / F.col("source_size"))).otherwise(0).cast("bigint")
     goals = (targets.withColumn("whole", rounds).withColumn("rest", goal - F.col("whole") * F.col("source_size"))
              .withColumnRenamed("source", "s"))
-    ranked = sized.select("source", "size", seeded_order(F.col("key"), seed).alias("order"))
+    ranked = sized.select("source", "size", "order")
     # where each source's rest ends, two digits of the hash at a time: no sum runs over more than 256 buckets
     last = goals.select(F.col("s").alias("l"), "rest", F.lit("").alias("last_bucket"), F.lit(0).cast("bigint").alias("before_bucket"))
     for digits in range(2, BUCKET_DIGITS + 1, 2):
@@ -139,40 +144,33 @@ def take_plan(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float
               text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
     """One row per document: key, source, size, source_size, target, ``whole`` repetitions and ``part``, the words of one more."""
     ensure_checkpoint_dir(docs.sparkSession)
-    sized = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size")).checkpoint()
+    sized = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"),
+                        seeded_order(F.col(f"`{key}`"), F.col(f"`{text}`"), seed).alias("order")).checkpoint()
     plan = make_plan(sized, weights, share, max_epochs, seed)
-    done = plan.apply(sized, F.col("key"), F.col("source"), F.col("size"))
+    done = plan.apply(sized, F.col("order"), F.col("source"), F.col("size"))
     return done.select(F.col("key").alias(key), F.col("source").alias(source), "size", "source_size", "target",
                        F.col("__whole").alias("whole"), F.col("__part").alias("part"))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, max_epochs: float = 2.0, seed: str = "mix",
-        text: str = "text", key: str = "doc_id", source: str = "source", n_chars: str = "n_chars") -> DataFrame:
-    """The mix itself: each document as often as the plan takes it; a partial repetition holds its first words.
-
-    Texts are not shuffled: the plan reaches them by source, and by id for the
-    few documents in the bucket where a source's target ends.  The words of a
-    partial repetition are joined by spaces; ``n_chars``, if the input has
-    it, is then recounted.  All columns of ``docs`` are kept.
+        text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
+    """The mix itself: each document, whole, as often as the plan takes it.
+
+    The document in which a source's partial round ends is taken once more if
+    the plan wants half of its words or more, else not, so a source is off its
+    target by at most half of that document.  Texts are not shuffled: the plan
+    reaches them by source, and by order for the few documents in the bucket
+    where a source's target ends.  All columns of ``docs`` are kept.
     """
     ensure_checkpoint_dir(docs.sparkSession)
-    t = F.col(f"`{text}`")
-    sized = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"), word_count(t).alias("size")).checkpoint()
+    t, k = F.col(f"`{text}`"), F.col(f"`{key}`")
+    sized = docs.select(F.col(f"`{source}`").alias("source"), word_count(t).alias("size"), seeded_order(k, t, seed).alias("order")).checkpoint()
     plan = make_plan(sized, weights, share, max_epochs, seed)
     # the plan's columns must not meet the input's: everything of the input is kept in one struct
     boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
     row = F.col("__row")
-    done = plan.apply(boxed, row[key], row[source], word_count(row[text]))
     size = word_count(row[text])
-    copies = done.withColumn("__copy", F.explode(F.expr("filter(sequence(1, cast(__whole + 1 AS int)), c -> c <= __whole OR __part > 0)")))
-    cut = (F.col("__copy") > F.col("__whole")) & (F.col("__part") < size)
-    first_words = F.array_join(F.slice(F.regexp_extract_all(row[text], F.lit(f"({WORD})")), F.lit(1), F.greatest(F.col("__part"), F.lit(1)).cast("int")), " ")
-    columns = []
-    for c in docs.columns:
-        if c == text:
-            columns.append(F.when(cut, first_words).otherwise(row[c]).alias(c))
-        elif c == n_chars:
-            columns.append(F.when(cut, F.length(first_words)).otherwise(row[c]).cast(docs.schema[c].dataType).alias(c))
-        else:
-            columns.append(row[c].alias(c))
-    return copies.select(*columns)
+    done = plan.apply(boxed, seeded_order(row[key], row[text], seed), row[source], size)
+    copies = F.col("__whole") + F.when((F.col("__part") > 0) & (2 * F.col("__part") >= size), 1).otherwise(0)
+    taken = done.withColumn("__copies", copies.cast("int")).where("__copies > 0")
+    return taken.withColumn("__copy", F.explode(F.expr("sequence(1, __copies)"))).select(*[row[c].alias(c) for c in docs.columns])

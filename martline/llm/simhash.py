@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martline.llm.blocks import LOWER, SPACE, U64, blocks, replace_columns, word_spans
+from martline.llm.blocks import LOWER, SPACE, U64, blocks, replace_columns, unused, word_spans
 from martline.session import ensure_checkpoint_dir
 
 SEED = 42
@@ -295,12 +295,13 @@ def near_duplicate_groups(docs: DataFrame, radius: int = 3, shingle: int = 3, te
 
 
 def keep_one(docs: DataFrame, radius: int = 3, shingle: int = 3, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each group the row with the smallest key (then text hash) stays."""
+    """The rows of ``docs`` without near-duplicates: of each group the row with the smallest key (then text hash, then least other columns) stays."""
     groups = near_duplicate_groups(docs, radius, shingle, text, key, **options)
     best = groups.groupBy("root").agg(F.min(F.struct(F.col(f"`{key}`").isNull().alias("none"), F.col(f"`{key}`").alias("key"), "text_hash")).alias("b"))
-    stay = best.select(F.col("b.key").alias("__key"), F.col("b.text_hash").alias("__hash"))
-    marked = docs.withColumn("__hash2", F.xxhash64(F.col(f"`{text}`")))
-    found = marked.join(stay, F.col(f"`{key}`").eqNullSafe(F.col("__key")) & (F.col("__hash2") == F.col("__hash")))
-    # identical rows of one document share key and hash, and with them their place
-    one = found.dropDuplicates(["__key", "__hash"])
-    return one.select(*[F.col(f"`{c}`") for c in docs.columns])
+    k, h, mine, order = (unused(n, docs) for n in ("stay_key", "stay_hash", "text_hash", "nth"))
+    stay = best.select(F.col("b.key").alias(k), F.col("b.text_hash").alias(h))
+    found = docs.withColumn(mine, F.xxhash64(F.col(f"`{text}`"))).join(stay, F.col(f"`{key}`").eqNullSafe(F.col(k)) & (F.col(mine) == F.col(h)))
+    # rows of one document share key and hash, and with them their place: of those the least stays, other columns compared as JSON
+    rest = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]))
+    one = found.groupBy(k, h).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), rest).alias(order))
+    return one.select(*[F.col(order)[c].alias(c) for c in docs.columns])

@@ -149,25 +149,29 @@ def _bag(text: str, sizes: tuple[int, ...], bits: int) -> tuple[np.ndarray, np.n
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", train_on: Column | None = None,
         docs_per_label: dict | int = DOCS_PER_LABEL, max_chars: int = MAX_TRAIN_CHARS, **options) -> SubwordModel:
-    """Train on a bounded sample of the labelled documents, about ``docs_per_label`` with each label (so many thousand ids reach the executors by broadcast)."""
+    """Train on a bounded sample of the labelled documents, about ``docs_per_label`` with each label (so many thousand ids reach the executors by broadcast).
+
+    Of an id with several texts the one with the smallest hash is learned.
+    """
     rows = docs if train_on is None else docs.where(train_on)
-    known = labels.where(F.col(f"`{label}`").isin(0, 1)).select(F.col(f"`{key}`").alias("__key"), F.col(f"`{label}`").alias("__label"))
-    texts = rows.select(F.col(f"`{key}`").alias("__id"), F.col(f"`{text}`").alias("__text")).where(F.length("__text") <= max_chars)
+    known = labels.where(F.col(f"`{label}`").isin(0, 1)).select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").alias("label"))
+    texts = rows.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).where(F.length("text") <= max_chars)
     pairs = _sampled_pairs(texts, known, docs_per_label)
     return train(pairs, **options)
 
 
 def _sampled_pairs(texts: DataFrame, known: DataFrame, per_label: dict | int) -> list[tuple[int, str]]:
     """The ids are sampled first, from the small label table, so that only the sampled texts are read from the join."""
-    picked = bounded_sample(known, F.col("__label"), F.col("__key"), F.col("__key"), per_label, max_labels=2, seed="toxicity")
+    picked = bounded_sample(known, F.col("label"), F.col("key"), per_label, max_labels=2, seed="toxicity")
     if not picked:
         return []
     spark = texts.sparkSession
     # some thousand ids: small by construction
-    ids = spark.createDataFrame([(int(label), k) for label, k in picked], f"label int, id {dict(known.dtypes)['__key']}")
-    rows = texts.join(F.broadcast(ids), texts["__id"] == ids["id"]).select("label", "id", "__text").collect()
-    rows.sort(key=lambda r: (r["id"], r["label"], r["__text"]))
-    return [(r["label"], r["__text"]) for r in rows]
+    ids = spark.createDataFrame([(int(label), k) for label, k in picked], f"label int, key {dict(known.dtypes)['key']}")
+    found = texts.join(F.broadcast(ids), F.col("id") == F.col("key")).groupBy("label", "id").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("t"))
+    rows = found.select("label", "id", F.col("t.text").alias("text")).collect()
+    rows.sort(key=lambda r: (r["id"], r["label"]))
+    return [(r["label"], r["text"]) for r in rows]
 
 
 def predict(docs: DataFrame, model: SubwordModel, text: str = "text", score: str = "score", predicted: str = "predicted") -> DataFrame:

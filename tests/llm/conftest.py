@@ -13,8 +13,10 @@ ROWS = [
     (9, "The cat sat on the mat with the hat of a man", "en", "s1", 5), (10, "é", "fr", "", 1),
 ]
 SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, score string, key string, size string, part int, fp string, "
-          "`kept_text` string, spans string, ids string, `odd name.x` date, Lang_Pred string, kept string, fingerprint string, target string, s string")
-EXTRA = ("clash", "clash", "clash", 7, "clash", "clash", "clash", "clash", datetime.date(2020, 1, 1), "clash", "clash", "clash", "clash", "clash")
+          "`kept_text` string, spans string, ids string, `odd name.x` date, Lang_Pred string, kept string, fingerprint string, target string, s string, "
+          "__out string, __mark string, __key string, __hash2 string, __letter string, __drops string, `out` string, `far` string, mark string, letter string, "
+          "stay_key string, text_hash string, nth string")
+EXTRA = ("clash", "clash", "clash", 7, "clash", "clash", "clash", "clash", datetime.date(2020, 1, 1), "clash", "clash", "clash", "clash", "clash", *["kept as it is"] * 13)
 
 
 @pytest.fixture(scope="session")

@@ -124,10 +124,13 @@ def test_mix_takes_what_the_plan_says(docs_small, awkward):
             assert abs(taken[r.source] - r.target) <= 2
         mixed = mixing.mix(docs)
         assert mixed.columns == docs.columns
-        words = collections.Counter()
-        for m in mixed.collect():
-            words[m.source] += len(re.findall(r"[^\x20\x09-\x0D]+", m.text or ""))
-        assert {k: v for k, v in words.items() if v} == {k: v for k, v in taken.items() if v}
+        # documents are taken whole: the one in which a round ends once more if half of it or more is wanted
+        copies = collections.Counter({(r.source, r.size): 0 for r in rows})
+        for r in rows:
+            copies[r.source, r.size] += r.whole + (r.part > 0 and 2 * r.part >= r.size)
+        made = collections.Counter((m.source, len(re.findall(r"[^\x20\x09-\x0D]+", m.text or ""))) for m in mixed.collect())
+        assert made == +copies
+        assert {m.text for m in mixed.collect()} <= {m.text for m in docs.collect()}
         again = mixing.take_plan(docs.repartition(5)).collect()
         assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, again), key=str)
 
@@ -144,3 +147,77 @@ def test_hot_source_is_not_ordered_whole(spark):
     for r in rows:
         taken[r.source] += r.whole * r.size + r.part
     assert all(taken[r.source] == int(r.target) for r in rows)
+
+
+def test_many_rows_of_one_id_are_told_apart_by_text(spark):
+    docs = spark.range(400).selectExpr("CAST(NULL AS bigint) AS doc_id", "concat('one two three ', id) AS text", "CASE WHEN id < 300 THEN 'a' ELSE 'b' END AS source")
+    rows = mixing.take_plan(docs, share=0.4).collect()
+    assert sum(0 < r.part < r.size for r in rows) <= 2
+    words = sum(4 for _ in mixing.mix(docs, share=0.4).collect())
+    assert abs(words - 0.4 * 1600) <= 4
+
+
+def test_sources_beyond_number_are_weighed_in_order(spark):
+    """Sources with a long common prefix, numbered over several partitions."""
+    names = [None if i == 77 else f"https://example.org/a/long/common/prefix/{i:05d}" for i in range(900)]
+    sizes = spark.createDataFrame([(n, 10) for n in names], "source string, size bigint").repartition(7)
+    got = {r.source: r.target for r in mixing.source_targets(sizes, weights=(3, 1, 2), share=0.5).collect()}
+    order = sorted(names, key=lambda s: (s is None, s or ""))
+    for i, n in enumerate(order):
+        assert got[n] == pytest.approx(0.5 * 9000 * (3, 1, 2)[i % 3] / 1800)
+    plan = mixing.source_targets(sizes)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_names_in_between_are_not_taken_from_the_input(spark, awkward):
+    """Columns that are called like an operator's own in-between columns come through unchanged."""
+    from martline.llm import bpe, langid, simhash, spotsigs, toxicity
+    from martline.llm.queries import BPE_VOCABULARY
+    mine = ["__out", "__mark", "__key", "__hash2", "__letter", "__drops", "out", "far", "mark", "letter", "stay_key", "nth"]
+    model = langid.fit(awkward)
+    scores = toxicity.fit(awkward, spark.createDataFrame([(1, 1), (3, 0)], "doc_id bigint, toxic int"))
+    for made in (langid.predict(awkward, model), linededup.drop_frequent_lines(awkward), linededup.drop_frequent_lines(awkward, broadcast_bytes=0),
+                 bpe.round_trip(awkward, BPE_VOCABULARY), bpe.round_trip(awkward, BPE_VOCABULARY, long_chars=1000), bpe.encode(awkward, BPE_VOCABULARY, long_chars=1000),
+                 quality.quality_report(awkward, quality.default_rules()), quality.apply_cascade(awkward, quality.default_rules()), mixing.mix(awkward),
+                 toxicity.predict(awkward, scores), simhash.keep_one(awkward)):
+        for r in made.select(*mine).distinct().collect():
+            assert set(r) == {"kept as it is"}
+
+
+def test_rows_of_one_id_and_text_keep_the_least_of_the_rest(spark):
+    from martline.llm import simhash
+    rows = [(1, "a b c d e", None, x) for x in ("z", "b", "m")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    for parts in (1, 3):
+        assert [r.source for r in simhash.keep_one(docs.repartition(parts)).collect()] == ["b"]
+
+
+def test_sample_is_bounded_however_ids_repeat(spark):
+    from martline.llm.blocks import bounded_sample
+    rows = spark.range(100_000).selectExpr("CAST(1 AS bigint) AS doc_id", "CASE WHEN id % 4 = 0 THEN 'de' ELSE 'en' END AS lang", "concat('text ', id % 50000) AS text")
+    same = rows.withColumn("text", F.lit("always the same"))
+    found = collections.Counter(label for label, _ in bounded_sample(rows, F.col("lang"), F.col("text"), 800))
+    assert all(700 <= n <= 1100 for n in found.values()) and len(found) == 2
+    assert sorted(bounded_sample(same, F.col("lang"), F.col("text"), 800)) == [("de", "always the same"), ("en", "always the same")]
+    assert bounded_sample(rows, F.col("lang"), F.col("text"), 800) == bounded_sample(rows.repartition(9), F.col("lang"), F.col("text"), 800)
+
+
+def test_many_texts_of_one_labelled_id(spark):
+    from martline.llm import toxicity
+    docs = spark.range(20_000).selectExpr("CASE WHEN id < 19990 THEN 7 ELSE id END AS doc_id", "concat('text ', id) AS text")
+    labels = spark.createDataFrame([(7, 1), (19995, 0), (19996, 0)], "doc_id bigint, toxic int")
+    texts = docs.toDF("id", "text")
+    pairs = toxicity._sampled_pairs(texts, labels.toDF("key", "label"), {0: 10, 1: 10})
+    assert sorted(label for label, _ in pairs) == [0, 0, 1]
+
+
+def test_long_text_takes_windows_a_few_at_a_time():
+    import tracemalloc
+    from martline.llm import langid
+    model = langid.train([("a", b"the cat sat"), ("b", b"zzz 123")] * 3, filters=4, epochs=1)
+    data = np.frombuffer(b"the cat sat on the mat " * 500_000, np.uint8)
+    tracemalloc.start()
+    langid.classify(model, data, np.array([0, len(data)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 0.5 * len(data)
