@@ -16,19 +16,24 @@ set.  Two empty sets are alike (1), an empty and another set are not (0).
 Sets of lengths ``a <= b`` can only reach likeness ``t`` if ``a >= t * b``.
 The similarity join partitions sets by length so that a set meets only its own
 and the next partition, looks there for sets that share one of its tuples of
-rare signatures, and compares only sets whose lengths can reach ``t``.
+rare signatures, and compares only sets whose lengths can reach ``t``: first by
+sketches in the files of these tuples, then, in groups of what passes, by the
+sets themselves.
+
+Cases: a null text is empty; repeated rows are one set; a very long text is
+signed whole, in about 60 bytes for each of its own.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martline.llm.blocks import LOWER, SpanHasher, U64, blocks, break_spans, hash_share, mix64, replace_columns, text_arrays
@@ -44,7 +49,7 @@ COMMON_WORDS = (
 CHAIN = 2
 DISTANCE = 1
 GAP = 6
-#: Sets of a gathering that one task compares with all of it, and gathered sets up to which their list is broadcast.
+#: Sets of a slice, two of which a task compares, and sets in shared files up to which their list is broadcast.
 SLICE = 4096
 BROADCAST_NODES = 1 << 20
 
@@ -219,15 +224,32 @@ def _frequent_members(rows: DataFrame, sample_docs: int = 2000, least: int = 4,
     return members[counts >= least]
 
 
-def similar_classes(rows: DataFrame, threshold: float, **options) -> DataFrame:
-    """(digest, links) of the sets of (key, text) that reach ``threshold`` with any other: the number of such distinct sets.
+def slices_of(members: Column) -> Column:
+    """Slices of a group of so many sets: pairs of slices are compared in tasks of their own, of some hundred up to ``SLICE`` sets a side."""
+    return F.greatest(F.ceil(members / SLICE), F.least(F.lit(14), F.ceil(members / 256))).cast("int")
+
+
+def deal_pairs(rows: DataFrame, group: str, members: str, by: str) -> DataFrame:
+    """``rows`` once for every pair of slices (i <= j) of their group that they belong to, with ``side`` 0 (slice i), 1 (slice j) or 2 (i = j)."""
+    own = F.pmod(F.xxhash64(F.lit("slice"), by), slices_of(F.col(members))).cast("int")
+    placed = rows.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), slices_of(F.col(members)) - 1)))
+    return (placed.withColumn("i", F.least("own", "with")).withColumn("j", F.greatest("own", "with"))
+            .withColumn("side", F.when(F.col("own") == F.col("with"), 2).when(F.col("own") < F.col("with"), 0).otherwise(1)).drop("own", "with", members))
 
-    Sets are filed by ``LengthFiles``; a task hands on its keys as packed
-    bytes, and a file a star over its members, never its pairs.  Sets that
-    stars connect are gathered and compared there, longest first, so that a
-    block of sets meets only those whose lengths can reach the threshold.  A
-    gathering of over ``SLICE`` sets is compared in slices of its sets with
-    all, each slice a task.
+
+def similar_groups(rows: DataFrame, threshold: float, **options) -> tuple[DataFrame, DataFrame]:
+    """(digest, node, members) of the sets of (key, text) that share a file with another, and (node, root) of those that may be alike.
+
+    1. Sets are filed by ``LengthFiles``; a task hands on its keys as packed
+       bytes, and of the files only those with several sets are kept.
+    2. In each such file, sets are compared by length and by parity sketch: the
+       bits in which two sketches differ are at most the members in which the
+       sets differ, so a pair over the bound is dropped for certain.  Sets that
+       only share a file, or a template, part here; what is left is handed on
+       as stars, which are joined to groups.
+
+    Large files are compared by pairs of slices, each pair in a task that holds
+    the two slices and nothing else; pairs of sets are never written.
     """
     spark = rows.sparkSession
     files = LengthFiles(threshold, _frequent_members(rows, **options))
@@ -256,23 +278,23 @@ def similar_classes(rows: DataFrame, threshold: float, **options) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array([packed[a:b].tobytes() for a, b in zip(first, ends)], pa.binary())],
                                              ["bucket", "filed"])
 
-    def star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(key, node, m) of the files with more than one set."""
         packed = np.frombuffer(b"".join(x for batch in batches for x in batch.column("filed").to_pylist()), np.uint8).reshape(-1, 12)
+        packed = np.unique(packed.view("V12").ravel()).view(np.uint8).reshape(-1, 12)
         wide = np.zeros((2, len(packed), 8), np.uint8)
         wide[0, :, :6], wide[1, :, :6] = packed[:, :6], packed[:, 6:]
         key, node = wide.view("<u8")[..., 0].astype(np.int64)
-        order = np.lexsort((node, key))
-        key, node = key[order], node[order]
-        first = np.concatenate([[True], key[1:] != key[:-1]])[:len(key)]
-        least = node[np.flatnonzero(first)][np.cumsum(first) - 1]
-        edges = np.unique(np.stack([node, least], axis=1)[node != least], axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0], pa.int64()), pa.array(edges[:, 1], pa.int64())], ["a", "b"])
+        order = np.argsort(key, kind="stable")
+        _, at, m = np.unique(key[order], return_inverse=True, return_counts=True)
+        key, node, m = key[order], node[order], m[at]
+        for lo in range(0, len(key), 1 << 16):
+            kept = lo + np.flatnonzero(m[lo:lo + (1 << 16)] > 1)
+            yield pa.RecordBatch.from_arrays([pa.array(key[kept]), pa.array(node[kept]), pa.array(m[kept])], ["key", "node", "m"])
 
     filed = rows.select("text").mapInArrow(file, "bucket int, filed binary").repartition("bucket")
-    roots = connected(filed.mapInArrow(star, "a bigint, b bigint"))
-    roots = roots.union(roots.select(F.col("root").alias("node"), "root")).distinct().checkpoint()
-    sizes = roots.groupBy("root").agg(F.count("*").alias("m"))
-    roots = roots.join(sizes, "root").checkpoint()
+    shared = filed.mapInArrow(several, "key bigint, node bigint, m bigint").checkpoint()
+    wanted = shared.select("node").distinct().checkpoint()
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(**options)
@@ -284,21 +306,165 @@ def similar_classes(rows: DataFrame, threshold: float, **options) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([_node(d) for d in digests], pa.int64()), pa.array(digests, pa.binary()),
                                                   pa.array([x.astype("<u4").tobytes() for x in found], pa.binary())], ["node", "digest", "members"])
 
-    few = roots.count() <= BROADCAST_NODES
-    sets = rows.select("text").mapInArrow(members, "node bigint, digest binary, members binary").join(F.broadcast(roots) if few else roots, "node")
-    sets = sets.groupBy("digest").agg(F.first("members").alias("members"), F.first("root").alias("root"), F.first("m").alias("m"))
-    slices = F.ceil(F.col("m") / SLICE).cast("int")
-    own = F.pmod(F.xxhash64("digest"), slices)
-    dealt = sets.withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1))).withColumn("own", own == F.col("slice"))
+    few = wanted.count() <= BROADCAST_NODES
+    sets = rows.select("text").mapInArrow(members, "node bigint, digest binary, members binary").join(F.broadcast(wanted) if few else wanted, "node")
+    sets = sets.groupBy("digest").agg(F.first("node").alias("node"), F.first("members").alias("members")).checkpoint()
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(x, "<u4") for x in batch.column("members").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([len(x) for x in found], pa.int32()), pa.array([parity_sketch(x) for x in found], pa.binary())],
+                                             ["node", "n", "sketch"])
+
+    # sets that share a node are told apart in the last step; here each stands for the node
+    sketches = sets.select("node", "members").mapInArrow(sketch, "node bigint, n int, sketch binary")
+    in_files = deal_pairs(shared.join(sketches, "node"), "key", "m", "node")
+    dealt = in_files.select("key", "i", "j", "side", "node", "n", "sketch").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    roots = connected(dealt.mapInArrow(lambda it: _sketch_stars(it, threshold), "a bigint, b bigint"))
+    return sets, roots.union(roots.select(F.col("root").alias("node"), "root")).distinct().checkpoint()
+
+
+def similar_classes(rows: DataFrame, threshold: float, **options) -> DataFrame:
+    """(digest, links) of the sets of (key, text) that reach ``threshold`` with any other: the number of such distinct sets.
+
+    The sets of each group of ``similar_groups`` are compared exactly, longest
+    first, so that a block of sets meets only those whose lengths can reach
+    the threshold; large groups by pairs of slices.
+    """
+    sets, roots = similar_groups(rows, threshold, **options)
+    gathered = sets.join(roots, "node")
+    sizes = gathered.groupBy("root").agg(F.count("*").alias("m"))
+    # sets of one node that nothing else resembles may still resemble each other
+    same = sets.join(roots, "node", "left_anti").withColumn("root", F.col("node"))
+    twins = same.groupBy("root").agg(F.count("*").alias("m")).where("m > 1")
+    together = gathered.select("root", "digest", "members").join(sizes, "root").unionByName(same.select("root", "digest", "members").join(twins, "root"))
+    pairs = deal_pairs(together, "root", "m", "digest")
 
     def compare(group: pa.Table) -> pa.Table:
         digests = group.column("digest").to_pylist()
-        own = np.asarray(group.column("own").combine_chunks().to_numpy(zero_copy_only=False), dtype=bool)
-        links = count_links([np.frombuffer(x, "<u4") for x in group.column("members").to_pylist()], own, threshold)
-        at = np.flatnonzero(own & (links > 0))
+        side = np.asarray(group.column("side").combine_chunks().to_numpy(zero_copy_only=False))
+        found = [np.frombuffer(x, "<u4") for x in group.column("members").to_pylist()]
+        links = count_links(found, np.ones(len(found), dtype=bool), threshold) if (side == 2).all() else count_across(found, side == 0, threshold)
+        at = np.flatnonzero(links > 0)
         return pa.table({"digest": pa.array([digests[i] for i in at], pa.binary()), "links": pa.array(links[at], pa.int64())})
 
-    return dealt.select("root", "slice", "own", "digest", "members").groupBy("root", "slice").applyInArrow(compare, "digest binary, links bigint")
+    counted = pairs.select("root", "i", "j", "side", "digest", "members").groupBy("root", "i", "j").applyInArrow(compare, "digest binary, links bigint")
+    return counted.groupBy("digest").agg(F.sum("links").alias("links"))
+
+
+def parity_sketch(members: np.ndarray) -> bytes:
+    """Bits that say whether an odd number of members fall on each; over one bit for each member, a power of two of words."""
+    words = 1
+    while 48 * words < len(members):
+        words *= 2
+    bits = np.bincount((mix64(members.astype(U64) + U64(7)) & U64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(sketches: list[bytes]) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """Words of each sketch, and for every number of words the sketches of at least as many, folded to it."""
+    words = np.array([len(x) // 8 for x in sketches])
+    out, at = {}, int(words.max(initial=1))
+    while at:
+        level = np.zeros((len(sketches), at), U64)
+        if 2 * at in out:
+            level = out[2 * at][:, :at] ^ out[2 * at][:, at:]
+        own = np.flatnonzero(words == at)
+        if len(own):
+            level[own] = np.frombuffer(b"".join(sketches[i] for i in own), "<u8").reshape(-1, at)
+        out[at] = level
+        at //= 2
+    return words, out
+
+
+def _passing(a: np.ndarray, b: np.ndarray, n: np.ndarray, words: np.ndarray, folded: dict[int, np.ndarray], threshold: float) -> np.ndarray:
+    """Which pairs of rows may reach the threshold, by length and sketch."""
+    low, high = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+    passing = low >= threshold * high - 1e-9
+    apart = ((n[a] + n[b]) * (1 - threshold) / (1 + threshold) + 1e-9).astype(np.int64)
+    width = np.minimum(words[a], words[b])
+    for w, level in folded.items():
+        at = np.flatnonzero(passing & (width == w))
+        for lo in range(0, len(at), 1 << 18):
+            some = at[lo:lo + (1 << 18)]
+            differ = np.bitwise_count(level[a[some]] ^ level[b[some]]).sum(axis=1, dtype=np.int64)
+            passing[some] = differ <= apart[some]
+    return passing
+
+
+def _components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least node reachable from each of ``n`` nodes."""
+    root = np.arange(n)
+    while len(a):
+        low = np.minimum(root[a], root[b])
+        before = root.copy()
+        np.minimum.at(root, root[a], low)
+        np.minimum.at(root, root[b], low)
+        while True:
+            jumped = root[root]
+            if (jumped == root).all():
+                break
+            root = jumped
+        if (before == root).all():
+            break
+    return root
+
+
+def _sketch_stars(batches: Iterator[pa.RecordBatch], threshold: float, rows_at_once: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """Stars over the sets that pairs passing in their files connect; rows come sorted by file and pair of slices."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def stars(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(parts)
+        key, i, j, side, node, n = (table.column(c).to_numpy() for c in ("key", "i", "j", "side", "node", "n"))
+        words, folded = _folded(table.column("sketch").to_pylist())
+        ends = np.flatnonzero(np.r_[(key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]), True]) + 1
+        starts = np.r_[0, ends[:-1]]
+        nodes, at = np.unique(node, return_inverse=True)
+        left, right = [], []
+
+        def keep(a: np.ndarray, b: np.ndarray) -> None:
+            good = _passing(a, b, n, words, folded, threshold) & (at[a] != at[b])
+            left.append(at[a[good]])
+            right.append(at[b[good]])
+
+        split = side[starts] != 2
+        m = ends - starts
+        for count in np.unique(m[~split]):
+            some = starts[~split & (m == count)]
+            x, y = np.triu_indices(count, 1)
+            step = max(1, (1 << 20) // max(1, len(x)))
+            for lo in range(0, len(some), step):
+                base = some[lo:lo + step, None]
+                keep((base + x).ravel(), (base + y).ravel())
+        for lo, hi in zip(starts[split], ends[split]):
+            x, y = lo + np.flatnonzero(side[lo:hi] == 0), lo + np.flatnonzero(side[lo:hi] == 1)
+            step = max(1, (1 << 20) // max(1, len(y)))
+            for k in range(0, len(x), step):
+                keep(np.repeat(x[k:k + step], len(y)), np.tile(y, len(x[k:k + step])))
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
+        root = _components(len(nodes), a, b)
+        linked = np.flatnonzero(root != np.arange(len(nodes)))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[linked]), pa.array(nodes[root[linked]])], ["a", "b"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.num_rows
+        if size < rows_at_once:
+            continue
+        # the last file may go on in the next batch
+        table = pa.Table.from_batches(held).combine_chunks()
+        ident = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")])
+        cut = int(np.flatnonzero((ident != ident[:, -1:]).any(axis=0))[-1] + 1) if (ident != ident[:, -1:]).any() else 0
+        if cut:
+            yield stars(table.slice(0, cut).to_batches())
+            held = table.slice(cut).to_batches()
+            size = table.num_rows - cut
+    if held:
+        yield stars(held)
 
 
 def count_links(sets: list[np.ndarray], own: np.ndarray, threshold: float, block: int = 512, columns: int = 8192) -> np.ndarray:
@@ -311,18 +477,39 @@ def count_links(sets: list[np.ndarray], own: np.ndarray, threshold: float, block
         query = mine[lo:lo + block]
         longest, shortest = n[query[0]], n[query[-1]]
         others = order[(n[order] >= threshold * shortest - 1e-9) & (threshold * n[order] <= longest + 1e-9)]
-        known = np.unique(np.concatenate([sets[i] for i in query]))
         for at in range(0, len(others), block):
             other = others[at:at + block]
-            common = np.zeros((len(query), len(other)), np.float32)
-            for c in range(0, len(known), columns):
-                common += _dense(sets, query, known[c:c + columns]) @ _dense(sets, other, known[c:c + columns]).T
-            total = n[query][:, None] + n[other][None, :] - common.astype(np.float64)
-            alike = (common / np.maximum(total, 1) >= threshold) & (query[:, None] != other[None, :])
+            alike = (_likeness(sets, n, query, other, columns) >= threshold) & (query[:, None] != other[None, :])
             links[query] += alike.sum(axis=1)
     return links
 
 
+def count_across(sets: list[np.ndarray], left: np.ndarray, threshold: float, block: int = 512, columns: int = 8192) -> np.ndarray:
+    """For each of the distinct ``sets``: with how many of the other side (``left`` or not) its likeness reaches ``threshold``."""
+    n = np.array([len(x) for x in sets], dtype=np.int64)
+    order = np.argsort(-n, kind="stable")
+    links = np.zeros(len(sets), np.int64)
+    mine, rest = order[left[order]], order[~left[order]]
+    for lo in range(0, len(mine), block):
+        query = mine[lo:lo + block]
+        longest, shortest = n[query[0]], n[query[-1]]
+        others = rest[(n[rest] >= threshold * shortest - 1e-9) & (threshold * n[rest] <= longest + 1e-9)]
+        for at in range(0, len(others), block):
+            other = others[at:at + block]
+            alike = _likeness(sets, n, query, other, columns) >= threshold
+            links[query] += alike.sum(axis=1)
+            links[other] += alike.sum(axis=0)
+    return links
+
+
+def _likeness(sets: list[np.ndarray], n: np.ndarray, query: np.ndarray, other: np.ndarray, columns: int) -> np.ndarray:
+    known = np.unique(np.concatenate([sets[i] for i in query]))
+    common = np.zeros((len(query), len(other)), np.float32)
+    for c in range(0, len(known), columns):
+        common += _dense(sets, query, known[c:c + columns]) @ _dense(sets, other, known[c:c + columns]).T
+    return common / np.maximum(n[query][:, None] + n[other][None, :] - common.astype(np.float64), 1)
+
+
 def _dense(sets: list[np.ndarray], which: np.ndarray, known: np.ndarray) -> np.ndarray:
     out = np.zeros((len(which), len(known)), np.float32)
     row = np.repeat(np.arange(len(which)), [len(sets[i]) for i in which])
@@ -374,7 +561,7 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id"
     key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited
     and near_next.
 
-    Texts are dealt once, by ranges of the key whose bounds are quantiles of
+    Texts are dealt once, compressed, by ranges of the key whose bounds are quantiles of
     the keys, and sorted within ranges.  The document that follows a range's
     last is the bound itself, so bounds are sent to both ranges.  Rows with
     equal keys follow each other by the hash of their texts; null keys come last.
@@ -405,24 +592,27 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id"
                 also2 = np.zeros(len(known), np.int64)
             yield pa.StructArray.from_arrays([pa.array(part.astype(np.int32)), pa.array(also.astype(np.int32)), pa.array(also2.astype(np.int32))], ["part", "also", "wrap"])
 
+    def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        squeeze = zstandard.ZstdCompressor(level=6)
+        for column in batches:
+            yield pa.array([squeeze.compress(x.encode()) for x in column.to_pylist()], pa.binary())
+
     dealing = F.arrow_udf(deal, "part int, also int, wrap int", F.ArrowUDFType.SCALAR_ITER)
-    dealt = rows.withColumn("d", dealing("key"))
+    packing = F.arrow_udf(pack, "binary", F.ArrowUDFType.SCALAR_ITER)
+    dealt = rows.select("key", packing("text").alias("text"), F.xxhash64("text").alias("tie"), dealing("key").alias("d"))
     # a key past the largest bound may be the top and a bound's follower at once: up to three roles
     roles = F.filter(F.array(F.struct(F.col("d.part").alias("part"), F.lit(0).alias("guard")), F.struct(F.col("d.also").alias("part"), F.lit(1).alias("guard")),
                              F.struct(F.col("d.wrap").alias("part"), F.lit(2).alias("guard"))), lambda r: r["part"] >= 0)
-    placed = dealt.select("key", "text", F.explode(roles).alias("r")).select("key", "text", "r.part", "r.guard")
+    placed = dealt.select("key", "text", "tie", F.explode(roles).alias("r")).select("key", "text", "tie", "r.part", "r.guard")
     names = ["key", "text", "part", "guard"]
     if threshold is not None:
         prints, classes = classified(rows, threshold, **options)
-        # both are checkpointed: the join's shuffle files can go before the texts are dealt
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
         where = prints.select("digest", dealing("key").getField("part").alias("part")).distinct()
-        ahead = where.join(classes, "digest").select(F.lit(None).cast("bigint").alias("key"), F.lit(None).cast("string").alias("text"), "part",
+        ahead = where.join(classes, "digest").select(F.lit(None).cast("bigint").alias("key"), F.lit(None).cast("binary").alias("text"), "part",
                                                      F.lit(-1).alias("guard"), "digest", "class_id", "links")
         placed = placed.unionByName(ahead, allowMissingColumns=True)
         names += ["digest", "class_id", "links"]
-    ordered = (placed.withColumn("tie", F.xxhash64("text")).repartition("part")
+    ordered = (placed.repartition("part")
                .sortWithinPartitions("part", "guard", F.col("key").desc_nulls_last(), "tie").select(*names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -446,9 +636,10 @@ def _edit_ranges(batches: Iterator[pa.RecordBatch], signer: Signer, classified:
     held: tuple | None = None
     classes: dict | None = {} if classified else None
     of = None  # the range of these classes
+    unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
         keys, parts, guards = batch.column("key").to_pylist(), batch.column("part").to_numpy(), batch.column("guard").to_numpy()
-        texts = batch.column("text")
+        texts = pa.array([None if x is None else unpack(x).decode() for x in batch.column("text").to_pylist()], pa.large_string())
         if classified:
             digests, ids, links = (batch.column(c).to_pylist() for c in ("digest", "class_id", "links"))
         for lo, hi, _, _ in blocks(texts, 1 << 18):

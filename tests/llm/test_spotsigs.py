@@ -143,3 +143,60 @@ def test_files_share_a_key_whenever_sets_are_alike():
     many = [np.sort(rng.permutation(60)[:50].astype(np.uint32)) for _ in range(70)]
     want = [sum(spotsigs.jaccard(x, y) >= 0.8 for j, y in enumerate(many) if j != i) for i, x in enumerate(many)]
     assert spotsigs.count_links(many, np.ones(70, bool), 0.8, block=16, columns=7).tolist() == want
+
+
+def with_template(rng, n, share):
+    """Documents of which a share of the signatures comes from one template, the rest from nowhere else."""
+    template = [f"the t{i} u{i}" for i in range(int(100 * share))]
+    return [(k, " ".join([*template, *(f"the {rng.integers(1 << 40):x} {rng.integers(1 << 40):x}" for _ in range(100 - len(template)))])) for k in range(n)]
+
+
+def test_templates_make_no_groups(spark):
+    rng = np.random.default_rng(9)
+    for share in (0.5, 0.7):
+        rows = spark.createDataFrame(with_template(rng, 700, share), "key bigint, text string").repartition(4)
+        sets, roots = spotsigs.similar_groups(rows, 0.8)
+        assert roots.count() == 0
+        assert spotsigs.similar_classes(rows, 0.8).count() == 0
+
+
+def test_large_files_and_groups_in_slices(spark, monkeypatch):
+    """Many near copies, split into slices in files and in groups, have the links of all pairs."""
+    rng = np.random.default_rng(10)
+    base = [f"the {a} {b}" for a, b in zip(rng.permutation(10_000)[:80], rng.permutation(10_000)[:80])]
+    docs = []
+    for k in range(420):
+        words = list(base)
+        for at in rng.integers(0, 80, rng.integers(0, 12)):
+            words[at] = f"the {rng.integers(1 << 40):x} x"
+        docs.append((k, " ".join(words)))
+    rows = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r for r in spotsigs.near_duplicates(rows).collect()}
+    signer, sets = spotsigs.Signer(), {}
+    for key, t in docs:
+        for _, _, data, off in blocks(pa.array([t])):
+            sets[key] = frozenset(signer.sets(data, off)[0].tolist())
+    first = {}
+    for key, s in sorted(sets.items()):
+        first.setdefault(s, key)
+    want = {s: sum(1 for o in first if o != s and len(o & s) >= 0.8 * len(o | s)) for s in first}
+    assert max(want.values()) > 200 and min(want.values()) < 10 + max(want.values())
+    assert all((got[k].class_id, got[k].links) == (first[s], want[s]) for k, s in sets.items())
+
+
+def test_sketches_never_part_sets_that_are_alike():
+    rng = np.random.default_rng(11)
+    for t in (0.6, 0.8):
+        found = []
+        for _ in range(150):
+            pool = rng.integers(0, 1 << 32, 900, dtype=np.uint64).astype(np.uint32)
+            n = int(rng.integers(1, 600))
+            a, gone = pool[:n], int(rng.integers(0, n // 4 + 1))
+            found += [np.unique(a), np.unique(np.concatenate([a[gone:], pool[n:n + int(rng.integers(0, n // 4 + 1))]]))]
+        found = [x for x in found if len(x)]
+        words, folded = spotsigs._folded([spotsigs.parity_sketch(x) for x in found])
+        n = np.array([len(x) for x in found])
+        a, b = np.triu_indices(len(found), 1)
+        passing = spotsigs._passing(a, b, n, words, folded, t)
+        alike = np.array([spotsigs.jaccard(found[i], found[j]) >= t for i, j in zip(a, b)])
+        assert alike.any() and passing[alike].all() and passing[~alike].mean() < 0.01
