@@ -52,6 +52,8 @@ GAP = 6
 #: Sets of a slice, two of which a task compares, and sets in shared files up to which their list is broadcast.
 SLICE = 4096
 BROADCAST_NODES = 1 << 20
+#: Pairs whose sketches are compared at once.
+PAIRS = 1 << 17
 
 #: Word characters: ASCII letters and digits and every byte beyond ASCII; punctuation does not count.
 _WORD = np.zeros(256, dtype=bool)
@@ -385,8 +387,8 @@ def _passing(a: np.ndarray, b: np.ndarray, n: np.ndarray, words: np.ndarray, fol
     width = np.minimum(words[a], words[b])
     for w, level in folded.items():
         at = np.flatnonzero(passing & (width == w))
-        for lo in range(0, len(at), 1 << 18):
-            some = at[lo:lo + (1 << 18)]
+        for lo in range(0, len(at), PAIRS):
+            some = at[lo:lo + PAIRS]
             differ = np.bitwise_count(level[a[some]] ^ level[b[some]]).sum(axis=1, dtype=np.int64)
             passing[some] = differ <= apart[some]
     return passing
@@ -434,13 +436,13 @@ def _sketch_stars(batches: Iterator[pa.RecordBatch], threshold: float, rows_at_o
         for count in np.unique(m[~split]):
             some = starts[~split & (m == count)]
             x, y = np.triu_indices(count, 1)
-            step = max(1, (1 << 20) // max(1, len(x)))
+            step = max(1, PAIRS // max(1, len(x)))
             for lo in range(0, len(some), step):
                 base = some[lo:lo + step, None]
                 keep((base + x).ravel(), (base + y).ravel())
         for lo, hi in zip(starts[split], ends[split]):
             x, y = lo + np.flatnonzero(side[lo:hi] == 0), lo + np.flatnonzero(side[lo:hi] == 1)
-            step = max(1, (1 << 20) // max(1, len(y)))
+            step = max(1, PAIRS // max(1, len(y)))
             for k in range(0, len(x), step):
                 keep(np.repeat(x[k:k + step], len(y)), np.tile(y, len(x[k:k + step])))
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
@@ -595,7 +597,8 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id"
     def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         squeeze = zstandard.ZstdCompressor(level=6)
         for column in batches:
-            yield pa.array([squeeze.compress(x.encode()) for x in column.to_pylist()], pa.binary())
+            some = [pa.array([squeeze.compress(x.encode()) for x in column.slice(lo, 200).to_pylist()], pa.binary()) for lo in range(0, len(column), 200)]
+            yield pa.concat_arrays(some) if some else pa.array([], pa.binary())
 
     dealing = F.arrow_udf(deal, "part int, also int, wrap int", F.ArrowUDFType.SCALAR_ITER)
     packing = F.arrow_udf(pack, "binary", F.ArrowUDFType.SCALAR_ITER)
@@ -637,7 +640,8 @@ def _edit_ranges(batches: Iterator[pa.RecordBatch], signer: Signer, classified:
     classes: dict | None = {} if classified else None
     of = None  # the range of these classes
     unpack = zstandard.ZstdDecompressor().decompress
-    for batch in batches:
+    # texts are unpacked some hundred at a time
+    for batch in (b.slice(lo, 200) for b in batches for lo in range(0, b.num_rows, 200)):
         keys, parts, guards = batch.column("key").to_pylist(), batch.column("part").to_numpy(), batch.column("guard").to_numpy()
         texts = pa.array([None if x is None else unpack(x).decode() for x in batch.column("text").to_pylist()], pa.large_string())
         if classified:
