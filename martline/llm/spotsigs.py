@@ -579,30 +579,33 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id"
     top, bounds = rows.agg(F.max("key"), F.percentile_approx("key", shares, 100 * ranges)).first()
     bounds = np.array(sorted(set(bounds or [])), dtype=np.int64)
 
+    def ranges_of(column: pa.Array) -> list[pa.Array]:
+        """The range of a key, the range it also ends as the document after that range's last (-1: none), and whether it is the top."""
+        known = column.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+        part = np.searchsorted(bounds, known, side="left")
+        null = np.asarray(column.is_null())
+        part[null] = 0
+        also = np.where(np.isin(known, bounds), part + 1, -1)
+        also[null] = -1
+        if top is not None:
+            wrap = np.where((known == top) & ~null, 0, -1)
+        else:
+            wrap = np.zeros(len(known), np.int64)
+        return [pa.array(x.astype(np.int32)) for x in (part, also, wrap)]
+
     def deal(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        """The range of a key, and the range it also ends as the document after that range's last (-1: none)."""
         for column in batches:
-            known = column.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
-            part = np.searchsorted(bounds, known, side="left")
-            null = np.asarray(column.is_null())
-            part[null] = 0
-            also = np.where(np.isin(known, bounds), part + 1, -1)
-            also[null] = -1
-            if top is not None:
-                also2 = np.where((known == top) & ~null, 0, -1)
-            else:
-                also2 = np.zeros(len(known), np.int64)
-            yield pa.StructArray.from_arrays([pa.array(part.astype(np.int32)), pa.array(also.astype(np.int32)), pa.array(also2.astype(np.int32))], ["part", "also", "wrap"])
-
-    def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            yield ranges_of(column)[0]
+
+    def pack(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         squeeze = zstandard.ZstdCompressor(level=6)
-        for column in batches:
-            some = [pa.array([squeeze.compress(x.encode()) for x in column.slice(lo, 200).to_pylist()], pa.binary()) for lo in range(0, len(column), 200)]
-            yield pa.concat_arrays(some) if some else pa.array([], pa.binary())
+        for keys, texts in batches:
+            some = [pa.array([squeeze.compress(x.encode()) for x in texts.slice(lo, 200).to_pylist()], pa.binary()) for lo in range(0, len(texts), 200)]
+            yield pa.StructArray.from_arrays([*ranges_of(keys), pa.concat_arrays(some) if some else pa.array([], pa.binary())], ["part", "also", "wrap", "text"])
 
-    dealing = F.arrow_udf(deal, "part int, also int, wrap int", F.ArrowUDFType.SCALAR_ITER)
-    packing = F.arrow_udf(pack, "binary", F.ArrowUDFType.SCALAR_ITER)
-    dealt = rows.select("key", packing("text").alias("text"), F.xxhash64("text").alias("tie"), dealing("key").alias("d"))
+    dealing = F.arrow_udf(deal, "int", F.ArrowUDFType.SCALAR_ITER)
+    packing = F.arrow_udf(pack, "part int, also int, wrap int, text binary", F.ArrowUDFType.SCALAR_ITER)
+    dealt = rows.select("key", F.xxhash64("text").alias("tie"), packing("key", "text").alias("d")).withColumn("text", F.col("d.text"))
     # a key past the largest bound may be the top and a bound's follower at once: up to three roles
     roles = F.filter(F.array(F.struct(F.col("d.part").alias("part"), F.lit(0).alias("guard")), F.struct(F.col("d.also").alias("part"), F.lit(1).alias("guard")),
                              F.struct(F.col("d.wrap").alias("part"), F.lit(2).alias("guard"))), lambda r: r["part"] >= 0)
@@ -610,7 +613,7 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id"
     names = ["key", "text", "part", "guard"]
     if threshold is not None:
         prints, classes = classified(rows, threshold, **options)
-        where = prints.select("digest", dealing("key").getField("part").alias("part")).distinct()
+        where = prints.select("digest", dealing("key").alias("part")).distinct()
         ahead = where.join(classes, "digest").select(F.lit(None).cast("bigint").alias("key"), F.lit(None).cast("binary").alias("text"), "part",
                                                      F.lit(-1).alias("guard"), "digest", "class_id", "links")
         placed = placed.unionByName(ahead, allowMissingColumns=True)
