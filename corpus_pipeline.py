@@ -22,10 +22,11 @@ from martline.session import ensure_checkpoint_dir
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: documents without a language (``und``: null text or no letter) go; a missing ``lang`` becomes the predicted one."""
     model = langid.fit(docs, train_on=remainder(F.col("doc_id"), 4) != 2)
-    guessed = langid.predict(docs.select(F.struct("*").alias("row"), "text"), model, pred="lang_pred", score="lang_score")
-    kept = guessed.where((F.col("lang_pred") != langid.UNDETERMINED) | F.lit(model is None) & F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    filled = F.coalesce(F.col("row.lang"), F.when(F.col("lang_pred") != langid.UNDETERMINED, F.col("lang_pred")))
-    return kept.select(*[filled.alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns])
+    # the network gives every text with a letter a language; a filter on its answer would run it twice
+    lettered = docs.where(F.col("text").rlike(r"\p{L}"))
+    guessed = langid.predict(lettered.select(F.struct("*").alias("row"), "text"), model, pred="lang_pred", score="lang_score")
+    known = F.when(F.col("lang_pred") != langid.UNDETERMINED, F.col("lang_pred"))
+    return guessed.select(*[F.coalesce(F.col("row.lang"), known).alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
