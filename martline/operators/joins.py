@@ -15,7 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martline.functions.text import word_match
+from martline.operators.containment import contained, whole_words
+
 
 # 64 MiB: well under executor memory at any realistic cluster size.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
@@ -119,45 +120,32 @@ def drill_across(a: DataFrame, b: DataFrame, keys: Sequence[str], null_safe: boo
     return null_safe_full_join(a, b, keys) if null_safe else a.join(b, list(keys), "full_outer")
 
 
-def _contained(long: DataFrame, long_col: str, short: DataFrame, short_col: str) -> DataFrame:
-    """Value pairs where ``short_col`` occurs in ``long_col`` (both hold distinct values; compared in lower case).
-
-    Only substrings as long as some value of the other side are made: those
-    lengths are one row, known before anything is exploded.
-    """
-    lengths = short.agg(F.collect_set(F.length(short_col)).alias("_lens")).withColumn("_one", F.lit(1))
-    v = long.select(long_col, F.lower(F.col(long_col)).alias("_v"), F.lit(1).alias("_one")).join(F.broadcast(lengths), "_one")
-    at = v.select(long_col, "_v", F.explode(F.expr("filter(_lens, l -> l <= length(_v))")).alias("_l"))
-    at = at.select(long_col, "_v", "_l", F.explode(F.expr("sequence(1, length(_v) - _l + 1)")).alias("_i"))
-    parts = at.select(long_col, F.substring("_v", F.col("_i"), F.col("_l")).alias("_sub")).distinct()
-    return parts.join(short.withColumn("_sub", F.lower(F.col(short_col))), "_sub").select(long_col, short_col)
-
-
 def substring_pairs(a: DataFrame, a_col: str, b: DataFrame, b_col: str) -> DataFrame:
     """Distinct value pairs where one contains the other (case-insensitive), not equal.
 
-    Written as two equi-joins instead of a nested loop, on the substrings
-    whose lengths occur on the other side.  Meant for short labels (campaign
-    or show names).
+    Each value is looked up under its rarest q-gram among the other side's
+    (``operators.containment``), so texts of any length and lists of any size
+    may be compared.
     """
-    x = a.select(F.col(a_col).alias("left_value")).where(F.length(a_col) > 0).distinct()
-    y = b.select(F.col(b_col).alias("right_value")).where(F.length(b_col) > 0).distinct()
-    pairs = (_contained(x, "left_value", y, "right_value")
-             .unionByName(_contained(y, "right_value", x, "left_value"))).distinct()
-    return pairs.filter(F.lower("left_value") != F.lower("right_value"))
+    x = a.select(F.col(a_col).alias("left_value"))
+    y = b.select(F.col(b_col).alias("right_value"))
+    wider = contained(x, "left_value", y, "right_value").select(F.col("text").alias("left_value"), F.col("term").alias("right_value"))
+    inside = contained(y, "right_value", x, "left_value").select(F.col("term").alias("left_value"), F.col("text").alias("right_value"))
+    return wider.unionByName(inside).distinct().filter(F.lower("left_value") != F.lower("right_value"))
 
 
 def term_matches(texts: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
-    """Match texts against a small terms table ``(kind, term, mode)``.
+    """Match distinct texts against a terms table ``(kind, term, mode)`` of any size.
 
-    ``mode='word'``: case-sensitive whole-word regex; ``'substring'``:
-    case-insensitive containment.  Texts are reduced to distinct values; the
-    terms table is a constant list (broadcast).
+    ``mode='word'``: whole words, case-sensitive; otherwise containment in any
+    case.  Texts and terms meet in an inverted index (``operators.containment``).
     """
-    t = texts.select(F.col(text_col).alias("text")).where(F.col("text").isNotNull()).distinct()
-    cond = F.when(F.col("mode") == "word", word_match("text", "term")) \
-        .otherwise(F.lower(F.col("text")).contains(F.lower(F.col("term"))))
-    return t.join(F.broadcast(terms), cond, "inner").select("text", "kind", "term")
+    word = F.col("mode") == "word"
+    exact = whole_words(texts, text_col, terms.where(word), "term").withColumn("_word", F.lit(True))
+    part = contained(texts, text_col, terms.where(~word | F.col("mode").isNull()), "term").withColumn("_word", F.lit(False))
+    listed = terms.select("kind", F.col("term").alias("_term"), F.coalesce(word, F.lit(False)).alias("_mode"))
+    found = exact.unionByName(part)
+    return found.join(listed, (F.col("term") == F.col("_term")) & (F.col("_word") == F.col("_mode"))).select("text", "kind", "term")
 
 
 def interval_pairs(ranges: DataFrame, id_col: str, start_col: str, end_col: str, within: Sequence[str] = ()) -> DataFrame:

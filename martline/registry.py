@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martline.operators.joins import bridge_join, drill_across, star_join
-from martline.operators import ordered
-from martline.plans import dims, explore, facts, marts, profile, storage
+from martline.operators import keys, ordered
+from martline.plans import dims, explore, facts, marts, profile, state, storage
 from martline.plans import quality as dq
 from martline.plans import warehouse as wh
 from martline.plans.checks import COUNT, Suite, groups, total
@@ -965,3 +965,37 @@ def q_event_rolling(spark, d):
     previous = ordered.previous_values(e, ["value"], order, buckets, suffix="_prev")
     out = means.select("event_id", "value_7").join(centred.select("event_id", "value_14", "value_resid"), "event_id")
     return out.join(previous.select("event_id", F.col("value_prev").cast("double").alias("value_prev")), "event_id")
+
+
+# ------------------------------------------------------------------ keys and mergeable states
+
+@query("minimal_keys")
+def q_minimal_keys(spark, d):
+    """Minimal keys of up to two columns, found level by level."""
+    return keys.key_report(spark, {n: views.table(spark, d, n) for n in ("customer", "events", "lineitem", "orders", "part", "supplier")}, max_size=2)
+
+
+@query("monthly_distincts")
+def q_monthly_distincts(spark, d):
+    """A2: monthly distinct sessions and users from the daily states, held against exact counts (within 5%)."""
+    events, cols = wh.web_events(spark, d), ["session_id", "user_id"]
+    daily = _stored(state.distinct_state(events, ["date"], cols), "daily_state")
+    month = F.date_format("date", "yyyy-MM").alias("month")
+    merged = state.estimates(state.merge_distincts(daily, [month], cols), cols)
+    exact = events.groupBy(month).agg(*[F.count_distinct(c).alias(f"{c}s") for c in cols])
+    close = [(F.abs(F.col(c) - F.col(f"{c}s")) <= F.greatest(F.lit(1.0), 0.05 * F.col(f"{c}s"))).alias(f"{c}s_close") for c in cols]
+    return merged.join(exact, "month").select("month", "n_rows", *[f"{c}s" for c in cols], *close)
+
+
+@query("profile_merged")
+def q_profile_merged(spark, d):
+    """Profile of the transactions merged from monthly states; distinct counts held against exact ones (within 5%)."""
+    txn = wh.ecommerce_transactions(spark, d).withColumn("month", F.date_format("date", "yyyy-MM"))
+    cols = ["quantity", "unit_price", "line_revenue"]
+    monthly = _stored(state.profile_state(txn, cols, ["month"]), "profile_state")
+    found = state.profile_of(state.merge_profiles(monthly))
+    named = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in cols])
+    exact = txn.select(F.inline(named)).groupBy("c").agg(F.count_distinct("v").alias("exact"))
+    close = (F.abs(F.col("n_unique") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.05 * F.col("exact"))).alias("unique_close")
+    return found.join(exact, F.col("column_name") == F.col("c")).select("column_name", "n_rows", "nulls", "min", "max", F.round("mean", 6).alias("mean"),
+                                                                        F.round("stdev", 4).alias("stdev"), close)

