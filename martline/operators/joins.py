@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martline.operators.containment import contained, whole_words
+from martline.operators.intervals import overlapping
 
 
 # 64 MiB: well under executor memory at any realistic cluster size.
@@ -83,7 +84,8 @@ def bridge_join(fact: DataFrame, bridge: DataFrame, fact_col: str, list_col: str
           .select(F.explode(F.split(F.col(list_col), sep)).alias("_elem"), *out_cols))
     key = F.col(fact_col) if null_as is None else F.coalesce(F.col(fact_col), F.lit(null_as))
     f = fact.withColumn("_bkey", key)
-    return f.join(F.broadcast(ex), f["_bkey"] == ex["_elem"], "left").drop("_bkey", "_elem")
+    # a constant bridge is broadcast, one that grows with the data only under the size bound
+    return sized_join(f, ex, f["_bkey"] == ex["_elem"], "left").drop("_bkey", "_elem")
 
 
 def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, object]]) -> DataFrame:
@@ -149,17 +151,11 @@ def term_matches(texts: DataFrame, text_col: str, terms: DataFrame) -> DataFrame
 
 
 def interval_pairs(ranges: DataFrame, id_col: str, start_col: str, end_col: str, within: Sequence[str] = ()) -> DataFrame:
-    """Pairs i<j of date ranges that overlap (inside the same ``within`` group), with the overlap window.
+    """Pairs i<j of date or timestamp ranges that overlap (inside the same ``within`` group), with the overlap window.
 
-    Ranges are laid out over their days; those that share a day are gathered
-    by day and paired there, so ranges that never meet are never compared.
+    Ranges meet in a hierarchy of cells (``operators.intervals``), whatever
+    their length; ranges that never meet are never compared.
     """
-    r = ranges.where(F.col(start_col).isNotNull() & F.col(end_col).isNotNull())
-    one = F.struct(F.col(id_col).alias("id"), F.col(start_col).alias("s"), F.col(end_col).alias("e"))
-    days = r.select(*within, one.alias("_r"), F.explode(F.sequence(F.col(start_col), F.col(end_col))).alias("_day"))
-    met = days.groupBy(*within, "_day").agg(F.array_sort(F.collect_set("_r")).alias("_rs")).where(F.size("_rs") > 1)
-    later = "transform(slice(_rs, i + 2, size(_rs)), b -> struct(a, b))"
-    pairs = met.select(*within, "_rs").distinct().select(
-        *within, F.explode(F.flatten(F.expr(f"transform(_rs, (a, i) -> {later})"))).alias("_p")).distinct()
-    return pairs.select(*within, F.col("_p.a.id").alias("file_a"), F.col("_p.b.id").alias("file_b"),
-                        F.greatest("_p.a.s", "_p.b.s").alias("overlap_start"), F.least("_p.a.e", "_p.b.e").alias("overlap_end"))
+    met = overlapping(ranges, id_col, start_col, end_col, within)
+    return met.select(*within, F.col("id_a").alias("file_a"), F.col("id_b").alias("file_b"),
+                      F.greatest("start_a", "start_b").alias("overlap_start"), F.least("end_a", "end_b").alias("overlap_end"))

@@ -999,3 +999,30 @@ def q_profile_merged(spark, d):
     close = (F.abs(F.col("n_unique") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.05 * F.col("exact"))).alias("unique_close")
     return found.join(exact, F.col("column_name") == F.col("c")).select("column_name", "n_rows", "nulls", "min", "max", F.round("mean", 6).alias("mean"),
                                                                         F.round("stdev", 4).alias("stdev"), close)
+
+
+@query("raw_spend_totals")
+def q_raw_spend_totals(spark, d):
+    """Spend of each raw extract from the first of its spend columns."""
+    from martline.functions.numeric import MONEY
+    from martline.operators.drift import first_present
+    out = None
+    for name, part in sorted(views.paid_parts(spark, d).items()):
+        spend = part.select(first_present(part, ["spend_usd", "spend"], "spend"))
+        row = spend.agg(F.count("spend").alias("n_rows"), F.sum(F.col("spend").cast(MONEY)).cast("double").alias("spend")).select(F.lit(name).alias("file"), "n_rows", "spend")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("geo_columns")
+def q_geo_columns(spark, d):
+    """The streams' columns with a geographic name, with their rows and distinct values."""
+    streams = {"ooh": views.v_ooh_weekly(spark, d), "podcast": views.v_mentions(spark, d), "transactions": views.v_txn(spark, d), "web": views.v_web(spark, d)}
+    named = explore.geo_columns(streams)
+    out = None
+    for name in sorted({t for t, _ in named}):
+        cols = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for t, c in named if t == name])
+        found = streams[name].select(F.inline(cols)).groupBy("column_name").agg(F.count("v").alias("filled"), F.count_distinct("v").alias("distinct_values"))
+        found = found.select(F.lit(name).alias("table_name"), "column_name", "filled", "distinct_values")
+        out = found if out is None else out.unionByName(found)
+    return out

@@ -1173,3 +1173,10 @@ Q["profile_merged"] = _u(
     f"""SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS nulls, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
   round(CAST(sum(CAST({c} AS DECIMAL(38,8))) AS DOUBLE) / count({c}), 6) AS mean, round(stddev_samp({c}), 4) AS stdev, true AS unique_close FROM txn_out"""
     for c in ("quantity", "unit_price", "line_revenue"))
+
+Q["raw_spend_totals"] = """SELECT _file AS file, count(spend) AS n_rows, CAST(sum(CAST(spend AS DECIMAL(18,2))) AS DOUBLE) AS spend FROM paid_base GROUP BY _file"""
+
+Q["geo_columns"] = _u(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS filled, count(DISTINCT {c}) AS distinct_values FROM {v}"
+    for t, v, cols in (("transactions", "v_txn", "dma_name state zip_code"), ("web", "v_web", "dma_name state zip_code"))
+    for c in cols.split())
