@@ -8,8 +8,9 @@ schemas are driver metadata.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martline.operators.joins import interval_pairs
@@ -194,13 +195,13 @@ def granularity(df: DataFrame, ts_col: str, by: Sequence[str] = ()) -> DataFrame
         j = has_time.join(med, list(by), "left")
     else:
         j = has_time.withColumn("_one", F.lit(1)).join(med.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
-    m = F.col("median_gap")
-    label = (F.when(F.col("_t") == 1, "event-level")
-             .when(m.isNull(), "unknown")
-             .when(m <= 1, "daily").when((m >= 5) & (m <= 9), "weekly")
-             .when((m >= 25) & (m <= 35), "monthly")
-             .otherwise(F.concat(F.lit("~"), F.floor(m).cast("bigint").cast("string"), F.lit("-day"))))
-    return j.select(*by, F.col("median_gap"), label.alias("granularity"))
+    return j.select(*by, F.col("median_gap"), granularity_label(F.col("_t") == 1, F.col("median_gap")).alias("granularity"))
+
+
+def granularity_label(timed: Column, gap: Column) -> Column:
+    """R2's rule from whether any moment has a time of day and the median gap in days."""
+    return (F.when(timed, "event-level").when(gap.isNull(), "unknown").when(gap <= 1, "daily").when((gap >= 5) & (gap <= 9), "weekly")
+            .when((gap >= 25) & (gap <= 35), "monthly").otherwise(F.concat(F.lit("~"), F.floor(gap).cast("bigint").cast("string"), F.lit("-day"))))
 
 
 def overlap_report(df: DataFrame, file_col: str, date_col: str, within: Sequence[str] = ()) -> DataFrame:
@@ -255,30 +256,44 @@ def detect_date_columns(df: DataFrame, cols: Sequence[str] | None = None, format
     return df.agg(*aggs).select(F.explode(found).alias("_u")).select("_u.*")
 
 
-def inventory_row(df: DataFrame, file: str, date_columns: Sequence[str]) -> DataFrame:
-    """R10 for one table: its size, columns, nulls, dates, granularity and stream, in one row.
+class Extracts(NamedTuple):
+    """Extracts read as one frame: the column that names the file, and each file's header and date columns (the first decides)."""
+
+    df: DataFrame
+    file: Column
+    headers: Mapping[str, Sequence[str]]
+    dates: Mapping[str, Sequence[str]]
+
 
-    Dates and granularity are those of the first date column.
+def inventory(spark, sources: Sequence[Extracts]) -> DataFrame:
+    """Per extract its size, columns, nulls, dates, granularity and stream.
+
+    Every source is read once: rows become (file, null count, moment) and are
+    grouped by file and day; all figures follow from that small table.
     """
-    d0 = date_columns[0] if date_columns else None
-    nulls = None
-    for c in df.columns:
-        n = F.count_if(F.col(c).isNull())
-        nulls = n if nulls is None else nulls + n
-    totals = df.agg(F.count(F.lit(1)).alias("rows"), nulls.alias("total_nulls"))
-    out = totals.select(F.lit(file).alias("filename"), "rows", F.lit(len(df.columns)).alias("cols"),
-                        F.lit("; ".join(df.columns)).alias("columns"), F.lit("; ".join(date_columns)).alias("date_columns"), "total_nulls")
-    if d0 is None:
-        day, n, label = F.lit(None).cast("date"), F.lit(None).cast("bigint"), F.lit("unknown")
-        out = out.withColumns({"date_min": day, "date_max": day, "distinct_dates": n, "missing_date_count": n, "granularity": label})
-    else:
-        ts = df.select(F.lit(file).alias("filename"), F.col(d0).cast("timestamp_ntz").alias("_ts")).where(F.col("_ts").isNotNull())
-        dates = date_profile(ts, "_ts", ["filename"])
-        gran = granularity(ts, "_ts", ["filename"]).select("filename", "granularity")
-        out = out.join(dates, "filename", "left").join(gran, "filename", "left").na.fill("unknown", subset=["granularity"])
-        out = out.withColumnsRenamed({"min_date": "date_min", "max_date": "date_max", "distinct_days": "distinct_dates",
-                                      "missing_days": "missing_date_count"})
-    out = out.withColumn("datastream", classify_stream("filename"))
+    rows, meta = None, []
+    for source in sources:
+        nulls = moment = None
+        for name in sorted(source.headers):
+            own, dates = source.headers[name], source.dates.get(name, ())
+            n = sum((F.col(f"`{c}`").isNull().cast("int") for c in own), F.lit(0))
+            ts = F.col(f"`{dates[0]}`").cast("timestamp_ntz") if dates else F.lit(None).cast("timestamp_ntz")
+            this = source.file == name
+            nulls = F.when(this, n) if nulls is None else nulls.when(this, n)
+            moment = F.when(this, ts) if moment is None else moment.when(this, ts)
+            meta.append((name, len(own), "; ".join(own), "; ".join(dates)))
+        part = source.df.select(source.file.alias("filename"), nulls.alias("_nulls"), moment.alias("_ts"))
+        rows = part if rows is None else rows.unionByName(part)
+    timed = (F.hour("_ts") != 0) | (F.minute("_ts") != 0)
+    daily = rows.groupBy("filename", F.to_date("_ts").alias("_day")).agg(F.count(F.lit(1)).alias("_n"), F.sum("_nulls").alias("_nulls"), F.max(timed).alias("_timed"))
+    gap = F.datediff("_day", F.lag("_day").over(Window.partitionBy("filename").orderBy("_day")))
+    g = daily.withColumn("_gap", gap).groupBy("filename").agg(
+        F.sum("_n").alias("rows"), F.sum("_nulls").alias("total_nulls"), F.min("_day").alias("date_min"), F.max("_day").alias("date_max"),
+        F.count("_day").alias("distinct_dates"), F.max("_timed").alias("_timed"), F.median("_gap").alias("_median"))
+    known = spark.createDataFrame(meta, "filename string, cols int, columns string, date_columns string")
+    out = known.join(g, "filename", "left").na.fill(0, subset=["rows", "total_nulls", "distinct_dates"])
+    out = (out.withColumn("missing_date_count", F.datediff("date_max", "date_min") + 1 - F.col("distinct_dates"))
+           .withColumn("granularity", granularity_label(F.coalesce("_timed", F.lit(False)), F.col("_median"))).withColumn("datastream", classify_stream("filename")))
     return out.withColumn("stream_group", stream_group("datastream")).select(
         "filename", "rows", "cols", "columns", "date_columns", "date_min", "date_max", "distinct_dates", "missing_date_count",
         "granularity", "total_nulls", "datastream", "stream_group")

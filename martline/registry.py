@@ -251,12 +251,14 @@ def q_season_summary(spark, d):
 
 @query("kpi_table")
 def q_kpi(spark, d):
-    """The mart is written once, since five summaries read it."""
+    """Transactions and the mart are written once; the daily table and the promo figures read the first, all other summaries the second."""
     from martline.operators.stats import seasonal_inflation
-    daily = _stored(wh.cross_channel(spark, d), "cross_channel_daily")
+    txn = _stored(wh.transactions_clean(spark, d), "transactions_clean")
+    mart = marts.cross_channel_daily(wh.date_spine(spark, d), wh.paid_social(spark, d), wh.web_daily(spark, d), facts.ecommerce_daily(txn),
+                                     wh.organic_daily(spark, d), wh.podcast_daily(spark, d), wh.ooh_totals(spark, d))
+    daily = _stored(mart, "cross_channel_daily")
     infl = seasonal_inflation(marts.lag_correlations(daily), marts.lag_correlations(daily, residual=True))
-    return marts.kpi_table(daily, infl, marts.promo_impact(wh.transactions_clean(spark, d)), marts.season_summary(daily),
-                           marts.partial_correlation(daily))
+    return marts.kpi_table(daily, infl, marts.promo_impact(txn), marts.season_summary(daily), marts.partial_correlation(daily))
 
 
 @query("revenue_smooth")
@@ -545,20 +547,21 @@ def q_overlap_report(spark, d):
 
 @query("inventory")
 def q_inventory(spark, d):
-    """One row per raw extract."""
-    tables = {f"paid_{f}": (df, ["date"]) for f, df in views.paid_parts(spark, d).items()}
-    parts = views.v_web_parts(spark, d)
-    for tag in ("web_a", "web_b"):
-        tables[f"{tag}_web_traffic"] = (parts.where(F.col("_source") == tag).drop("_source"), ["event_datetime", "date"])
-    tables["transactions"] = (views.v_txn(spark, d), ["order_datetime", "date"])
-    tables["podcast_mentions"] = (views.v_mentions(spark, d), ["mention_datetime", "episode_release_date"])
-    tables["tiktok_owned_posts"] = (views.v_posts(spark, d), ["date"])
-    tables["ooh_airport_weekly"] = (views.v_ooh_weekly(spark, d), ["week_start_date"])
-    out = None
-    for name in sorted(tables):
-        r = profile.inventory_row(tables[name][0], name, tables[name][1])
-        out = r if out is None else out.unionByName(r)
-    return out
+    """One row per raw extract; each stream is read once."""
+    def one(name: str, df: DataFrame, dates: list[str]) -> profile.Extracts:
+        return profile.Extracts(df, F.lit(name), {name: df.columns}, {name: dates})
+
+    paid = {f"paid_{f}": cols for f, cols in views.paid_file_columns().items()}
+    web = views.v_web_parts(spark, d)
+    tags = [f"{tag}_web_traffic" for tag in ("web_a", "web_b")]
+    return profile.inventory(spark, [
+        profile.Extracts(views.paid_raw(spark, d), F.concat(F.lit("paid_"), F.col("_file")), paid, {f: ["date"] for f in paid}),
+        profile.Extracts(web, F.concat(F.col("_source"), F.lit("_web_traffic")), {f: [c for c in web.columns if c != "_source"] for f in tags},
+                         {f: ["event_datetime", "date"] for f in tags}),
+        one("transactions", views.v_txn(spark, d), ["order_datetime", "date"]),
+        one("podcast_mentions", views.v_mentions(spark, d), ["mention_datetime", "episode_release_date"]),
+        one("tiktok_owned_posts", views.v_posts(spark, d), ["date"]),
+        one("ooh_airport_weekly", views.v_ooh_weekly(spark, d), ["week_start_date"])])
 
 
 # ------------------------------------------------------------------ exploration
