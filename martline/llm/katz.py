@@ -402,11 +402,22 @@ def katz_scores(docs: DataFrame, train_on: Column, held_out: Column, text: str =
                 chunk_bytes: int = CHUNK_BYTES, range_tokens: int = RANGE_TOKENS) -> DataFrame:
     """One row per document: key, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
-    Learns from the rows where ``train_on`` holds and scores all rows.
+    Learns from the rows where ``train_on`` holds and scores all rows.  The
+    scores are written to the checkpoint folder; the table of chunks, which is
+    known to the catalog for its buckets, is forgotten there.
     """
     spark = docs.sparkSession
     name = f"katz_{uuid.uuid4().hex}"
     place = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+    try:
+        _write_scores(docs, train_on, held_out, text, key, chunk_bytes, range_tokens, name, place)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.read.schema(SCORE_SCHEMA).parquet(f"{place}/scores").withColumnRenamed("key", key)
+
+
+def _write_scores(docs: DataFrame, train_on: Column, held_out: Column, text: str, key: str, chunk_bytes: int, range_tokens: int, name: str, place: str) -> None:
+    spark = docs.sparkSession
     rows = docs.select(F.col(f"`{key}`").cast("bigint").alias("key"), F.col(f"`{text}`").alias("text"),
                        F.coalesce(held_out, F.lit(False)).alias("held"), F.coalesce(train_on, F.lit(False)).alias("train"))
     made = rows.mapInArrow(lambda it: _make_chunks(it, chunk_bytes), CHUNK_SCHEMA)
@@ -451,8 +462,7 @@ def katz_scores(docs: DataFrame, train_on: Column, held_out: Column, text: str =
         found = _answers(right)
         return pa.concat_tables([_score_chunk(row, found, unigrams, d, train_docs) for row in _rows(left)])
 
-    scored = chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(score, SCORE_SCHEMA)
-    return scored.withColumnRenamed("key", key)
+    chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(score, SCORE_SCHEMA).write.parquet(f"{place}/scores")
 
 
 def _tagged(answers: DataFrame, kind: str) -> DataFrame:

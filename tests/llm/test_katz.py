@@ -100,3 +100,10 @@ def test_packing():
     codes = rng.integers(0, 1 << 20, 5000)
     assert (katz.unpack_codes(katz.pack_codes(codes), 5000) == codes).all()
     assert len(katz.unpack_codes(katz.pack_codes(codes[:0]), 0)) == 0
+
+
+def test_no_table_is_left_in_the_catalog(spark, docs_small):
+    from pyspark.sql import functions as F
+    before = {t.name for t in spark.catalog.listTables()}
+    assert katz.katz_scores(docs_small, F.lit(True), F.lit(False)).count() == docs_small.count()
+    assert {t.name for t in spark.catalog.listTables()} == before
