@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from martline.llm.blocks import LOWER, U64, SpanHasher, blocks, mix64, word_spans
 from martline.session import ensure_checkpoint_dir
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 5 << 20
 #: Tokens to a range of hashes, about.
 RANGE_TOKENS = 1 << 20
 #: Counts up to this are discounted.
