@@ -48,24 +48,33 @@ def maintain_daily(stream: DataFrame, date_col: str, build: Callable[[DataFrame]
                    daily_path: str, checkpoint: str, keys: Sequence[str] = (), once: bool = True) -> StreamingQuery:
     """Keep a source-grain table and a daily table built from it up to date.
 
-    Each batch is written as ``batch=<id>`` of the source table (a repeated
-    batch overwrites itself), and the days it touches are built anew by
-    ``build`` and replace those days of the daily table, which is partitioned
-    by ``date_col``.  With ``keys``, overlapping extracts are reduced to one
+    Each batch is written as ``batch=<id>`` of the source table, in folders by
+    day (a repeated batch overwrites itself), and the days it touches are built
+    anew by ``build`` and replace those days of the daily table, which is
+    partitioned by ``date_col``.  Of the stored batches only these days'
+    folders are read.  With ``keys``, overlapping extracts are reduced to one
     row per key before ``build``, however late the copy comes.
     """
     def batch(rows: DataFrame, number: int) -> None:
         spark = rows.sparkSession
-        rows.write.mode("overwrite").parquet(f"{source_path}/batch={number}")
-        landed = spark.read.parquet(f"{source_path}/batch={number}").select(F.col(date_col).alias("_day")).distinct()
-        stored = spark.read.option("basePath", source_path).parquet(f"{source_path}/batch=*").drop("batch")
-        # a null date is a day of its own
-        days = stored.join(landed, stored[date_col].eqNullSafe(landed["_day"]), "left_semi")
+        rows.write.mode("overwrite").partitionBy(date_col).parquet(f"{source_path}/batch={number}")
+        stored = stored_days(spark, source_path, rows.schema, date_col, number)
         if keys:
-            days = days.dropDuplicates(list(keys))
-        (build(days).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            stored = stored.dropDuplicates(list(keys))
+        (build(stored).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(date_col).parquet(daily_path))
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def stored_days(spark: SparkSession, source_path: str, schema: T.StructType, date_col: str, number: int) -> DataFrame:
+    """The stored rows of the days that a batch touches (a null date is a day of its own); other days' folders are not read."""
+    whole = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).option("basePath", source_path).parquet(f"{source_path}/batch=*")
+    # the days of one batch: folder names, no rows
+    days = [r[0] for r in whole.where(F.col("batch") == number).select(date_col).distinct().collect()]
+    wanted = F.col(date_col).isin([d for d in days if d is not None])
+    if None in days:
+        wanted = wanted | F.col(date_col).isNull()
+    return whole.where(wanted).select(*schema.names)

@@ -44,3 +44,10 @@ def test_late_rows_and_copies_reopen_their_day(spark, tmp_path):
     # two months late, with a copy of a stored row
     _land(spark, src / "e3", [(dt.datetime(2024, 1, 1, 12), "a", 5.0), (dt.datetime(2024, 1, 1, 10), "a", 1.0)])
     assert run() == {"2024-01-01": (3, 2, 8.0), "2024-03-01": (1, 1, 4.0), "None": (1, 1, 9.0)}
+    # only the touched day's folders are read
+    whole = spark.read.parquet(str(tmp_path / "source"))
+    last = max(r.batch for r in whole.select("batch").distinct().collect())
+    schema = _stream(spark, src).schema
+    plan = incremental.stored_days(spark, str(tmp_path / "source"), schema, "date", last)
+    assert {str(r.date) for r in plan.select("date").distinct().collect()} == {"2024-01-01"} and plan.count() == 5
+    assert "PartitionFilters: [isnotnull(date" in plan._jdf.queryExecution().executedPlan().toString()
