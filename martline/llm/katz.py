@@ -25,7 +25,7 @@ computed chunk by chunk, each token by the model's recursion: bigram, else
 backoff to unigram, else unknown.
 
 Words and bigrams are known by 64-bit hashes.  Cases: a null text is empty (one
-token, the end); a null id is neither learned from nor held out; repeated rows
+token, the end); a very long text is a chunk of its own; a null id is neither learned from nor held out; repeated rows
 are counted and scored each; without training rows every token is the unknown
 token, with probability one; an empty table gives no rows.  A context whose
 followers are all too frequent to be discounted counts one unseen occurrence

@@ -24,7 +24,7 @@ Learned from: of each kind the ``PER_KIND`` values with the smallest hashes
 among those of up to ``MAX_CHARS`` characters; a kind without values has no
 automaton.  Offsets are code points, ends exclusive.  Cases: a null text is
 empty; a text without candidates has no spans; repeated rows get equal spans;
-a very long text is held whole in its task, about 20 bytes per byte of it.
+a very long text is held whole in its task, about 26 bytes per byte of it.
 """
 
 from __future__ import annotations

@@ -25,7 +25,8 @@ the last level a file shares so many bits that its size is bounded
 Cases: a null text is empty; a text without words has fingerprint zero,
 linked like any other; fewer words than a shingle are one shingle.  Repeated
 rows and equal texts fall in one group.  A group whose ids are all null has a
-null id.  An empty table gives no rows.
+null id.  An empty table gives no rows.  A very long text is hashed whole by
+its task, which holds some tens of bytes for each of its bytes.
 """
 
 from __future__ import annotations

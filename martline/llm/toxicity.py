@@ -14,7 +14,8 @@ the text.
 Cases: an empty or null text, or one without a letter, scores by the bias
 alone.  Without labels of both kinds every score is the share of toxic labels
 (0 without any label).  Equal texts get equal scores.  A document with
-contradicting labels is learned with each of them.  Columns of the input
+contradicting labels is learned with each of them.  A very long text is
+scored piece by piece, a word of any length at once.  Columns of the input
 named like an added column are replaced.
 """
 
@@ -32,6 +33,8 @@ from martline.llm.blocks import LOWER, U64, blocks, bounded_sample, replace_colu
 
 SIZES = (4, 5, 6)
 BUCKET_BITS = 18
+#: A longer text is scored in pieces of about this many bytes.
+PIECE = 1 << 18
 #: Bound of the training sample: about this many documents with each label, none longer than MAX_TRAIN_CHARS.
 DOCS_PER_LABEL = {0: 3000, 1: 1200}
 MAX_TRAIN_CHARS = 20_000
@@ -85,6 +88,16 @@ class SubwordModel:
     bits: int = BUCKET_BITS
 
     def log_odds(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        if len(off) == 2 and len(data) > PIECE:
+            # subwords never cross a word's edge, so a long text is the sum of its pieces between words
+            sums = [self._sums(piece, np.array([0, len(piece)])) for piece in _pieces(data)]
+            total, count = (np.sum(x, axis=0) for x in zip(*sums))
+        else:
+            total, count = self._sums(data, off)
+        return self.bias + total / np.maximum(count, 1)
+
+    def _sums(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sum of the subwords' shares and their number, of every text."""
         starts = text_starts(off)
         total, count = np.zeros(len(off) - 1), np.zeros(len(off) - 1)
         for bucket, valid in subwords(data, off, self.sizes, self.bits):
@@ -93,7 +106,19 @@ class SubwordModel:
             sums = np.concatenate([[0.0], np.cumsum(part, dtype=np.float64)])
             total += sums[ends[1:]] - sums[ends[:-1]]
             count += row_sums(valid, ends)
-        return self.bias + total / np.maximum(count, 1)
+        return total, count
+
+
+def _pieces(data: np.ndarray) -> Iterator[np.ndarray]:
+    """Pieces of about ``PIECE`` bytes that end after a byte that is no letter (a longer word stays whole)."""
+    at = 0
+    while at < len(data):
+        end = at + PIECE
+        while end < len(data) and not len(edge := np.flatnonzero(_LETTER[data[end:end + PIECE]] == 0)):
+            end += PIECE
+        end = end + int(edge[0]) + 1 if end < len(data) else len(data)
+        yield data[at:end]
+        at = end
 
 
 def train(samples: list[tuple[int, str]], dim: int = 8, sizes: tuple[int, ...] = SIZES, bits: int = BUCKET_BITS, epochs: int | None = None,

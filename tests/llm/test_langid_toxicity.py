@@ -94,3 +94,24 @@ def test_toxicity_cases(spark, awkward, nothing):
     one_kind = toxicity.fit(awkward, labels.where("toxic = 0"))
     assert {r.predicted for r in toxicity.predict(awkward, one_kind).collect()} == {0}
     assert toxicity.predict(nothing, toxicity.fit(nothing, labels.limit(0))).select(F.col("predicted")).collect() == []
+
+
+def test_long_text_is_scored_in_pieces(monkeypatch):
+    import tracemalloc
+    model = toxicity.train([(0, "good day"), (1, "bad day")] * 4, epochs=3)
+    rng = np.random.default_rng(2)
+    words = ["good", "bad", "day", "über", "horribly", "x" * 700, "a-b", "\n"]
+    text = np.frombuffer(" ".join(rng.choice(words, 4000)).encode(), np.uint8)
+    off = np.array([0, len(text)])
+    whole = model.log_odds(text, off)
+    for piece in (1, 5, 64, 1000):
+        monkeypatch.setattr(toxicity, "PIECE", piece)
+        assert np.concatenate(list(toxicity._pieces(text))).tobytes() == text.tobytes()
+        np.testing.assert_allclose(model.log_odds(text, off), whole, rtol=1e-9)
+    monkeypatch.undo()
+    long = np.tile(text, 30)
+    tracemalloc.start()
+    model.log_odds(long, np.array([0, len(long)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(long) > 8 * toxicity.PIECE and peak < 10 * len(long)
