@@ -124,11 +124,6 @@ def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return break_spans(~SPACE[data], off)
 
 
-def code_points(data: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Code points per row: bytes that do not continue a UTF-8 sequence."""
-    return row_sums((data & 0xC0) != 0x80, off)
-
-
 def row_sums(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
     total = np.zeros(len(flags) + 1, dtype=np.int64)
     np.cumsum(flags, out=total[1:])

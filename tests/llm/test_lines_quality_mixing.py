@@ -171,7 +171,7 @@ def test_sources_beyond_number_are_weighed_in_order(spark):
 
 def test_names_in_between_are_not_taken_from_the_input(spark, awkward):
     """Columns that are called like an operator's own in-between columns come through unchanged."""
-    from martline.llm import bpe, langid, simhash, spotsigs, toxicity
+    from martline.llm import bpe, langid, simhash, toxicity
     from martline.llm.queries import BPE_VOCABULARY
     mine = ["__out", "__mark", "__key", "__hash2", "__letter", "__drops", "out", "far", "mark", "letter", "stay_key", "nth"]
     model = langid.fit(awkward)
