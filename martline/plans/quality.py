@@ -141,13 +141,14 @@ def check_alignment(name: str, source: DataFrame, rollup: DataFrame, key: str,
     aggregated to ``key``, full-outer joined (null keys match each other) and
     mismatching keys counted.
     """
-    s = source.groupBy(key).agg(*[e.cast("double").alias("s_" + m) for m, e, _ in metrics])
-    r = rollup.groupBy(key).agg(*[e.cast("double").alias("r_" + m) for m, _, e in metrics])
+    exact = "decimal(38,10)"
+    s = source.groupBy(key).agg(*[e.cast(exact).alias("s_" + m) for m, e, _ in metrics])
+    r = rollup.groupBy(key).agg(*[e.cast(exact).alias("r_" + m) for m, _, e in metrics])
     j = null_safe_full_join(s, r, [key])
     aggs = []
     for m, _, _ in metrics:
         a, b = F.col("s_" + m), F.col("r_" + m)
-        bad = a.isNull() | b.isNull() | (F.abs(a - b) > F.lit(tol))
+        bad = a.isNull() | b.isNull() | (F.abs(a - b) > F.lit(str(tol)).cast("decimal(18,6)"))
         aggs.append(F.count_if(bad).alias(m))
     counts = j.agg(*aggs)
     out = None

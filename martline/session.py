@@ -6,7 +6,6 @@ These helpers exist for scripts, tests and the bench.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -103,12 +102,6 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 _given: dict[str, str] = {}
 
 
-def checkpoint_path(spark: SparkSession, name: str) -> str:
-    """A location under the checkpoint folder for a written intermediate table."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)
-
-
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized to the input, for large clusters (a starting point, not a tuning oracle).
 
