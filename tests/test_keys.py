@@ -45,3 +45,20 @@ def test_few_rows(spark):
     assert keys.minimal_keys(spark.range(0)) == [()] and keys.minimal_keys(spark.range(1)) == [()]
     report = keys.key_report(spark, {"t": spark.range(3), "none": spark.createDataFrame([(1,), (1,)], "a int")}).collect()
     assert [tuple(r) for r in report] == [("t", "id", 1)]
+
+
+def test_pairs_with_many_equal_rows_are_disproved_by_a_slice_of_their_values(spark, monkeypatch):
+    df = spark.range(30_000).selectExpr("id % 20000 AS a", "id % 15000 AS b", "id % 1000 AS c", "if(id = 7, 8, id) AS near", "'x' AS d")
+    seen = []
+    counted = keys._counted
+    monkeypatch.setattr(keys, "_counted", lambda d, c: seen.extend(c) or counted(d, c))
+    # a and c repeat every 20000 rows; b and near repeat nowhere or once, which a slice need not show
+    assert keys.minimal_keys(df, max_size=2) == [("a", "b"), ("a", "near"), ("b", "near"), ("c", "near")]
+    assert ("a", "c") not in seen and ("b", "c") not in seen and {("a", "b"), ("b", "near")} <= set(seen)
+
+
+def test_one_pair_of_equal_rows_outside_the_slice_is_found(spark, monkeypatch):
+    monkeypatch.setattr(keys, "SLICES", 1 << 40)  # nothing lies in the slice
+    df = spark.range(3000).selectExpr("if(id = 9, 8, id) AS a", "id div 10 AS b", "id AS c")
+    assert keys.minimal_keys(df.drop("c"), max_size=2) == []
+    assert keys.minimal_keys(df.drop("a"), max_size=2) == [("c",)]
