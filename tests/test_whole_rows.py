@@ -160,3 +160,15 @@ def test_no_local_checkpoint_folder_on_a_cluster(tmp_path):
     held = _Session("yarn", held="hdfs://own/123")
     assert session.ensure_checkpoint_dir(held) == "hdfs://own/123" and held.sparkContext.held == "hdfs://own/123"
     assert session.ensure_checkpoint_dir(_Session("local[2]"))
+
+
+def test_texts_without_a_layouts_punctuation_are_not_parsed_and_others_are(spark):
+    texts = ["2024-01-02", "2024-01-02 03:04:05", "2024-01-02T03:04:05", "2024-01-02 03:04:05.123456", "01/02/2024", "", "-", "-- ::", "/", "1-2-3",
+             "ECONOMY STEEL", "T-SHIRT", "12345", "2024/01/02", " 2024-01-02", "2024-01-02 ", "2024-01-0212:00:00", "+12024-01-02", None]
+    formats = (*profile.DATE_FORMATS, "yyyyMMdd", "yyyy[-MM]", "d MMM yyyy")
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    plain = F.coalesce(*[F.try_to_timestamp("s", F.lit(f)) for f in formats])
+    assert df.where(~profile.parse_any(F.col("s"), formats).eqNullSafe(plain)).count() == 0
+    assert profile.layout_marks("yyyy-MM-dd'T'HH:mm:ss") == ["-", ":"] and profile.layout_marks("yyyy[-MM]") == [] == profile.layout_marks("yyyyMMdd")
+    plan = profile.detect_date_columns(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("contains") >= len(profile.DATE_FORMATS)
