@@ -61,10 +61,10 @@ def month_slice(df: DataFrame, date: str, start: str, end: str) -> DataFrame:
     return sinks.read_table(df.sparkSession, path, date, start, end).groupBy(date).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def two_outputs(clean: DataFrame, outputs: dict) -> DataFrame:
+def two_outputs(clean: DataFrame, outputs: dict, row_by_row: tuple[str, ...] = ()) -> DataFrame:
     """K2: (table_name, n_rows) of the tables written from one cleaned frame."""
     spark = clean.sparkSession
-    paths = sinks.write_outputs(clean, "clean", outputs, scratch(spark, "outputs"), by_month="date")
+    paths = sinks.write_outputs(clean, "clean", outputs, scratch(spark, "outputs"), by_month="date", row_by_row=row_by_row)
     out = None
     for name, path in sorted(paths.items()):
         n = sinks.read_table(spark, path).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")

@@ -915,7 +915,8 @@ def q_replaced_table(spark, d):
 @query("two_outputs")
 def q_two_outputs(spark, d):
     """K2: tables from one cleaned frame."""
-    return storage.two_outputs(wh.transactions_clean(spark, d), {"detail": facts.ecommerce_transactions, "daily": facts.ecommerce_daily})
+    return storage.two_outputs(wh.transactions_clean(spark, d), {"detail": facts.ecommerce_transactions, "daily": facts.ecommerce_daily},
+                               row_by_row=("detail",))
 
 
 @query("published_tables")

@@ -16,14 +16,15 @@ MONTH = "part_month"
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
-                partition_by: Sequence[str] = (), by_month: str | None = None) -> None:
+                partition_by: Sequence[str] = (), by_month: str | None = None, gather: bool = True) -> None:
     """K1: full rewrite of one table.
 
     ``by_month`` lays the table out by month of a date column
     (``part_month=yyyy-MM``); :func:`read_table` turns a date range into a
     filter on it.  Rows are gathered by partition before the write, so a
     partition is a few files rather than one per task; Spark splits a month
-    that holds much of the table.  Rows are not globally sorted (a sort would
+    that holds much of the table.  ``gather=False`` leaves that out for rows
+    that come month by month already.  Rows are not globally sorted (a sort would
     be a full shuffle); CSV export is ``fmt='csv'`` with a header.
     """
     out = df
@@ -31,7 +32,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
     if by_month:
         out = out.withColumn(MONTH, F.date_format(by_month, "yyyy-MM"))
         parts = [MONTH] + parts
-    if parts:
+    if parts and gather:
         out = out.hint("rebalance", *parts)
     w = out.write.mode(mode).format(fmt)
     if fmt == "csv":
@@ -62,13 +63,15 @@ def read_table(spark: SparkSession, path: str, date_col: str = "date", start: st
 
 
 def write_outputs(clean: DataFrame, source_name: str, outputs: Mapping[str, Callable[[DataFrame], DataFrame]], base: str,
-                  fmt: str = "parquet", by_month: str | None = None, steps: list[Step] | None = None) -> dict[str, str]:
+                  fmt: str = "parquet", by_month: str | None = None, steps: list[Step] | None = None, row_by_row: Sequence[str] = ()) -> dict[str, str]:
     """K2: several tables from one cleaned frame with a single scan of the source.
 
     The cleaned frame itself is written first, as table ``source_name``, and
     the other tables are built from what was written: nothing is held on the
     executors, and a lost one costs only its part of one write.  With
-    ``steps``, the metrics of every table are added there.
+    ``steps``, the metrics of every table are added there.  Outputs named in
+    ``row_by_row`` change no row's month: their rows are read month by month
+    and written as they come, without another shuffle.
     """
     spark = clean.sparkSession
     paths = {name: f"{base.rstrip('/')}/{name}" for name in (source_name, *outputs)}
@@ -78,7 +81,8 @@ def write_outputs(clean: DataFrame, source_name: str, outputs: Mapping[str, Call
     made.append(first)
     for name, build in outputs.items():
         step = Step(name, by_month)
-        write_table(step.out(build(step.into(read_table(spark, paths[source_name], fmt=fmt)))), paths[name], fmt=fmt, by_month=by_month)
+        write_table(step.out(build(step.into(read_table(spark, paths[source_name], fmt=fmt)))), paths[name], fmt=fmt, by_month=by_month,
+                    gather=name not in row_by_row)
         made.append(step)
     return paths
 
