@@ -89,7 +89,7 @@ def ecommerce_daily(clean: DataFrame, keys: Sequence[str] = ECOM_KEYS) -> DataFr
                    ("gross_revenue", "money", "line_revenue"),
                    ("total_discount", "money", "_disc_x_qty"),
                    ("total_cost", "money", "_cost_x_qty"),
-                   ("avg_unit_price", "money_mean", "unit_price")])
+                   ("avg_unit_price", "money_mean", "unit_price")], fine=True)
 
 
 # ------------------------------------------------------------------ T6 organic

@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from martline.session import per_session
 
 from martline.functions.numeric import MONEY
+from martline.operators.joins import sized_join
+from martline.operators.rollup import dealt
 
 # Fixed values of the synthetic mapping (not reference data):
 # the event stream is moved back by this many days so that it lands inside
@@ -74,6 +76,8 @@ def v_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     oc = (o.join(c, o.o_custkey == c.c_custkey)
           .join(geo, c.c_nationkey == geo.n_nationkey)
           .select("o_orderkey", "o_custkey", "c_custkey", "dma_name", "state"))
+    # An order has few lines; dealt by order, a task's share does not grow with the table.
+    li = dealt(li, ["l_orderkey"])
     df = li.join(oc, li.l_orderkey == oc.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     return df.select(
         F.to_date("l_shipdate").alias("date"),
@@ -305,11 +309,13 @@ def v_ooh_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly airport placements at (week_start_date, airport_code, format, audience_segment)."""
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    wk = (li.groupBy(F.to_date(F.date_trunc("week", "l_shipdate")).alias("week_start_date"), "l_suppkey")
+    # a supplier has few lines a week: they are dealt as they are, in shares that do not grow with the table
+    li = li.withColumn("week_start_date", F.to_date(F.date_trunc("week", "l_shipdate"))).drop("l_shipdate")
+    wk = (dealt(li, ["week_start_date", "l_suppkey"]).groupBy("week_start_date", "l_suppkey")
           .agg(F.sum(F.col("l_extendedprice").cast(MONEY)).alias("spend"),
                (F.sum("l_quantity").cast("bigint") * 1000).alias("impressions"),
                F.count(F.lit(1)).alias("placements")))
-    df = wk.join(s, wk.l_suppkey == s.s_suppkey)
+    df = sized_join(wk, s, wk.l_suppkey == s.s_suppkey)
     return df.select(
         "week_start_date",
         F.concat(F.lit("AP"), F.col("s_suppkey").cast("string")).alias("airport_code"),
