@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martline.functions.numeric import MONEY, formula_mismatch
+from martline.operators.rollup import dealt
 from martline.plans.quality import OUT
 
 VALUE = "decimal(38,10)"
@@ -192,7 +193,7 @@ class Suite:
             # plain figures ride on the first grouping
             carried = plain if not key_sets or keys == key_sets[0] else []
             if keys:
-                by = df.groupBy(*[F.col(f"`{k}`") for k in keys], day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"), *[f.partial().alias(at[f]) for f in carried])
+                by = dealt(df, keys).groupBy(*[F.col(f"`{k}`") for k in keys], day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"), *[f.partial().alias(at[f]) for f in carried])
                 keyed = {"duplicates": F.sum(F.when(F.col("_n") > 1, F.col("_n"))), "groups": F.count(F.lit(1))}
                 aggs = [F.sum(at[f]).cast(VALUE).alias(at[f]) for f in carried]
                 aggs += [keyed[f.kind].cast(VALUE).alias(at[f]) for f in figures if f.keys == keys]
