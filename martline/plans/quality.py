@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from martline.functions.dates import month_key
 from martline.functions.numeric import MONEY, formula_mismatch
 from martline.operators.joins import null_safe_full_join
+from martline.operators.rollup import dealt
 
 OUT = ("check", "table_name", "status", "detail")
 
@@ -55,7 +56,7 @@ def check_exists(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def duplicate_members(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows belonging to a key group of size > 1 (all members counted; nulls equal)."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    return (dealt(df.select(*keys), keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
             .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("dups")))
 
 
