@@ -84,6 +84,7 @@ class Suite:
         self.checks: list[tuple[str, str, str]] = []  # (check, table_name, kind of verdict)
         self.wants: dict[str, list[_Want]] = {}
         self.dates: dict[str, str] = {}
+        self.placed: set[str] = set()
         self._all_columns: list[tuple[int, str, set[str]]] = []
 
     # -- declarations
@@ -93,6 +94,11 @@ class Suite:
         self.dates.update(columns)
         return self
 
+    def dealt(self, *tables: str) -> Suite:
+        """Tables whose rows come dealt by some of the keys they are grouped by; they are not dealt again."""
+        self.placed.update(tables)
+        return self
+
     def _check(self, check: str, table: str, verdict: str) -> int:
         self.checks.append((check, table, verdict))
         return len(self.checks) - 1
@@ -193,7 +199,7 @@ class Suite:
             # plain figures ride on the first grouping
             carried = plain if not key_sets or keys == key_sets[0] else []
             if keys:
-                by = dealt(df, keys).groupBy(*[F.col(f"`{k}`") for k in keys], day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"), *[f.partial().alias(at[f]) for f in carried])
+                by = (df if table in self.placed else dealt(df, keys)).groupBy(*[F.col(f"`{k}`") for k in keys], day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"), *[f.partial().alias(at[f]) for f in carried])
                 keyed = {"duplicates": F.sum(F.when(F.col("_n") > 1, F.col("_n"))), "groups": F.count(F.lit(1))}
                 aggs = [F.sum(at[f]).cast(VALUE).alias(at[f]) for f in carried]
                 aggs += [keyed[f.kind].cast(VALUE).alias(at[f]) for f in figures if f.keys == keys]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from martline.session import per_session
 
+from martline.operators.rollup import dealt
 from martline.plans import dims, facts
 from martline.sources import files, views
 
@@ -72,11 +73,11 @@ def date_spine(spark: SparkSession, d: str) -> DataFrame:
 
 
 @per_session
-def geography(spark: SparkSession, d: str) -> DataFrame:
-    txn = views.v_txn(spark, d).select("dma_name", "state")
+def geography(spark: SparkSession, d: str, shared: bool = False) -> DataFrame:
+    txn = views.v_txn(spark, d, shared).select("dma_name", "state")
     web = views.v_web(spark, d).select("dma_name", "state")
     paid = views.paid_base(spark, d).select("dma_name", "state")
-    return dims.geography_dim([paid, web, txn], views.v_ooh_weekly(spark, d),
+    return dims.geography_dim([paid, web, txn], views.v_ooh_weekly(spark, d, shared),
                               airport_lookup(spark, d), views.v_mentions(spark, d))
 
 
@@ -119,6 +120,31 @@ GRAINS = {
     "dim_geography": ("geo_key",),
 }
 
+# columns of its grain by which a table of the suite comes dealt
+SUITE_DEALT = {"fact_ooh_daily": ("airport_code",)}
+
+
+def suite_table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A table of the quality suite or a raw input of it, built such that those of one stream share its shuffles.
+
+    Placements are dealt by airport as weekly rows, a seventh of the daily
+    ones: all rows of a daily grain are then in one share.
+    """
+    if name in ("lineitem", "events"):
+        return views.table(spark, d, name)
+    if name in ("raw_txn", "fact_ecommerce_transactions", "fact_ecommerce_daily"):
+        clean = facts.ecommerce_clean(views.v_txn(spark, d, True))
+        return {"raw_txn": lambda x: x, "fact_ecommerce_transactions": facts.ecommerce_transactions,
+                "fact_ecommerce_daily": facts.ecommerce_daily}[name](clean)
+    if name == "raw_ooh_weekly":
+        return views.v_ooh_weekly(spark, d, True)
+    if name == "fact_ooh_daily":
+        return facts.ooh_daily(dealt(views.v_ooh_weekly(spark, d, True), SUITE_DEALT[name]), airport_lookup(spark, d))
+    if name == "dim_geography":
+        return geography(spark, d, True)
+    derived = {"raw_paid": views.paid_raw, "raw_web_parts": views.v_web_parts}
+    return derived[name](spark, d) if name in derived else table_by_name(spark, d, name)
+
 
 def table_by_name(spark: SparkSession, d: str, name: str) -> DataFrame:
     if name in FACT_NAMES:

@@ -486,9 +486,7 @@ def warehouse_suite() -> Suite:
 
 def fused_suite(spark, d) -> DataFrame:
     """All check rows of the suite in one plan that reads each table once."""
-    t = _dq_inputs(spark, d)
-    raw = {n: functools.partial(views.table, spark, d, n) for n in ("lineitem", "events")}
-    return warehouse_suite().rows(spark, lambda name: raw[name]() if name in raw else t(name))
+    return warehouse_suite().dealt(*wh.SUITE_DEALT).rows(spark, functools.partial(wh.suite_table, spark, d))
 
 
 @query("dq_suite")

@@ -57,10 +57,24 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
                                F.col("r_name").alias("state")))
 
 
+def _packed(df: DataFrame, *apart: str) -> DataFrame:
+    """All columns but ``apart`` in one value: plans that need different parts of it still make the same shuffle, once."""
+    return df.select(*apart, F.array(F.struct(*[c for c in df.columns if c not in apart])).alias("_packed"))
+
+
+def _unpacked(df: DataFrame) -> DataFrame:
+    parts = df.schema["_packed"].dataType.elementType.names
+    return df.select(*[c for c in df.columns if c != "_packed"], *[F.element_at("_packed", 1)[c].alias(c) for c in parts])
+
+
 # --------------------------------------------------------------------- ecommerce
 @per_session
-def v_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ecommerce transaction lines (raw stream of T4/T5), money as DECIMAL(18,2)."""
+def v_txn(spark: SparkSession, sf_dir: str, shared: bool = False) -> DataFrame:
+    """Ecommerce transaction lines (raw stream of T4/T5), money as DECIMAL(18,2).
+
+    ``shared`` keeps all columns up to the last shuffle, so that tables built
+    from it within one plan share the joins, whichever columns they use.
+    """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -71,21 +85,22 @@ def v_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("p_retailprice").cast(MONEY)
     disc = F.when(promo, (F.col("l_discount") * 10000).cast(MONEY)).otherwise(F.lit(0).cast(MONEY))
     qty = F.col("l_quantity").cast("bigint")
-    # Enrich orders with customer and market first (orders-sized join), so the
+    # Enrich orders with the customer first (orders-sized join), so the
     # lineitem-sized data is shuffled only for the order and the part joins.
-    oc = (o.join(c, o.o_custkey == c.c_custkey)
-          .join(geo, c.c_nationkey == geo.n_nationkey)
-          .select("o_orderkey", "o_custkey", "c_custkey", "dma_name", "state"))
+    # The market's names are attached after them: shuffles carry its key.
+    oc = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_custkey", "c_nationkey")
     # An order has few lines; dealt by order, a task's share does not grow with the table.
     li = dealt(li, ["l_orderkey"])
-    df = li.join(oc, li.l_orderkey == oc.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+    df = li.join(oc, li.l_orderkey == oc.o_orderkey).drop("o_orderkey")
+    df = (_unpacked(_packed(df, "l_partkey").join(p, F.col("l_partkey") == p.p_partkey)) if shared else df.join(p, li.l_partkey == p.p_partkey))
+    df = df.join(geo, F.col("c_nationkey") == geo.n_nationkey)
     return df.select(
         F.to_date("l_shipdate").alias("date"),
         F.col("l_shipdate").alias("order_datetime"),
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("user_id"),
         "dma_name", "state",
-        F.lpad((F.col("c_custkey") % 100000).cast("string"), 5, "0").alias("zip_code"),
+        F.lpad((F.col("o_custkey") % 100000).cast("string"), 5, "0").alias("zip_code"),
         F.col("p_type").alias("product_category"),
         F.when(F.col("p_size") <= 12, "XS").when(F.col("p_size") <= 25, "S")
          .when(F.col("p_size") <= 37, "M").otherwise("L").alias("size"),
@@ -305,13 +320,14 @@ def paid_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 # --------------------------------------------------------------------- OOH
 @per_session
-def v_ooh_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly airport placements at (week_start_date, airport_code, format, audience_segment)."""
+def v_ooh_weekly(spark: SparkSession, sf_dir: str, shared: bool = False) -> DataFrame:
+    """Weekly airport placements at (week_start_date, airport_code, format, audience_segment); ``shared`` as in ``v_txn``."""
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     # a supplier has few lines a week: they are dealt as they are, in shares that do not grow with the table
     li = li.withColumn("week_start_date", F.to_date(F.date_trunc("week", "l_shipdate"))).drop("l_shipdate")
-    wk = (dealt(li, ["week_start_date", "l_suppkey"]).groupBy("week_start_date", "l_suppkey")
+    lines = dealt(_packed(li, "week_start_date", "l_suppkey") if shared else li, ["week_start_date", "l_suppkey"])
+    wk = ((_unpacked(lines) if shared else lines).groupBy("week_start_date", "l_suppkey")
           .agg(F.sum(F.col("l_extendedprice").cast(MONEY)).alias("spend"),
                (F.sum("l_quantity").cast("bigint") * 1000).alias("impressions"),
                F.count(F.lit(1)).alias("placements")))
