@@ -69,13 +69,15 @@ def read_bytes(df: DataFrame) -> int | None:
     return sum(sizes) if sum(sizes) < 1 << 60 else None  # frames of unknown size say the largest number
 
 
-def dealt(df: DataFrame, keys: Sequence[str], per_partition: int = DEALT_BYTES) -> DataFrame:
+def dealt(df: DataFrame, keys: Sequence[str], per_partition: int = DEALT_BYTES, *, like: DataFrame | None = None) -> DataFrame:
     """Rows dealt by hash of ``keys`` over partitions that grow in number with the input, not in size.
 
     For groupings by keys that hardly repeat: they need no further shuffle,
     and a task's table of groups stays small however large the input.
+    ``like`` deals over as many partitions as rows read as that frame are: the
+    two can then be joined where they lie.
     """
-    size = read_bytes(df)
+    size = read_bytes(df if like is None else like)
     cols = [F.col(f"`{k}`") for k in keys]
     return df.repartition(*cols) if size is None else df.repartition(size // per_partition + 1, *cols)
 

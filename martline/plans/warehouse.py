@@ -120,15 +120,15 @@ GRAINS = {
     "dim_geography": ("geo_key",),
 }
 
-# columns of its grain by which a table of the suite comes dealt
-SUITE_DEALT = {"fact_ooh_daily": ("airport_code",)}
+# tables of the suite that come dealt by columns of their grain
+SUITE_DEALT = ("fact_ooh_daily",)
 
 
 def suite_table(spark: SparkSession, d: str, name: str) -> DataFrame:
     """A table of the quality suite or a raw input of it, built such that those of one stream share its shuffles.
 
     Placements are dealt by airport as weekly rows, a seventh of the daily
-    ones: all rows of a daily grain are then in one share.
+    ones, and the lookup like them: all rows of a daily grain are in one share.
     """
     if name in ("lineitem", "events"):
         return views.table(spark, d, name)
@@ -139,7 +139,8 @@ def suite_table(spark: SparkSession, d: str, name: str) -> DataFrame:
     if name == "raw_ooh_weekly":
         return views.v_ooh_weekly(spark, d, True)
     if name == "fact_ooh_daily":
-        return facts.ooh_daily(dealt(views.v_ooh_weekly(spark, d, True), SUITE_DEALT[name]), airport_lookup(spark, d))
+        weekly = views.v_ooh_weekly(spark, d, True)
+        return facts.ooh_daily(weekly, dealt(airport_lookup(spark, d), ["iata_code"], like=weekly))
     if name == "dim_geography":
         return geography(spark, d, True)
     derived = {"raw_paid": views.paid_raw, "raw_web_parts": views.v_web_parts}

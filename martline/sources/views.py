@@ -321,18 +321,21 @@ def paid_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # --------------------------------------------------------------------- OOH
 @per_session
 def v_ooh_weekly(spark: SparkSession, sf_dir: str, shared: bool = False) -> DataFrame:
-    """Weekly airport placements at (week_start_date, airport_code, format, audience_segment); ``shared`` as in ``v_txn``."""
+    """Weekly airport placements at (week_start_date, airport_code, format, audience_segment).
+
+    ``shared`` deals the weekly rows by airport with all columns, so that
+    tables built from it within one plan share that shuffle, whichever they use.
+    """
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     # a supplier has few lines a week: they are dealt as they are, in shares that do not grow with the table
     li = li.withColumn("week_start_date", F.to_date(F.date_trunc("week", "l_shipdate"))).drop("l_shipdate")
-    lines = dealt(_packed(li, "week_start_date", "l_suppkey") if shared else li, ["week_start_date", "l_suppkey"])
-    wk = ((_unpacked(lines) if shared else lines).groupBy("week_start_date", "l_suppkey")
+    wk = (dealt(li, ["week_start_date", "l_suppkey"]).groupBy("week_start_date", "l_suppkey")
           .agg(F.sum(F.col("l_extendedprice").cast(MONEY)).alias("spend"),
                (F.sum("l_quantity").cast("bigint") * 1000).alias("impressions"),
                F.count(F.lit(1)).alias("placements")))
     df = sized_join(wk, s, wk.l_suppkey == s.s_suppkey)
-    return df.select(
+    df = df.select(
         "week_start_date",
         F.concat(F.lit("AP"), F.col("s_suppkey").cast("string")).alias("airport_code"),
         F.concat(F.lit("Airport "), F.col("s_name")).alias("airport_name"),
@@ -340,6 +343,7 @@ def v_ooh_weekly(spark: SparkSession, sf_dir: str, shared: bool = False) -> Data
          .otherwise("spectacular").alias("format"),
         F.when(F.col("s_nationkey") % 2 == 0, "business").otherwise("leisure").alias("audience_segment"),
         "spend", "impressions", "placements")
+    return _unpacked(dealt(_packed(df, "airport_code"), ["airport_code"])).select(*df.columns) if shared else df
 
 
 @per_session

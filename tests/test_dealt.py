@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from martline.operators import rollup
+from martline.operators import joins, rollup
 from martline.plans import quality, storage
 from martline.plans.checks import Suite, total
 from martline.sources import sinks
@@ -149,6 +149,7 @@ def test_shared_views_have_the_rows_of_the_plain_ones(spark, tables, no_broadcas
 def test_suite_shuffles_the_lines_of_a_stream_once(spark, tables, no_broadcast, monkeypatch, name):
     from martline import registry
     monkeypatch.setattr(rollup.dealt, "__defaults__", (2_000,))
+    monkeypatch.setattr(joins.sized_join, "__defaults__", ("inner", -1))
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # a plan that shows what is reused before it runs
     try:
         plan = registry.QUERIES[name](spark, tables)._jdf.queryExecution().executedPlan().toString()
@@ -157,6 +158,10 @@ def test_suite_shuffles_the_lines_of_a_stream_once(spark, tables, no_broadcast,
     made = re.findall(r"[+:]- Exchange hashpartitioning\(([a-z_]+)#\w+(?:, ([a-z_]+)#)?", plan)  # a reused one stands after its own mark
     assert made.count(("l_orderkey", "")) == made.count(("l_partkey", "")) == 1
     assert ("date", "airport_code") not in made
+    # the weekly rows are joined to the airports where they lie, in shares that follow the input
+    weekly = re.findall(r"[+:]- Exchange hashpartitioning\(airport_code#\w+, (\d+)\), REPARTITION_BY_NUM", plan)
+    assert weekly == re.findall(r"[+:]- Exchange hashpartitioning\(week_start_date#\w+, l_suppkey#\w+, (\d+)\)", plan)
+    assert len(weekly) == 1 and weekly != [spark.conf.get("spark.sql.shuffle.partitions")]
 
 
 def test_suite_of_shared_tables_has_the_rows_of_single_ones(spark, tables):
